@@ -1,0 +1,38 @@
+"""Joining a table that may hold very many rows of one key."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key with more rows than this is split into parts of about this size.
+PART_ROWS = 1_000_000
+
+
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on ``key``, where ``right`` has one row per key.
+
+    Keys with more than ``part_rows`` rows in ``left`` are split: their rows get
+    a part number, and the matching row of ``right`` is repeated once per part.
+    The table of such keys is broadcast; it has at most |left| / part_rows rows.
+    """
+    rows = left.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
+    hot = F.broadcast(
+        rows.where(F.col("key_rows") > part_rows).select(
+            key, F.ceil(F.col("key_rows") / part_rows).cast("int").alias("parts")
+        )
+    )
+    parts = F.coalesce("parts", F.lit(1))
+    # Stable for a table scan: a retried task numbers its rows the same way.
+    numbered = left.withColumn("row_no", F.monotonically_increasing_id())
+    split_left = (
+        numbered.join(hot, key, "left")
+        .withColumn("part", F.pmod("row_no", parts).cast("int"))
+        .drop("row_no", "parts")
+    )
+    split_right = (
+        right.join(hot, key, "left")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("parts")
+    )
+    return split_left.join(split_right, [key, "part"], "left").drop("part")
