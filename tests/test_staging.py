@@ -1,0 +1,96 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+from fixtures import at, day, dicts, events, raw, transactions, users
+
+from tidemark.operators.staging import stg_events, stg_transactions, stg_users
+from tidemark.schemas import backend_events_as_raw
+
+
+def test_user_defaults_and_casing(spark):
+    rows = [
+        {"email": " ANA@Example.COM ", "platform": "iPhone iOS", "created_at": at(1)},
+        {"user_id": "u2", "platform": None, "role": "Admin", "status": "Blocked", "country_code": "pt"},
+        {"user_id": "u3", "platform": " WEB ", "created_at": at(2), "updated_at": at(5)},
+        {"id": None, "user_id": "gone"},
+    ]
+    got = dicts(users(spark, rows), "user_id")
+    assert [r["user_id"] for r in got] == ["1", "u2", "u3"]
+    assert got[0]["email"] == "ana@example.com"
+    assert [r["platform"] for r in got] == ["iphone ios", "web", " web "]
+    assert (got[0]["user_role"], got[0]["user_status"], got[0]["country_code"]) == ("customer", "active", "BR")
+    assert (got[1]["user_role"], got[1]["user_status"], got[1]["country_code"]) == ("admin", "blocked", "pt")
+    assert got[0]["updated_at"] == at(1) and got[2]["updated_at"] == at(5)
+    assert got[0]["registration_date"] == day(1) and got[1]["registration_date"] is None
+
+
+def test_numeric_user_id_becomes_text(spark):
+    df = spark.createDataFrame(
+        [(7, None)], "id bigint, user_id bigint"
+    ).selectExpr("*", *[f"cast(null as string) as {c}" for c in ["email", "role", "status", "platform", "country_code"]],
+                 "timestamp_ntz'2024-01-01 00:00:00' as created_at", "cast(null as timestamp_ntz) as updated_at")
+    out = stg_users(df)
+    assert out.schema["user_id"].dataType.simpleString() == "string"
+    assert out.first()["user_id"] == "7"
+
+
+def test_repeated_users_pass(spark):
+    assert users(spark, [{"user_id": "a"}, {"user_id": "a"}]).count() == 2
+
+
+def test_event_platforms_are_folded(spark):
+    named = ["iOS 17", "ANDROID", "Mobile Web", "macOS", None, "ios-android", "linux"]
+    got = dicts(events(spark, [{"platform": p} for p in named]), "event_id")
+    assert [r["platform"] for r in got] == ["ios", "android", "web", "web", "web", "ios", "web"]
+
+
+def test_event_names_ids_and_defaults(spark):
+    rows = [{"event_name": "   "}, {"event_name": None}, {"event_name": " Click "}, {"id": None}, {"event_category": "NAV"}]
+    got = dicts(events(spark, rows), "event_id")
+    assert [r["event_name"] for r in got] == ["", "click", "open"]
+    assert got[0]["session_id"] == "unknown_session" and got[0]["app_version"] == "1.0.0"
+    assert [r["event_category"] for r in got] == ["general", "general", "nav"]
+    assert got[0]["event_date"] is None
+
+
+def test_text_times_are_cast(spark):
+    df = raw(spark, "analytics_events", [{"id": "1", "event_name": "a"}]).drop("created_at").selectExpr(
+        "*", "'2024-05-06 07:08:09' as created_at"
+    )
+    row = stg_events(df).first()
+    assert row["created_at"] == datetime(2024, 5, 6, 7, 8, 9) and row["event_date"] == date(2024, 5, 6)
+
+
+def test_success_looks_at_the_raw_status(spark):
+    words = [None, "Completed", "SUCCESS", "paid", "Approved", "pending", "refunded", " paid"]
+    got = dicts(transactions(spark, [{"status": w, "amount": 10.0} for w in words]), "transaction_id")
+    assert [r["is_successful"] for r in got] == [0, 1, 1, 1, 1, 0, 0, 0]
+    assert got[0]["status"] == "completed"
+
+
+def test_transaction_defaults(spark):
+    got = dicts(transactions(spark, [{"amount": None}, {"amount": 1.5, "currency": "eur", "payment_method": "PIX"}]), "transaction_id")
+    assert got[0]["amount"] == Decimal("0.00") and got[0]["currency"] == "BRL" and got[0]["payment_method"] == "unknown"
+    assert got[1]["amount"] == Decimal("1.50") and got[1]["currency"] == "EUR" and got[1]["payment_method"] == "pix"
+    assert transactions(spark, [{"id": None}]).count() == 0
+
+
+def test_backend_layout(spark):
+    stored = spark.createDataFrame(
+        [("1", "a", '{"x":1}', at(1), at(3))],
+        "id string, event_name string, properties string, occurred_at timestamp_ntz, created_at timestamp_ntz",
+    ).selectExpr("*", *[f"cast(null as string) as {c}" for c in ["user_id", "session_id", "event_category", "platform", "app_version"]])
+    arrived, happened = (stg_events(backend_events_as_raw(stored, t)).first() for t in ("created_at", "occurred_at"))
+    assert arrived["properties_json"] == '{"x":1}' and arrived["created_at"] == at(3)
+    assert happened["event_date"] == day(1)
+    as_map = stored.drop("properties").selectExpr("*", "map('k', 'v') as properties")
+    assert backend_events_as_raw(as_map).first()["properties_json"] == '{"k":"v"}'
+
+
+def test_only_needed_columns_are_read(spark, tmp_path):
+    path = str(tmp_path / "ev")
+    raw(spark, "analytics_events", [{"id": "1", "event_name": "a", "created_at": at(1)}]).write.parquet(path)
+    plan = stg_events(spark.read.parquet(path)).where("event_date >= '2024-02-01'").select("event_name", "event_date")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "properties_json" not in text.split("ReadSchema")[1]
+    assert "GreaterThanOrEqual(created_at" in text

@@ -26,10 +26,10 @@ FIELD_LENGTHS = {
 }
 MAX_BATCH = 500
 
-ENVELOPE = [
+# Columns of the request that go with each of its events; the body does not.
+REQUEST = [
     "batch_id",
     "endpoint",
-    "value",
     "arrival_ts",
     "auth_user_id",
     "forwarded_for",
@@ -60,9 +60,18 @@ def _given(item: Column, name: str) -> Column:
 
 
 def event_time(text: Column) -> Column:
-    """ISO text with a date -> UTC time; NULL if it is no time."""
-    dated = F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), text)
-    return F.try_to_timestamp(dated).cast("timestamp_ntz")
+    """ISO text with a date -> UTC time; NULL if it is no time.
+
+    Text without a zone is UTC. The session's own zone plays no part.
+    """
+    dated = F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.trim(text))
+    dated = F.regexp_replace(dated, r"^(.{10}[T ]\d{2}:\d{2})(Z|z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
+    zoned = F.when(dated.rlike(r"\d(Z|z|[+-]\d{2}:?\d{2})$") & dated.contains(":"), dated)
+    as_utc = F.concat(dated, F.when(dated.contains(":"), "Z").otherwise("T00:00:00Z"))
+    micros = F.unix_micros(F.try_to_timestamp(F.coalesce(zoned, as_utc)))
+    seconds = micros.cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
 def parse_body(envelopes: DataFrame) -> DataFrame:
@@ -127,47 +136,54 @@ def _with_items(parsed: DataFrame, max_items: int | None) -> DataFrame:
 
 
 def ingest_explode_batch(parsed: DataFrame, max_items: int | None = MAX_BATCH) -> DataFrame:
-    """One row (..., pos, item) per event of every well-formed envelope."""
+    """One row (request columns, pos, item) per event of every well-formed envelope."""
     return (
         _with_items(parsed, max_items)
         .where(F.col("envelope_error").isNull())
-        .select(*ENVELOPE, F.posexplode("items").alias("pos", "item"))
+        .select(*REQUEST, F.posexplode("items").alias("pos", "item"))
     )
 
 
 def ingest_outcomes(
     envelopes: DataFrame, policy: str = "atomic", max_items: int | None = MAX_BATCH
 ) -> DataFrame:
-    """(envelope columns, pos, item, errors): accepted events have no errors.
+    """(request columns, pos, item, errors, value): accepted events have no errors.
 
     ``atomic``: events are checked strictly, and one bad event rejects its whole
     envelope (one row with ``pos`` NULL). ``lenient``: events without a usable
-    name are rejected one by one, the rest of the batch is kept.
+    name are rejected one by one, the rest of the batch is kept. ``value`` is
+    what was rejected, the body or the event; accepted rows do not repeat it.
     """
     if policy not in ("atomic", "lenient"):
         raise ValueError(f"unknown policy {policy!r}")
     rule = strict_errors if policy == "atomic" else lenient_errors
+
+    def outcome(pos: Column, item: Column, errors: Column, value: Column) -> Column:
+        return F.struct(pos.alias("pos"), item.alias("item"), errors.alias("errors"), value.alias("value"))
+
     checked = _with_items(parse_body(envelopes), max_items).withColumn(
         "checked",
-        F.transform(
-            "items",
-            lambda item, i: F.struct(i.alias("pos"), item.alias("item"), rule(item).alias("errors")),
-        ),
+        F.transform("items", lambda item, i: F.struct(i.alias("pos"), item.alias("item"), rule(item).alias("errors"))),
     )
-    error = F.when(F.col("envelope_error").isNotNull(), F.array("envelope_error"))
+    rejected = F.when(F.col("envelope_error").isNotNull(), F.array("envelope_error"))
     if policy == "atomic":
-        named = F.flatten(
+        by_position = F.flatten(
             F.transform(
                 "checked",
-                lambda c: F.transform(c["errors"], lambda e: F.concat(c["pos"].cast("string"), F.lit(":"), e)),
+                lambda c: F.transform(c["errors"], lambda code: F.concat(c["pos"].cast("string"), F.lit(":"), code)),
             )
         )
-        error = error.when(F.exists("checked", lambda c: F.size(c["errors"]) > 0), named)
-    whole = F.struct(
-        F.lit(None).cast("int").alias("pos"), F.lit(None).cast("variant").alias("item"), error.alias("errors")
+        rejected = rejected.when(F.size(by_position) > 0, by_position)
+    no_pos, no_item = F.lit(None).cast("int"), F.lit(None).cast("variant")
+    whole = F.array(outcome(no_pos, no_item, F.col("rejected"), F.col("value")))
+    single = F.transform(
+        "checked",
+        lambda c: outcome(c["pos"], c["item"], c["errors"], F.when(F.size(c["errors"]) > 0, F.to_json(c["item"]))),
     )
-    return checked.withColumn("outcome", F.explode(F.when(error.isNotNull(), F.array(whole)).otherwise(F.col("checked")))).select(
-        *ENVELOPE, "outcome.pos", "outcome.item", "outcome.errors"
+    return (
+        checked.withColumn("rejected", rejected)
+        .withColumn("outcome", F.explode(F.when(F.col("rejected").isNotNull(), whole).otherwise(single)))
+        .select(*REQUEST, "outcome.*")
     )
 
 

@@ -40,25 +40,21 @@ def first_last_step(funnel: DataFrame) -> DataFrame:
     )
 
 
-def dense_index(df: DataFrame, order: str, index: str, buckets: int = 1024) -> DataFrame:
-    """Number rows 1, 2, ... by a unique numeric ``order`` column.
+def dense_index(df: DataFrame, order: str, index: str, span: int = 1_000_000) -> DataFrame:
+    """Number rows 1, 2, ... by ``order``, a unique whole number such as a row position.
 
-    The range of ``order`` is cut into equal buckets; rows are numbered inside
-    their bucket and shifted by the size of all earlier buckets, so no task
-    sorts the whole table. Only the bucket sizes (at most ``buckets`` rows) are
-    summed up in one place and broadcast.
+    Positions are cut into spans; a task numbers the rows of its spans (at most
+    ``span`` rows each, as positions are unique) and shifts them by the size of
+    all earlier spans. Only the span sizes are summed up in one place: one row
+    per span, read from the position column alone.
     """
-    low = df.select(F.min(order)).scalar()
-    high = df.select(F.max(order)).scalar()
-    width = F.greatest((high - low + 1) / buckets, F.lit(1.0))
-    cut = df.withColumn("bucket", F.floor((F.col(order) - low) / width))
-    sizes = cut.groupBy("bucket").agg(F.count(F.lit(1)).alias("bucket_rows"))
-    earlier = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("bucket", F.coalesce(F.sum("bucket_rows").over(earlier), F.lit(0)).alias("shift"))
-    inside = W.partitionBy("bucket").orderBy(order)
+    cut = df.withColumn("span_no", F.floor(F.col(order) / span))
+    sizes = cut.groupBy("span_no").agg(F.count(F.lit(1)).alias("span_rows"))
+    earlier = W.orderBy("span_no").rowsBetween(W.unboundedPreceding, -1)
+    shifts = sizes.select("span_no", F.coalesce(F.sum("span_rows").over(earlier), F.lit(0)).alias("shift"))
+    inside = W.partitionBy("span_no").orderBy(order)
     return (
-        cut.withColumn("place", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "bucket", "left")
-        .withColumn(index, F.col("place") + F.col("shift"))
-        .drop("bucket", "place", "shift")
+        cut.withColumn("place_in_span", F.row_number().over(inside))
+        .join(shifts, "span_no")
+        .select(*df.columns, (F.col("place_in_span") + F.col("shift")).alias(index))
     )

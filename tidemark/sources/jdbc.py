@@ -55,6 +55,7 @@ class JdbcSource:
             "user": self.user,
             "password": self.password,
             "fetchsize": str(FETCH_ROWS),
+            "preferTimestampNTZ": "true",
         }
 
 
