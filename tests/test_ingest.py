@@ -38,9 +38,9 @@ def errors_of(spark, *events):
 
 
 def test_bodies_must_be_json_objects(spark):
-    good, corrupt = ingest_parse(posted(spark, '{"event_name":"a"}', "{oops", "[1]", '"text"', "", ' {"x":1} '))
+    good, corrupt = ingest_parse(posted(spark, '{"event_name":"a"}', "{oops", "[1]", '"text"', "", ' {"x":1} ', '{"x":1} y', '{"x":1} {"y":2}', '{"x":1},{"y":2}', '{"x":NaN}'))
     assert [r["batch_id"] for r in dicts(good, "batch_id")] == ["b0", "b5"]
-    assert [r["batch_id"] for r in dicts(corrupt, "batch_id")] == ["b1", "b2", "b3", "b4"]
+    assert [r["batch_id"] for r in dicts(corrupt, "batch_id")] == ["b1", "b2", "b3", "b4", "b6", "b7", "b8", "b9"]
 
 
 def test_names(spark):
@@ -48,6 +48,12 @@ def test_names(spark):
     assert got == [[], ["event_name_required"], ["event_name_required"], ["event_name_required"], ["event_name_type"], ["event_name_type"]]
 
 
+def test_batch_items_that_are_no_objects(spark):
+    items = ingest_explode_batch(parse_body(batches(spark, [5, {"event_name": "a"}, "x", None])))
+    got = [r["errors"] for r in dicts(ingest_validate(items), "pos")]
+    assert got == [["event_name_required"], [], ["event_name_required"], ["event_name_required"]]
+
+
 def test_lengths(spark):
     fits = {name: "x" * n for name, n in FIELD_LENGTHS.items()}
     too_long = {name: "é" * (n + 1) for name, n in FIELD_LENGTHS.items()}

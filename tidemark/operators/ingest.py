@@ -42,21 +42,23 @@ ENVELOPE_SCHEMA = (
 )
 
 
-def _field(item: Column, name: str) -> Column:
-    return F.try_variant_get(item, f"$.{name}", "variant")
+FIELDS = [*FIELD_LENGTHS, "properties", "occurred_at"]
+FIELD_TYPE = f"struct<{', '.join(f'{name}: variant' for name in FIELDS)}>"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
 
-def _text(item: Column, name: str) -> Column:
-    return F.try_variant_get(item, f"$.{name}", "string")
+def read_fields(item: Column) -> Column:
+    """The known fields of an event, each with its JSON type kept; NULL unless ``item`` is an object."""
+    return F.try_variant_get(item, "$", FIELD_TYPE)
 
 
-def _kind(item: Column, name: str) -> Column:
-    """``STRING``, ``BIGINT``, ...; VOID for a JSON null, NULL where the field is missing."""
-    return F.schema_of_variant(_field(item, name))
+def _text(fields: Column, name: str) -> Column:
+    return F.try_variant_get(fields[name], "$", "string")
 
 
-def _given(item: Column, name: str) -> Column:
-    return F.coalesce(_kind(item, name) != "VOID", F.lit(False))
+def _kind(fields: Column, name: str) -> Column:
+    """``STRING``, ``BIGINT``, ...; NULL for a JSON null and a missing field."""
+    return F.nullif(F.schema_of_variant(fields[name]), F.lit("VOID"))
 
 
 def event_time(text: Column) -> Column:
@@ -66,18 +68,26 @@ def event_time(text: Column) -> Column:
     """
     dated = F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.trim(text))
     dated = F.regexp_replace(dated, r"^(.{10}[T ]\d{2}:\d{2})(Z|z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
-    zoned = F.when(dated.rlike(r"\d(Z|z|[+-]\d{2}:?\d{2})$") & dated.contains(":"), dated)
+    zoned = F.when(dated.rlike(r":.*\d(Z|z|[+-]\d{2}:?\d{2})$"), dated)
     as_utc = F.concat(dated, F.when(dated.contains(":"), "Z").otherwise("T00:00:00Z"))
-    micros = F.unix_micros(F.try_to_timestamp(F.coalesce(zoned, as_utc)))
-    seconds = micros.cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    instant = F.try_to_timestamp(F.when(text.rlike(ISO_TIME), text).otherwise(F.coalesce(zoned, as_utc)))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def parse_body(envelopes: DataFrame) -> DataFrame:
-    """Adds ``body`` (VARIANT), NULL unless the text is a JSON object."""
-    is_object = F.ltrim("value").startswith("{")
-    return envelopes.withColumn("body", F.when(is_object, F.try_parse_json("value")))
+    """Adds ``body`` (VARIANT), NULL unless the text is one JSON object and nothing else.
+
+    The parser stops after the first value, so the text is parsed as the first
+    element of a list that must end right after it.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit(",0]")))
+    alone = (F.try_variant_get("wrapped", "$[1]", "int") == 0) & F.try_variant_get("wrapped", "$[2]", "variant").isNull()
+    return (
+        envelopes.withColumn("wrapped", F.when(F.ltrim("value").startswith("{"), wrapped))
+        .withColumn("body", F.when(alone, F.try_variant_get("wrapped", "$[0]", "variant")))
+        .drop("wrapped")
+    )
 
 
 def ingest_parse(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -86,25 +96,24 @@ def ingest_parse(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.where(F.col("body").isNotNull()), parsed.where(F.col("body").isNull()).drop("body")
 
 
-def strict_errors(item: Column) -> Column:
+def strict_errors(fields: Column) -> Column:
     """Error codes of one event: name required, types and lengths checked."""
-    checks = [F.when(~_given(item, "event_name") | (_text(item, "event_name") == ""), "event_name_required")]
+    unnamed = _kind(fields, "event_name").isNull() | (_text(fields, "event_name") == "")
+    checks = [F.when(unnamed, "event_name_required")]
     for name, longest in FIELD_LENGTHS.items():
-        given = _given(item, name)
-        checks.append(F.when(given & (_kind(item, name) != "STRING"), f"{name}_type"))
-        checks.append(F.when(F.char_length(_text(item, name)) > longest, f"{name}_length"))
-    no_object = ~F.coalesce(_kind(item, "properties").startswith("OBJECT"), F.lit(False))
-    checks.append(F.when(_given(item, "properties") & no_object, "properties_not_object"))
-    no_time = event_time(_text(item, "occurred_at")).isNull() | (_kind(item, "occurred_at") != "STRING")
-    checks.append(F.when(_given(item, "occurred_at") & no_time, "occurred_at_not_date"))
+        checks.append(F.when(_kind(fields, name) != "STRING", f"{name}_type"))
+        checks.append(F.when(F.char_length(_text(fields, name)) > longest, f"{name}_length"))
+    checks.append(F.when(~_kind(fields, "properties").startswith("OBJECT"), "properties_not_object"))
+    no_time = event_time(_text(fields, "occurred_at")).isNull() | (_kind(fields, "occurred_at") != "STRING")
+    checks.append(F.when(_kind(fields, "occurred_at").isNotNull() & no_time, "occurred_at_not_date"))
     return F.array_compact(F.array(*checks))
 
 
-def lenient_errors(item: Column) -> Column:
+def lenient_errors(fields: Column) -> Column:
     """Error codes of one event where only a usable name is asked for."""
-    text, kind = _text(item, "event_name"), _kind(item, "event_name")
+    text, kind = _text(fields, "event_name"), _kind(fields, "event_name")
     zero = (kind != "STRING") & text.isin("0", "false")
-    missing = ~_given(item, "event_name") | F.coalesce((text == "") | zero, F.lit(False))
+    missing = kind.isNull() | F.coalesce((text == "") | zero, F.lit(False))
     return F.array_compact(F.array(F.when(missing, "event_name_required")))
 
 
@@ -112,8 +121,8 @@ RULES = {"strict": strict_errors, "lenient": lenient_errors}
 
 
 def ingest_validate(items: DataFrame, rules: str = "strict") -> DataFrame:
-    """Adds ``errors`` to rows with an ``item`` (VARIANT)."""
-    return items.withColumn("errors", RULES[rules](F.col("item")))
+    """Adds ``errors`` to rows with the ``fields`` of an event."""
+    return items.withColumn("errors", RULES[rules](F.col("fields")))
 
 
 def _envelope_error(max_items: int | None) -> Column:
@@ -136,18 +145,16 @@ def _with_items(parsed: DataFrame, max_items: int | None) -> DataFrame:
 
 
 def ingest_explode_batch(parsed: DataFrame, max_items: int | None = MAX_BATCH) -> DataFrame:
-    """One row (request columns, pos, item) per event of every well-formed envelope."""
-    return (
-        _with_items(parsed, max_items)
-        .where(F.col("envelope_error").isNull())
-        .select(*REQUEST, F.posexplode("items").alias("pos", "item"))
-    )
+    """One row (request columns, pos, fields) per event of every well-formed envelope."""
+    # Not a filter: that would be pushed below the parsing and parse again.
+    events = F.when(F.col("envelope_error").isNull(), F.transform("items", read_fields))
+    return _with_items(parsed, max_items).select(*REQUEST, F.posexplode(events).alias("pos", "fields"))
 
 
 def ingest_outcomes(
     envelopes: DataFrame, policy: str = "atomic", max_items: int | None = MAX_BATCH
 ) -> DataFrame:
-    """(request columns, pos, item, errors, value): accepted events have no errors.
+    """(request columns, pos, fields, errors, value): accepted events have no errors.
 
     ``atomic``: events are checked strictly, and one bad event rejects its whole
     envelope (one row with ``pos`` NULL). ``lenient``: events without a usable
@@ -158,27 +165,32 @@ def ingest_outcomes(
         raise ValueError(f"unknown policy {policy!r}")
     rule = strict_errors if policy == "atomic" else lenient_errors
 
-    def outcome(pos: Column, item: Column, errors: Column, value: Column) -> Column:
-        return F.struct(pos.alias("pos"), item.alias("item"), errors.alias("errors"), value.alias("value"))
+    def outcome(pos: Column, fields: Column, errors: Column, value: Column) -> Column:
+        return F.struct(pos.alias("pos"), fields.alias("fields"), errors.alias("errors"), value.alias("value"))
 
-    checked = _with_items(parse_body(envelopes), max_items).withColumn(
-        "checked",
-        F.transform("items", lambda item, i: F.struct(i.alias("pos"), item.alias("item"), rule(item).alias("errors"))),
-    )
+    def check(event: Column) -> Column:
+        return F.struct(event["item"].alias("item"), event["fields"].alias("fields"), rule(event["fields"]).alias("errors"))
+
+    events = F.transform("items", lambda item: F.struct(item.alias("item"), read_fields(item).alias("fields")))
+    checked = _with_items(parse_body(envelopes), max_items).withColumn("checked", F.transform(events, check))
     rejected = F.when(F.col("envelope_error").isNotNull(), F.array("envelope_error"))
     if policy == "atomic":
         by_position = F.flatten(
             F.transform(
                 "checked",
-                lambda c: F.transform(c["errors"], lambda code: F.concat(c["pos"].cast("string"), F.lit(":"), code)),
+                lambda event, pos: F.transform(
+                    event["errors"], lambda code: F.concat(pos.cast("string"), F.lit(":"), code)
+                ),
             )
         )
         rejected = rejected.when(F.size(by_position) > 0, by_position)
-    no_pos, no_item = F.lit(None).cast("int"), F.lit(None).cast("variant")
-    whole = F.array(outcome(no_pos, no_item, F.col("rejected"), F.col("value")))
+    no_pos, no_fields = F.lit(None).cast("int"), F.lit(None).cast(FIELD_TYPE)
+    whole = F.array(outcome(no_pos, no_fields, F.col("rejected"), F.col("value")))
     single = F.transform(
         "checked",
-        lambda c: outcome(c["pos"], c["item"], c["errors"], F.when(F.size(c["errors"]) > 0, F.to_json(c["item"]))),
+        lambda event, pos: outcome(
+            pos, event["fields"], event["errors"], F.when(F.size(event["errors"]) > 0, F.to_json(event["item"]))
+        ),
     )
     return (
         checked.withColumn("rejected", rejected)
@@ -193,7 +205,7 @@ def event_id() -> Column:
 
 
 def ingest_enrich(items: DataFrame, user_fallback: str = "blank") -> DataFrame:
-    """Stored event rows from (envelope, pos, item).
+    """Stored event rows from (request columns, pos, fields).
 
     The signed-in user stands in for a missing user id, with
     ``user_fallback="blank"`` for an empty one as well (``"null"``: only for NULL).
@@ -202,20 +214,20 @@ def ingest_enrich(items: DataFrame, user_fallback: str = "blank") -> DataFrame:
     """
     if user_fallback not in ("blank", "null"):
         raise ValueError(f"unknown user_fallback {user_fallback!r}")
-    item = F.col("item")
-    user = _text(item, "user_id")
+    fields = F.col("fields")
+    user = _text(fields, "user_id")
     if user_fallback == "blank":
         user = F.nullif(user, F.lit(""))
     forwarded = F.when(F.col("forwarded_for") != "", F.trim(F.split("forwarded_for", ",")[0]))
     plain = [name for name in FIELD_LENGTHS if name != "user_id"]
     return items.select(
         event_id().alias("id"),
-        *[_text(item, name).alias(name) for name in plain],
+        *[_text(fields, name).alias(name) for name in plain],
         F.coalesce(user, F.col("auth_user_id")).alias("user_id"),
-        F.when(_given(item, "properties"), F.to_json(_field(item, "properties"))).alias("properties"),
+        F.when(_kind(fields, "properties").isNotNull(), F.to_json(fields["properties"])).alias("properties"),
         F.coalesce(forwarded, F.col("peer_address")).alias("ip_address"),
         F.col("user_agent"),
-        F.coalesce(event_time(_text(item, "occurred_at")), F.col("arrival_ts")).alias("occurred_at"),
+        F.coalesce(event_time(_text(fields, "occurred_at")), F.col("arrival_ts")).alias("occurred_at"),
         F.col("arrival_ts").alias("created_at"),
         F.col("arrival_ts").alias("updated_at"),
     )

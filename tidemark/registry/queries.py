@@ -439,7 +439,7 @@ def _ingest_parse(t: Tables) -> DataFrame:
 @on_tables("ingest_explode_batch")
 def _ingest_explode_batch(t: Tables) -> DataFrame:
     items = ingest.ingest_explode_batch(ingest.parse_body(_envelopes(t)))
-    return items.select("batch_id", "endpoint", "pos", ingest._text(F.col("item"), "event_name").alias("event_name"))
+    return items.select("batch_id", "endpoint", "pos", F.col("fields.event_name").cast("string").alias("event_name"))
 
 
 @on_tables("ingest_validate")
