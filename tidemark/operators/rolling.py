@@ -1,10 +1,11 @@
 """Users active in the last n days, without a range join.
 
 An active day keeps its user "active" for n dates. Per user the days are put
-in order, overlapping spans merge, and each span leaves +1 on its first date
-and -1 on the date after its last. Summed per date, a running sum over dates
-is the number of active users. That is one row or two per user-day instead of
-n, and one sort per user of at most as many rows as there are dates.
+in order, overlapping spans merge, and each span adds 1 on its first date and
+takes 1 away on the date after its last. Both are counted by the active day
+itself, which leaves one row per date; only these few rows are shifted by n
+and summed up along the dates. The work per user-day is one sort inside its
+user (as many rows as there are dates at most) and one partial count.
 """
 
 from __future__ import annotations
@@ -19,40 +20,44 @@ from pyspark.sql import functions as F
 GROWTH_WINDOWS = {"wau_count": 7, "mau_count": 30}
 
 
-def _change(date: Column, values: Mapping[str, Column | int], names: list[str]) -> Column:
-    return F.struct(
-        date.alias("metric_date"),
-        *[F.lit(values.get(name, 0)).cast("bigint").alias(name) for name in names],
-    )
-
-
 def activity_changes(days: DataFrame, windows: Mapping[str, int]) -> DataFrame:
     """Per date: active users (``dau_count``) and the change of each window's count.
 
-    Every date of ``days`` is present, NULL included; rows without a user or
-    date contribute nothing but their date.
+    Every date of ``days`` is present, NULL included, with ``in_data`` above 0;
+    rows without a user or date contribute nothing but their date.
     """
     per_user = W.partitionBy("user_id").orderBy(F.col("event_date").asc_nulls_first())
     day, before, after = F.col("event_date"), F.col("day_before"), F.col("day_after")
     real = day.isNotNull() & F.col("user_id").isNotNull()
-    names = ["in_data", "dau_count", *windows]
-
-    starts: dict[str, Column | int] = {"in_data": 1, "dau_count": F.when(real, 1).otherwise(0)}
-    ends = []
+    counts = [F.count_if(real).alias("dau_count")]
     for name, length in windows.items():
-        fresh = before.isNull() | (before < F.date_sub(day, length))
-        starts[name] = F.when(real & fresh, 1).otherwise(0)
+        starts = before.isNull() | (before < F.date_sub(day, length))
         lapses = after.isNull() | (after > F.date_add(day, length))
-        ends.append(F.when(real & lapses, _change(F.date_add(day, length), {name: -1}, names)))
-
-    return (
+        counts.append(F.count_if(real & starts).alias(f"{name}_starts"))
+        counts.append(F.count_if(real & lapses).alias(f"{name}_lapses"))
+    per_day = (
         days.select(
             "event_date",
             "user_id",
             F.lag("event_date").over(per_user).alias("day_before"),
             F.lead("event_date").over(per_user).alias("day_after"),
         )
-        .select(F.inline(F.array_compact(F.array(_change(day, starts, names), *ends))))
+        .groupBy("event_date")
+        .agg(*counts)
+    )
+
+    names = ["in_data", "dau_count", *windows]
+
+    def change(date: Column, **values: Column) -> Column:
+        filled = [values.get(name, F.lit(0)).cast("bigint").alias(name) for name in names]
+        return F.struct(date.alias("metric_date"), *filled)
+
+    on_the_day = {name: F.col(f"{name}_starts") for name in windows}
+    changes = [change(day, in_data=F.lit(1), dau_count=F.col("dau_count"), **on_the_day)]
+    for name, length in windows.items():
+        changes.append(change(F.date_add(day, length), **{name: -F.col(f"{name}_lapses")}))
+    return (
+        per_day.select(F.inline(F.array(*changes)))
         .groupBy("metric_date")
         .agg(*[F.sum(name).alias(name) for name in names])
     )
