@@ -2,10 +2,13 @@ import json
 import os
 
 import pytest
-from fixtures import at, dicts, raw
+from fixtures import at, day, dicts, plan_text, raw
 
+from tidemark.operators.activity import activity_rollup
 from tidemark.operators.quality import QualityError
-from tidemark.plans.daily import daily_run
+from tidemark.operators.staging import stg_events
+from tidemark.plans import daily
+from tidemark.plans.daily import daily_run, refresh_activity
 
 
 def tables(spark, repeated_user=False):
@@ -49,3 +52,44 @@ def test_failed_checks_stop_the_run(spark, tmp_path):
     assert not os.path.exists(f"{out}/metrics") and os.path.exists(f"{out}/dq_report")
     result = daily_run(spark, tables(spark, repeated_user=True), out, ts_ms=1, check=False)
     assert os.path.exists(result.metrics_path)
+
+
+def test_refresh_replaces_only_recent_dates(spark, tmp_path):
+    source = str(tmp_path / "raw")
+    first = [{"id": str(i), "user_id": "a", "event_name": "x", "created_at": at(d)} for i, d in enumerate([1, 2, 3, 3])]
+    first.append({"id": "9", "user_id": "b", "event_name": "x", "created_at": None})
+    raw(spark, "analytics_events", first).write.parquet(source)
+    path = str(tmp_path / "activity")
+    whole = refresh_activity(stg_events(spark.read.parquet(source)), path)
+    assert sum(r["events_in_row"] for r in whole.collect()) == 5
+    later = [{"id": str(i), "user_id": "c", "event_name": "x", "created_at": at(d)} for i, d in [(20, 3), (21, 4)]]
+    raw(spark, "analytics_events", later).write.mode("append").parquet(source)
+    staged = stg_events(spark.read.parquet(source))
+    refreshed = refresh_activity(staged, path, since=day(3))
+    assert dicts(refreshed.selectExpr("*"), "event_date", "user_id") == dicts(activity_rollup(staged), "event_date", "user_id")
+
+
+def test_refresh_skips_old_row_groups(spark, tmp_path):
+    source = str(tmp_path / "raw")
+    raw(spark, "analytics_events", [{"id": "1", "event_name": "x", "created_at": at(1)}]).write.parquet(source)
+    plans = []
+    sent = []
+
+    def capture(df, *rest):
+        plans.append(plan_text(df))
+        sent.append(rest)
+        return df
+
+    original = daily.materialize_mart
+    daily.materialize_mart = capture
+    try:
+        refresh_activity(stg_events(spark.read.parquet(source)), "unused", since=day(3))
+    finally:
+        daily.materialize_mart = original
+    assert "Or(GreaterThanOrEqual(created_at" in plans[0] and sent[0][-1] is True
+
+
+def test_rollup_of_undated_events_only(spark, tmp_path):
+    ev = stg_events(raw(spark, "analytics_events", [{"id": "1", "user_id": "a", "event_name": "x"}]))
+    back = refresh_activity(ev, str(tmp_path / "a"))
+    assert back.first()["event_date"] is None and back.schema["event_date"].dataType.simpleString() == "date"

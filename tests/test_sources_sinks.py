@@ -15,6 +15,7 @@ from tidemark.sources import (
 )
 from tidemark.sources.ga4 import REPORT_COLUMNS
 from tidemark.sources.jdbc import Split
+from tidemark.sources.tables import MARTS
 
 
 def test_jdbc_addresses():
@@ -82,6 +83,8 @@ def test_snapshots_skip_what_fails(spark, tmp_path):
 
 
 def test_published_tables(spark, tmp_path):
+    for name in MARTS:
+        spark.catalog.dropTempView(name)
     with pytest.raises(LookupError, match="mart_event_funnel"):
         read_marts(spark, require_all=True)
     mart = mart_revenue(transactions(spark, [{"amount": 1.0}]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +38,11 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone!r}")
 
 
+@cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
@@ -48,9 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -10,11 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 log = logging.getLogger(__name__)
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    writer = df.write.mode("overwrite").option("compression", "snappy")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None, keep_others: bool = False) -> str:
+    """Writes Parquet; with ``partition_by`` one folder per value.
+
+    Rows are gathered by that value first, or every task would write a file per
+    value; a value with very many rows is split again by its size. With
+    ``keep_others`` only the values present in ``df`` are replaced.
+    """
+    if not partition_by:
+        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        return path
+    (
+        df.hint("rebalance", partition_by)
+        .write.mode("overwrite")
+        .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
+        .partitionBy(partition_by)
+        .parquet(path)
+    )
     return path
 
 
@@ -42,8 +55,11 @@ def register_raw(spark: SparkSession, paths: Mapping[str, str]) -> list[str]:
     return names
 
 
-def materialize_mart(df: DataFrame, name: str, path: str, partition_by: str | None = None) -> DataFrame:
+def materialize_mart(
+    df: DataFrame, name: str, path: str, partition_by: str | None = None, keep_others: bool = False
+) -> DataFrame:
     """Publish a table at ``path``, replace the view of its name, return it as read back."""
-    written = df.sparkSession.read.parquet(write_snapshot(df, path, partition_by))
+    write_snapshot(df, path, partition_by, keep_others)
+    written = df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
     written.createOrReplaceTempView(name)
     return written

@@ -17,87 +17,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(number: Column, *values: str | None) -> Column:
-    """The value at position ``number``; NULL where that is None or beyond the end."""
-    choice = None
-    for position, value in enumerate(values):
-        if value is not None:
-            choice = (F if choice is None else choice).when(number == position, value)
-    return choice
-
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = F.col("c_nationkey")
-    joined = F.date_add(F.lit("2023-12-20").cast("date"), (F.col("c_custkey") % 45).cast("int"))
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"),
-        _text("c_custkey").alias("user_id"),
-        F.concat(F.lit(" "), F.col("c_name"), F.lit("@Example.com")).alias("email"),
-        F.col("c_mktsegment").alias("role"),
-        F.when(F.col("c_acctbal") < 0, "Inactive").alias("status"),
-        _pick(nation % 5, "iOS", "Android", "Web", "Desktop").alias("platform"),
-        F.when(nation % 4 != 0, F.concat(F.lit("C"), nation.cast("string"))).alias("country_code"),
-        joined.cast("timestamp_ntz").alias("created_at"),
-        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
-    )
-
-
-def events_as_raw(events: DataFrame) -> DataFrame:
-    number = F.col("event_id")
-    user = _text("user_id")
-    kind = F.col("event_type")
-    return events.select(
-        number.alias("id"),
-        F.when(number % 41 != 0, user).alias("user_id"),
-        F.when(number % 50 != 0, F.concat(user, F.lit("-"), F.to_date("ts").cast("string"))).alias("session_id"),
-        F.when(number % 7 == 0, F.concat(F.lit("  "), F.upper(kind), F.lit(" "))).otherwise(kind).alias("event_name"),
-        F.when(kind.isin("view", "click"), "Navigation").alias("event_category"),
-        _pick(number % 6, "iOS 17.2", "Android 14", "Web/Chrome", "macOS", "ANDROID").alias("platform"),
-        F.when(number % 9 != 0, "2.1.0").alias("app_version"),
-        F.col("props").alias("properties_json"),
-        F.col("ts").alias("created_at"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        "CAST(c_custkey AS STRING) AS user_id",
+        "concat(' ', c_name, '@Example.com') AS email",
+        "c_mktsegment AS role",
+        "CASE WHEN c_acctbal < 0 THEN 'Inactive' END AS status",
+        "element_at(array('iOS', 'Android', 'Web', 'Desktop', NULL), c_nationkey % 5 + 1) AS platform",
+        "CASE WHEN c_nationkey % 4 <> 0 THEN concat('C', c_nationkey) END AS country_code",
+        "CAST(date_add(DATE'2023-12-20', CAST(c_custkey % 45 AS INT)) AS TIMESTAMP_NTZ) AS created_at",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS updated_at",
     )
 
 
 def raw_analytics_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_as_raw(table(spark, sf_dir, "events"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id",
+        "CASE WHEN event_id % 41 <> 0 THEN CAST(user_id AS STRING) END AS user_id",
+        "CASE WHEN event_id % 50 <> 0 THEN concat(user_id, '-', CAST(ts AS DATE)) END AS session_id",
+        "CASE WHEN event_id % 7 = 0 THEN concat('  ', upper(event_type), ' ') ELSE event_type END AS event_name",
+        "CASE WHEN event_type IN ('view', 'click') THEN 'Navigation' END AS event_category",
+        "CASE event_id % 6 WHEN 0 THEN 'iOS 17.2' WHEN 1 THEN 'Android 14' WHEN 2 THEN 'Web/Chrome' "
+        "WHEN 3 THEN 'macOS' WHEN 4 THEN 'ANDROID' END AS platform",
+        "CASE WHEN event_id % 9 <> 0 THEN '2.1.0' END AS app_version",
+        "props AS properties_json",
+        "ts AS created_at",
+    )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number, user = F.col("event_id"), F.col("user_id")
-    payer = F.when(number % 53 == 0, F.lit(None)).when(number % 97 == 0, user + 10_000_000).otherwise(user)
-    return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "purchase")
-        .select(
-            number.alias("id"),
-            payer.cast("string").alias("user_id"),
-            F.col("value").alias("amount"),
-            _pick(user % 3, "brl", "USD").alias("currency"),
-            _pick(F.floor("value") % 6, "Completed", "PAID", "pending", "failed", "approved").alias("status"),
-            _pick(number % 4, "PIX", "credit_card", "paypal").alias("payment_method"),
-            F.col("ts").alias("created_at"),
-            F.lit(None).cast("timestamp_ntz").alias("updated_at"),
-        )
+    purchases = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    return purchases.selectExpr(
+        "event_id AS id",
+        "CASE WHEN event_id % 53 <> 0 THEN CAST(IF(event_id % 97 = 0, user_id + 10000000, user_id) AS STRING) END "
+        "AS user_id",
+        "value AS amount",
+        "CASE user_id % 3 WHEN 0 THEN 'brl' WHEN 1 THEN 'USD' END AS currency",
+        "CASE floor(value) % 6 WHEN 0 THEN 'Completed' WHEN 1 THEN 'PAID' WHEN 2 THEN 'pending' "
+        "WHEN 3 THEN 'failed' WHEN 4 THEN 'approved' END AS status",
+        "CASE event_id % 4 WHEN 0 THEN 'PIX' WHEN 1 THEN 'credit_card' WHEN 2 THEN 'paypal' END AS payment_method",
+        "ts AS created_at",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS updated_at",
     )
 
 
 def raw_order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as payments: a history of several years."""
-    status = F.col("o_orderstatus")
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        _text("o_custkey").alias("user_id"),
-        F.col("o_totalprice").alias("amount"),
-        F.lit(None).cast("string").alias("currency"),
-        F.when(status == "F", "completed").when(status == "O", "approved").when(status == "P", "pending").alias("status"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.col("o_orderdate").alias("created_at"),
-        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "CAST(o_custkey AS STRING) AS user_id",
+        "o_totalprice AS amount",
+        "CAST(NULL AS STRING) AS currency",
+        "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'approved' WHEN 'P' THEN 'pending' END AS status",
+        "o_orderpriority AS payment_method",
+        "o_orderdate AS created_at",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS updated_at",
     )
 
 
@@ -112,7 +87,7 @@ def ga4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format("ts", "yyyyMMdd").alias("date"),
             name.alias("eventName"),
             screen.alias("unifiedScreenName"),
-            _pick(F.col("event_id") % 3, "iOS", "Android", "Desktop Web").alias("platform"),
+    F.expr("element_at(array('iOS', 'Android', 'Desktop Web'), CAST(event_id % 3 + 1 AS INT))").alias("platform"),
         )
         .agg(
             F.count(F.lit(1)).alias("eventCount"),
@@ -129,7 +104,7 @@ def _event_body() -> Column:
     time = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     event = F.struct(
         name.alias("event_name"),
-        F.when(number % 11 == 0, F.lit(None)).when(number % 7 == 0, "").otherwise(_text("user_id")).alias("user_id"),
+        F.when(number % 11 == 0, F.lit(None)).when(number % 7 == 0, "").otherwise(F.col("user_id").cast("string")).alias("user_id"),
         F.when(number % 101 == 0, F.repeat(F.lit("x"), 60)).otherwise("Android").alias("platform"),
         F.parse_json(F.when(number % 113 == 0, "[1]").otherwise(F.col("props"))).alias("properties"),
         F.when(number % 37 == 0, F.lit(None)).when(number % 31 == 0, "yesterday").otherwise(time).alias("occurred_at"),
@@ -208,7 +183,7 @@ def sdk_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(kind == "click", F.concat(F.lit("btn_"), key.cast("string"))).alias("button_id"),
             F.when(kind.isin("signup", "purchase"), F.col("value")).alias("value"),
             F.when(kind == "signup", "BRL").when((kind == "purchase") & (key % 3 == 0), "EUR").alias("currency"),
-            F.when(kind == "purchase", F.concat(F.lit("ord-"), _text("event_id"))).alias("order_id"),
+            F.when(kind == "purchase", F.concat(F.lit("ord-"), F.col("event_id").cast("string"))).alias("order_id"),
             F.when((kind == "purchase") & (key % 2 == 0), "pix").alias("payment_method"),
             F.when(kind == "purchase", F.array_compact(items)).alias("items"),
         )
@@ -221,7 +196,7 @@ def sdk_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(kind)
     )
     return table(spark, sf_dir, "events").select(
-        _text("event_id").alias("event_id"),
+        F.col("event_id").cast("string").alias("event_id"),
         name.alias("event_name"),
         F.when(kind == "signup", "conversion").alias("event_category"),
         payload.alias("properties_json"),
