@@ -446,14 +446,14 @@ REVENUE_LABELS = (
     "'currency=\"' || coalesce(nullif(currency, ''), 'USD') || '\",payment_method=\"' || "
     f"coalesce(nullif(payment_method, ''), 'all') || '\",{SRC}'"
 )
-REVENUE_ORDER = "0 AS step, currency AS first, payment_method AS second"
+REVENUE_ORDER = "CAST(0 AS BIGINT) AS step, currency AS first, payment_method AS second"
 FUNNEL_LABELS = (
     "'event_name=\"' || event_name || '\"," + SRC + ",step_name=\"' || step_name || '\",step_order=\"' || "
     "funnel_step_order || '\"'"
 )
 PLATFORM_LABELS = f"'platform=\"' || coalesce(nullif(platform, ''), 'unknown') || '\",{SRC}'"
-PLATFORM_ORDER = "0 AS step, coalesce(nullif(platform, ''), 'unknown') AS first, '' AS second"
-NO_ORDER = "0 AS step, '' AS first, '' AS second"
+PLATFORM_ORDER = "CAST(0 AS BIGINT) AS step, coalesce(nullif(platform, ''), 'unknown') AS first, '' AS second"
+NO_ORDER = "CAST(0 AS BIGINT) AS step, '' AS first, '' AS second"
 LATEST = "(SELECT * FROM {0} WHERE metric_date = (SELECT max(metric_date) FROM {0}))"
 DATED = "(SELECT * FROM {0} WHERE metric_date IS NOT NULL)"
 
@@ -674,7 +674,7 @@ ORACLE["ingest_batch_policy_atomic"] = stored("i_checked", BLANK_USER, CLEAN)
 ORACLE["ingest_batch_policy_lenient"] = stored("i_checked", BLANK_USER, NAMED)
 ORACLE["ingest_stream"] = stored("i_checked", BLANK_USER, f"single AND {NAMED}")
 ORACLE["ingest_quarantine_lenient"] = f"""
-{BROKEN} UNION ALL SELECT batch_id, endpoint, pos, 'event_name_required' FROM i_checked WHERE NOT ({NAMED})"""
+{BROKEN} UNION ALL SELECT batch_id, endpoint, CAST(pos AS INTEGER), 'event_name_required' FROM i_checked WHERE NOT ({NAMED})"""
 ORACLE["ingest_quarantine_atomic"] = f"""
 {BROKEN} UNION ALL
 SELECT batch_id, endpoint, NULL, string_agg(pos || ':' || replace(errors, ',', ',' || pos || ':'), ',' ORDER BY pos)
