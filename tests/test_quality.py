@@ -1,5 +1,5 @@
 import pytest
-from fixtures import at, dicts, events, plan_text, transactions, users
+from fixtures import at, dicts, events, plan_text, raw, transactions, users
 
 from tidemark.operators.quality import (
     DECLARED,
@@ -11,6 +11,7 @@ from tidemark.operators.quality import (
     dq_unique,
     raise_on_failures,
 )
+from tidemark.operators.staging import same_key_derivations, stg_events
 from tidemark.plans import models
 
 
@@ -18,7 +19,7 @@ def test_counts(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (None, None), (None, "b"), (2, "c")], "k int, v string")
     assert dicts(dq_not_null(df, ["k", "v"]), "column") == [{"column": "k", "failures": 2}, {"column": "v", "failures": 2}]
     assert dicts(dq_unique(df, "k")) == [{"value": 1, "occurrences": 2}]
-    report = dicts(check_table(df, Checks(["k", "v"], ["k", "v"])), "test", "column")
+    report = dicts(check_table(df, Checks(["k", "v"], ["k", "v"])).drop("model"), "test", "column")
     assert report == [
         {"column": "k", "test": "not_null", "failures": 2},
         {"column": "v", "test": "not_null", "failures": 2},
@@ -66,3 +67,32 @@ def test_ties_orphans_and_copies_fail(spark):
 def test_unknown_table(spark):
     with pytest.raises(ValueError):
         dq_report({"nothing": spark.range(1)})
+
+
+def test_raw_and_staged_share_a_grouping(spark):
+    rows = [
+        {"id": "1", "event_name": "a", "created_at": at(1)},
+        {"id": "1", "event_name": None},
+        {"id": "2", "event_name": "b"},
+        {"id": "2", "event_name": "b", "created_at": at(1)},
+        {"id": None, "event_name": "c", "created_at": at(1)},
+    ]
+    df = raw(spark, "analytics_events", rows)
+    tables = {"raw_analytics_events": df, "stg_events": stg_events(df)}
+    order = ("model", "column", "test")
+    apart = dicts(dq_report(tables), *order)
+    assert apart == dicts(dq_report(tables, derived=same_key_derivations()), *order)
+    failures = {(r["model"], r["column"], r["test"]): r["failures"] for r in apart}
+    assert failures[("raw_analytics_events", "id", "unique")] == 2
+    assert failures[("stg_events", "event_id", "unique")] == 1
+    assert failures[("raw_analytics_events", "created_at", "not_null")] == 2
+    assert failures[("stg_events", "event_date", "not_null")] == 1
+
+
+def test_shared_grouping_reads_only_what_it_checks(spark, tmp_path):
+    path = str(tmp_path / "ev")
+    raw(spark, "analytics_events", [{"id": "1", "event_name": "a"}]).write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = plan_text(dq_report({"raw_analytics_events": df, "stg_events": stg_events(df)}, derived=same_key_derivations()))
+    assert plan.count("ReadSchema") == 1
+    assert "ReadSchema: struct<id:string,event_name:string,created_at:timestamp_ntz>" in plan

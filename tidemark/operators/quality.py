@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.staging import Derivation
+
 
 @dataclass(frozen=True)
 class Checks:
@@ -52,51 +54,101 @@ def dq_unique(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def check_table(df: DataFrame, checks: Checks) -> DataFrame:
-    """(column, test, failures) of one table.
+def _results(model: str, prefix: str, checks: Checks, repeated: Mapping[str, str]) -> list[Column]:
+    """One struct (model, column, test, failures) per check, from one row of totals."""
+
+    def result(column: str, test: str, total: str) -> Column:
+        return F.struct(
+            F.lit(model).alias("model"),
+            F.lit(column).alias("column"),
+            F.lit(test).alias("test"),
+            F.coalesce(F.col(total), F.lit(0)).alias("failures"),
+        )
+
+    return [result(name, "not_null", f"{prefix}{name}") for name in checks.not_null] + [
+        result(column, "unique", total) for column, total in repeated.items()
+    ]
+
+
+def check_table(df: DataFrame, checks: Checks, model: str = "") -> DataFrame:
+    """(model, column, test, failures) of one table.
 
     With a unique column the rows are grouped by it, and the same grouping
     counts the NULLs of the other columns: one pass and one shuffle per table.
     """
-    not_null = list(checks.not_null)
-    null_counts = [F.count_if(F.col(name).isNull()).alias(f"null_{i}") for i, name in enumerate(not_null)]
-    totals = [F.sum(f"null_{i}").alias(f"null_{i}") for i in range(len(not_null))]
-    if checks.unique:
-        key = checks.unique[0]
-        repeated = F.col("key_value").isNotNull() & (F.col("key_rows") > 1)
-        counts = (
-            df.groupBy(F.col(key).alias("key_value"))
-            .agg(F.count(F.lit(1)).alias("key_rows"), *null_counts)
-            .agg(*totals, F.count_if(repeated).alias("repeated"))
+    nulls = [f"null_{name}" for name in checks.not_null]
+    flags = [F.col(name).isNull().alias(f"null_{name}") for name in checks.not_null]
+    counts = [F.count_if(F.col(name)).alias(name) for name in nulls]
+    keys = list(checks.unique)
+    if keys:
+        per_key = df.select(F.col(keys[0]).alias("key_value"), *flags).groupBy("key_value")
+        totals = per_key.agg(F.count(F.lit(1)).alias("key_rows"), *counts).agg(
+            *[F.sum(name).alias(name) for name in nulls], _repeated("key_rows").alias("repeated")
         )
     else:
-        counts = df.agg(*null_counts).agg(*totals)
-    results = [
-        F.struct(F.lit(name).alias("column"), F.lit("not_null").alias("test"), F.col(f"null_{i}").alias("failures"))
-        for i, name in enumerate(not_null)
-    ]
-    if checks.unique:
-        results.append(
-            F.struct(F.lit(key).alias("column"), F.lit("unique").alias("test"), F.col("repeated").alias("failures"))
+        totals = df.select(*flags).agg(*counts)
+    results = _results(model, "null_", checks, {key: "repeated" for key in keys[:1]})
+    report = totals.select(F.inline(F.array(*results)))
+    for extra in keys[1:]:
+        count = dq_unique(df, extra).agg(F.count(F.lit(1)).alias("repeated"))
+        report = report.union(count.select(F.inline(F.array(*_results(model, "", Checks(), {extra: "repeated"})))))
+    return report
+
+
+def _repeated(rows: str) -> Column:
+    return F.count_if(F.col("key_value").isNotNull() & (F.col(rows) > 1))
+
+
+def check_pair(
+    raw: DataFrame, derivation: Derivation, raw_checks: Checks, staged_checks: Checks, staged_model: str
+) -> DataFrame:
+    """The checks of a raw table and of the staged table made from it, in one grouping.
+
+    The staged unique id must be the raw one as text. Grouping by id is the one
+    large shuffle of the checks, so the two tables share it.
+    """
+    kept = derivation.kept
+    flags = {f"raw_{name}": F.col(name).isNull() for name in raw_checks.not_null}
+    flags |= {f"staged_{name}": kept & derivation.columns[name].isNull() for name in staged_checks.not_null}
+    totals = (
+        raw.select(
+            F.col(raw_checks.unique[0]).alias("key_value"),
+            kept.alias("kept"),
+            *[flag.alias(name) for name, flag in flags.items()],
         )
-    report = counts.select(F.inline(F.array(*results))).withColumn("failures", F.coalesce("failures", F.lit(0)))
-    for extra in checks.unique[1:]:
-        count = dq_unique(df, extra).agg(F.count(F.lit(1)).alias("failures"))
-        report = report.unionByName(
-            count.select(F.lit(extra).alias("column"), F.lit("unique").alias("test"), "failures")
+        .groupBy("key_value")
+        .agg(
+            F.count(F.lit(1)).alias("raw_rows"),
+            F.count_if(F.col("kept")).alias("staged_rows"),
+            *[F.count_if(F.col(name)).alias(name) for name in flags],
         )
-    return report
+        .agg(
+            *[F.sum(name).alias(name) for name in flags],
+            _repeated("raw_rows").alias("raw_repeated"),
+            _repeated("staged_rows").alias("staged_repeated"),
+        )
+    )
+    results = _results(derivation.raw, "raw_", raw_checks, {raw_checks.unique[0]: "raw_repeated"})
+    results += _results(staged_model, "staged_", staged_checks, {staged_checks.unique[0]: "staged_repeated"})
+    return totals.select(F.inline(F.array(*results)))
+
 
+def dq_report(
+    tables: Mapping[str, DataFrame],
+    declared: Mapping[str, Checks] = DECLARED,
+    derived: Mapping[str, Derivation] | None = None,
+) -> DataFrame:
+    """(model, column, test, failures) for every declared check of the given tables.
 
-def dq_report(tables: Mapping[str, DataFrame], declared: Mapping[str, Checks] = DECLARED) -> DataFrame:
-    """(model, column, test, failures) for every declared check of the given tables."""
+    A staged table named in ``derived`` is checked together with its raw table.
+    """
     unknown = sorted(set(tables) - set(declared))
     if unknown:
         raise ValueError(f"no checks declared for {', '.join(unknown)}")
-    parts = [
-        check_table(df, declared[name]).select(F.lit(name).alias("model"), "column", "test", "failures")
-        for name, df in tables.items()
-    ]
+    pairs = {name: d for name, d in (derived or {}).items() if name in tables and d.raw in tables}
+    together = set(pairs) | {d.raw for d in pairs.values()}
+    parts = [check_pair(tables[d.raw], d, declared[d.raw], declared[name], name) for name, d in pairs.items()]
+    parts += [check_table(df, declared[name], name) for name, df in tables.items() if name not in together]
     return reduce(DataFrame.union, parts)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import fold_platform
@@ -24,7 +27,7 @@ def _ntz(name: str):
 
 
 def _update_time():
-    return F.coalesce(_ntz("updated_at"), _ntz("created_at")).alias("updated_at")
+    return F.coalesce(_ntz("updated_at"), _ntz("created_at"))
 
 
 def stg_users(raw: DataFrame) -> DataFrame:
@@ -40,25 +43,65 @@ def stg_users(raw: DataFrame) -> DataFrame:
         F.lower(_text_or("platform", USER_DEFAULTS)).alias("platform"),
         _text_or("country_code", USER_DEFAULTS).alias("country_code"),
         _ntz("created_at").alias("created_at"),
-        _update_time(),
+        _update_time().alias("updated_at"),
         F.to_date(_ntz("created_at")).alias("registration_date"),
     )
 
 
+@dataclass(frozen=True)
+class Derivation:
+    """How a staged table comes from its raw one: which rows are kept, and the new columns."""
+
+    raw: str
+    kept: Column
+    columns: Mapping[str, Column]
+
+    def apply(self, raw: DataFrame) -> DataFrame:
+        return raw.where(self.kept).select(*[column.alias(name) for name, column in self.columns.items()])
+
+
+def event_derivation(event_time: str = "created_at") -> Derivation:
+    return Derivation(
+        "raw_analytics_events",
+        F.col("id").isNotNull() & F.col("event_name").isNotNull(),
+        {
+            "event_id": F.col("id").cast("string"),
+            "user_id": F.col("user_id").cast("string"),
+            "session_id": _text_or("session_id", EVENT_DEFAULTS),
+            "event_name": F.lower(F.trim("event_name")),
+            "event_category": F.lower(_text_or("event_category", EVENT_DEFAULTS)),
+            "platform": fold_platform(F.col("platform")),
+            "app_version": _text_or("app_version", EVENT_DEFAULTS),
+            "properties_json": F.col("properties_json"),
+            "created_at": _ntz(event_time),
+            "event_date": F.to_date(_ntz(event_time)),
+        },
+    )
+
+
+def transaction_derivation() -> Derivation:
+    succeeded = F.lower("status").isin(SUCCESS_WORDS)
+    return Derivation(
+        "raw_transactions",
+        F.col("id").isNotNull(),
+        {
+            "transaction_id": F.col("id").cast("string"),
+            "user_id": F.col("user_id").cast("string"),
+            "amount": F.coalesce(F.col("amount"), F.lit(0.0)).cast(MONEY),
+            "currency": F.upper(_text_or("currency", PAYMENT_DEFAULTS)),
+            "status": F.lower(_text_or("status", PAYMENT_DEFAULTS)),
+            "payment_method": F.lower(_text_or("payment_method", PAYMENT_DEFAULTS)),
+            "created_at": _ntz("created_at"),
+            "updated_at": _update_time(),
+            "transaction_date": F.to_date(_ntz("created_at")),
+            "is_successful": F.when(succeeded, 1).otherwise(0),
+        },
+    )
+
+
 def stg_events(raw: DataFrame, event_time: str = "created_at") -> DataFrame:
     """One row per raw event with an id and a name; a blank name is kept as ''."""
-    return raw.where(F.col("id").isNotNull() & F.col("event_name").isNotNull()).select(
-        F.col("id").cast("string").alias("event_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        _text_or("session_id", EVENT_DEFAULTS).alias("session_id"),
-        F.lower(F.trim("event_name")).alias("event_name"),
-        F.lower(_text_or("event_category", EVENT_DEFAULTS)).alias("event_category"),
-        fold_platform(F.col("platform")).alias("platform"),
-        _text_or("app_version", EVENT_DEFAULTS).alias("app_version"),
-        F.col("properties_json"),
-        _ntz(event_time).alias("created_at"),
-        F.to_date(_ntz(event_time)).alias("event_date"),
-    )
+    return event_derivation(event_time).apply(raw)
 
 
 def stg_transactions(raw: DataFrame) -> DataFrame:
@@ -67,16 +110,9 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
     The success flag looks at the raw status: a missing one is shown as
     ``completed`` and yet does not count as successful.
     """
-    succeeded = F.lower("status").isin(SUCCESS_WORDS)
-    return raw.where(F.col("id").isNotNull()).select(
-        F.col("id").cast("string").alias("transaction_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.coalesce(F.col("amount"), F.lit(0.0)).cast(MONEY).alias("amount"),
-        F.upper(_text_or("currency", PAYMENT_DEFAULTS)).alias("currency"),
-        F.lower(_text_or("status", PAYMENT_DEFAULTS)).alias("status"),
-        F.lower(_text_or("payment_method", PAYMENT_DEFAULTS)).alias("payment_method"),
-        _ntz("created_at").alias("created_at"),
-        _update_time(),
-        F.to_date(_ntz("created_at")).alias("transaction_date"),
-        F.when(succeeded, 1).otherwise(0).alias("is_successful"),
-    )
+    return transaction_derivation().apply(raw)
+
+
+def same_key_derivations() -> dict[str, Derivation]:
+    """Staged tables whose unique id is the raw one as text."""
+    return {"stg_events": event_derivation(), "stg_transactions": transaction_derivation()}

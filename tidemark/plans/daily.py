@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.activity import activity_rollup
 from tidemark.operators.quality import dq_report, raise_on_failures
-from tidemark.operators.staging import stg_events, stg_transactions, stg_users
+from tidemark.operators.staging import same_key_derivations, stg_events, stg_transactions, stg_users
 from tidemark.plans.kpis import dashboard_json
 from tidemark.plans.metrics import metric_samples, metrics_exposition
 from tidemark.plans.models import (
@@ -71,8 +71,8 @@ def daily_run(
 
     ``raw`` holds ``users``, ``analytics_events`` and ``transactions``. All models
     are built from one rollup of the events, so the wide event table is read once
-    for them (from ``since`` on, if given) and, ids and times only, once for each
-    of its two checks. Written tables hand one stage to the next: a lost executor
+    for them (from ``since`` on, if given) and once more, ids, names and times
+    only, for the checks on it. Written tables hand one stage to the next: a lost executor
     costs at most the stage it worked on. A failed check stops the run before
     samples and report data are written.
     """
@@ -87,7 +87,7 @@ def daily_run(
     published = {name: materialize_mart(df, name, f"{out}/{name}") for name, df in models.items()}
 
     sources = {f"raw_{name}": df for name, df in raw.items()}
-    report = materialize_mart(dq_report(sources | staged | published), "dq_report", f"{out}/dq_report")
+    report = materialize_mart(dq_report(sources | staged | published, derived=same_key_derivations()), "dq_report", f"{out}/dq_report")
     if check:
         raise_on_failures(report)
 

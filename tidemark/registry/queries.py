@@ -244,7 +244,8 @@ def _dq_report(t: Tables) -> DataFrame:
             "mart_event_funnel": t.funnel,
             "mart_revenue": t.revenue,
             "mart_platform_split": t.platform,
-        }
+        },
+        derived=staging.same_key_derivations(),
     )
 
 
