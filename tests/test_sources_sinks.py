@@ -1,6 +1,7 @@
 import pytest
 from fixtures import at, dicts, events, raw, transactions, users
 
+from tidemark.plans.extract import extract
 from tidemark.plans.models import mart_revenue
 from tidemark.schemas import empty_raw
 from tidemark.session import build_session, require_utc, scratch_path
@@ -109,3 +110,19 @@ def test_session_rules(spark):
 def test_empty_raw_tables_work(spark):
     assert empty_raw(spark, "transactions").count() == 0
     assert users(spark, []).count() == 0 and events(spark, [{"created_at": at(1)}]).count() == 1
+
+
+def test_extraction(spark, tmp_path):
+    tables = {"users": raw(spark, "users", [{"id": 1}]), "transactions": raw(spark, "transactions", [{"id": 5}])}
+
+    def read(_, __, table):
+        return tables[table]
+
+    def available(*_):
+        return ["audit", "transactions", "users"]
+
+    written = extract(spark, JdbcSource(), str(tmp_path / "a"), available=available, read=read)
+    assert list(written) == ["users", "transactions"] and spark.table("raw_transactions").first()["id"] == 5
+    assert list(extract(spark, JdbcSource(), str(tmp_path / "b"), "gone, users", read=read)) == ["users"]
+    with pytest.raises(RuntimeError, match="no table"):
+        extract(spark, JdbcSource(), str(tmp_path / "c"), "gone", read=read)

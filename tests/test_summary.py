@@ -1,6 +1,7 @@
 import pytest
-from fixtures import at, dicts, events, plan_text
+from fixtures import at, dicts, events, plan_text, raw
 
+from tidemark.operators.staging import stg_events
 from tidemark.plans.summary import (
     event_metrics_summary,
     events_filtered,
@@ -83,3 +84,11 @@ def test_days_argument():
     for bad in ("0", "366", "x"):
         with pytest.raises(ValueError):
             parse_days(bad, "range")
+
+
+def test_cutoff_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "ev")
+    raw(spark, "analytics_events", [{"id": "1", "event_name": "a", "created_at": at(1)}]).write.parquet(path)
+    report = summary_report(stg_events(spark.read.parquet(path)), at(5), 3, time="created_at")
+    plan = plan_text(report)
+    assert "GreaterThanOrEqual(created_at" in plan and "properties_json" not in plan.split("ReadSchema")[1]

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is split into parts of about this size.
 PART_ROWS = 1_000_000
+# Rows without a key match nothing, so any part does; this many keep them apart.
+KEYLESS_PARTS = 4096
 
 
 def left_join_spread(left: DataFrame, right: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
@@ -15,6 +17,7 @@ def left_join_spread(left: DataFrame, right: DataFrame, key: str, part_rows: int
     Keys with more than ``part_rows`` rows in ``left`` are split: their rows get
     a part number, and the matching row of ``right`` is repeated once per part.
     The table of such keys is broadcast; it has at most |left| / part_rows rows.
+    Rows without a key are spread as well.
     """
     rows = left.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
     hot = F.broadcast(
@@ -23,11 +26,12 @@ def left_join_spread(left: DataFrame, right: DataFrame, key: str, part_rows: int
         )
     )
     parts = F.coalesce("parts", F.lit(1))
+    left_parts = F.when(F.col(key).isNull(), KEYLESS_PARTS).otherwise(parts)
     # Stable for a table scan: a retried task numbers its rows the same way.
     numbered = left.withColumn("row_no", F.monotonically_increasing_id())
     split_left = (
         numbered.join(hot, key, "left")
-        .withColumn("part", F.pmod("row_no", parts).cast("int"))
+        .withColumn("part", F.pmod("row_no", left_parts).cast("int"))
         .drop("row_no", "parts")
     )
     split_right = (
