@@ -4,6 +4,7 @@ from fixtures import dicts
 from test_ingest import batches, posted
 
 from tidemark.operators.ingest import ENVELOPE_SCHEMA, ingest_batch_policy
+from tidemark.sinks import store_ingested
 from tidemark.streaming import ingest_stream, read_ingested
 
 
@@ -28,6 +29,14 @@ def test_stream_equals_batch(spark, tmp_path):
         assert dicts(rejected, "batch_id") == dicts(want_rejected, "batch_id")
 
 
+def test_batch_store(spark, tmp_path):
+    env = batches(spark, [{"event_name": "a"}, {"event_name": ""}])
+    for _ in range(2):
+        store_ingested(env, str(tmp_path / "out"), str(tmp_path / "bad"), "lenient")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert [r["pos"] for r in dicts(spark.read.parquet(str(tmp_path / "bad")))] == [1]
+
+
 def test_restart_reads_only_new_files(spark, tmp_path):
     source, root = str(tmp_path / "in"), str(tmp_path / "run")
     posted(spark, {"event_name": "a"}).write.parquet(source)

@@ -628,7 +628,9 @@ UNION ALL SELECT 'platform_totals', platform, CAST(revenue AS DOUBLE) FROM k_pla
 
 # Posted events
 
-VIEWS["i_posted"] = """
+def posted(single: str) -> str:
+    """Events as posted; where ``single`` holds, alone."""
+    return f"""
 SELECT *, CASE WHEN single THEN 'e' || event_id ELSE 'b' || batch_no END AS batch_id,
   CASE WHEN single THEN 'event' ELSE 'batch' END AS endpoint,
   row_number() OVER (PARTITION BY single, batch_no ORDER BY event_id) - 1 AS pos,
@@ -642,14 +644,22 @@ SELECT *, CASE WHEN single THEN 'e' || event_id ELSE 'b' || batch_no END AS batc
   event_id % 37 <> 0 AND event_id % 31 = 0 AS bad_time,
   CASE WHEN batch_no % 2 = 0 THEN 'auth-' || batch_no END AS auth_user,
   CASE WHEN batch_no % 3 = 0 THEN '10.0.0.' || (batch_no % 250) ELSE '192.168.0.9' END AS ip
-FROM (SELECT *, event_id % 5 = 0 AS single, CASE WHEN event_id % 5 = 0 THEN event_id ELSE event_id // 25 END AS batch_no
-  FROM events)"""
-VIEWS["i_checked"] = """
+FROM (SELECT *, {single} AS single, CASE WHEN {single} THEN event_id ELSE event_id // 25 END AS batch_no FROM events)"""
+
+
+def checked(source: str) -> str:
+    return f"""
 SELECT *, concat_ws(',', CASE WHEN coalesce(event_name, '') = '' THEN 'event_name_required' END,
   CASE WHEN length(platform) > 50 THEN 'platform_length' END,
   CASE WHEN properties = '[1]' THEN 'properties_not_object' END,
   CASE WHEN bad_time THEN 'occurred_at_not_date' END) AS errors
-FROM i_posted WHERE NOT broken"""
+FROM {source} WHERE NOT broken"""
+
+
+VIEWS["i_posted"] = posted("event_id % 5 = 0")
+VIEWS["i_checked"] = checked("i_posted")
+VIEWS["i_streamed"] = posted("TRUE")
+VIEWS["i_stream_checked"] = checked("i_streamed")
 
 
 def stored(source: str, user: str, extra: str = "TRUE") -> str:
@@ -672,7 +682,7 @@ ORACLE["event_id"] = "SELECT batch_id, CAST(pos AS INTEGER) AS pos, sha256(batch
 ORACLE["ingest_enrich"] = stored("i_checked", "coalesce(posted_user, auth_user)")
 ORACLE["ingest_batch_policy_atomic"] = stored("i_checked", BLANK_USER, CLEAN)
 ORACLE["ingest_batch_policy_lenient"] = stored("i_checked", BLANK_USER, NAMED)
-ORACLE["ingest_stream"] = stored("i_checked", BLANK_USER, f"single AND {NAMED}")
+ORACLE["ingest_stream"] = stored("i_stream_checked", BLANK_USER, NAMED)
 ORACLE["ingest_quarantine_lenient"] = f"""
 {BROKEN} UNION ALL SELECT batch_id, endpoint, CAST(pos AS INTEGER), 'event_name_required' FROM i_checked WHERE NOT ({NAMED})"""
 ORACLE["ingest_quarantine_atomic"] = f"""

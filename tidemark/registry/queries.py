@@ -468,7 +468,7 @@ _simple(
 
 @on_tables("ingest_stream")
 def _ingest_stream(t: Tables) -> DataFrame:
-    """Posted single events as a file stream, handled to the end; what was stored."""
+    """All events posted one by one as a file stream, handled to the end; what was stored."""
     schema = testdata.table(t.spark, t.sf_dir, "events").schema
     arriving = (
         t.spark.readStream.schema(schema)

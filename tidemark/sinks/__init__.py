@@ -1,9 +1,11 @@
+from tidemark.sinks.ingested import store_ingested
 from tidemark.sinks.tables import materialize_mart, register_raw, write_snapshot, write_snapshots
 from tidemark.sinks.text import write_dashboard_json, write_text
 
 __all__ = [
     "materialize_mart",
     "register_raw",
+    "store_ingested",
     "write_dashboard_json",
     "write_snapshot",
     "write_snapshots",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.ingest import MAX_BATCH, accepted_events, ingest_outcomes, rejected_events
+from tidemark.operators.ingest import MAX_BATCH
+from tidemark.sinks import store_ingested
 
 
 def ingest_stream(
@@ -27,12 +27,9 @@ def ingest_stream(
     """
 
     def store(batch: DataFrame, epoch: int) -> None:
-        outcomes = ingest_outcomes(batch, policy, max_items).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            accepted_events(outcomes, user_fallback).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-            rejected_events(outcomes).write.mode("overwrite").parquet(f"{quarantine}/epoch={epoch}")
-        finally:
-            outcomes.unpersist()
+        store_ingested(
+            batch, f"{out}/epoch={epoch}", f"{quarantine}/epoch={epoch}", policy, max_items, user_fallback
+        )
 
     writer = envelopes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
