@@ -15,7 +15,7 @@ from tidemark.sources import (
     union_event_sources,
 )
 from tidemark.sources.ga4 import REPORT_COLUMNS
-from tidemark.sources.jdbc import Split
+from tidemark.sources.jdbc import Split, split_range
 from tidemark.sources.tables import MARTS
 
 
@@ -29,6 +29,8 @@ def test_jdbc_addresses():
     assert Split("id", 1, 100, 4).options() == {
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "4",
     }
+    assert split_range("id", 1, 10, 4, 256) == Split("id", 1, 11, 3)
+    assert split_range("id", 5, 5, 4, 256).parts == 1 and split_range("id", 0, 10**9, 4, 256).parts == 256
     with pytest.raises(ValueError, match="oracle"):
         JdbcSource(driver="oracle").url
 

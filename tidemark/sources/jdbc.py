@@ -95,11 +95,23 @@ def read_jdbc_table(
 
 
 def id_split(
-    spark: SparkSession, source: JdbcSource, table: str, column: str = "id", rows_per_task: int = 500_000
+    spark: SparkSession,
+    source: JdbcSource,
+    table: str,
+    column: str = "id",
+    rows_per_task: int = 500_000,
+    most_tasks: int = 256,
 ) -> Split | None:
-    """Bounds of an id column, asked of the database; None for an empty table."""
+    """Bounds of an id column, asked of the database; None for an empty table.
+
+    ``most_tasks`` limits the connections, not the rows: larger tables get larger parts.
+    """
     query = f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) bounds"
     low, high = spark.read.format("jdbc").options(**source.options(), dbtable=query).load().first()
     if low is None:
         return None
-    return Split(column, int(low), int(high) + 1, max(1, (int(high) - int(low)) // rows_per_task + 1))
+    return split_range(column, int(low), int(high), rows_per_task, most_tasks)
+
+
+def split_range(column: str, low: int, high: int, rows_per_task: int, most_tasks: int) -> Split:
+    return Split(column, low, high + 1, min(most_tasks, (high - low) // rows_per_task + 1))
