@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from tidemark.llm.archive import OP4_SQL, op4_content_archive
 from tidemark.llm.decontaminate import op1_benchmark_decontamination
+from tidemark.llm.fingerprints import op8_fingerprints
 from tidemark.llm.html import op5_html_main_text
 from tidemark.llm.secrets import op7_secret_scan
+from tidemark.llm.tokens import op3_token_files
+from tidemark.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_token_files": op3_token_files,
+    "op4_content_archive": op4_content_archive,
     "op5_html_main_text": op5_html_main_text,
     "op7_secret_scan": op7_secret_scan,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_toxicity": op9_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_content_archive": OP4_SQL}
