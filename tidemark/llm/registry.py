@@ -7,6 +7,7 @@ from tidemark.llm.decontaminate import op1_benchmark_decontamination
 from tidemark.llm.fingerprints import op8_fingerprints
 from tidemark.llm.html import op5_html_main_text
 from tidemark.llm.secrets import op7_secret_scan
+from tidemark.llm.sentencepieces import op6_sentencepieces
 from tidemark.llm.tokens import op3_token_files
 from tidemark.llm.toxicity import op9_toxicity
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_content_archive": op4_content_archive,
     "op5_html_main_text": op5_html_main_text,
+    "op6_sentencepieces": op6_sentencepieces,
     "op7_secret_scan": op7_secret_scan,
     "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,

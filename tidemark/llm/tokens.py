@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import blocks, byte_class, lower_ascii, span_hashes, text_buffer
+from tidemark.llm.arrays import blocks, byte_class, lower_ascii, text_buffer
 from tidemark.llm.tables import table
+from tidemark.llm.units import UnitTable
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -66,62 +67,30 @@ def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-class UnitEncoder:
-    """Ids of units by the tokenizer library; a bounded table keeps those of units seen before."""
+class TokenEncoder:
+    """Ids of whole texts by the tokenizer library, which sees each distinct unit once while the table lasts."""
 
     def __init__(self, path: str, limit: int = CACHED_UNITS):
-        self.path, self.limit = path, limit
-        self.clear()
+        self.path = path
+        self.table = UnitTable(self._encode, np.uint32, limit)
 
-    def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint16 if self._small() else np.uint32)
-
-    def _small(self) -> bool:
-        return _tokenizer(self.path).get_vocab_size() <= 1 << 16
+    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        texts = [raw[a:b].decode("utf-8") for a, b in zip(starts.tolist(), ends.tolist())]
+        got = [e.ids for e in _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for g in got for i in g], np.uint32), np.array([len(g) for g in got], np.int64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other and the n + 1 offsets into them."""
         lowered = lower_ascii(data)  # the tokenizer lower-cases anyway
         starts, ends, first = _units(lowered, offsets)
-        keys, index, inverse = np.unique(span_hashes(lowered, starts, ends), return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        fresh = np.flatnonzero(~known)
-        if len(fresh):
-            raw = data.tobytes()
-            a, b = starts[index[fresh]].tolist(), ends[index[fresh]].tolist()
-            texts = [raw[x:y].decode("utf-8") for x, y in zip(a, b)]
-            got = [e.ids for e in _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)]
-            if len(self.keys) + len(fresh) > self.limit:
-                # start anew with this block's units
-                old = [(self.ids[f : f + s]) for f, s in zip(self.first[at[known]], self.size[at[known]])]
-                parts = [np.zeros(0, self.ids.dtype)] + old + [np.array(g, self.ids.dtype) for g in got]
-                merged = np.concatenate([keys[known], keys[fresh]])
-                first_new = np.cumsum([0] + [len(p) for p in parts[1:]])[:-1]
-                size_new = np.array([len(p) for p in parts[1:]], np.int64)
-                self.ids = np.concatenate(parts)
-            else:
-                merged = np.concatenate([self.keys, keys[fresh]])
-                size = np.array([len(g) for g in got], np.int64)
-                first_new = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-                size_new = np.concatenate([self.size, size])
-                self.ids = np.concatenate([self.ids, np.array([i for g in got for i in g], self.ids.dtype)])
-            order = np.argsort(merged)
-            self.keys, self.first, self.size = merged[order], first_new[order], size_new[order]
-            at = np.searchsorted(self.keys, keys)
-        unit = at[inverse]
-        size = self.size[unit]
-        total = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.arange(total[-1]) + np.repeat(self.first[unit] - total[:-1], size)]
-        return ids.astype(np.uint32), total[first]
+        ids, at = self.table(lowered, starts, ends)
+        return ids, at[first]
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> UnitEncoder:
-    return UnitEncoder(path)
+def _encoder(path: str) -> TokenEncoder:
+    return TokenEncoder(path)
 
 
 def pack_frames(frames: list[tuple[bytes, dict]]) -> bytes:
