@@ -6,6 +6,7 @@ from tidemark.llm.archive import OP4_SQL, op4_content_archive
 from tidemark.llm.decontaminate import op1_benchmark_decontamination
 from tidemark.llm.fingerprints import op8_fingerprints
 from tidemark.llm.html import op5_html_main_text
+from tidemark.llm.jaccard import op2_ngram_jaccard
 from tidemark.llm.secrets import op7_secret_scan
 from tidemark.llm.sentencepieces import op6_sentencepieces
 from tidemark.llm.tokens import op3_token_files
@@ -13,6 +14,7 @@ from tidemark.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_token_files": op3_token_files,
     "op4_content_archive": op4_content_archive,
     "op5_html_main_text": op5_html_main_text,
