@@ -7,6 +7,7 @@ from tidemark.llm.decontaminate import op1_benchmark_decontamination
 from tidemark.llm.fingerprints import op8_fingerprints
 from tidemark.llm.html import op5_html_main_text
 from tidemark.llm.jaccard import op2_ngram_jaccard
+from tidemark.llm.repeats import op10_suffix_array_dedup
 from tidemark.llm.secrets import op7_secret_scan
 from tidemark.llm.sentencepieces import op6_sentencepieces
 from tidemark.llm.tokens import op3_token_files
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_secret_scan": op7_secret_scan,
     "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {"op4_content_archive": OP4_SQL}
