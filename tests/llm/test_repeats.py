@@ -1,0 +1,76 @@
+import collections
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from llm.helpers import SF_DIR, documents, read
+
+from tidemark.llm import repeats, suffixes
+from tidemark.llm.registry import QUERIES
+
+
+def brute(texts, window=200):
+    seen = collections.Counter(t[p : p + window] for t in texts for p in range(len(t) - window + 1))
+    out = []
+    for t in texts:
+        gone = bytearray(len(t))
+        for p in range(len(t) - window + 1):
+            if seen[t[p : p + window]] > 1:
+                gone[p : p + window] = b"\1" * window
+        runs = sum(1 for p in range(len(t)) if gone[p] and (p == 0 or not gone[p - 1]))
+        out.append((len(t), sum(gone), runs, hashlib.sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("alphabet", [1024, 0])
+def test_induced_sorting(monkeypatch, alphabet):
+    monkeypatch.setattr(suffixes, "SMALL_ALPHABET", alphabet)
+    rng = random.Random(3)
+    for _ in range(200):
+        s = [rng.randint(1, rng.choice([1, 2, 9])) for _ in range(rng.randint(1, 50))] + [0]
+        sa = suffixes.induced_suffix_array(np.array(s)).tolist()
+        assert sa == sorted(range(len(s)), key=lambda i: s[i:])
+        shared = suffixes.permuted_lcp(np.array(s), np.array(sa), 1)
+        for r, i in enumerate(sa):
+            w = 0
+            while r and s[i + w : i + w + 1] == s[sa[r - 1] + w : sa[r - 1] + w + 1] and s[i + w : i + w + 1] and s[i + w] > 1:
+                w += 1
+            assert shared[i] == w
+
+
+def rows(spark, texts):
+    got = repeats.mark_repeats(documents(spark, texts).selectExpr("*", "1 AS repeated", "2 AS text1")).orderBy("doc_id").collect()
+    out = []
+    for r, t in zip(got, texts):
+        raw, found = (t or "").encode(), [s.asDict() for s in r.repeated]
+        out.append((len(raw), sum(s["end"] - s["start"] for s in found), len(found), hashlib.sha256(repeats.keep_bytes(raw, found)).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("group", [512, 2])
+def test_equals_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(repeats, "GROUP", group)
+    rng = random.Random(7)
+    noise = lambda n: "".join(rng.choice("abcdefgé ") for _ in range(n))
+    passage, line = noise(450), noise(199)
+    texts = [None, "", "x" * 199, "x" * 200, "y" * 900, "abc" * 150, noise(300)]
+    texts += [noise(rng.randrange(60)) + passage + noise(rng.randrange(300)) for _ in range(8)]
+    texts += [noise(50) + passage[rng.randrange(100) :] + noise(20) + passage[:260] for _ in range(4)]
+    texts += [noise(40) + line + noise(40) for _ in range(5)]
+    texts += [texts[-1], texts[7], texts[7], noise(3000) * 2]
+    assert rows(spark, texts) == brute([(t or "").encode() for t in texts])
+
+
+def test_removal_and_empty_table(spark):
+    passage = "é" * 3 + "".join(chr(97 + i * 7 % 26) for i in range(230))
+    docs = documents(spark, ["head " + passage, passage + " tail", None, "x"])
+    assert [r.text for r in repeats.remove_repeats(docs).orderBy("doc_id").collect()][2:] == [None, "x"]
+    assert repeats.remove_repeats(docs).columns == docs.columns
+    assert repeats.mark_repeats(documents(spark, [])).count() == 0
+
+
+def test_query_equals_brute_force(spark):
+    docs = read("documents", "doc_id, text")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op10_suffix_array_dedup"](spark, SF_DIR).collect()}
+    assert got == {d: w for (d, _), w in zip(docs, brute([(t or "").encode() for _, t in docs]))}

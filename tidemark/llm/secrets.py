@@ -34,7 +34,8 @@ CONTEXT = re.compile(
     r"(?<![A-Za-z0-9])(?:" + "|".join(sorted(CONTEXT_WORDS, key=len, reverse=True)) + r""")(?:["']?\x20*[:=]\x20*|\x20+(?=[^\s"':=]*[0-9]))(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"',;]{6,}))""",
     re.ASCII | re.IGNORECASE,
 )
-LOGIN = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]+:([^\s/@]{6,})@")
+# A scheme has at most 32 characters, so that a long run of letters is not searched from each of its places.
+LOGIN = re.compile(r"(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{0,31}://[^\s/:@]+:([^\s/@]{6,})@")
 # Bytes of which a text must hold one before its contexts are searched.
 HINTS = (b"pass", b"pwd", b"secret", b"token", b"bearer", b"credential", b"authorization", b"api", b"access", b"private", b"://")
 
