@@ -1,6 +1,6 @@
 """Times the headline queries and prints one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 4), BENCH_RUNS
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS
 (default 5): one warm-up and then the median of the runs, each written out with
 the noop sink so that every row is computed.
 """
@@ -27,6 +27,7 @@ HEADLINE = [
     "metric_samples",
     "dashboard_kpis",
     "dq_report",
+    "daily_samples",
     "ga4_normalize",
     "ingest_batch_policy_atomic",
     "ingest_batch_policy_lenient",
@@ -35,7 +36,7 @@ HEADLINE = [
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = os.environ.get("BENCH_CPUS", "4")
+    cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     keys = sys.argv[1:] or HEADLINE
     spark = build_session(

@@ -8,7 +8,9 @@ from tidemark.operators.activity import activity_rollup
 from tidemark.operators.quality import QualityError
 from tidemark.operators.staging import stg_events
 from tidemark.plans import daily
-from tidemark.plans.daily import daily_run, refresh_activity
+from tidemark.plans.daily import daily_run, refresh_activity, report_run, samples_run
+from tidemark.sinks import read_published
+from tidemark.sources import read_marts
 
 
 def tables(spark, repeated_user=False):
@@ -49,7 +51,8 @@ def test_failed_checks_stop_the_run(spark, tmp_path):
     out = str(tmp_path / "bad")
     with pytest.raises(QualityError, match="stg_users.user_id unique"):
         daily_run(spark, tables(spark, repeated_user=True), out, ts_ms=1)
-    assert not os.path.exists(f"{out}/metrics") and os.path.exists(f"{out}/dq_report")
+    assert not os.path.exists(f"{out}/metrics") and read_published(spark, f"{out}/dq_report").count() > 0
+    assert read_marts(spark, require_all=False, path=out) == {}
     result = daily_run(spark, tables(spark, repeated_user=True), out, ts_ms=1, check=False)
     assert os.path.exists(result.metrics_path)
 
@@ -69,24 +72,52 @@ def test_refresh_replaces_only_recent_dates(spark, tmp_path):
     assert dicts(refreshed.selectExpr("*"), "event_date", "user_id") == dicts(activity_rollup(staged), "event_date", "user_id")
 
 
-def test_refresh_skips_old_row_groups(spark, tmp_path):
+@pytest.mark.parametrize("change", ["a date goes", "an event moves", "undated events go"])
+def test_refresh_leaves_nothing_stale(spark, tmp_path, change):
+    rows = [{"id": str(i), "user_id": "a", "event_name": "x", "created_at": at(d)} for i, d in enumerate([1, 2, 3, 4])]
+    rows.append({"id": "9", "user_id": "b", "event_name": "x", "created_at": None})
+    path = str(tmp_path / "activity")
+    refresh_activity(stg_events(raw(spark, "analytics_events", rows)), path)
+    if change == "a date goes":
+        rows = [r for r in rows if r["created_at"] != at(3)]
+    elif change == "an event moves":
+        rows[3] = rows[3] | {"created_at": at(6)}
+    else:
+        rows = [r for r in rows if r["created_at"]]
+    staged = stg_events(raw(spark, "analytics_events", rows))
+    refreshed = refresh_activity(staged, path, since=day(3))
+    assert dicts(refreshed.selectExpr("*"), "event_date", "user_id") == dicts(activity_rollup(staged), "event_date", "user_id")
+    assert dicts(read_published(spark, path).select(refreshed.columns), "event_date", "user_id") == dicts(refreshed, "event_date", "user_id")
+
+
+def test_refresh_skips_old_row_groups(spark, tmp_path, monkeypatch):
     source = str(tmp_path / "raw")
     raw(spark, "analytics_events", [{"id": "1", "event_name": "x", "created_at": at(1)}]).write.parquet(source)
     plans = []
-    sent = []
 
     def capture(df, *rest):
         plans.append(plan_text(df))
-        sent.append(rest)
         return df
 
-    original = daily.materialize_mart
-    daily.materialize_mart = capture
-    try:
-        refresh_activity(stg_events(spark.read.parquet(source)), "unused", since=day(3))
-    finally:
-        daily.materialize_mart = original
-    assert "Or(GreaterThanOrEqual(created_at" in plans[0] and sent[0][-1] is True
+    monkeypatch.setattr(daily, "materialize_mart", capture)
+    refresh_activity(stg_events(spark.read.parquet(source)), str(tmp_path / "unused"), since=day(3))
+    assert "Or(GreaterThanOrEqual(created_at" in plans[0]
+
+
+def test_jobs_on_tables_of_an_earlier_run(spark, tmp_path):
+    out = str(tmp_path / "run")
+    result = daily_run(spark, tables(spark), out, ts_ms=1)
+    for name in result.tables:
+        spark.catalog.dropTempView(name)
+    assert lines_of(samples_run(spark, out, str(tmp_path / "m"), 1)) == lines_of(result.metrics_path)
+    assert lines_of(samples_run(spark, out, str(tmp_path / "one"), 1, one_file=True)) == lines_of(result.metrics_path)
+    report = report_run(spark, out, str(tmp_path / "r"))
+    section = "section=revenue"
+    assert lines_of(os.path.join(report, section)) == lines_of(os.path.join(result.dashboard_path, section))
+    nothing = str(tmp_path / "nothing")
+    assert lines_of(samples_run(spark, nothing, str(tmp_path / "empty"), 1)) == ""
+    with pytest.raises(LookupError):
+        report_run(spark, nothing, str(tmp_path / "never"))
 
 
 def test_rollup_of_undated_events_only(spark, tmp_path):

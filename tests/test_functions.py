@@ -81,3 +81,9 @@ def test_bands(spark):
         "i", threshold_band(F.col("x"), [15, 30], ["red", "amber", "green"]).alias("b")
     )
     assert in_order(df, "b") == ["red", "red", "amber", "amber", "green", "green"]
+
+
+def test_negative_values_round_like_their_opposites(spark):
+    df = spark.createDataFrame([(-0.125,), (-2.5,), (-1.005,), (0.125,)], "x double")
+    for ties, want in {"even": [-0.12, -2.5, -1.0, 0.12], "up": [-0.13, -2.5, -1.0, 0.13]}.items():
+        assert [r[0] for r in df.select(round_exact(F.col("x"), 2, ties)).collect()] == want

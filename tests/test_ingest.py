@@ -43,6 +43,44 @@ def test_bodies_must_be_json_objects(spark):
     assert [r["batch_id"] for r in dicts(corrupt, "batch_id")] == ["b1", "b2", "b3", "b4", "b6", "b7", "b8", "b9"]
 
 
+def test_text_around_the_object(spark):
+    bodies = ['{"event_name":"a"},0] garbage', '{"event_name":"a"},0],[', '{"event_name":"a"}]', '\n\t{"event_name":"b"}\r\n ', '{"event_name":"],0]"}']
+    good, corrupt = ingest_parse(posted(spark, *bodies))
+    assert [r["batch_id"] for r in dicts(good, "batch_id")] == ["b3", "b4"]
+    stored, quarantine = ingest_batch_policy(posted(spark, *bodies), "atomic")
+    assert sorted(r["event_name"] for r in dicts(stored)) == ["],0]", "b"]
+    assert {tuple(r["errors"]) for r in dicts(quarantine)} == {("invalid_json",)}
+
+
+def test_the_last_of_repeated_keys_counts(spark):
+    good, _ = ingest_batch_policy(posted(spark, '{"event_name":"a","event_name":"b","properties":{"k":1,"k":2}}'), "atomic")
+    assert [(r["event_name"], r["properties"]) for r in dicts(good)] == [("b", '{"k":2}')]
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        with pytest.raises(ValueError, match="allowDuplicateKeys"):
+            ingest_parse(posted(spark, "{}"))
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+def test_only_atomic_bounds_a_batch(spark):
+    many = batches(spark, [{"event_name": "a"}] * 501)
+    assert ingest_batch_policy(many, "lenient")[0].count() == 501
+    assert ingest_batch_policy(many, "lenient", 500)[0].count() == 0
+    good, quarantine = ingest_batch_policy(many, "atomic")
+    assert good.count() == 0 and dicts(quarantine)[0]["errors"] == ["events_too_many"]
+    assert ingest_batch_policy(many, "atomic", 501)[0].count() == 501
+
+
+def test_lenient_names_by_endpoint(spark):
+    names = ["a", "", 5, 0, 0.0, True, False, [], ["a"], {}, {"k": 1}, None]
+    alone, _ = ingest_batch_policy(posted(spark, *[{"event_name": n} for n in names]), "lenient")
+    assert [r["event_name"] for r in dicts(alone)] == ["a"]
+    stored, refused = ingest_batch_policy(batches(spark, [{"event_name": n} for n in names]), "lenient")
+    assert sorted(r["pos"] for r in dicts(refused)) == [1, 3, 4, 6, 7, 9, 11]
+    assert stored.count() == 5
+
+
 def test_names(spark):
     got = errors_of(spark, {"event_name": "a"}, {}, {"event_name": ""}, {"event_name": None}, {"event_name": 5}, {"event_name": ["a"]})
     assert got == [[], ["event_name_required"], ["event_name_required"], ["event_name_required"], ["event_name_type"], ["event_name_type"]]

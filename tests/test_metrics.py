@@ -16,31 +16,32 @@ from tidemark.plans.metrics import metric_samples, metrics_exposition, metrics_p
 from tidemark.sinks import write_text
 from pyspark.sql import functions as F
 
-DAY = date(2026, 8, 18)
+DAY = date(2025, 3, 9)
+BEFORE = date(2025, 3, 8)
 
 
 def marts(spark):
     """Reduced tables: only the columns that samples are made of."""
     growth = spark.createDataFrame(
-        [(date(2026, 8, 17), 1, 1, 1, 1, 1), (DAY, 45, 120, 300, 10, 500), (None, 0, 0, 0, 0, 501)],
+        [(BEFORE, 6, 8, 9, 2, 70), (DAY, 13, 29, 61, 4, 74), (None, 0, 0, 0, 0, 75)],
         "metric_date date, dau_count long, wau_count long, mau_count long, new_registrations_count long, cumulative_total_users long",
     )
     revenue = spark.createDataFrame(
         [
-            (DAY, "BRL", "pix", 1500.0, 15, 100.0, 15000.0),
-            (date(2026, 8, 17), "BRL", "card", 9.0, 1, 9.0, 9.0),
-            (DAY, "", None, None, None, 0.0, 70.0),
+            (DAY, "EUR", "voucher", 322.5, 7, 46.07, 9876.25),
+            (BEFORE, "EUR", "wallet", 8.0, 2, 4.0, 8.0),
+            (DAY, "", None, None, None, 0.0, 31.0),
         ],
         "metric_date date, currency string, payment_method string, daily_gross_revenue double, "
         "daily_successful_transactions long, daily_average_order_value double, cumulative_total_revenue double",
     )
     funnel = spark.createDataFrame(
-        [(1, "Signup", "signup_completed", 50, 40, 1.0, 1.0)],
+        [(1, "Opened", "screen_open", 17, 11, 1.0, 1.0)],
         "funnel_step_order int, step_name string, event_name string, total_events long, unique_users_count long, "
         "step_conversion_rate double, overall_conversion_rate double",
     )
     platform = spark.createDataFrame(
-        [(DAY, "ios", 30, 200, 800.0), (DAY, None, 0, 0, 5.0)],
+        [(DAY, "android", 9, 44, 210.5), (DAY, None, 0, 0, 3.25)],
         "metric_date date, platform string, active_users_count long, events_count long, revenue_amount double",
     )
     return growth, revenue, funnel, platform
@@ -62,27 +63,30 @@ def test_samples_of_the_latest_date(spark):
     growth, revenue, funnel, platform = marts(spark)
     found = {(r["metric"], tuple(sorted(r["labels"].items()))): r["value"] for r in dicts(metric_samples(growth, revenue, funnel, platform, 7))}
     source = ("source", "business_pipeline")
-    assert found[("business_users_dau", (source,))] == 45.0
-    assert found[("business_users_total", (source,))] == 500.0
-    assert found[("business_revenue_daily_amount", (("currency", "BRL"), ("payment_method", "pix"), source))] == 1500.0
+    assert found[("business_users_dau", (source,))] == 13.0
+    assert found[("business_users_total", (source,))] == 74.0
+    voucher = (("currency", "EUR"), ("payment_method", "voucher"), source)
+    assert found[("business_revenue_daily_amount", voucher)] == 322.5
+    assert found[("business_transactions_daily_count", voucher)] == 7.0
     assert found[("business_revenue_daily_amount", (("currency", "USD"), ("payment_method", "all"), source))] == 0.0
-    assert found[("business_transactions_daily_count", (("currency", "BRL"), ("payment_method", "pix"), source))] == 15.0
-    assert found[("business_platform_revenue_total", (("platform", "unknown"), source))] == 5.0
-    step = (("event_name", "signup_completed"), source, ("step_name", "Signup"), ("step_order", "1"))
-    assert found[("business_funnel_step_unique_users", step)] == 40.0
+    assert found[("business_platform_revenue_total", (("platform", "unknown"), source))] == 3.25
+    step = (("event_name", "screen_open"), source, ("step_name", "Opened"), ("step_order", "1"))
+    assert found[("business_funnel_step_unique_users", step)] == 11.0
     assert len(found) == 5 + 2 * 4 + 4 + 2 * 3
 
 
 def test_absent_tables(spark):
     growth, *_ = marts(spark)
-    assert metric_samples() is None
+    nothing = metric_samples()
+    assert nothing.count() == 0 and nothing.columns == metric_samples(growth=growth).columns
+    assert metrics_exposition(nothing).count() == 0
     assert metric_samples(growth=growth).count() == 5
 
 
 def test_history_is_stamped_with_its_date(spark):
     _, revenue, _, platform = marts(spark)
     stamps = {r["ts_ms"] for r in dicts(metrics_revenue(revenue, history=True))}
-    assert stamps == {1786924800000, 1787011200000}
+    assert stamps == {1741392000000, 1741478400000}
     assert metrics_platform(platform.where("false"), 1).count() == 0
 
 
@@ -93,11 +97,11 @@ def test_exposition_text(spark, tmp_path):
     assert lines[:3] == [
         "# HELP business_users_dau Business flow telemetry metric",
         "# TYPE business_users_dau gauge",
-        'business_users_dau{source="business_pipeline"} 45.0 7',
+        'business_users_dau{source="business_pipeline"} 13.0 7',
     ]
-    pix = 'business_revenue_daily_amount{currency="BRL",payment_method="pix",source="business_pipeline"} 1500.0 7'
+    first = 'business_revenue_daily_amount{currency="EUR",payment_method="voucher",source="business_pipeline"} 322.5 7'
     other = 'business_revenue_daily_amount{currency="USD",payment_method="all",source="business_pipeline"} 0.0 7'
-    assert lines.index("# TYPE business_revenue_daily_amount gauge") + 1 == lines.index(pix) < lines.index(other)
+    assert lines.index("# TYPE business_revenue_daily_amount gauge") + 1 == lines.index(first) < lines.index(other)
     assert sum(line.startswith("# HELP business_revenue_daily_amount ") for line in lines) == 1
 
 

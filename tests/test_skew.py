@@ -3,36 +3,15 @@
 from decimal import Decimal
 
 from fixtures import dicts, plan_text
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.accounts import platform_transactions
+from tidemark.operators.activity import event_totals
 from tidemark.operators.ranking import dense_index
-from tidemark.operators.spread import left_join_spread
 from tidemark.plans import models
 
 
-def test_hot_rows_are_split_and_kept(spark):
-    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
-    left = spark.range(3000).select(key.alias("k"), "id")
-    right = left.select("k").distinct().where("k != '1'").select("k", F.length("k").alias("n"))
-    joined = left_join_spread(left, right, "k", part_rows=100)
-    assert joined.count() == 3000 and joined.columns == ["k", "id", "n"]
-    want = left.join(right, "k", "left")
-    assert joined.exceptAll(want).count() == 0 and want.exceptAll(joined).count() == 0
-    text = plan_text(joined)
-    assert "part#" in text
-
-
-def test_parts_have_the_promised_size(spark):
-    left = spark.range(1000).select(F.lit("hot").alias("k"), "id")
-    parts = (
-        left.withColumn("row_no", F.monotonically_increasing_id())
-        .withColumn("part", F.pmod("row_no", F.lit(10)))
-        .groupBy("part").count()
-    )
-    assert {r["count"] for r in parts.collect()} <= set(range(60, 141))
-
-
 def test_journey_with_a_repeated_user(spark):
     rows = 900
     users = spark.range(rows).select(
@@ -52,11 +31,27 @@ def test_journey_with_a_repeated_user(spark):
     tx = spark.createDataFrame(
         [], "transaction_id string, user_id string, amount decimal(12,2), created_at timestamp_ntz, transaction_date date, is_successful int"
     )
-    split = models.int_user_journey(users, events, tx, part_rows=20)
     whole = models.int_user_journey(users, events, tx)
-    assert split.count() == rows
-    assert split.exceptAll(whole).count() == 0 and whole.exceptAll(split).count() == 0
-    assert split.where("total_sessions_count = 900").count() == rows // 3
+    assert whole.count() == rows
+    assert whole.where("total_sessions_count = 900").count() == rows // 3
+
+
+def test_funnel_windows_run_over_levels_not_names(spark):
+    names = spark.range(3000).selectExpr(
+        "concat('n', id) as event_name", "'web' as platform", "concat('u', id % (id % 7 + 1)) as user_id",
+        "'s' as session_id", "date'2024-01-02' as event_date", "timestamp_ntz'2024-01-02 00:00:00' as created_at",
+    )
+    events = names.union(names.where("event_name < 'n2'"))
+    totals = event_totals(events)
+    assert models.funnel_levels(totals).count() == totals.select("unique_users_count", "total_events").distinct().count() < 10
+    reach = [F.desc("unique_users_count"), F.desc("total_events")]
+    in_order = W.orderBy(*reach, F.asc_nulls_last("event_name"))
+    plain = totals.select(
+        "event_name", F.dense_rank().over(W.orderBy(*reach)).cast("bigint").alias("step"), F.lag("unique_users_count").over(in_order).alias("before"), "unique_users_count"
+    )
+    want = plain.selectExpr("event_name", "step", "greatest(coalesce(before - unique_users_count, 0), 0) as lost")
+    got = models.mart_event_funnel(events).selectExpr("event_name", "funnel_step_order as step", "step_dropoff_users_count as lost")
+    assert got.exceptAll(want).count() == 0 and got.count() == 3000
 
 
 def test_copies_become_a_factor(spark):

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from fixtures import at, dicts, events, raw, transactions, users
 
@@ -5,7 +7,7 @@ from tidemark.plans.extract import extract
 from tidemark.plans.models import mart_revenue
 from tidemark.schemas import empty_raw
 from tidemark.session import build_session, require_utc, scratch_path
-from tidemark.sinks import materialize_mart, register_raw, write_snapshots
+from tidemark.sinks import materialize_mart, read_published, register_raw, stage_mart, write_snapshots
 from tidemark.sources import (
     JdbcSource,
     choose_tables,
@@ -15,7 +17,7 @@ from tidemark.sources import (
     union_event_sources,
 )
 from tidemark.sources.ga4 import REPORT_COLUMNS
-from tidemark.sources.jdbc import Split, split_range
+from tidemark.sources.jdbc import HashSplit, Split, split_range
 from tidemark.sources.tables import MARTS
 
 
@@ -24,13 +26,13 @@ def test_jdbc_addresses():
     assert JdbcSource(driver=" PostgreSQL ", host="h", database="d").url.startswith("jdbc:postgresql://h:5432/d?")
     assert JdbcSource(driver="postgres", port=6000).url.startswith("jdbc:postgresql://localhost:6000/")
     secret = JdbcSource(password="p@ss w/rd")
-    assert secret.quoted_password == "p%40ss+w%2Frd" and "p@ss" not in secret.url
+    assert "p@ss" not in secret.url
     assert secret.options()["password"] == "p@ss w/rd"
     assert Split("id", 1, 100, 4).options() == {
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "4",
     }
-    assert split_range("id", 1, 10, 4, 256) == Split("id", 1, 11, 3)
-    assert split_range("id", 5, 5, 4, 256).parts == 1 and split_range("id", 0, 10**9, 4, 256).parts == 256
+    assert split_range("id", 1, 10, 4) == Split("id", 1, 11, 3)
+    assert split_range("id", 5, 5, 4).parts == 1
     with pytest.raises(ValueError, match="oracle"):
         JdbcSource(driver="oracle").url
 
@@ -97,6 +99,33 @@ def test_published_tables(spark, tmp_path):
     spark.catalog.dropTempView("mart_revenue")
 
 
+def test_versions_switch_when_they_are_complete(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert read_published(spark, path) is None
+    numbers = [spark.range(n) for n in (1, 2, 3, 4)]
+    materialize_mart(numbers[0], "numbers", path)
+    waiting = stage_mart(numbers[1], "numbers", path)
+    assert read_published(spark, path).count() == 1
+    assert waiting.release().count() == 2 and read_published(spark, path).count() == 2
+    broken = spark.range(5).selectExpr("assert_true(id < 3) as x", "id")
+    with pytest.raises(Exception):
+        materialize_mart(broken, "numbers", path)
+    assert read_published(spark, path).count() == 2
+    for df in numbers[2:]:
+        materialize_mart(df, "numbers", path)
+    assert read_published(spark, path).count() == 4
+    assert len([n for n in os.listdir(path) if n.startswith("v")]) == 2
+    spark.catalog.dropTempView("numbers")
+
+
+def test_parts_of_a_source_table():
+    split = split_range("id", 1, 1_000_000_000)
+    assert split.options()["numPartitions"] == "2000" and split.options()["upperBound"] == "1000000001"
+    for dialect in ("mysql", "postgresql"):
+        conditions = HashSplit("uid", 3).predicates(dialect)
+        assert len(conditions) == 3 and conditions[0].endswith("OR uid IS NULL") and "= 2" in conditions[2]
+
+
 def test_session_rules(spark):
     assert build_session() is not None
     require_utc(spark)

@@ -1,7 +1,9 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from fixtures import at, day, dicts, events, raw, transactions, users
+from pyspark.sql import functions as F
 
 from tidemark.operators.staging import stg_events, stg_transactions, stg_users
 from tidemark.schemas import backend_events_as_raw
@@ -94,3 +96,27 @@ def test_only_needed_columns_are_read(spark, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "properties_json" not in text.split("ReadSchema")[1]
     assert "GreaterThanOrEqual(created_at" in text
+
+
+def test_amounts_round_by_type(spark):
+    values = [1.005, 2.675, 0.125, -0.125, 7.0, 1.0049999]
+    got = [r["amount"] for r in dicts(transactions(spark, [{"amount": v} for v in values]), "transaction_id")]
+    assert got == [Decimal(x) for x in ("1.00", "2.68", "0.13", "-0.13", "7.00", "1.00")]
+    exact = raw(spark, "transactions", [{"id": 1}]).drop("amount")
+    for text in ("1.005", "9007199254.995"):
+        row = stg_transactions(exact.withColumn("amount", F.lit(text).cast("decimal(20,3)"))).first()
+        assert row["amount"] == (Decimal(text) + Decimal("0.005")).quantize(Decimal("0.01"), "ROUND_DOWN")
+
+
+def test_text_times_with_an_offset_become_utc(spark):
+    df = raw(spark, "analytics_events", [{"id": "1", "event_name": "a"}]).drop("created_at")
+    for text, want in {
+        "2024-01-01T23:00:00-03:00": datetime(2024, 1, 2, 2),
+        "2024-01-01 23:00:00": datetime(2024, 1, 1, 23),
+        "2024-01-01T10:00Z": datetime(2024, 1, 1, 10),
+    }.items():
+        row = stg_events(df.withColumn("created_at", F.lit(text))).first()
+        assert row["created_at"] == want and row["event_date"] == want.date()
+    assert stg_events(df.withColumn("created_at", F.lit(None).cast("string"))).first()["created_at"] is None
+    with pytest.raises(Exception):
+        stg_events(df.withColumn("created_at", F.lit("soon"))).collect()

@@ -1,4 +1,5 @@
 import json
+import os
 
 from fixtures import dicts
 from test_ingest import batches, posted
@@ -12,7 +13,7 @@ def run(spark, source, root, policy):
     stream = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(source)
     query = ingest_stream(stream, f"{root}/out", f"{root}/bad", f"{root}/state", policy, once=True)
     query.awaitTermination()
-    return read_ingested(spark, f"{root}/out"), read_ingested(spark, f"{root}/bad")
+    return read_ingested(spark, f"{root}/out").drop("arrival_date"), read_ingested(spark, f"{root}/bad", rejected=True).drop("arrival_date")
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -29,6 +30,14 @@ def test_stream_equals_batch(spark, tmp_path):
         assert dicts(rejected, "batch_id") == dicts(want_rejected, "batch_id")
 
 
+def test_long_batches_are_stored_whole(spark, tmp_path):
+    source = str(tmp_path / "in")
+    batches(spark, [{"event_name": "a"}] * 501).write.parquet(source)
+    stored, rejected = run(spark, source, str(tmp_path / "run"), "lenient")
+    assert stored.count() == 501 and rejected.count() == 0
+    assert [d for d in os.listdir(tmp_path / "run" / "out") if "=" in d] == ["arrival_date=2024-05-01"]
+
+
 def test_batch_store(spark, tmp_path):
     env = batches(spark, [{"event_name": "a"}, {"event_name": ""}])
     for _ in range(2):

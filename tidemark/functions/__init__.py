@@ -1,4 +1,4 @@
-from tidemark.functions.labels import label_text, series_key
+from tidemark.functions.labels import label_text
 from tidemark.functions.numbers import python_float_text, round_exact, round_half_away
 from tidemark.functions.text import fold_platform, json_quote, nonblank_or, threshold_band
 
@@ -10,6 +10,5 @@ __all__ = [
     "python_float_text",
     "round_exact",
     "round_half_away",
-    "series_key",
     "threshold_band",
 ]

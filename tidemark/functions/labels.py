@@ -18,9 +18,3 @@ def label_text(labels: Column, escape: bool = False) -> Column:
         return F.concat(entry["key"], F.lit('="'), value, F.lit('"'))
 
     return F.concat_ws(",", F.transform(F.array_sort(F.map_entries(labels)), pair))
-
-
-def series_key(metric: Column, labels: Column) -> Column:
-    """``name{k="v",...}``, or the bare name for a sample without labels."""
-    text = label_text(labels, escape=True)
-    return F.when(text == "", metric).otherwise(F.concat(metric, F.lit("{"), text, F.lit("}")))

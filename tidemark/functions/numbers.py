@@ -20,7 +20,7 @@ def round_half_away(x: Column, digits: int) -> Column:
 
 
 def round_exact(x: Column, digits: int, ties: str = "even") -> Column:
-    """Round the exact binary value of a double >= 0.
+    """Round the exact binary value of a double; a negative one as its opposite.
 
     ``ties="even"`` gives the number language runtimes print for round(x, n),
     ``ties="up"`` the one of fixed-point formatting in browsers.
@@ -28,6 +28,7 @@ def round_exact(x: Column, digits: int, ties: str = "even") -> Column:
     if ties not in ("even", "up"):
         raise ValueError(f"ties must be 'even' or 'up', not {ties!r}")
     scale = F.lit(10.0**digits)
+    sign, x = F.when(x < 0, F.lit(-1.0)).otherwise(F.lit(1.0)), F.abs(x)
     product = x * scale
     carry = x * F.lit(SPLITTER)
     high = carry - (carry - x)
@@ -38,7 +39,7 @@ def round_exact(x: Column, digits: int, ties: str = "even") -> Column:
     rest = product - whole.cast("double")
     tie_goes_up = (whole % 2 == 1) if ties == "even" else F.lit(True)
     up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & tie_goes_up)))
-    return (whole + F.when(up, 1).otherwise(0)).cast("double") / scale
+    return sign * ((whole + F.when(up, 1).otherwise(0)).cast("double") / scale)
 
 
 def python_float_text(x: Column) -> Column:

@@ -10,9 +10,14 @@ Everything here is a projection: no shuffle, one pass over the bodies.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import event_time
+from tidemark.session import require_repeated_keys
+
 # Largest field lengths and largest batch.
 FIELD_LENGTHS = {
     "event_name": 255,
@@ -44,8 +49,6 @@ ENVELOPE_SCHEMA = (
 
 FIELDS = [*FIELD_LENGTHS, "properties", "occurred_at"]
 FIELD_TYPE = f"struct<{', '.join(f'{name}: variant' for name in FIELDS)}>"
-ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
-
 
 def read_fields(item: Column) -> Column:
     """The known fields of an event, each with its JSON type kept; NULL unless ``item`` is an object."""
@@ -61,33 +64,19 @@ def _kind(fields: Column, name: str) -> Column:
     return F.nullif(F.schema_of_variant(fields[name]), F.lit("VOID"))
 
 
-def event_time(text: Column) -> Column:
-    """ISO text with a date -> UTC time; NULL if it is no time.
-
-    Text without a zone is UTC. The session's own zone plays no part.
-    """
-    dated = F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.trim(text))
-    dated = F.regexp_replace(dated, r"^(.{10}[T ]\d{2}:\d{2})(Z|z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
-    zoned = F.when(dated.rlike(r":.*\d(Z|z|[+-]\d{2}:?\d{2})$"), dated)
-    as_utc = F.concat(dated, F.when(dated.contains(":"), "Z").otherwise("T00:00:00Z"))
-    instant = F.try_to_timestamp(F.when(text.rlike(ISO_TIME), text).otherwise(F.coalesce(zoned, as_utc)))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
-
-
 def parse_body(envelopes: DataFrame) -> DataFrame:
     """Adds ``body`` (VARIANT), NULL unless the text is one JSON object and nothing else.
 
-    The parser stops after the first value, so the text is parsed as the first
-    element of a list that must end right after it.
+    The parser stops after the first value, so the text is parsed as the first element of
+    a list that the hash of the text closes, which no text can hold itself. Of repeated
+    keys the last counts; white space around the object is fine.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit(",0]")))
-    alone = (F.try_variant_get("wrapped", "$[1]", "int") == 0) & F.try_variant_get("wrapped", "$[2]", "variant").isNull()
-    return (
-        envelopes.withColumn("wrapped", F.when(F.ltrim("value").startswith("{"), wrapped))
-        .withColumn("body", F.when(alone, F.try_variant_get("wrapped", "$[0]", "variant")))
-        .drop("wrapped")
-    )
+    require_repeated_keys(envelopes.sparkSession)
+    seal = F.sha2("value", 256)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit(',"'), seal, F.lit('"]')))
+    first = F.try_variant_get("wrapped", "$[0]", "variant")
+    alone = (F.try_variant_get("wrapped", "$[1]", "string") == seal) & F.schema_of_variant(first).startswith("OBJECT")
+    return envelopes.withColumn("wrapped", wrapped).withColumn("body", F.when(alone, first)).drop("wrapped")
 
 
 def ingest_parse(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -109,20 +98,40 @@ def strict_errors(fields: Column) -> Column:
     return F.array_compact(F.array(*checks))
 
 
-def lenient_errors(fields: Column) -> Column:
-    """Error codes of one event where only a usable name is asked for."""
+def lenient_errors(fields: Column, endpoint: Column | str = "batch") -> Column:
+    """Error codes of one event where only a usable name is asked for.
+
+    An event posted alone needs a text that is not empty. In a batch any value counts
+    that is not empty: no zero, no false, no empty text, list or object.
+    """
     text, kind = _text(fields, "event_name"), _kind(fields, "event_name")
-    zero = (kind != "STRING") & text.isin("0", "false")
-    missing = kind.isNull() | F.coalesce((text == "") | zero, F.lit(False))
-    return F.array_compact(F.array(F.when(missing, "event_name_required")))
+    named = (kind == "STRING") & (text != "")
+    empty = (text == "") | (kind != "STRING") & text.rlike(r"^(-?0(\.0*)?([eE][+-]?[0-9]+)?|false)$")
+    hollow = F.to_json(fields["event_name"]).isin("[]", "{}") & (kind != "STRING")
+    full = kind.isNotNull() & ~F.coalesce(empty, F.lit(False)) & ~F.coalesce(hollow, F.lit(False))
+    alone = (F.lit(endpoint) if isinstance(endpoint, str) else endpoint) != "batch"
+    usable = F.coalesce(F.when(alone, named).otherwise(full), F.lit(False))
+    return F.array_compact(F.array(F.when(~usable, "event_name_required")))
 
 
-RULES = {"strict": strict_errors, "lenient": lenient_errors}
+def ingest_validate(items: DataFrame, rules: str = "strict") -> DataFrame:
+    """Adds ``errors`` to rows with the ``endpoint`` and ``fields`` of an event."""
+    errors = _rule(rules)(F.col("fields"))
+    return items.withColumn("errors", errors)
 
 
-def ingest_validate(items: DataFrame, rules: str = "strict") -> DataFrame:
-    """Adds ``errors`` to rows with the ``fields`` of an event."""
-    return items.withColumn("errors", RULES[rules](F.col("fields")))
+def _rule(rules: str) -> Callable[[Column], Column]:
+    """``strict`` or ``lenient``, the latter by the ``endpoint`` of the row."""
+    if rules not in ("strict", "lenient"):
+        raise ValueError(f"unknown rules {rules!r}")
+    return strict_errors if rules == "strict" else lambda fields: lenient_errors(fields, F.col("endpoint"))
+
+
+def largest_batch(policy: str, max_items: int | None = None) -> int | None:
+    """The bound in force: ``max_items`` if given, else 500 events under ``atomic`` and none under ``lenient``."""
+    if policy not in ("atomic", "lenient"):
+        raise ValueError(f"unknown policy {policy!r}")
+    return max_items if max_items is not None else MAX_BATCH if policy == "atomic" else None
 
 
 def _envelope_error(max_items: int | None) -> Column:
@@ -144,7 +153,7 @@ def _with_items(parsed: DataFrame, max_items: int | None) -> DataFrame:
     )
 
 
-def ingest_explode_batch(parsed: DataFrame, max_items: int | None = MAX_BATCH) -> DataFrame:
+def ingest_explode_batch(parsed: DataFrame, max_items: int | None = None) -> DataFrame:
     """One row (request columns, pos, fields) per event of every well-formed envelope."""
     # Not a filter: that would be pushed below the parsing and parse again.
     events = F.when(F.col("envelope_error").isNull(), F.transform("items", read_fields))
@@ -152,7 +161,7 @@ def ingest_explode_batch(parsed: DataFrame, max_items: int | None = MAX_BATCH) -
 
 
 def ingest_outcomes(
-    envelopes: DataFrame, policy: str = "atomic", max_items: int | None = MAX_BATCH
+    envelopes: DataFrame, policy: str = "atomic", max_items: int | None = None
 ) -> DataFrame:
     """(request columns, pos, fields, errors, value): accepted events have no errors.
 
@@ -160,10 +169,10 @@ def ingest_outcomes(
     envelope (one row with ``pos`` NULL). ``lenient``: events without a usable
     name are rejected one by one, the rest of the batch is kept. ``value`` is
     what was rejected, the body or the event; accepted rows do not repeat it.
+    Batches are bounded by ``largest_batch``.
     """
-    if policy not in ("atomic", "lenient"):
-        raise ValueError(f"unknown policy {policy!r}")
-    rule = strict_errors if policy == "atomic" else lenient_errors
+    max_items = largest_batch(policy, max_items)
+    rule = _rule("strict" if policy == "atomic" else "lenient")
 
     def outcome(pos: Column, fields: Column, errors: Column, value: Column) -> Column:
         return F.struct(pos.alias("pos"), fields.alias("fields"), errors.alias("errors"), value.alias("value"))
@@ -245,7 +254,7 @@ def rejected_events(outcomes: DataFrame) -> DataFrame:
 def ingest_batch_policy(
     envelopes: DataFrame,
     policy: str = "atomic",
-    max_items: int | None = MAX_BATCH,
+    max_items: int | None = None,
     user_fallback: str = "blank",
 ) -> tuple[DataFrame, DataFrame]:
     """(stored events, quarantine) of posted envelopes."""

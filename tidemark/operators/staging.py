@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import fold_platform
+from tidemark.functions import fold_platform, round_half_away
+from tidemark.functions.times import utc_time
 from tidemark.schemas import MONEY
 
 # Defaults and the words that mean a successful payment.
@@ -23,7 +24,19 @@ def _text_or(name: str, defaults: dict[str, str]):
 
 
 def _ntz(name: str):
-    return F.col(name).cast("timestamp_ntz")
+    return utc_time(F.col(name))
+
+
+def _money(name: str) -> Column:
+    """An amount with two decimals, 0 if missing.
+
+    Floating point is scaled and rounded as such (1.005 is 1.00, as its double lies below);
+    decimals and text never become floating point.
+    """
+    amount = F.col(name)
+    scaled = round_half_away(amount.cast("double"), 2).cast(MONEY)
+    exact = F.when(F.typeof(amount).isin("double", "float"), scaled).otherwise(amount.cast(MONEY))
+    return F.coalesce(exact, F.lit(0).cast(MONEY))
 
 
 def _update_time():
@@ -87,7 +100,7 @@ def transaction_derivation() -> Derivation:
         {
             "transaction_id": F.col("id").cast("string"),
             "user_id": F.col("user_id").cast("string"),
-            "amount": F.coalesce(F.col("amount"), F.lit(0.0)).cast(MONEY),
+            "amount": _money("amount"),
             "currency": F.upper(_text_or("currency", PAYMENT_DEFAULTS)),
             "status": F.lower(_text_or("status", PAYMENT_DEFAULTS)),
             "payment_method": F.lower(_text_or("payment_method", PAYMENT_DEFAULTS)),

@@ -22,7 +22,8 @@ from tidemark.plans.models import (
     mart_user_growth,
 )
 from tidemark.session import require_utc
-from tidemark.sinks import materialize_mart, write_dashboard_json, write_text
+from tidemark.sinks import materialize_mart, read_published, stage_mart, write_dashboard_json, write_text
+from tidemark.sources import read_marts
 
 
 @dataclass(frozen=True)
@@ -47,16 +48,41 @@ def build_models(
 
 
 def refresh_activity(events: DataFrame, path: str, since: str | date | None = None) -> DataFrame:
-    """Writes the rollup of staged events, one folder per date, and returns all of it.
+    """Publishes the rollup of staged events, one folder per date, and returns all of it.
 
-    With ``since`` only events from that date on (and undated ones) are read, and
-    only their dates are replaced: older folders keep what earlier runs wrote.
-    Give the earliest date that got new or changed events since the last run.
+    With ``since`` only events from that date on (and undated ones) are read. Their dates
+    and the undated rows are replaced as a whole, so a date that has lost its events goes;
+    earlier dates are taken over from the published rollup. Give the earliest date that
+    got, lost or changed events since the last run.
     """
-    if since is not None:
-        happened = F.col("created_at")  # of this column the scan keeps statistics
-        events = events.where((happened >= F.lit(str(since)).cast("timestamp_ntz")) | happened.isNull())
-    return materialize_mart(activity_rollup(events), "event_activity", path, "event_date", since is not None)
+    if since is None:
+        return materialize_mart(activity_rollup(events), "event_activity", path, "event_date")
+    first = F.lit(str(since)).cast("date")
+    happened = F.col("created_at")  # of this column the scan keeps statistics
+    fresh = activity_rollup(events.where((happened >= first.cast("timestamp_ntz")) | happened.isNull()))
+    kept = read_published(events.sparkSession, path)
+    if kept is not None:
+        fresh = fresh.unionByName(kept.where(F.col("event_date") < first).select(fresh.columns))
+    return materialize_mart(fresh, "event_activity", path, "event_date")
+
+
+def samples_run(spark: SparkSession, published: str, out: str, ts_ms: int, one_file: bool = False) -> str:
+    """Metric text of the tables that an earlier run published; tables that are missing give no samples."""
+    marts = read_marts(spark, require_all=False, path=published)
+    return write_text(metrics_exposition(_samples(marts, ts_ms)), out, one_file)
+
+
+def report_run(spark: SparkSession, published: str, out: str) -> str:
+    """Report JSON of the tables that an earlier run published; all must be there."""
+    return write_dashboard_json(_report(read_marts(spark, require_all=True, path=published)), out)
+
+
+def _samples(marts: Mapping[str, DataFrame], ts_ms: int) -> DataFrame:
+    return metric_samples(*(marts.get(f"mart_{n}") for n in ("user_growth", "revenue", "event_funnel", "platform_split")), ts_ms=ts_ms)
+
+
+def _report(marts: Mapping[str, DataFrame]) -> DataFrame:
+    return dashboard_json(*(marts[f"mart_{n}"] for n in ("user_growth", "event_funnel", "revenue", "platform_split")))
 
 
 def daily_run(
@@ -73,8 +99,9 @@ def daily_run(
     are built from one rollup of the events, so the wide event table is read once
     for them (from ``since`` on, if given) and once more, ids, names and times
     only, for the checks on it. Written tables hand one stage to the next: a lost executor
-    costs at most the stage it worked on. A failed check stops the run before
-    samples and report data are written.
+    costs at most the stage it worked on. The checks look at the new versions before they
+    are released: after a failed check readers still have the tables of the run before,
+    and no samples and report data are written.
     """
     require_utc(spark)
     staged = {
@@ -84,16 +111,15 @@ def daily_run(
     }
     activity = refresh_activity(staged["stg_events"], f"{out}/event_activity", since)
     models = build_models(staged["stg_users"], activity, staged["stg_transactions"])
-    published = {name: materialize_mart(df, name, f"{out}/{name}") for name, df in models.items()}
+    written = {name: stage_mart(df, name, f"{out}/{name}") for name, df in models.items()}
 
     sources = {f"raw_{name}": df for name, df in raw.items()}
-    report = materialize_mart(dq_report(sources | staged | published, derived=same_key_derivations()), "dq_report", f"{out}/dq_report")
+    rows = {name: table.rows for name, table in written.items()}
+    report = materialize_mart(dq_report(sources | staged | rows, derived=same_key_derivations()), "dq_report", f"{out}/dq_report")
     if check:
         raise_on_failures(report)
 
-    marts = [published[f"mart_{name}"] for name in ("user_growth", "revenue", "event_funnel", "platform_split")]
-    samples = metric_samples(*marts, ts_ms=ts_ms)
-    metrics_path = write_text(metrics_exposition(samples), f"{out}/metrics")
-    growth, revenue, funnel, platform = marts
-    dashboard_path = write_dashboard_json(dashboard_json(growth, funnel, revenue, platform), f"{out}/dashboard")
+    published = {name: table.release() for name, table in written.items()}
+    metrics_path = write_text(metrics_exposition(_samples(published, ts_ms)), f"{out}/metrics")
+    dashboard_path = write_dashboard_json(_report(published), f"{out}/dashboard")
     return DailyResult(published, report, metrics_path, dashboard_path)

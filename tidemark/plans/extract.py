@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sinks import register_raw, write_snapshots
 from tidemark.sources import JdbcSource, choose_tables, read_jdbc_table
-from tidemark.sources.jdbc import id_split
+from tidemark.sources.jdbc import hash_split, id_split
 
 # How each database lists its tables.
 TABLE_LISTS = {
@@ -26,10 +26,12 @@ def list_tables(spark: SparkSession, source: JdbcSource) -> list[str]:
 
 
 def read_whole(spark: SparkSession, source: JdbcSource, table: str) -> DataFrame:
-    """A table read by many tasks where it has a numeric id, else by one."""
-    column = dict(read_jdbc_table(spark, source, table).dtypes).get("id", "")
-    numeric = column in ("int", "bigint", "smallint") or column.startswith("decimal")
-    return read_jdbc_table(spark, source, table, split=id_split(spark, source, table) if numeric else None)
+    """A table read by many tasks: by ranges of a numeric id, by a hash of another id, by one task without an id."""
+    kind = dict(read_jdbc_table(spark, source, table).dtypes).get("id")
+    if kind is None:
+        return read_jdbc_table(spark, source, table)
+    numeric = kind in ("int", "bigint", "smallint") or kind.startswith("decimal")
+    return read_jdbc_table(spark, source, table, split=(id_split if numeric else hash_split)(spark, source, table))
 
 
 def extract(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import label_text, nonblank_or, python_float_text
@@ -45,7 +45,10 @@ PLATFORM_METRICS = [
     ("business_platform_revenue_total", "revenue_amount"),
 ]
 
-SAMPLE_COLUMNS = ["metric", "labels", "value", "ts_ms", "ord"]
+SAMPLE_SCHEMA = (
+    "metric STRING, labels MAP<STRING, STRING>, value DOUBLE, ts_ms BIGINT, "
+    "ord STRUCT<section: INT, step: BIGINT, first: STRING, second: STRING, item: INT>"
+)
 
 
 def _date_ms() -> Column:
@@ -142,8 +145,8 @@ def metric_samples(
     funnel: DataFrame | None = None,
     platform: DataFrame | None = None,
     ts_ms: int = 0,
-) -> DataFrame | None:
-    """Samples of the tables that are there; None if there are none."""
+) -> DataFrame:
+    """Samples of the tables that are there; no rows if there are none."""
     parts = [
         build(table, ts_ms)
         for build, table in [
@@ -154,7 +157,7 @@ def metric_samples(
         ]
         if table is not None
     ]
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    return reduce(DataFrame.unionByName, parts) if parts else SparkSession.active().createDataFrame([], SAMPLE_SCHEMA)
 
 
 def metrics_exposition(samples: DataFrame, escape: bool = False) -> DataFrame:

@@ -18,7 +18,6 @@ from tidemark.operators.accounts import (
 )
 from tidemark.operators.activity import event_totals, platform_events, user_days, user_events_summary
 from tidemark.operators.rolling import GROWTH_WINDOWS, activity_changes, by_date
-from tidemark.operators.spread import PART_ROWS, left_join_spread
 from tidemark.schemas import MONEY_TOTAL
 
 
@@ -30,17 +29,16 @@ def _zero(*names: str) -> list[Column]:
     return [F.coalesce(F.col(name), F.lit(0)).alias(name) for name in names]
 
 
-def int_user_journey(
-    users: DataFrame, events: DataFrame, transactions: DataFrame, part_rows: int = PART_ROWS
-) -> DataFrame:
+def int_user_journey(users: DataFrame, events: DataFrame, transactions: DataFrame) -> DataFrame:
     """Every user with lifetime activity, payments and conversion flags.
 
-    Events and payments are reduced to one row per user and meet on the
-    partitioning of that grouping; only then do the user rows join them.
+    Events and payments are reduced to one row per user and meet on the partitioning of
+    that grouping; the user rows join them last. An id that many user rows share is an
+    error that the checks report; the join still only has to pass each row once.
     """
     lifetime = user_events_summary(events).join(user_transactions_summary(transactions), "user_id", "full")
     paid_after = F.datediff("first_transaction_date", "registration_date")
-    return left_join_spread(users, lifetime, "user_id", part_rows).select(
+    return users.join(lifetime, "user_id", "left").select(
         "user_id",
         "email",
         "user_role",
@@ -108,22 +106,48 @@ def mart_user_growth(
     )
 
 
+def funnel_levels(totals: DataFrame) -> DataFrame:
+    """Per distinct (users, events) of event names: the step, and reach at and before the level's first name.
+
+    Names are free text, so no window runs over them. One row per distinct number of users
+    is ranked in one place: n different numbers need n * n / 2 users of names, so there are
+    few. Inside a number of users its distinct volumes are ranked by themselves.
+    """
+    pairs = totals.groupBy("unique_users_count", "total_events").agg(
+        F.min(F.struct(F.col("event_name").isNull(), "event_name")).alias("first_name")
+    )
+    levels = pairs.groupBy("unique_users_count").agg(F.count(F.lit(1)).alias("volumes"), F.max("total_events").alias("top_volume"))
+    falling = W.orderBy(F.desc("unique_users_count"))
+    levels = levels.select(
+        "unique_users_count",
+        "top_volume",
+        F.coalesce(F.sum("volumes").over(falling.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("steps_above"),
+        F.lag("unique_users_count").over(falling).alias("users_above"),
+        F.first("unique_users_count").over(falling).alias("users_at_top"),
+    )
+    inside = W.partitionBy("unique_users_count").orderBy(F.desc("total_events"))
+    return pairs.withColumn("place", F.row_number().over(inside)).join(levels, "unique_users_count").select(
+        "unique_users_count",
+        "total_events",
+        (F.col("steps_above") + F.col("place")).cast("bigint").alias("funnel_step_order"),
+        F.when(F.col("place") == 1, F.col("first_name.event_name")).alias("first_name"),
+        (F.col("place") == 1).alias("top_of_level"),
+        "users_above",
+        "users_at_top",
+    )
+
+
 def mart_event_funnel(events: DataFrame) -> DataFrame:
     """Event names ordered by reach, with rates to the step before and to the top.
 
-    The windows run over one row per event name. Names with equal reach and
-    volume share a step; the name decides which of them comes first.
+    Names with equal reach and volume share a step; the name decides which of them comes
+    first. The name before has the same reach, save for the first name of a reach.
     """
-    reach = [F.desc("unique_users_count"), F.desc("total_events")]
-    in_order = W.orderBy(*reach, F.asc_nulls_last("event_name"))
-    steps = event_totals(events).select(
-        F.dense_rank().over(W.orderBy(*reach)).cast("bigint").alias("funnel_step_order"),
-        "event_name",
-        "total_events",
-        "unique_users_count",
-        "unique_sessions_count",
-        F.lag("unique_users_count").over(in_order).alias("users_before"),
-        F.first("unique_users_count").over(in_order).alias("users_at_top"),
+    totals = event_totals(events)
+    levels = funnel_levels(totals)
+    opens = F.col("top_of_level") & F.col("event_name").eqNullSafe(F.col("first_name"))
+    steps = totals.join(levels, ["unique_users_count", "total_events"]).withColumn(
+        "users_before", F.when(opens, F.col("users_above")).otherwise(F.col("unique_users_count"))
     )
     users, before, top = F.col("unique_users_count"), F.col("users_before"), F.col("users_at_top")
     return steps.select(

@@ -129,16 +129,18 @@ def summary_report(
 ) -> DataFrame:
     """The same summary as (section, name, total) rows, in one pass over the events.
 
-    Grouping sets count per event name, per platform, per user and in all; the
-    rows per user then shrink to their number before anything is ranked.
+    Events are first counted per name, platform and user. Grouping sets then sum these
+    counts per event name, per platform, per user and in all; the rows per user shrink
+    to their number before anything is ranked. Platforms are read by falling total, then name.
     """
     recent = events_since(events, as_of, days, time).select(
         "event_name", _platform(null_platform).alias("platform"), "user_id"
     )
     section = F.create_map(*[F.lit(x) for pair in SECTIONS.items() for x in pair])
-    counted = recent.groupingSets(
+    once = recent.groupBy("event_name", "platform", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    counted = once.groupingSets(
         [["event_name"], ["platform"], ["user_id"], []], "event_name", "platform", "user_id"
-    ).agg(F.grouping_id().cast("int").alias("left_out"), F.count(F.lit(1)).alias("n"))
+    ).agg(F.grouping_id().cast("int").alias("left_out"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     of_users = F.col("section") == "unique_users"
     small = (
         counted.withColumn("section", section[F.col("left_out")])

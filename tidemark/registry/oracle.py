@@ -25,12 +25,15 @@ def _needed(sql: str, seen: list[str]) -> None:
                 seen.append(name)
 
 
-def with_views(sql: str) -> str:
+def with_views(sql: str, events: str = "") -> str:
+    """The query behind the views that it names; ``events`` takes the place of the staged events."""
     names: list[str] = []
+    _needed(events, names)
     _needed(sql, names)
     if not names:
         return sql
-    return "WITH " + ",\n".join(f"{name} AS ({VIEWS[name]})" for name in names) + "\n" + sql
+    bodies = VIEWS | ({"s_events": events} if events else {})
+    return "WITH " + ",\n".join(f"{name} AS ({bodies[name]})" for name in names) + "\n" + sql
 
 
 def exact1(x: str) -> str:
@@ -70,11 +73,12 @@ VIEWS["v_raw_tx"] = """
 SELECT event_id AS id,
   CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 97 = 0 THEN CAST(user_id + 10000000 AS VARCHAR)
     ELSE CAST(user_id AS VARCHAR) END AS user_id,
-  value AS amount, CASE user_id % 3 WHEN 0 THEN 'brl' WHEN 1 THEN 'USD' END AS currency,
+  CASE WHEN event_id % 3 = 0 THEN floor(value * 10) / 10 + 0.005 ELSE value END AS amount, CASE user_id % 3 WHEN 0 THEN 'brl' WHEN 1 THEN 'USD' END AS currency,
   CASE CAST(floor(value) AS BIGINT) % 6 WHEN 0 THEN 'Completed' WHEN 1 THEN 'PAID' WHEN 2 THEN 'pending'
     WHEN 3 THEN 'failed' WHEN 4 THEN 'approved' END AS status,
   CASE event_id % 4 WHEN 0 THEN 'PIX' WHEN 1 THEN 'credit_card' WHEN 2 THEN 'paypal' END AS payment_method,
-  ts AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
+  ts AS created_at, CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S-03:00')
+    WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS updated_at
 FROM events WHERE event_type = 'purchase'"""
 VIEWS["v_raw_orders"] = """
 SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS user_id, o_totalprice AS amount, CAST(NULL AS VARCHAR) AS currency,
@@ -113,12 +117,17 @@ SELECT CAST(id AS VARCHAR) AS event_id, user_id, coalesce(session_id, 'unknown_s
 FROM {source} WHERE id IS NOT NULL AND event_name IS NOT NULL"""
 
 
+# Text times of the stand-in tables: UTC, or with the one offset that occurs there.
+OFFSET_TIME = """CASE WHEN CAST(updated_at AS VARCHAR) LIKE '%-03:00'
+    THEN CAST(left(CAST(updated_at AS VARCHAR), 19) AS TIMESTAMP) + INTERVAL 3 HOUR ELSE CAST(updated_at AS TIMESTAMP) END"""
+
+
 def staged_transactions(source: str) -> str:
     return f"""
 SELECT CAST(id AS VARCHAR) AS transaction_id, user_id, CAST(coalesce(amount, 0.0) AS DECIMAL(12, 2)) AS amount,
   upper(coalesce(currency, 'BRL')) AS currency, lower(coalesce(status, 'completed')) AS status,
   lower(coalesce(payment_method, 'unknown')) AS payment_method, created_at,
-  coalesce(updated_at, created_at) AS updated_at, CAST(created_at AS DATE) AS transaction_date,
+  coalesce({OFFSET_TIME}, created_at) AS updated_at, CAST(created_at AS DATE) AS transaction_date,
   CASE WHEN lower(status) IN ('completed', 'success', 'paid', 'approved') THEN 1 ELSE 0 END AS is_successful
 FROM {source} WHERE id IS NOT NULL"""
 
@@ -615,16 +624,26 @@ SELECT '#' || funnel_step_order AS step, coalesce(nullif(step_name, ''), event_n
 FROM m_funnel"""
 ORACLE["threshold_band"] = f"""
 SELECT metric_date, {band(exact1("dau_to_mau_stickiness_ratio * 100"), 15, 30)} AS stickiness_band FROM m_growth"""
-ORACLE["dashboard_json"] = """
-SELECT 'user_growth' AS section, CAST(metric_date AS VARCHAR) AS sort_key, CAST(cumulative_total_users AS DOUBLE) AS figure
-FROM m_growth
-UNION ALL SELECT 'event_funnel', lpad(CAST(funnel_step_order AS VARCHAR), 12, '0') || '|' || event_name,
-  CAST(total_events AS DOUBLE) FROM m_funnel
-UNION ALL SELECT 'revenue', metric_date || '|' || currency || '|' || payment_method,
-  CAST(cumulative_total_revenue AS DOUBLE) FROM m_revenue
-UNION ALL SELECT 'platform_split', metric_date || '|' || coalesce(platform, 'unknown'), CAST(events_count AS DOUBLE)
-FROM m_platform
-UNION ALL SELECT 'platform_totals', platform, CAST(revenue AS DOUBLE) FROM k_platform"""
+
+
+def json_fields(section: str, key: str, rows: str) -> str:
+    return f"""
+SELECT '{section}' AS section, sort_key, j.key AS field, TRY_CAST(json_extract_string(j.value, '$') AS DOUBLE) AS number,
+  CASE WHEN TRY_CAST(json_extract_string(j.value, '$') AS DOUBLE) IS NULL THEN json_extract_string(j.value, '$') END AS text
+FROM (SELECT {key} AS sort_key, to_json(t) AS line FROM ({rows}) t) l, json_each(l.line) j"""
+
+
+REPORT_LINES = {
+    "user_growth": ("t.metric_date", ORACLE["growth_series"]),
+    "event_funnel": ("lpad(CAST(t.funnel_step_order AS VARCHAR), 12, '0') || '|' || t.event_name", ORACLE["funnel_series"]),
+    "revenue": ("t.metric_date || '|' || t.currency || '|' || t.payment_method", ORACLE["revenue_series"]),
+    "platform_split": ("t.metric_date || '|' || t.platform", ORACLE["platform_series"]),
+    "platform_totals": ("t.platform", "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM k_platform"),
+}
+ORACLE["dashboard_json"] = " UNION ALL ".join(json_fields(name, *line) for name, line in REPORT_LINES.items())
+ORACLE["daily_dashboard"] = " UNION ALL ".join(f"SELECT '{name}' AS section, count(*) AS n_lines FROM ({rows})" for name, (_, rows) in REPORT_LINES.items())
+ORACLE["daily_report"] = ORACLE["dq_report"]
+ORACLE["daily_samples"] = f"SELECT line, CAST(1 AS INTEGER) AS times FROM ({ORACLE['metrics_exposition']})"
 
 # Posted events
 
@@ -658,8 +677,6 @@ FROM {source} WHERE NOT broken"""
 
 VIEWS["i_posted"] = posted("event_id % 5 = 0")
 VIEWS["i_checked"] = checked("i_posted")
-VIEWS["i_streamed"] = posted("TRUE")
-VIEWS["i_stream_checked"] = checked("i_streamed")
 
 
 def stored(source: str, user: str, extra: str = "TRUE") -> str:
@@ -682,7 +699,8 @@ ORACLE["event_id"] = "SELECT batch_id, CAST(pos AS INTEGER) AS pos, sha256(batch
 ORACLE["ingest_enrich"] = stored("i_checked", "coalesce(posted_user, auth_user)")
 ORACLE["ingest_batch_policy_atomic"] = stored("i_checked", BLANK_USER, CLEAN)
 ORACLE["ingest_batch_policy_lenient"] = stored("i_checked", BLANK_USER, NAMED)
-ORACLE["ingest_stream"] = stored("i_stream_checked", BLANK_USER, NAMED)
+ORACLE["ingest_stream"] = stored("i_checked", BLANK_USER, NAMED)
+VIEWS["i_raw"] = f"SELECT *, properties AS properties_json FROM ({stored('i_checked', BLANK_USER, NAMED)})"
 ORACLE["ingest_quarantine_lenient"] = f"""
 {BROKEN} UNION ALL SELECT batch_id, endpoint, CAST(pos AS INTEGER), 'event_name_required' FROM i_checked WHERE NOT ({NAMED})"""
 ORACLE["ingest_quarantine_atomic"] = f"""
@@ -713,3 +731,4 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(i - 1 AS INTEGER) AS item_no,
 FROM i_sdk, range(1, 4) r(i) WHERE event_type = 'purchase' AND i <= k % 4"""
 
 ORACLE = {name: with_views(sql) for name, sql in ORACLE.items()}
+ORACLE["ingest_to_growth"] = with_views("SELECT * FROM m_growth", events=staged_events("i_raw"))

@@ -13,6 +13,8 @@ from tidemark.functions.properties import merge_properties, purchase_items, type
 from tidemark.operators import accounts, activity, calendar, quality, ranking, rolling, staging
 from tidemark.operators import ingest
 from tidemark.plans import kpis, metric_queries, metrics, models, summary
+from tidemark.plans.daily import build_models, daily_run, samples_run
+from tidemark.schemas import backend_events_as_raw
 from tidemark.session import scratch_path
 from tidemark.sinks import materialize_mart, register_raw, write_snapshots, write_text
 from tidemark.sources import ga4_normalize, read_parquet_raw, testdata, union_event_sources
@@ -65,6 +67,19 @@ class Tables:
     def transactions(self) -> DataFrame:
         return staging.stg_transactions(self.raw_transactions)
 
+    @cached_property
+    def activity(self) -> DataFrame:
+        """The rollup of the events, written once; what is built on it reads the wide events no more."""
+        path = scratch_path(self.spark, "activity")
+        activity.activity_rollup(self.events).write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def stored(self) -> dict[str, DataFrame]:
+        """The models, each written once from the rollup."""
+        models_ = build_models(self.users, self.activity, self.transactions)
+        return {name: read_written(df, name) for name, df in models_.items()}
+
     @cached_property
     def journey(self) -> DataFrame:
         return models.int_user_journey(self.users, self.events, self.transactions)
@@ -86,6 +101,12 @@ class Tables:
         return models.mart_platform_split(self.users, self.events, self.transactions)
 
 
+def read_written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def on_tables(name: str) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
     """Registers a query that needs only the tables of its scale."""
 
@@ -239,11 +260,7 @@ def _dq_report(t: Tables) -> DataFrame:
             "stg_users": t.users,
             "stg_events": t.events,
             "stg_transactions": t.transactions,
-            "int_user_journey": t.journey,
-            "mart_user_growth": t.growth,
-            "mart_event_funnel": t.funnel,
-            "mart_revenue": t.revenue,
-            "mart_platform_split": t.platform,
+            **t.stored,
         },
         derived=staging.same_key_derivations(),
     )
@@ -264,7 +281,15 @@ def sample_rows(samples: DataFrame) -> DataFrame:
 
 
 def all_samples(t: Tables) -> DataFrame:
-    return metrics.metric_samples(t.growth, t.revenue, t.funnel, t.platform, ts_ms=TS_MS)
+    """Samples from tables that share one rollup; each table is computed once, for its latest rows."""
+    users, events, paid = t.users, t.activity, t.transactions
+    return metrics.metric_samples(
+        models.mart_user_growth(users, events),
+        t.revenue,
+        models.mart_event_funnel(events),
+        models.mart_platform_split(users, events, paid),
+        ts_ms=TS_MS,
+    )
 
 
 _simple(
@@ -379,7 +404,9 @@ _simple(
     kpi_revenue_orders=lambda t: kpis.kpi_revenue(
         models.mart_revenue(staging.stg_transactions(testdata.raw_order_transactions(t.spark, t.sf_dir)))
     ),
-    dashboard_kpis=lambda t: kpis.dashboard_kpis(t.growth, t.funnel, t.revenue),
+    dashboard_kpis=lambda t: kpis.dashboard_kpis(
+        models.mart_user_growth(t.users, t.activity), models.mart_event_funnel(t.activity), t.revenue
+    ),
     growth_series=lambda t: kpis.growth_series(t.growth),
     funnel_series=lambda t: kpis.funnel_series(t.funnel),
     revenue_series=lambda t: kpis.revenue_series(t.revenue),
@@ -398,30 +425,57 @@ _simple(
     ),
 )
 
-HEADLINES = {
-    "user_growth": "cumulative_total_users",
-    "event_funnel": "total_events",
-    "revenue": "cumulative_total_revenue",
-    "platform_split": "events_count",
-    "platform_totals": "revenue",
-}
+def json_fields(lines: DataFrame) -> DataFrame:
+    """Every field of every JSON line: a number, a text, or neither for null."""
+    fields = F.explode(F.from_json("json", "map<string,string>"))
+    number = F.col("value").try_cast("double")
+    split = lines.select("section", "sort_key", fields.alias("field", "value"))
+    return split.select("section", "sort_key", "field", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text"))
 
 
 @on_tables("dashboard_json")
 def _dashboard_json(t: Tables) -> DataFrame:
-    """The JSON lines, read back as one figure per section."""
-    figure: Column | None = None
-    for section, field in HEADLINES.items():
-        value = F.get_json_object("json", f"$.{field}").cast("double")
-        figure = (F if figure is None else figure).when(F.col("section") == section, value)
-    lines = kpis.dashboard_json(t.growth, t.funnel, t.revenue, t.platform)
-    return lines.select("section", "sort_key", figure.alias("figure"))
+    """The JSON lines of the stored tables, read back field by field."""
+    names = ("mart_user_growth", "mart_event_funnel", "mart_revenue", "mart_platform_split")
+    return json_fields(kpis.dashboard_json(*(t.stored[n] for n in names)))
+
+
+# The daily run, read back from what it published
+
+
+def _daily(t: Tables):
+    raw = {"users": t.raw_users, "analytics_events": t.raw_events, "transactions": t.raw_transactions}
+    return daily_run(t.spark, raw, scratch_path(t.spark, "daily"), ts_ms=TS_MS, check=False)
+
+
+@on_tables("daily_report")
+def _daily_report(t: Tables) -> DataFrame:
+    return _daily(t).report
+
+
+@on_tables("daily_samples")
+def _daily_samples(t: Tables) -> DataFrame:
+    """The pushed text of a run, and that of the samples-only job on its tables (both lines once)."""
+    folder = scratch_path(t.spark, "daily")
+    raw = {"users": t.raw_users, "analytics_events": t.raw_events, "transactions": t.raw_transactions}
+    pushed = daily_run(t.spark, raw, folder, ts_ms=TS_MS, check=False).metrics_path
+    again = samples_run(t.spark, folder, f"{folder}/samples_again", TS_MS)
+    lines = [t.spark.read.text(path).select(F.col("value").alias("line")) for path in (pushed, again)]
+    return lines[0].union(lines[1]).groupBy("line").agg((F.count(F.lit(1)) / 2).cast("int").alias("times"))
+
+
+@on_tables("daily_dashboard")
+def _daily_dashboard(t: Tables) -> DataFrame:
+    """Figures of the report lines of a run: lines and characters per section."""
+    lines = t.spark.read.text(_daily(t).dashboard_path)
+    return lines.groupBy("section").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 # Posted events
 
 
 def _envelopes(t: Tables) -> DataFrame:
+    t.spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return testdata.envelopes(t.spark, t.sf_dir)
 
 
@@ -460,32 +514,35 @@ _simple(
         ingest.ingest_explode_batch(ingest.parse_body(_envelopes(t))), user_fallback="null"
     ),
     ingest_batch_policy_atomic=lambda t: ingest.ingest_batch_policy(_envelopes(t), "atomic")[0],
-    ingest_batch_policy_lenient=lambda t: ingest.ingest_batch_policy(_envelopes(t), "lenient", None)[0],
+    ingest_batch_policy_lenient=lambda t: ingest.ingest_batch_policy(_envelopes(t), "lenient")[0],
     ingest_quarantine_atomic=lambda t: rejected_rows(ingest.ingest_batch_policy(_envelopes(t), "atomic")[1]),
-    ingest_quarantine_lenient=lambda t: rejected_rows(ingest.ingest_batch_policy(_envelopes(t), "lenient", None)[1]),
+    ingest_quarantine_lenient=lambda t: rejected_rows(ingest.ingest_batch_policy(_envelopes(t), "lenient")[1]),
 )
 
 
-@on_tables("ingest_stream")
-def _ingest_stream(t: Tables) -> DataFrame:
-    """All events posted one by one as a file stream, handled to the end; what was stored."""
-    schema = testdata.table(t.spark, t.sf_dir, "events").schema
-    arriving = (
-        t.spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(t.sf_dir)
-    )
+def _streamed(t: Tables) -> str:
+    """Posted events and batches as a file stream, handled to the end; the folder with what was stored."""
     folder = scratch_path(t.spark, "stream")
+    posts = _envelopes(t)
+    posts.write.parquet(f"{folder}/posts")
+    arriving = t.spark.readStream.schema(posts.schema).parquet(f"{folder}/posts")
     running = ingest_stream(
-        testdata.single_envelopes(arriving),
-        f"{folder}/events",
-        f"{folder}/quarantine",
-        f"{folder}/checkpoint",
-        policy="lenient",
-        once=True,
+        arriving, f"{folder}/events", f"{folder}/quarantine", f"{folder}/checkpoint", policy="lenient", once=True
     )
     running.awaitTermination()
-    return read_ingested(t.spark, f"{folder}/events")
+    return folder
+
+
+@on_tables("ingest_stream")
+def _ingest_stream(t: Tables) -> DataFrame:
+    return read_ingested(t.spark, f"{_streamed(t)}/events").drop("arrival_date")
+
+
+@on_tables("ingest_to_growth")
+def _ingest_to_growth(t: Tables) -> DataFrame:
+    """From stored posts through the staged events to a published table."""
+    stored = read_ingested(t.spark, f"{_streamed(t)}/events")
+    return models.mart_user_growth(t.users, staging.stg_events(backend_events_as_raw(stored)))
 
 
 @query("merge_properties")

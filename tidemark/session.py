@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Of repeated keys in a posted body the last counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -38,6 +40,12 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone!r}")
 
 
+def require_repeated_keys(spark: SparkSession) -> None:
+    """Posted bodies may repeat a key; without the setting they would be turned away."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys").lower() != "true":
+        raise ValueError("set spark.sql.variant.allowDuplicateKeys to true (it can be set in a running session)")
+
+
 @cache
 def _local_dir(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="tidemark-")

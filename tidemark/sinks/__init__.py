@@ -1,10 +1,12 @@
 from tidemark.sinks.ingested import store_ingested
-from tidemark.sinks.tables import materialize_mart, register_raw, write_snapshot, write_snapshots
+from tidemark.sinks.tables import materialize_mart, read_published, register_raw, stage_mart, write_snapshot, write_snapshots
 from tidemark.sinks.text import write_dashboard_json, write_text
 
 __all__ = [
     "materialize_mart",
+    "read_published",
     "register_raw",
+    "stage_mart",
     "store_ingested",
     "write_dashboard_json",
     "write_snapshot",

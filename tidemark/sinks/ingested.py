@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidemark.operators.ingest import MAX_BATCH, accepted_events, ingest_outcomes, rejected_events
+from tidemark.operators.ingest import accepted_events, ingest_outcomes, rejected_events
+
+# Stored rows lie by day of arrival, and below that by the micro-batch that wrote them.
+LAYOUT = ("arrival_date", "epoch")
 
 
 def store_ingested(
@@ -13,13 +17,23 @@ def store_ingested(
     out: str,
     quarantine: str,
     policy: str = "atomic",
-    max_items: int | None = MAX_BATCH,
+    max_items: int | None = None,
     user_fallback: str = "blank",
+    epoch: int = 0,
 ) -> None:
-    """Checks posted envelopes once and replaces both folders with the two results."""
+    """Checks posted envelopes once and writes both results by day of arrival, few files per day.
+
+    What the same ``epoch`` wrote for these days before is replaced, other epochs stay.
+    """
     outcomes = ingest_outcomes(envelopes, policy, max_items).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        accepted_events(outcomes, user_fallback).write.mode("overwrite").parquet(out)
-        rejected_events(outcomes).write.mode("overwrite").parquet(quarantine)
+        _write(accepted_events(outcomes, user_fallback), "created_at", out, epoch)
+        _write(rejected_events(outcomes), "arrival_ts", quarantine, epoch)
     finally:
         outcomes.unpersist()
+
+
+def _write(rows: DataFrame, arrival: str, path: str, epoch: int) -> None:
+    dated = rows.withColumn("arrival_date", F.to_date(arrival)).withColumn("epoch", F.lit(epoch).cast("bigint"))
+    writer = dated.hint("rebalance", "arrival_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*LAYOUT).parquet(path)

@@ -1,33 +1,25 @@
-"""Parquet snapshots, raw views and published tables. Each write replaces the old content."""
+"""Parquet snapshots, raw views and published tables."""
 
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None, keep_others: bool = False) -> str:
+def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None) -> str:
     """Writes Parquet; with ``partition_by`` one folder per value.
 
     Rows are gathered by that value first, or every task would write a file per
-    value; a value with very many rows is split again by its size. With
-    ``keep_others`` only the values present in ``df`` are replaced.
+    value; a value with very many rows is split again by its size.
     """
-    if not partition_by:
-        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-        return path
-    (
-        df.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    writer = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite").option("compression", "snappy")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return path
 
 
@@ -55,11 +47,67 @@ def register_raw(spark: SparkSession, paths: Mapping[str, str]) -> list[str]:
     return names
 
 
-def materialize_mart(
-    df: DataFrame, name: str, path: str, partition_by: str | None = None, keep_others: bool = False
-) -> DataFrame:
-    """Publish a table at ``path``, replace the view of its name, return it as read back."""
-    write_snapshot(df, path, partition_by, keep_others)
-    written = df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
-    written.createOrReplaceTempView(name)
-    return written
+# A published table is a folder of versions; a version counts from the moment its mark is there.
+VERSION = re.compile(r"v\d{12}")
+MARK = "_PUBLISHED"
+
+
+def _files(spark: SparkSession, path: str):
+    """(file system, path) by Spark's own reader, which knows every store that tables can lie in."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def _versions(spark: SparkSession, path: str, published: bool = True) -> list[str]:
+    fs, there = _files(spark, path)
+    if not fs.exists(there):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(there) if s.isDirectory()]
+    names = sorted(n for n in names if VERSION.fullmatch(n))
+    return [n for n in names if fs.exists(_files(spark, f"{path}/{n}/{MARK}")[1])] if published else names
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A written version of a table that no reader sees until ``release``."""
+
+    name: str
+    path: str
+    version: str
+    rows: DataFrame
+
+    def release(self, keep: int = 2) -> DataFrame:
+        """Makes the version the current one and the view of its name; all but the last ``keep`` are removed."""
+        spark = self.rows.sparkSession
+        fs, mark = _files(spark, f"{self.path}/{self.version}/{MARK}")
+        fs.create(mark, True).close()
+        current = _versions(spark, self.path)[-max(1, keep) :]
+        for name in _versions(spark, self.path, published=False):
+            if name < current[0]:
+                fs.delete(_files(spark, f"{self.path}/{name}")[1], True)
+        self.rows.createOrReplaceTempView(self.name)
+        return self.rows
+
+
+def stage_mart(df: DataFrame, name: str, path: str, partition_by: str | None = None) -> Staged:
+    """Writes a new version of the table at ``path`` next to the published ones."""
+    spark = df.sparkSession
+    taken = _versions(spark, path, published=False)
+    version = f"v{int(taken[-1][1:]) + 1 if taken else 1:012d}"
+    write_snapshot(df, f"{path}/{version}", partition_by)
+    return Staged(name, path, version, spark.read.schema(df.schema).parquet(f"{path}/{version}").select(df.columns))
+
+
+def materialize_mart(df: DataFrame, name: str, path: str, partition_by: str | None = None) -> DataFrame:
+    """Publishes a table at ``path`` as a new version and returns it as read back.
+
+    Readers see the old version until the new one is complete; a failed write leaves the
+    old one. One writer at a time.
+    """
+    return stage_mart(df, name, path, partition_by).release()
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current version of a published table, in any session; None if there is none."""
+    versions = _versions(spark, path)
+    return spark.read.parquet(f"{path}/{versions[-1]}") if versions else None

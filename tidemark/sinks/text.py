@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_text(exposition: DataFrame, path: str) -> str:
-    """Exposition lines in order, as one text file (a few lines per published row)."""
-    ordered = exposition.repartition(1).sortWithinPartitions("ord", "line_in_sample")
+def write_text(exposition: DataFrame, path: str, one_file: bool = False) -> str:
+    """Exposition lines as text files, in order if the files are read by name.
+
+    ``one_file`` puts all lines through one task, for receivers that take a single body.
+    """
+    order = ["ord", "line_in_sample"]
+    ranged = exposition.coalesce(1) if one_file else exposition.repartitionByRange(*order)
+    ordered = ranged.sortWithinPartitions(*order)
     ordered.select("line").write.mode("overwrite").text(path)
     return path
 

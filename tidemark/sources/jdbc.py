@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from urllib.parse import quote_plus
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Driver names, default ports, wait for a connection.
@@ -14,6 +12,9 @@ DEFAULT_PORTS = {"mysql": 3306, "postgresql": 5432}
 DRIVER_CLASSES = {"mysql": "com.mysql.cj.jdbc.Driver", "postgresql": "org.postgresql.Driver"}
 CONNECT_TIMEOUT_SECONDS = 15
 FETCH_ROWS = 10_000
+# A hash of a column as a number that is not negative.
+HASHES = {"mysql": "CRC32({column})", "postgresql": "ABS(HASHTEXT(CAST({column} AS TEXT))::BIGINT)"}
+ROWS_PER_TASK = 500_000
 
 
 @dataclass(frozen=True)
@@ -43,11 +44,6 @@ class JdbcSource:
             return f"jdbc:mysql://{self.host}:{port}/{self.database}?{wait}&characterEncoding=utf8"
         return f"jdbc:postgresql://{self.host}:{port}/{self.database}?connectTimeout={CONNECT_TIMEOUT_SECONDS}"
 
-    @property
-    def quoted_password(self) -> str:
-        """The password as it must appear inside a URL."""
-        return quote_plus(self.password)
-
     def options(self) -> dict[str, str]:
         return {
             "url": self.url,
@@ -77,41 +73,62 @@ class Split:
         }
 
 
+@dataclass(frozen=True)
+class HashSplit:
+    """Cuts a table by a hash of any id column, computed by the database."""
+
+    column: str
+    parts: int
+
+    def predicates(self, dialect: str) -> list[str]:
+        """One condition per part; each row with or without an id fulfils exactly one."""
+        number = HASHES[dialect].format(column=self.column)
+        conditions = [f"MOD({number}, {self.parts}) = {part}" for part in range(self.parts)]
+        return [f"{conditions[0]} OR {self.column} IS NULL", *conditions[1:]]
+
+
 def read_jdbc_table(
     spark: SparkSession,
     source: JdbcSource,
     table: str,
     columns: Sequence[str] | None = None,
-    split: Split | None = None,
+    split: Split | HashSplit | None = None,
 ) -> DataFrame:
     """A whole table, lazily; filters on it and the column list reach the database.
 
     Without ``split`` one task reads everything: give one for large tables
-    (``id_split`` finds the bounds).
+    (``id_split`` and ``hash_split`` find the parts). Parts are sized by rows; how many
+    are read at a time is the number of executor cores, which is what bounds the connections.
     """
-    options = source.options() | {"dbtable": table} | (split.options() if split else {})
-    df = spark.read.format("jdbc").options(**options).load()
+    if isinstance(split, HashSplit):
+        options = source.options()
+        url = options.pop("url")
+        df = spark.read.jdbc(url, table, predicates=split.predicates(source.dialect), properties=options)
+    else:
+        options = source.options() | {"dbtable": table} | (split.options() if split else {})
+        df = spark.read.format("jdbc").options(**options).load()
     return df.select(*columns) if columns else df
 
 
+def _ask(spark: SparkSession, source: JdbcSource, query: str):
+    return spark.read.format("jdbc").options(**source.options(), dbtable=f"({query}) answer").load().first()
+
+
 def id_split(
-    spark: SparkSession,
-    source: JdbcSource,
-    table: str,
-    column: str = "id",
-    rows_per_task: int = 500_000,
-    most_tasks: int = 256,
+    spark: SparkSession, source: JdbcSource, table: str, column: str = "id", rows_per_task: int = ROWS_PER_TASK
 ) -> Split | None:
-    """Bounds of an id column, asked of the database; None for an empty table.
+    """Bounds of a numeric id column, asked of the database; None for an empty table."""
+    low, high = _ask(spark, source, f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}")
+    return None if low is None else split_range(column, int(low), int(high), rows_per_task)
 
-    ``most_tasks`` limits the connections, not the rows: larger tables get larger parts.
-    """
-    query = f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) bounds"
-    low, high = spark.read.format("jdbc").options(**source.options(), dbtable=query).load().first()
-    if low is None:
-        return None
-    return split_range(column, int(low), int(high), rows_per_task, most_tasks)
+
+def split_range(column: str, low: int, high: int, rows_per_task: int = ROWS_PER_TASK) -> Split:
+    return Split(column, low, high + 1, (high - low) // rows_per_task + 1)
 
 
-def split_range(column: str, low: int, high: int, rows_per_task: int, most_tasks: int) -> Split:
-    return Split(column, low, high + 1, min(most_tasks, (high - low) // rows_per_task + 1))
+def hash_split(
+    spark: SparkSession, source: JdbcSource, table: str, column: str = "id", rows_per_task: int = ROWS_PER_TASK
+) -> HashSplit:
+    """Parts of a table whose id is text, by its number of rows."""
+    (rows,) = _ask(spark, source, f"SELECT COUNT(*) AS n FROM {table}")
+    return HashSplit(column, int(rows) // rows_per_task + 1)

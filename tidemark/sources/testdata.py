@@ -52,13 +52,14 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id AS id",
         "CASE WHEN event_id % 53 <> 0 THEN CAST(IF(event_id % 97 = 0, user_id + 10000000, user_id) AS STRING) END "
         "AS user_id",
-        "value AS amount",
+        "CASE WHEN event_id % 3 = 0 THEN floor(value * 10) / 10 + 0.005 ELSE value END AS amount",
         "CASE user_id % 3 WHEN 0 THEN 'brl' WHEN 1 THEN 'USD' END AS currency",
         "CASE floor(value) % 6 WHEN 0 THEN 'Completed' WHEN 1 THEN 'PAID' WHEN 2 THEN 'pending' "
         "WHEN 3 THEN 'failed' WHEN 4 THEN 'approved' END AS status",
         "CASE event_id % 4 WHEN 0 THEN 'PIX' WHEN 1 THEN 'credit_card' WHEN 2 THEN 'paypal' END AS payment_method",
         "ts AS created_at",
-        "CAST(NULL AS TIMESTAMP_NTZ) AS updated_at",
+        "CASE event_id % 5 WHEN 0 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'-03:00'\") "
+        "WHEN 1 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') END AS updated_at",
     )
 
 
@@ -126,13 +127,19 @@ def _request(batch_no: Column) -> list[Column]:
 
 
 def single_envelopes(events: DataFrame) -> DataFrame:
-    """Each event posted alone, an hour after it happened; some bodies are no JSON."""
+    """Each event posted alone, an hour after it happened.
+
+    Some bodies are no JSON or have text behind them, some start with white space or
+    repeat a key.
+    """
     number = F.col("event_id")
-    broken = number % 35 == 0
+    garbage = F.when(number % 70 == 0, '{"event_name":"a"},0] garbage').when(number % 105 == 0, '{"event_name":"a"},0],[')
+    spaced = F.when(number % 15 == 0, "\n\t ").otherwise("")
+    body = F.when(number % 25 == 0, F.concat(F.lit('{"platform":"old",'), F.substr(_event_body(), F.lit(2)))).otherwise(_event_body())
     return events.select(
         F.concat(F.lit("e"), number.cast("string")).alias("batch_id"),
         F.lit("event").alias("endpoint"),
-        F.when(broken, "{not json").otherwise(_event_body()).alias("value"),
+        F.when(number % 35 == 0, garbage.otherwise("{not json")).otherwise(F.concat(spaced, body)).alias("value"),
         (F.col("ts") + F.make_dt_interval(hours=F.lit(1))).alias("arrival_ts"),
         *_request(number),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.ingest import MAX_BATCH
+from tidemark.operators.ingest import ENVELOPE_SCHEMA, accepted_events, ingest_outcomes, rejected_events
 from tidemark.sinks import store_ingested
 
 
@@ -15,26 +15,29 @@ def ingest_stream(
     quarantine: str,
     checkpoint: str,
     policy: str = "atomic",
-    max_items: int | None = MAX_BATCH,
+    max_items: int | None = None,
     user_fallback: str = "blank",
     once: bool = False,
 ) -> StreamingQuery:
     """Checks a stream of envelopes and appends stored events and quarantine rows.
 
-    Bodies are parsed once per micro-batch. Each micro-batch owns one folder per
-    target and replaces it when it runs again, so a restart adds nothing twice.
-    ``once`` handles what is there and stops.
+    Bodies are parsed once per micro-batch. Rows lie by day of arrival; each
+    micro-batch replaces its own part of a day when it runs again, so a restart adds
+    nothing twice. ``once`` handles what is there and stops.
     """
 
     def store(batch: DataFrame, epoch: int) -> None:
-        store_ingested(
-            batch, f"{out}/epoch={epoch}", f"{quarantine}/epoch={epoch}", policy, max_items, user_fallback
-        )
+        store_ingested(batch, out, quarantine, policy, max_items, user_fallback, epoch)
 
     writer = envelopes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def read_ingested(spark: SparkSession, path: str) -> DataFrame:
-    """All rows that ``ingest_stream`` has written to one of its targets."""
-    return spark.read.parquet(path).drop("epoch")
+def read_ingested(spark: SparkSession, path: str, rejected: bool = False) -> DataFrame:
+    """All rows that ``ingest_stream`` has written to one of its targets, even none.
+
+    A filter on ``arrival_date`` reads only these days.
+    """
+    no_posts = ingest_outcomes(spark.createDataFrame([], ENVELOPE_SCHEMA), "lenient")
+    schema = (rejected_events if rejected else accepted_events)(no_posts).schema.add("arrival_date", "date").add("epoch", "long")
+    return spark.read.schema(schema).parquet(path).drop("epoch")
