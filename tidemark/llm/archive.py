@@ -101,7 +101,9 @@ def write_archive(pages: DataFrame, path: str, least_revisit: int = 0, id_column
     # one copy per digest: that of its owner; ids repeat only in repeated rows
     owned = owners.select(F.col("owner.page_id").alias("owner_id"), "sha256")
     found = rows.join(owned, rows.page_id.eqNullSafe(owned.owner_id) & (F.sha2(rows.payload, 256) == owned.sha256)).select("sha256", "payload")
-    found.dropDuplicates(["sha256"]).write.parquet(f"{path}/payloads")
+    # only repeated rows can bring a payload twice; payloads move once more if there are any
+    repeated = digests.groupBy("page_id", "sha256").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    (found.dropDuplicates(["sha256"]) if repeated else found).write.parquet(f"{path}/payloads")
     return spark.read.schema("sha256 string, kind string, header binary").parquet(f"{path}/records"), spark.read.schema("sha256 string, payload binary").parquet(f"{path}/payloads")
 
 
