@@ -94,6 +94,7 @@ ORACLE["read_parquet_raw"] = "SELECT * FROM events"
 ORACLE["write_snapshot"] = "SELECT * FROM v_raw_users"
 ORACLE["register_raw"] = """
 SELECT 'raw_users' AS table_name, count(*) AS row_count FROM v_raw_users
+UNION ALL SELECT 'raw_analytics_events', count(*) FROM v_raw_events
 UNION ALL SELECT 'raw_transactions', count(*) FROM v_raw_tx"""
 
 # Staging

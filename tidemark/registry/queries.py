@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,10 +145,10 @@ def _write_snapshot(t: Tables) -> DataFrame:
 
 @on_tables("register_raw")
 def _register_raw(t: Tables) -> DataFrame:
-    loads = {"users": lambda: t.raw_users, "transactions": lambda: t.raw_transactions}
+    loads = {"users": lambda: t.raw_users, "analytics_events": lambda: t.raw_events, "transactions": lambda: t.raw_transactions}
     names = register_raw(t.spark, write_snapshots(loads, scratch_path(t.spark, "register")))
     counts = [t.spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n in names]
-    return counts[0].union(counts[1])
+    return reduce(DataFrame.union, counts)
 
 
 @on_tables("materialize_mart")
