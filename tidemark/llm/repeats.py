@@ -27,7 +27,7 @@ from tidemark.llm.tables import cut, table
 
 WINDOW = 200
 GRAM = 32
-LONGER_GRAMS = (96, 160, WINDOW)
+LONGER_GRAMS = (128, 176, 192, WINDOW)
 LONGEST_RUN = 512  # windows in a segment
 GROUP = 512  # distinct contents of one hash that are sorted together
 SHARD_BYTES = 500_000
