@@ -28,6 +28,7 @@ from tidemark.llm.tables import cut, table
 WINDOW = 200
 GRAM = 32
 LONGER_GRAMS = (128, 176, 192, WINDOW)
+SEGMENT_BYTES = 1_000_000  # text handled at a time; the arrays on it take about 150 bytes for each
 LONGEST_RUN = 512  # windows in a segment
 GROUP = 512  # distinct contents of one hash that are sorted together
 SHARD_BYTES = 500_000
@@ -79,7 +80,7 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def _by_block(batch: pa.RecordBatch) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
     data, offsets = text_buffer(batch.column("text"))
-    for low, _, part, part_offsets in blocks(data, offsets):
+    for low, _, part, part_offsets in blocks(data, offsets, SEGMENT_BYTES):
         yield low, segments(part, part_offsets, GRAM)
 
 
@@ -209,7 +210,7 @@ def _divide(contents: DataFrame, gram: int) -> DataFrame:
             raw = batch.column("bytes").to_pylist()
             offsets = np.concatenate([[0], np.cumsum([len(b) for b in raw])]).astype(np.int64)
             data = np.frombuffer(b"".join(raw), np.uint8)
-            for low, high, part, part_offsets in blocks(data, offsets):
+            for low, _, part, part_offsets in blocks(data, offsets, SEGMENT_BYTES):
                 s = segments(part, part_offsets, gram)
                 row = low + s["row"]
                 at, base = pa.array(row), np.asarray(batch.column("start"))[row]
