@@ -1,12 +1,13 @@
-"""The numbered operators as queries over the test tables, and SQL where SQL can express them."""
+"""The numbered operators as queries over the test tables."""
 
 from __future__ import annotations
 
-from tidemark.llm.archive import OP4_SQL, op4_content_archive
+from tidemark.llm.archive import op4_content_archive
 from tidemark.llm.decontaminate import op1_benchmark_decontamination
 from tidemark.llm.fingerprints import op8_fingerprints
 from tidemark.llm.html import op5_html_main_text
 from tidemark.llm.jaccard import op2_ngram_jaccard
+from tidemark.llm.oracle import ORACLE
 from tidemark.llm.repeats import op10_suffix_array_dedup
 from tidemark.llm.secrets import op7_secret_scan
 from tidemark.llm.sentencepieces import op6_sentencepieces
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
-ORACLE: dict[str, str] = {"op4_content_archive": OP4_SQL}
+__all__ = ["ORACLE", "QUERIES"]
