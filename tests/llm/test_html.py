@@ -32,6 +32,7 @@ LONG = "This sentence stands in the article and is long enough to count as text,
         (f"<div class='cookie-notice'><p>{LONG}</p></div><main><h1>Title</h1><p>{LONG}</p><section id=comments><p>{LONG}</p></section></main>", f"Title\n{LONG.strip()}"),
         (f"<article><header><h1>Title</h1></header><p>{LONG}</p><form><p>{LONG}</p></form>", f"Title\n{LONG.strip()}"),
         (f"<ARTICLE><P>{LONG}<!-- <p>no</p> --><BR>x</P><div class=\"sidebar\">{LONG}", f"{LONG.strip()} x"),
+        (f"<body class='has-sidebar comments-open'><article class='post comments-closed'><p>{LONG}</p></article><article class='comment'><p>{LONG}</p></article>", LONG.strip()),
         ("<p>3 < 4 and <b>bold", "3 < 4 and bold"),
         ("&amp", "&"),
     ],

@@ -35,6 +35,7 @@ SIDE_WORDS = set(
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+COMMENT = re.compile(r"""[\s"'=]comments?(?:-(?:body|item|\d+))?(?=[\s"'>]|\Z)""", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
 _LAST = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE) for name in RAW}
 
@@ -115,8 +116,8 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
         if name in VOID or m[3].endswith("/"):
             continue
         hides = name in SIDE or (name in BLOCKS or name == "span") and names_side(m[3], article > 0)
-        if name in ("article", "main"):
-            hides = "comment" in m[3].lower()
+        if name in ("article", "main", "body", "html"):  # their classes describe the page, save for single comments
+            hides = COMMENT.search(m[3]) is not None
         if name == "header" and article:
             hides = False  # the heading of the article itself
         if hides or name in ("article", "main", "a", "div", "section", "ul", "ol", "span") or name in SIDE:
