@@ -79,7 +79,8 @@ def test_null_ids_repeated_rows_and_clashing_columns(spark):
 def test_exact_threshold():
     # 8 of 10 shingles shared is a link, 7 of 9 is none
     assert jaccard.least_overlap(9, 9) == 8
-    assert jaccard.prefix_size(10) == 3
+    assert (jaccard.prefix_size(10), jaccard.needed(10), jaccard.prefix_size(1), jaccard.needed(1)) == (3, 1, 1, 1)
+    assert (jaccard.shared_at_least(100), jaccard.prefix_size(100), jaccard.needed(100)) == (10, 30, 8)
     for x in range(1, 60):
         for y in range(1, 60):
             need = jaccard.least_overlap(x, y)

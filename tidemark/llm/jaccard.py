@@ -4,9 +4,13 @@ A document that reaches the similarity shares at least T of its n shingles. So i
 one of any n - T + 1 of them: its rarest ones, whose short inverted lists are merged on a
 heap, while the T - 1 long lists are only probed by binary search for the candidates.
 
-Short lists meet by a shuffle on shingles; documents that share one there fall into
-clusters, and each cluster is searched in a task of its own. A cluster too large for a
-task is first drawn together by links to pivots; what stays apart is searched in blocks.
+Over all documents the same count prunes before any pair is looked at. In one order of
+all shingles, of two linked documents that have n - T + L of their first shingles looked
+up each, one shares L of them with the other. So only first shingles meet in a shuffle,
+and a document with fewer than L shared ones is done. The others fall into clusters by
+the lists they stand in, and each cluster is searched in a task of its own. In a cluster
+too large for a task, documents are first linked to the leads of their lists; only those
+that can have a link to another component are searched further.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +35,9 @@ FREQUENT_TERMS = 100_000  # at most so many shingles (0.8 MB) are known to be fr
 FREQUENT_COUNT = 32
 TASK_SUMMARY = 50_000
 BLOCK = 256  # documents searched together
-PIVOTS = 8
-PIVOT_ROUNDS = 3
+BROADCAST_ROWS = 200_000  # members known to every task, up to so many (about 20 MB)
+STAR_ROUNDS = 2
+LEADS = 3  # a document of a large cluster is first compared with so many
 
 _IN_WORD = byte_class(lambda b: b != 32 and not 9 <= b <= 13)
 
@@ -65,9 +71,24 @@ def least_overlap(x, y, percent: int = PERCENT):
     return -(-(percent * (x + y)) // (100 + percent))
 
 
+def _spare(n, percent: int = PERCENT):
+    """n - T for the least T of any partner: how many shingles a linked document may have for itself."""
+    return n + (-(percent * n) // 100)
+
+
+def shared_at_least(n, percent: int = PERCENT):
+    """L: of its first n - T + L shingles a document shares so many with a linked one whose last of these comes no earlier."""
+    return np.maximum(1, _spare(n, percent) // 2)
+
+
 def prefix_size(n, percent: int = PERCENT):
-    """n - T + 1 for the least T of any partner."""
-    return n + (-(percent * n) // 100) + 1
+    """n - T + L shingles are looked up."""
+    return _spare(n, percent) + shared_at_least(n, percent)
+
+
+def needed(n, percent: int = PERCENT):
+    """Fewest shared first shingles of a document with any link: L of the smallest partner."""
+    return shared_at_least(-(-(percent * n) // 100), percent)
 
 
 def _prints(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,8 +142,8 @@ def _describe(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _postings(rows: DataFrame, frequent) -> DataFrame:
-    """(token, ref) of each set's n - T + 1 first shingles: by hash, those known to be frequent last."""
+def _postings(rows: DataFrame, frequent, often: bool) -> DataFrame:
+    """(token, ref) of each set's n - T + L first shingles, by hash, those known to be frequent last; only these or only the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = frequent.value
@@ -135,11 +156,13 @@ def _postings(rows: DataFrame, frequent) -> DataFrame:
                     found = member(value, known)
                     late[found] = rank[np.searchsorted(known, value[found])]
                     order = np.lexsort((late, row))  # stable: by hash where equal
-                    value = value[order]
+                    value, late = value[order], late[order]
                 once = np.zeros(len(sizes), bool)
                 once[np.unique(ref, return_index=True)[1]] = True
                 take = np.where(once & (sizes > 0), prefix_size(sizes), 0)
-                yield pa.RecordBatch.from_arrays([pa.array(value[ranges(first[:-1], take)].view(np.int64)), pa.array(np.repeat(ref, take))], ["token", "ref"])
+                at = ranges(first[:-1], take)
+                ours = (late[at] > 0) == often
+                yield pa.RecordBatch.from_arrays([pa.array(value[at[ours]].view(np.int64)), pa.array(np.repeat(ref, take)[ours])], ["token", "ref"])
 
     return rows.mapInArrow(run, "token long, ref long")
 
@@ -266,25 +289,25 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
 
 
 def _compare(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """Links of each row of kind 1 to the few pivots (kind 0) of its group; only the pivots are held."""
+    """Links of each row of kind 1 to the few documents of kind 0 of its group; only these are held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, pivots = None, {}
+        key, heads = None, {}
         for batch in batches:
             links = []
             names = list(zip(*(batch.column(k).to_pylist() for k in keys)))
             kinds, nodes, sets = batch.column("kind").to_pylist(), batch.column("node").to_pylist(), batch.column("set")
             for i, name in enumerate(names):
                 if name != key:
-                    key, pivots = name, {}
+                    key, heads = name, {}
                 values = np.frombuffer(sets[i].as_py(), U64)
                 if kinds[i] == 0:
-                    pivots[nodes[i]] = values
+                    heads[nodes[i]] = values
                     continue
-                for node, pivot in pivots.items():
-                    need = least_overlap(len(values), len(pivot), percent)
-                    if node != nodes[i] and need <= min(len(values), len(pivot)):
-                        if len(np.intersect1d(values, pivot, assume_unique=True)) >= need:
+                for node, head in heads.items():
+                    need = least_overlap(len(values), len(head), percent)
+                    if node != nodes[i] and need <= min(len(values), len(head)):
+                        if len(np.intersect1d(values, head, assume_unique=True)) >= need:
                             links.append((nodes[i], node))
             yield _links_batch(links)
 
@@ -292,32 +315,89 @@ def _compare(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return ordered.mapInArrow(run, LINK)
 
 
-def _large_links(large: DataFrame, percent: int) -> DataFrame:
+def _star_links(large: DataFrame, postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links of each document to the documents that lead most of its lists: a few checks per document."""
+    sets = large.select("node", "set").join(classes.select("node", "ref"), "node")
+    sets = cut(sets, "large-sets")
+    held = postings.join(sets.select("ref"), "ref")
+    led = held.join(cut(_lists(held), "lists"), "token").where("ref <> lead").groupBy("ref", "lead").agg(F.count("*").alias("n"))
+    place = F.row_number().over(W.partitionBy("ref").orderBy(F.desc("n"), "lead"))
+    led = cut(led.withColumn("place", place).where(F.col("place") <= LEADS).select("ref", "lead"), "leads")
+    seats = cut(led.groupBy("lead").agg(F.ceil(F.count("*") / (4 * BLOCK)).cast("int").alias("seats")), "lead-seats")
+    seat = F.pmod(F.xxhash64("ref"), F.col("seats")).cast("int")
+    rows = led.join(seats, "lead").select("lead", seat.alias("seat"), "ref").join(sets, "ref").select("lead", "seat", F.lit(1).alias("kind"), "node", "set")
+    heads = seats.select(F.col("lead").alias("ref"), "seats").join(sets, "ref")
+    heads = heads.select(F.col("ref").alias("lead"), F.explode(F.sequence(F.lit(0), F.col("seats") - 1)).alias("seat"), F.lit(0).alias("kind"), "node", "set")
+    return cut(_compare(rows.union(heads), ["lead", "seat"], percent), "star-links")
+
+
+def _places(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(cluster, size, node, component) of all documents of the clusters."""
+    labels = cut(connected_components(links), "star-components")
+    members = large.select("cluster", "size", F.col("node").alias("own")).join(labels, F.col("own") == F.col("node"), "left")
+    return cut(members.select("cluster", "size", F.col("own").alias("node"), F.coalesce("component", "own").alias("component")), "star-places")
+
+
+def _outside(placed: DataFrame) -> DataFrame:
+    """(cluster, node) of all documents that are not in the largest component of their cluster."""
+    sizes = placed.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    main = cut(sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main")), "main-components")
+    return placed.join(main, "cluster").where("component <> main").select("cluster", "node")
+
+
+def _large_links(large: DataFrame, postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Links that join the components inside clusters of more than ``BLOCK`` documents.
 
-    ``large`` has cluster, size, node, set. Rounds of pivots link most of a cluster at a
-    cost linear in its size. Then each document outside of the cluster's largest component
-    is searched against all the cluster's documents, in blocks.
+    Links to the leads of their lists draw families together. What is still missing are
+    links between components; a document with one shares T of all its shingles with other components. The few that do
+    form clusters of their own. Of those that are large again, each document outside of
+    the largest component is searched against all, in blocks.
     """
-    salts = F.ceil(F.col("size") / (4 * BLOCK)).cast("int")
-    seat = F.pmod(F.xxhash64("node"), salts).cast("int")
-    outside = large.select("cluster", "node")
-    links = None
-    for round_ in range(PIVOT_ROUNDS):
-        chosen = outside.groupBy("cluster").agg(F.array_distinct(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(round_ * PIVOTS + j))) for j in range(PIVOTS)))).alias("nodes"))
-        pivots = chosen.select("cluster", F.explode("nodes").alias("node")).join(large, ["cluster", "node"])
-        rows = large.select("cluster", seat.alias("seat"), F.lit(1).alias("kind"), "node", "set")
-        heads = pivots.select("cluster", F.explode(F.sequence(F.lit(0), salts - 1)).alias("seat"), F.lit(0).alias("kind"), "node", "set")
-        found = cut(_compare(rows.union(heads), ["cluster", "seat"], percent), "pivot-links")
+    names = classes.select("ref", "node", "n")
+    same, own = W.partitionBy("token"), W.partitionBy("ref")
+    whole, links, across = large, None, postings
+    for _ in range(STAR_ROUNDS):
+        found = _star_links(large, across, classes, percent)
         links = found if links is None else links.union(found)
-        labels = cut(connected_components(links), "pivot-components")
-        placed = cut(
-            large.select("cluster", "size", F.col("node").alias("own")).join(labels, F.col("own") == F.col("node"), "left").select("cluster", "size", F.col("own").alias("node"), F.coalesce("component", "own").alias("component")),
-            "pivot-places",
-        )
-        sizes = placed.groupBy("cluster", "component").agg(F.count("*").alias("n"))
-        main = cut(sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main")), "main-components")
-        outside = cut(placed.join(main, "cluster").where("component <> main").select("cluster", "node"), "outside")
+        placed = _places(whole, links)
+        known = cut(placed.join(names, "node").select("ref", "node", "n", F.xxhash64("component").alias("part")), "star-labels")
+        all_shingles = _all_postings(large.select("node", "set").join(known.select("ref", "node", "part"), "node"))
+        ends = all_shingles.select("token", "ref", F.min("part").over(same).alias("low"), F.max("part").over(same).alias("high"))
+        counted = ends.where("low <> high").select("token", "ref", F.count("*").over(own).alias("shared"))
+        least = F.ceil(F.col("n") * percent / F.lit(100))
+        across = cut(counted.join(known.select("ref", "n"), "ref").where(F.col("shared") >= least).select("token", "ref"), "across-postings")
+        left = across.select("ref").distinct().join(names.select("ref", "node"), "ref").select("node")
+        large = cut(large.join(left, "node").select("cluster", "size", "node", "set"), "across-sets")
+    near = across.join(cut(_lists(across), "lists"), "token").where("ref <> lead").select(F.col("ref").alias("a"), F.col("lead").alias("b"))
+    groups = cut(connected_components(near).select(F.col("node").alias("member"), F.col("component").alias("cluster")), "across-clusters")
+    placed = placed.drop("cluster", "size").join(names, "node").join(groups, F.col("ref") == F.col("member"))
+    placed = cut(placed.select("node", "cluster", "component"), "across-members")
+    counts = cut(placed.groupBy("cluster").agg(F.count("*").alias("size")), "across-sizes")
+    placed = cut(placed.join(counts, "cluster"), "across-places")
+    sets = cut(large.select("node", "set").join(placed, "node"), "across-members")
+    links = links.union(cut(_search(sets.where(F.col("size") <= BLOCK).withColumn("kind", F.lit(1)), ["cluster"], percent), "across-links"))
+    still = sets.where(F.col("size") > BLOCK)
+    if still.limit(1).count():
+        links = links.union(cut(_block_links(still, percent), "block-links"))
+    return links
+
+
+def _all_postings(rows: DataFrame) -> DataFrame:
+    """(token, ref, part) of every shingle of the sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, held in enumerate(batch.column("set")):
+                tokens = np.frombuffer(held.as_py(), np.int64)
+                ref, part = (np.full(len(tokens), batch.column(c)[i].as_py(), np.int64) for c in ("ref", "part"))
+                yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(ref), pa.array(part)], ["token", "ref", "part"])
+
+    return rows.select("ref", "part", "set").mapInArrow(run, "token long, ref long, part long")
+
+
+def _block_links(large: DataFrame, percent: int) -> DataFrame:
+    """Links of every document outside of its cluster's largest component to all documents of the cluster, by blocks."""
+    outside = cut(_outside(large.select("cluster", "node", "component")), "outside")
     left = outside.groupBy("cluster").agg(F.count("*").alias("outside"))
     left = cut(left.select("cluster", F.ceil(F.col("outside") / BLOCK).cast("int").alias("chunks")), "chunks")
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -327,7 +407,7 @@ def _large_links(large: DataFrame, percent: int) -> DataFrame:
     asked = large.join(outside, ["cluster", "node"]).join(left, "cluster").select(
         "cluster", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("kind"), "node", "set"
     )
-    return links.union(_search(held.union(asked), ["cluster", "chunk", "part"], percent))
+    return _search(held.union(asked), ["cluster", "chunk", "part"], percent)
 
 
 def jaccard_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -348,23 +428,25 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str
     order = np.argsort(tokens)
     rank = np.array([r.seen for r in top], np.int64)[order]
     frequent = docs.sparkSession.sparkContext.broadcast((tokens[order], rank))
+    whole = described.where("token is null and n_shingles > 0")
+    node = F.concat(F.lower(F.lpad(F.hex("ref"), 16, "0")), F.lower(F.lpad(F.hex("ref2"), 16, "0")))
+    classes = whole.groupBy("ref", "ref2").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"))
+    classes = cut(classes.withColumn("node", node), "set-classes")
     texts = rows.select("text")
-    shared = _postings(texts, frequent).groupBy("token").agg(F.min("ref").alias("lead"), F.max("ref").alias("last")).where("lead <> last")
-    shared = cut(shared.select("token", "lead"), "shared-shingles")
-    near = cut(_postings(texts, frequent).join(shared, "token").where("ref <> lead").select(F.col("ref").alias("a"), F.col("lead").alias("b")).distinct(), "candidates")
+    found = _shared_postings(texts, frequent)
+    found = cut(_drop_sparse(found, classes, percent), "dense-postings")
+    near = found.join(cut(_lists(found), "lists"), "token").where("ref <> lead").select(F.col("ref").alias("a"), F.col("lead").alias("b"))
     clusters = connected_components(near)
 
-    whole = described.where("token is null and n_shingles > 0")
-    node = F.concat(F.lower(F.lpad(F.hex("ref"), 16, "0")), F.lower(F.lpad(F.hex("ref2"), 16, "0")))
-    classes = cut(whole.groupBy("ref", "ref2").agg(F.min("key").alias("key"), F.min("doc_id").alias("least")).withColumn("node", node), "set-classes")
     placed = classes.join(clusters, classes.ref == clusters.node).select("key", "ref", "ref2", classes.node, F.col("component").alias("cluster"))
     counts = cut(placed.groupBy("cluster").agg(F.count("*").alias("size")), "cluster-sizes")
     placed = cut(placed.join(counts, "cluster"), "cluster-members")
-    members = cut(_member_sets(rows.select("key", "text").join(placed, "key")), "member-sets")
+    few = placed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    members = cut(_member_sets(rows.select("key", "text").join(F.broadcast(placed) if few else placed, "key")), "member-sets")
     small = members.where(F.col("size") <= BLOCK).withColumn("kind", F.lit(1))
     links = cut(_search(small, ["cluster"], percent), "links")
     if members.where(F.col("size") > BLOCK).limit(1).count():
-        links = links.union(cut(_large_links(members.where(F.col("size") > BLOCK), percent), "large-links"))
+        links = links.union(_large_links(members.where(F.col("size") > BLOCK), found, classes, percent))
     parts = cut(connected_components(links), "set-components")
     rooted = classes.select("ref", "ref2", "least", F.col("node").alias("own")).join(parts, F.col("own") == F.col("node"), "left")
     rooted = cut(rooted.select("ref", "ref2", "least", F.coalesce("component", "own").alias("root")), "set-roots")
@@ -375,6 +457,35 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return linked.select("doc_id", "n_shingles", "component_id").union(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
+def _lists(postings: DataFrame) -> DataFrame:
+    """(token, lead): shingles of several sets, and the lowest of these."""
+    ends = postings.groupBy("token").agg(F.min("ref").alias("lead"), F.max("ref").alias("last"))
+    return ends.where("lead <> last").select("token", "lead")
+
+
+def _shared_postings(texts: DataFrame, frequent) -> DataFrame:
+    """Postings whose shingle stands in several sets.
+
+    Frequent shingles, those that tasks saw again and again inside a block of text, are
+    aggregated in their tasks first and joined as skewed keys. The others have about one
+    posting per block at most; they meet in one shuffle and a window.
+    """
+    often = cut(_postings(texts, frequent, True), "frequent-postings")
+    shared = often.join(cut(_lists(often).select("token"), "frequent-lists"), "token")
+    same = W.partitionBy("token")
+    rare = _postings(texts, frequent, False).select("token", "ref", F.min("ref").over(same).alias("low"), F.max("ref").over(same).alias("high"))
+    return shared.select("token", "ref").union(rare.where("low <> high").select("token", "ref"))
+
+
+def _drop_sparse(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Postings of the sets that share enough of their first shingles to have a link; a set has no more of them than first shingles."""
+    spare = lambda n: n - F.ceil(n * percent / F.lit(100))
+    least = F.greatest(F.lit(1), F.floor(spare(F.ceil(F.col("n") * percent / F.lit(100))) / 2))
+    sizes = classes.groupBy("ref").agg(F.min("n").alias("n"))
+    counted = postings.withColumn("shared", F.count("*").over(W.partitionBy("ref")))
+    return counted.join(sizes, "ref").where(F.col("shared") >= least).select(*postings.columns)
+
+
 def _member_sets(rows: DataFrame) -> DataFrame:
     """cluster, size, node, set (64-bit shingles) of rows whose text has the set that is looked for."""
 
