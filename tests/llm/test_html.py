@@ -55,3 +55,22 @@ def test_query_equals_article(spark):
     got = QUERIES["op5_html_main_text"](spark, SF_DIR).collect()
     assert {r.page_id: r.text for r in got} == want and len(got) == len(want)
     assert all(r.n_chars == len(r.text) for r in got)
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ['div class="content-sidebar-wrap"', 'div id="page" class="has-sidebar"', 'div class="main no-comments"', 'section class="social-page"', "span class=header-page"],
+)
+@pytest.mark.parametrize("body", ["<article><h1>Title</h1><p>{0}</p></article>", "<main><h1>Title</h1><p>{0}</p></main>", "<h1>Title</h1><p>{0}</p>"])
+def test_named_wrappers_of_the_page(wrapper, body):
+    tag = wrapper.split()[0]
+    page = f"<body><{wrapper}><div class=sidebar><p>{LONG[:84]}</p></div>{body.format(LONG)}<div id=comments><article><p>Nice, {LONG}</p></article></div></{tag}></body>"
+    assert html.main_text(page) == f"Title\n{LONG.strip()}"
+
+
+def test_named_parts_beside_an_article():
+    many = f"<p>{LONG}</p>" * 5
+    page = f"<article><h1>Title</h1><p>{LONG}</p></article>"
+    assert html.main_text(f'{page}<div class="comments-area">{many}</div>') == f"Title\n{LONG.strip()}"
+    assert html.main_text(f'{page}<div class="related"><article><p>{LONG[:84]}</p></article></div>') == f"Title\n{LONG.strip()}"
+    assert html.main_text(f"{page}<div hidden>{many}</div>") == f"Title\n{LONG.strip()}"

@@ -41,39 +41,45 @@ _LAST = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE) for name i
 
 
 HEADING_WORDS = {"header", "masthead"}  # inside an article these name its own heading
+COMMENTS = re.compile(r"(?:\A|\s)(?:comments?|commentlist|comentarios|commentaires|kommentare|replies|respond|discussion|disqus)(?![a-z])", re.IGNORECASE)
 
 
 def names_side(attributes: str, in_article: bool = False) -> bool:
-    """Whether class, id or role names a part that is no article text, or the part is hidden."""
+    """Whether class, id or role names a part that is no article text."""
     words = SIDE_WORDS - HEADING_WORDS if in_article else SIDE_WORDS
-    for m in ATTRIBUTE.finditer(attributes):
-        value = next((g for g in m.groups()[1:] if g is not None), "")
-        kind = m[1].lower()
-        if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
-            return True
-        if kind in ("class", "id", "role") and any(w.lower() in words for w in WORD.findall(value)):
-            return True
-    return False
+    return any(w.lower() in words for value in _values(attributes, ("class", "id", "role")) for w in WORD.findall(value))
 
 
-def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
-    """(text, inside article, side part, link characters) of each block, in page order.
+def is_hidden(attributes: str) -> bool:
+    """Whether the part is hidden by an attribute of its own."""
+    return bool(_values(attributes, ("hidden",))) or any(v.lower() == "true" for v in _values(attributes, ("aria-hidden",)))
+
+
+def _values(attributes: str, kinds: tuple[str, ...]) -> list[str]:
+    return [next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(attributes) if m[1].lower() in kinds]
+
+
+def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
+    """(text, number of the article around it or 0, side part, link characters) of each block, in page order.
 
     References are decoded after the markup is gone, runs of white space become one
     blank, ends are trimmed; blocks without text are left out. Elements that are never
-    closed end with the page or with the block element around them.
+    closed end with the page or with the block element around them. Elements that by
+    their kind or an attribute hold no article text are side parts at once, named ones
+    only once it is known what they hold.
     """
-    out: list[tuple[str, bool, bool, int]] = []
+    out: list[tuple[str, int, bool, int]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool]] = []  # open elements that matter, and whether they hide their text
-    side = article = link = linked = 0
+    stack: list[tuple[str, bool, int]] = []  # open elements that matter, whether they hide their text, their place in spans
+    spans: list[list] = []  # [element, first line, end line, named as a side part, named as comments]
+    side = article = articles = link = linked = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             if text:
-                out.append((text, article > 0, side > 0, min(linked, len(text))))
+                out.append((text, articles if article else 0, side > 0, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -103,10 +109,12 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
         if m[1]:
             opened = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if opened is not None:
-                for closed, hides in stack[opened:]:
+                for closed, hides, span in stack[opened:]:
                     side -= hides
                     article -= closed in ("article", "main")
                     link -= closed == "a"
+                    if span >= 0:
+                        spans[span][2] = len(out)
                 del stack[opened:]
             continue
         if name in RAW and not m[3].endswith("/"):
@@ -115,23 +123,69 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
             continue
         if name in VOID or m[3].endswith("/"):
             continue
-        hides = name in SIDE or (name in BLOCKS or name == "span") and names_side(m[3], article > 0)
+        hides = name in SIDE or (name in BLOCKS or name == "span") and is_hidden(m[3])
+        named = not hides and (name in BLOCKS or name == "span") and names_side(m[3], article > 0)
         if name in ("article", "main", "body", "html"):  # their classes describe the page, save for single comments
-            hides = COMMENT.search(m[3]) is not None
+            hides, named = False, name in ("article", "main") and COMMENT.search(m[3]) is not None
         if name == "header" and article:
-            hides = False  # the heading of the article itself
-        if hides or name in ("article", "main", "a", "div", "section", "ul", "ol", "span") or name in SIDE:
+            hides = named = False  # the heading of the article itself
+        if hides or named or name in ("article", "main", "a", "div", "section", "ul", "ol", "span") or name in SIDE:
             if name == "a" and link:
                 continue
-            stack.append((name, bool(hides)))
+            span = -1
+            if named or name in ("article", "main"):
+                span = len(spans)
+                spans.append([name, len(out), None, named, named and any(COMMENTS.search(v) for v in _values(m[3], ("class", "id")))])
+            stack.append((name, bool(hides), span))
             side += bool(hides)
-            article += name in ("article", "main")
+            if name in ("article", "main"):
+                articles += not article
+                article += 1
             link += name == "a"
     flush()
+    return _hide_named(out, spans) if any(s[3] for s in spans) else out
+
+
+def _hide_named(lines: list[tuple[str, int, bool, int]], spans: list[list]) -> list[tuple[str, int, bool, int]]:
+    """The lines with those of named elements as side parts.
+
+    A name does not make an element a side part if the largest article or main of the
+    page stands in it, nor if more than half of the page's text does and that article is
+    around it or has less than a quarter of its text. Comments beside an article are
+    always side parts.
+    """
+    held = [0]
+    for t, inside, hidden, linked in lines:
+        held.append(held[-1] + (0 if hidden else len(t) if inside else len(t) - linked))
+    spans = [[kind, low, len(lines) if high is None else high, *names] for kind, low, high, *names in spans]
+    size = lambda s: held[s[2]] - held[s[1]]
+    covered = [0] * (len(lines) + 1)  # by comments
+    for _, low, high, _, comments in spans:
+        if comments:
+            covered[low] += 1
+            covered[high] -= 1
+    for i in range(len(lines)):
+        covered[i + 1] += covered[i]
+    found = [s for s in spans if s[0] in ("article", "main") and not s[3] and size(s) and not covered[s[1]]]
+    cores = [max(own, key=size) for own in ([s for s in found if s[0] == kind] for kind in ("article", "main")) if own]
+    side = [0] * (len(lines) + 1)
+    for s in spans:
+        _, low, high, named, comments = s
+        if not named or any(low <= c[1] and c[2] <= high for c in cores):
+            continue
+        around = any(c[1] <= low and high <= c[2] for c in cores)
+        most = 2 * size(s) > held[-1] and (around or all(4 * size(c) < size(s) for c in cores))
+        if not most or comments and cores:
+            side[low] += 1
+            side[high] -= 1
+    out, depth = [], 0
+    for (t, inside, hidden, linked), change in zip(lines, side):
+        depth += change
+        out.append((t, inside, hidden or depth > 0, linked))
     return out
 
 
-def main_lines(lines: list[tuple[str, bool, bool, int]], window: int = 3, surge: float = 0.25) -> list[str]:
+def main_lines(lines: list[tuple[str, int, bool, int]], window: int = 3, surge: float = 0.25) -> list[str]:
     """The lines between surges and dives of the summed lengths.
 
     A line's length is its characters outside links, 0 in side parts and, where the page
