@@ -74,3 +74,24 @@ def test_named_parts_beside_an_article():
     assert html.main_text(f'{page}<div class="comments-area">{many}</div>') == f"Title\n{LONG.strip()}"
     assert html.main_text(f'{page}<div class="related"><article><p>{LONG[:84]}</p></article></div>') == f"Title\n{LONG.strip()}"
     assert html.main_text(f"{page}<div hidden>{many}</div>") == f"Title\n{LONG.strip()}"
+    assert html.main_text(f'<article><p>Teaser.</p></article><div class="promo-page">{many}</div>').endswith("\n".join([LONG.strip()] * 5))
+
+
+P, LINKS = f"<p>{LONG}</p>", "<p><a href=x>A link alone</a></p>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<ul><li><a href=x>Home</a></li></ul><div>{P}{LINKS}{P}</div>", [LONG, "A link alone", LONG]),
+        (f"<div>{P * 8}{LINKS * 3}<p>The end.</p></div><footer>Imprint</footer>", [LONG] * 8 + ["A link alone"] * 3 + ["The end."]),
+        (f"<div>{P * 2}</div><nav><p>a</p><p>b</p><p>c</p></nav><p>Imprint</p>", [LONG] * 2),
+        ("<article><a href=x>Teaser</a></article>" * 3 + f"<div>{P * 4}<p>The end.</p></div>", [LONG] * 4 + ["The end."]),
+        (f"<div>{P * 4}</div>" + "<article><h3>Next</h3><p>A teaser.</p></article>" * 6, [LONG] * 4 + ["Next", "A teaser."] * 6),
+        (f"<div>{P * 4}<article><p>A quoted post.</p></article><p>The end.</p></div>", [LONG] * 4 + ["A quoted post.", "The end."]),
+        (f"<p>Before</p><article><h1>Title</h1>{P * 3}{LINKS}<p>The end.</p></article>{P}", ["Title"] + [LONG] * 3 + ["A link alone", "The end."]),
+        (f"<article>{LINKS}</article>", ["A link alone"]),
+    ],
+)
+def test_window_sums_choose_with_and_without_articles(page, text):
+    assert html.main_text(page).split("\n") == [t.strip() for t in text]

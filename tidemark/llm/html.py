@@ -185,34 +185,43 @@ def _hide_named(lines: list[tuple[str, int, bool, int]], spans: list[list]) -> l
     return out
 
 
+RAISE = 8
+
+
 def main_lines(lines: list[tuple[str, int, bool, int]], window: int = 3, surge: float = 0.25) -> list[str]:
     """The lines between surges and dives of the summed lengths.
 
-    A line's length is its characters outside links, 0 in side parts and, where the page
-    marks an article, outside of it. Content begins at a line with text whose window sum
-    reaches ``surge`` of the mean window sum, and ends where the sum falls to 0.
+    A line's length is its characters outside links, 0 in side parts. Inside an article
+    element links count too, and the length is raised by ``RAISE`` times the article's
+    characters times their share of the page's: a teaser raises its lines a little, an
+    article that is most of the page so much that text around it does not surge. Windows
+    do not reach over the edge of an article, and each article surges for itself; the text
+    around articles takes in those it surges around. Content begins at a line with a length
+    whose window sum reaches ``surge`` of the mean window sum, and ends where the next
+    lines are all side parts; between, every line that is no side part is content.
     """
-    marked = any(inside and not hidden for _, inside, hidden, _ in lines)
-    sizes = [0 if hidden or marked and not inside else max(0, len(t) - linked) for t, inside, hidden, linked in lines]
-    if marked:  # links inside the article are part of its sentences
-        sizes = [len(t) if inside and not hidden else 0 for t, inside, hidden, _ in lines]
-    n = len(sizes)
-    sums, running = [0] * n, 0
-    for i in range(n - 1, -1, -1):
-        running += sizes[i] - (sizes[i + window] if i + window < n else 0)
-        sums[i] = running
-    alive = [s for s in sums if s]
-    if not alive:
+    sizes = [0 if hidden else len(t) if inside else max(0, len(t) - linked) for t, inside, hidden, linked in lines]
+    n, total = len(sizes), sum(sizes)
+    if not total:
         return []
-    rise = surge * sum(alive) / len(alive) if not marked else 1
-    out, reading = [], False
-    for i in range(n):
-        if not sizes[i]:
-            reading = reading and sums[i] > 0
+    held: dict[int, int] = {}
+    for (_, inside, _, _), size in zip(lines, sizes):
+        if inside:
+            held[inside] = held.get(inside, 0) + size
+    sizes = [size + RAISE * held[line[1]] ** 2 / total if line[1] and size else size for line, size in zip(lines, sizes)]
+    sums = [sum(sizes[j] for j in range(i, min(i + window, n)) if lines[j][1] == lines[i][1]) for i in range(n)]
+    alive = [s for s in sums if s]
+    rise = surge * sum(alive) / len(alive)
+    out, reading = [], set()  # the articles being read, and 0 for the text around them
+    for i, (text, inside, hidden, _) in enumerate(lines):
+        if hidden:
+            if all(line[2] for line in lines[i : i + window]):
+                reading.clear()
             continue
-        reading = reading or sums[i] >= rise
-        if reading:
-            out.append(lines[i][0])
+        if sizes[i] and sums[i] >= rise:
+            reading.add(inside)
+        if inside in reading or 0 in reading:
+            out.append(text)
     return out
 
 
