@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -75,3 +76,46 @@ def test_query_on_held_out_rows(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     held = [(rows[d].predicted, y) for d, y in labels.items() if rows[d].held_out]
     assert sum(p == y for p, y in held) / len(held) > 0.9
+
+
+def features(text):
+    """Words, their first 4 to 6 letters and levels of how often each occurs, with counts."""
+    words = (text or "").lower().split()
+    seen = Counter(words + [f"{w[:k]}~{k}" for w in words for k in (4, 5, 6) if len(w) > k])
+    return dict(seen) | {f"{t}>={level}": 1 for t, c in seen.items() for level in (2, 4, 8) if c >= level}
+
+
+def test_evidence_by_brute_force_over_all_terms(spark):
+    docs, labels, n = corpus(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    known = {i: int(i % 4 == 0) for i in range(n // 2)}
+    vectors = {i: features(t) for i, t in texts.items()}
+    held = Counter(t for v in vectors.values() for t in v)
+    by_class = [Counter(t for i, y in known.items() if y == label for t in vectors[i]) for label in (0, 1)]
+    terms = sorted(set(by_class[0]) | set(by_class[1]))
+    weigh = toxicity.telling(*(np.array([c[t] for t in terms]) for c in (by_class[1], by_class[0])), sum(known.values()), len(known) - sum(known.values()))
+    weigh = {t: w * np.log1p(n / held[t]) for t, w in zip(terms, weigh)}
+    unit = {}
+    for i, v in vectors.items():
+        full = {t: (1 + np.log(c)) * weigh[t] for t, c in v.items() if t in weigh}
+        norm = np.sqrt(sum(w * w for w in full.values()))
+        unit[i] = {t: w / norm for t, w in full.items()}
+    rows = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs.select("doc_id", "text"), labels)).collect()
+    for r in rows:
+        want = sorted((sum(w * unit[i].get(t, 0.0) for t, w in unit[r.doc_id].items()) for i in known), reverse=True)[:3]
+        assert np.allclose([e.cosine for e in r.evidence], want)
+
+
+def test_rare_abuse_and_a_long_clean_document_with_one_telling_word(spark):
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in "bcdfghklmn" for b in ("al", "en", "ir", "os", "ut", "ax", "ey", "ov")]
+    plain = lambda k: " ".join(rng.choices(words, k=k))
+    toxic = [f"{plain(8)} nasty {plain(8)}" for _ in range(40)] + [f"{plain(4)} zounds varlet knave {plain(4)}"] * 2
+    clean = [plain(60) for _ in range(160)]
+    asked = [f"{plain(4)} zounds varlet knave {plain(4)}", plain(300) + " nasty " + plain(300)]
+    docs = documents(spark, toxic + clean + asked)
+    labels = spark.createDataFrame([(i, int(i < len(toxic))) for i in range(len(toxic) + len(clean))], "doc_id long, label int")
+    rows = {r.doc_id: r for r in toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs.select("doc_id", "text"), labels)).collect()}
+    rare, long = rows[len(toxic + clean)], rows[len(toxic + clean) + 1]
+    assert rare.predicted == 1 and all(e.toxic for e in rare.evidence[:2])
+    assert long.predicted == 0 and max(e.cosine for e in long.evidence) < 0.9

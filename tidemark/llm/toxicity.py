@@ -13,28 +13,29 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import U64, add_columns, blocks, byte_class, lower_ascii, member, mix, span_hashes, spans, text_buffer
+from tidemark.llm.arrays import U64, add_columns, blocks, byte_class, lower_ascii, member, mix, ranges, span_hashes, spans, text_buffer
 from tidemark.llm.tables import cut, table
 
 PREFIXES = (4, 5, 6)
 LEVELS = (2, 4, 8)
 FOLDS = 5
+# Terms that 1 / HEAD_SHARE of the examples have, at most HEAD_TERMS, stand in a dense matrix; ROWS documents are multiplied at a time.
+HEAD_TERMS, HEAD_SHARE, ROWS = 1024, 32, 256
+ROUNDING = 1e-5  # more than single precision loses in a cosine
 
 _IN_WORD = byte_class(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
 
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """Bounds of the fit: examples per class, terms, and the size of a block; ``neighbours`` vote."""
+    """Bounds of the fit: examples per class and the size of a block; ``neighbours`` vote."""
 
     examples_per_class: int = 4000
-    terms: int = 4000
-    least_documents: int = 5
-    least_odds: float = 1.4
     block: int = 64
     neighbours: int = 15
     prior_weight: float = 0.5
@@ -81,6 +82,21 @@ def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[start], term[start], np.diff(np.append(start, len(row)))
 
 
+INVERTED = {"order", "slot", "head", "value", "example", "cut", "block_of", "block_max", "term_blocks"}
+
+
+def _pack(values: np.ndarray, differences: bool = True) -> tuple[str, bytes]:
+    """The values, or their differences, byte by byte in a zstandard frame."""
+    kept = np.diff(values, prepend=values.dtype.type(0)) if differences else values
+    return values.dtype.str + "-+"[differences], zstandard.compress(np.ascontiguousarray(kept).view(np.uint8).reshape(len(kept), -1).T.tobytes() if len(kept) else b"")
+
+
+def _unpack(packed: tuple[str, bytes]) -> np.ndarray:
+    kind, data = np.dtype(packed[0][:-1]), np.frombuffer(zstandard.decompress(packed[1]), np.uint8)
+    values = np.ascontiguousarray(data.reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
+    return np.cumsum(values, dtype=kind) if packed[0][-1] == "+" else values
+
+
 @dataclass
 class Index:
     """Example vectors by term and block; ``zero`` is the smoothed share of toxic examples without any term."""
@@ -94,16 +110,44 @@ class Index:
     weight: np.ndarray | None = None
     base: float = 0.0
     zero: float = 0.0
+    counts: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        """Small, for broadcasts: without what the vectors give again, numbers as packed differences."""
+        state = {k: v for k, v in self.__dict__.items() if k not in INVERTED}
+        state["plain"] = _pack(np.searchsorted(self.vocabulary, self.plain))
+        state["vocabulary"], state["idf"] = _pack(self.vocabulary), _pack(self.idf.view(np.int64), False)
+        if self.counts is not None:
+            state["term"], state["counts"] = _pack(self.term), _pack(self.counts, False)
+            del state["entry"]
+        return state
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.vocabulary, self.idf = _unpack(self.vocabulary), _unpack(self.idf).view(np.float64)
+        self.plain = self.vocabulary[_unpack(self.plain)]
+        if self.counts is not None:
+            self.term, self.counts = _unpack(self.term), _unpack(self.counts)
+            self.entry = self.weigh(np.repeat(np.arange(len(self.ids)), np.diff(self.first)), self.term, self.counts, len(self.ids))
+
+    def weigh(self, row: np.ndarray, number: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
+        """TF-IDF weights of rows of length 1."""
+        weight = (1 + np.log(count)) * self.idf[number]
+        return weight / np.sqrt(np.bincount(row, weight**2, minlength=rows))[row]
 
     def vectors(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Unit TF-IDF vectors: (first entry of each row, term numbers, weights)."""
-        keep = np.flatnonzero(member(term, self.vocabulary))
-        number = np.searchsorted(self.vocabulary, term[keep])
+        first, row, number, count = self.numbered(row, term, count, rows)
+        return first, number, self.weigh(row, number, count, rows)
+
+    def numbered(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first entry of each row, row, term number, count) of the known terms, in this order."""
+        number = np.minimum(np.searchsorted(self.vocabulary, term), max(len(self.vocabulary) - 1, 0))
+        keep = np.flatnonzero(self.vocabulary[number] == term) if len(self.vocabulary) else np.zeros(0, np.int64)
+        number = number[keep]
         order = np.lexsort((number, row[keep]))
         number, row, count = number[order], row[keep][order], count[keep][order]
-        weight = (1 + np.log(count)) * self.idf[number]
-        norm = np.sqrt(np.bincount(row, weight**2, minlength=rows))
-        return np.searchsorted(row, np.arange(rows + 1)), number, weight / norm[row]
+        return np.searchsorted(row, np.arange(rows + 1)), row, number, count
 
     def build(self, ids: list, toxic: np.ndarray, weight: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], base: float) -> Index:
         full = [i for i in range(len(ids)) if len(vectors[i][0])]
@@ -114,53 +158,98 @@ class Index:
         self.zero = float((weight[bare][toxic[bare] > 0].sum() + m * base) / (bare_weight + m)) if bare else base
         # examples with the same heaviest term share blocks, which keeps the bounds tight
         full.sort(key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), i))
-        self.ids = [ids[i] for i in full]
+        self.order, self.ids = full, [ids[i] for i in full]
         self.toxic, self.weight = toxic[full], weight[full]
         number = np.concatenate([vectors[i][0] for i in full]) if full else np.zeros(0, np.int64)
         value = np.concatenate([vectors[i][1] for i in full]) if full else np.zeros(0)
         example = np.repeat(np.arange(len(full)), [len(vectors[i][0]) for i in full])
-        order = np.lexsort((example, number))
-        self.number, self.value, self.example = number[order], value[order], example[order]
-        group = self.number * (len(full) // self.params.block + 1) + self.example // self.params.block
+        self.first = np.searchsorted(example, np.arange(len(full) + 1))
+        self.term, self.entry = number.astype(np.int32), value
+        return self
+
+    def invert(self) -> None:
+        """Makes the index of the vectors, once in each process."""
+        number, value, full = self.term, self.entry, self.ids
+        example = np.repeat(np.arange(len(full), dtype=np.int32), np.diff(self.first))
+        # terms of many examples stand in a dense matrix, the others in posting lists
+        held = np.bincount(number, minlength=len(self.vocabulary))
+        often = np.argsort(-held, kind="stable")[:HEAD_TERMS]
+        often = np.sort(often[held[often] * HEAD_SHARE >= max(len(full), 1)])
+        self.slot = np.full(len(self.vocabulary), -1, np.int32)
+        self.slot[often] = np.arange(len(often))
+        self.head = np.zeros((len(often), len(full)), np.float32)
+        dense = np.flatnonzero(self.slot[number] >= 0)
+        self.head[self.slot[number[dense]], example[dense]] = value[dense]
+        rest = np.flatnonzero(self.slot[number] < 0)
+        rest = rest[np.argsort(number[rest], kind="stable")]
+        number, self.value, self.example = number[rest], value[rest].astype(np.float32), example[rest]
+        group = number.astype(np.int64) * (len(full) // self.params.block + 1) + self.example // self.params.block
         self.cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
         self.block_of = self.example[self.cut] // self.params.block
-        self.block_max = np.maximum.reduceat(self.value, self.cut) if len(self.cut) else np.zeros(0)
-        self.cut = np.append(self.cut, len(self.number))
-        self.term_blocks = np.searchsorted(self.number[self.cut[:-1]], np.arange(len(self.vocabulary) + 1)) if len(self.number) else np.zeros(len(self.vocabulary) + 1, np.int64)
-        return self
+        self.block_max = np.maximum.reduceat(self.value, self.cut) if len(self.cut) else np.zeros(0, np.float32)
+        self.term_blocks = np.searchsorted(number[self.cut], np.arange(len(self.vocabulary) + 1))
+        self.cut = np.append(self.cut, len(number))
 
     def nearest(self, number: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The examples of largest cosine above 0 and these cosines; ties go to the earlier example."""
-        low, high = self.term_blocks[number], self.term_blocks[number + 1]
-        size = high - low
-        if not size.sum():
-            return np.zeros(0, np.int64), np.zeros(0)
-        lists = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
-        query = np.repeat(weight, size)
-        bound = np.bincount(self.block_of[lists], query * self.block_max[lists])
-        visit = np.argsort(-bound, kind="stable")
+        return next(self.nearest_rows(np.array([0, len(number)]), number, weight))
+
+    def nearest_rows(self, first: np.ndarray, number: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each row of entries; the dense part is one matrix product for many rows."""
+        if "head" not in self.__dict__:
+            self.invert()
+        query = np.zeros(len(self.vocabulary))
+        for low in range(0, len(first) - 1, ROWS):
+            edges = first[low : low + ROWS + 1]
+            part, heavy = number[edges[0] : edges[-1]], weight[edges[0] : edges[-1]]
+            slot = self.slot[part]
+            row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+            asked = np.zeros((len(edges) - 1, len(self.head)), np.float32)
+            dense = slot >= 0
+            asked[row[dense], slot[dense]] = heavy[dense]
+            scores = asked @ self.head
+            for r, (a, b) in enumerate(zip((edges[:-1] - edges[0]).tolist(), (edges[1:] - edges[0]).tolist())):
+                listed = ~dense[a:b]
+                near = self._candidates(scores[r], part[a:b][listed], heavy[a:b][listed])
+                query[part[a:b]] = heavy[a:b]
+                yield self._exact(near, query)
+                query[part[a:b]] = 0
+
+    def _candidates(self, score: np.ndarray, number: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Examples that may be among the nearest: ``score`` holds the dense part, the lists are read by block."""
         k, block = self.params.neighbours, self.params.block
-        best_id, best = np.zeros(0, np.int64), np.zeros(0)
-        by_block = np.argsort(self.block_of[lists], kind="stable")
-        lists, query = lists[by_block], query[by_block]
-        edges = np.searchsorted(self.block_of[lists], np.arange(len(bound) + 1))
-        step = 4  # blocks scored together
-        for at in range(0, len(visit), step):
-            chosen = visit[at : at + step]
-            chosen = chosen[bound[chosen] > 0]
-            # rounding must not hide a tie
-            if not len(chosen) or len(best) == k and bound[chosen[0]] < best[-1] - 1e-9:
-                break
-            pick = np.concatenate([np.arange(edges[b], edges[b + 1]) for b in chosen])
-            start, count = self.cut[lists[pick]], self.cut[lists[pick] + 1] - self.cut[lists[pick]]
-            entry = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(int(count.sum()))
-            slot = self.example[entry]
-            near, inverse = np.unique(slot, return_inverse=True)
-            cosine = np.bincount(inverse, self.value[entry] * np.repeat(query[pick], count))
-            best_id, best = np.concatenate([best_id, near]), np.concatenate([best, cosine])
-            order = np.lexsort((best_id, -np.round(best, 9)))[:k]
-            best_id, best = best_id[order], best[order]
-        return best_id, np.minimum(best, 1.0)
+        if not len(score):
+            return np.zeros(0, np.int64)
+        low = self.term_blocks[number]
+        size = self.term_blocks[number + 1] - low
+        lists, query = ranges(low, size), np.repeat(weight, size)
+        of = self.block_of[lists]
+        starts = np.arange(0, len(score), block)
+        bound = np.maximum.reduceat(score, starts) + np.bincount(of, query * self.block_max[lists], minlength=len(starts))
+        chosen = np.zeros(len(starts), bool)
+        chosen[np.argsort(-bound, kind="stable")[: 2 + 4 * k // block]] = True
+        seen, total = np.zeros(len(starts), bool), np.zeros(len(score))
+        while chosen.any():
+            pick = np.flatnonzero(chosen[of])
+            start = self.cut[lists[pick]]
+            count = self.cut[lists[pick] + 1] - start
+            entry = ranges(start, count)
+            total += np.bincount(self.example[entry], self.value[entry] * np.repeat(query[pick], count), minlength=len(score))
+            here = np.flatnonzero(np.repeat(chosen, block)[: len(score)])
+            total[here] += score[here]
+            seen |= chosen
+            # single precision must not hide a tie
+            least = np.partition(total, -k)[-k] - ROUNDING if len(total) > k else 0.0
+            chosen = ~seen & (bound > 0) & (bound >= least - ROUNDING)
+        return np.flatnonzero((total > 0) & (total >= least))
+
+    def _exact(self, near: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest of some examples by their whole vectors."""
+        size = self.first[near + 1] - self.first[near]
+        entry = ranges(self.first[near], size)
+        cosine = np.bincount(np.repeat(np.arange(len(near)), size), query[self.term[entry]] * self.entry[entry], minlength=len(near))
+        order = np.lexsort((near, -np.round(cosine, 9)))[: self.params.neighbours]
+        return near[order], np.minimum(cosine[order], 1.0)
 
     def score(self, near: np.ndarray, cosine: np.ndarray) -> float:
         votes = cosine**2 * self.weight[near]
@@ -230,55 +319,82 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = To
                 )
 
     taught = examples.select("text", "label").mapInArrow(count_terms, "term long, plain long, toxic long, clean long").groupBy("term", "plain").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    n1 = min(sizes[1], params.examples_per_class)
-    n0 = min(sizes[0], params.examples_per_class)
-    odds = F.log(((F.col("toxic") + 0.5) / (n1 + 1)) / ((F.col("clean") + 0.5) / (n0 + 1)))
-    best = taught.where(F.col("toxic") >= params.least_documents).withColumn("gain", F.col("toxic") * odds).where(odds >= params.least_odds)
-    picked = best.orderBy(F.desc("gain"), "term").limit(params.terms).select("term", "plain").collect()
-    vocabulary, plain = (np.unique(np.array([r[c] for r in picked], np.int64).view(U64)) for c in ("term", "plain"))
-    index = Index(vocabulary, plain, _idf(docs, vocabulary, plain), params)
-
-    def vectorize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    taught = taught.toArrow()
+    terms = taught.column("term").to_numpy().view(U64)
+    vocabulary, at = np.unique(terms, return_index=True)
+    plain = np.unique(taught.column("plain").to_numpy().view(U64))
+    toxic, clean = (taught.column(c).to_numpy()[at] for c in ("toxic", "clean"))
+    n1, n0 = (sum(1 for v in chosen.values() if v == label) for label in (1, 0))
+    del taught, terms
+    held = spark.sparkContext.broadcast(Index(vocabulary, plain, np.ones(len(vocabulary)), params))
+    index = Index(vocabulary, plain, _idf(docs, held) * telling(toxic, clean, n1, n0), params)
+
+    def number_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, row, term, count, _ in _pairs(batch, "text", plain):
-                first, number, weight = index.vectors(row, term, count, high - low)
+            for low, high, row, term, count, _ in _pairs(batch, "text", held.value.plain):
+                first, _, number, count = held.value.numbered(row, term, count, high - low)
+                first = pa.array(first, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(low, high - low),
                         batch.column("label").slice(low, high - low),
-                        pa.array([number[a:b].tolist() for a, b in zip(first, first[1:])], pa.list_(pa.int64())),
-                        pa.array([weight[a:b].tolist() for a, b in zip(first, first[1:])], pa.list_(pa.float64())),
+                        pa.ListArray.from_arrays(first, pa.array(number, pa.int32())),
+                        pa.ListArray.from_arrays(first, pa.array(count, pa.int32())),
                     ],
-                    ["doc_id", "label", "number", "weight"],
+                    ["doc_id", "label", "number", "count"],
                 )
 
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("label", T.IntegerType()), T.StructField("number", T.ArrayType(T.LongType())), T.StructField("weight", T.ArrayType(T.DoubleType()))])
-    rows = examples.mapInArrow(vectorize, schema).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.number, r.weight))
-    toxic = np.array([r.label for r in rows], int)
+    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("label", T.IntegerType()), T.StructField("number", T.ArrayType(T.IntegerType())), T.StructField("count", T.ArrayType(T.IntegerType()))])
+    rows = examples.mapInArrow(number_terms, schema).toArrow()
+    held.destroy()
+    ids, toxic = rows.column("doc_id").to_pylist(), np.asarray(rows.column("label"), int)
+    numbers, counts = ([v.values.to_numpy() for v in rows.column(c)] for c in ("number", "count"))
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], numbers[i].tobytes(), counts[i].tobytes()))
+    ids, toxic, numbers, counts = [ids[i] for i in order], toxic[order], [numbers[i] for i in order], [counts[i] for i in order]
+    vectors = [(n, index.weigh(np.zeros(len(n), np.int64), n, c, 1)) for n, c in zip(numbers, counts)]
     seen = np.bincount(toxic, minlength=2)
     share = np.array([sizes[0] / max(1, seen[0]), sizes[1] / max(1, seen[1])])
-    weight = share[toxic] / share.max() if len(rows) else np.zeros(0)
-    return index.build([r.doc_id for r in rows], toxic, weight, [(np.array(r.number, np.int64), np.array(r.weight)) for r in rows], base)
+    weight = share[toxic] / share.max() if len(ids) else np.zeros(0)
+    index.build(ids, toxic, weight, vectors, base)
+    index.counts = np.concatenate([counts[i] for i in index.order]) if index.order else None
+    return index
+
+
+def telling(toxic: np.ndarray, clean: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Per term at least 1, and the more the surer its share among toxic examples differs from that among clean ones.
+
+    No term is left out. This is the root of 1 + G2, the log-likelihood ratio of the counts.
+    """
+    both = toxic + clean
+    total = np.zeros(len(both))
+    for seen, rows in ((toxic, n1), (clean, n0)):
+        for part, whole in ((seen, both), (rows - seen, n1 + n0 - both)):
+            part = np.maximum(part, 0)
+            want = np.maximum(whole, 0) * (rows / max(1, n1 + n0))
+            total += np.where(part > 0, part * np.log(np.maximum(part, 1) / np.maximum(want, 1e-12)), 0.0)
+    return np.sqrt(1 + np.maximum(2 * total, 0.0))
 
 
-def _idf(docs: DataFrame, vocabulary: np.ndarray, plain: np.ndarray) -> np.ndarray:
-    """log(1 + documents / documents with the term), over all documents; one row per term and task is shuffled."""
+def _idf(docs: DataFrame, shared) -> np.ndarray:
+    """log(1 + documents / documents with the term) of a broadcast index's terms, over all documents; one row per term and task is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, plain = shared.value.vocabulary, shared.value.plain
         held, n = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             n += batch.num_rows
             for _, _, _, term, _, _ in _pairs(batch, "text", plain):
-                term = term[member(term, vocabulary)]
-                held += np.bincount(np.searchsorted(vocabulary, term), minlength=len(vocabulary))
+                number = np.minimum(np.searchsorted(vocabulary, term), max(len(vocabulary) - 1, 0))
+                number = number[vocabulary[number] == term] if len(vocabulary) else number
+                held += np.bincount(number, minlength=len(vocabulary))
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(held[some], n))], ["number", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).collect()
-    by_number = {r.number: r.n for r in counts}
-    held = np.array([by_number.get(i, 0) for i in range(len(vocabulary))])
-    return np.log1p(by_number.get(-1, 0) / np.maximum(held, 1))
+    counts = docs.select("text").mapInArrow(count, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
+    number, n = (counts.column(c).to_numpy() for c in ("number", "n"))
+    held = np.zeros(len(shared.value.vocabulary) + 1, np.int64)
+    held[number] = n  # the last is the number of documents
+    return np.log1p(held[-1] / np.maximum(held[:-1], 1))
 
 
 EVIDENCE = T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("toxic", T.IntegerType())])
@@ -299,8 +415,7 @@ def score_toxicity(docs: DataFrame, index: Index, text_column: str = "text", evi
         scores, proof = np.full(batch.num_rows, index.zero), [[] for _ in range(batch.num_rows)]
         for low, high, row, term, count, _ in _pairs(batch, text_column, index.plain):
             first, number, weight = index.vectors(row, term, count, high - low)
-            for r in np.flatnonzero(np.diff(first)).tolist():
-                near, cosine = index.nearest(number[first[r] : first[r + 1]], weight[first[r] : first[r + 1]])
+            for r, (near, cosine) in enumerate(index.nearest_rows(first, number, weight)):
                 if len(near):
                     scores[low + r] = index.score(near, cosine)
                     proof[low + r] = [{"doc_id": str(index.ids[i]), "cosine": c, "toxic": int(index.toxic[i])} for i, c in zip(near[:evidence].tolist(), cosine[:evidence].tolist())]
