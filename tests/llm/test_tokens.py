@@ -71,3 +71,12 @@ def test_query_equals_library(spark):
     docs = read("documents", "doc_id, text")
     got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in QUERIES["op3_token_files"](spark, SF_DIR).orderBy("doc_id").collect()]
     assert got == [(d, *w) for (d, _), w in zip(docs, want([t for _, t in docs]))]
+
+
+SPELLINGS = ["<|ENDOFTEXT|>", "a <|StartOfText|>b <|endoftext|> C", "X<|EndOfText|>x<|endoftext|>Y", "<|endofTEXT|>Ab ABC", "< |ENDOFTEXT|> <", "|><|", "ABC abc"]
+
+
+def test_special_tokens_keep_their_spelling(spark):
+    files = tokens.write_token_files(documents(spark, SPELLINGS), scratch_path(spark, "t"), PATH)
+    got = [(r.start, r.n_tokens, r.ids_crc32) for r in tokens.read_token_files(files).orderBy("doc_id").collect()]
+    assert got == want(SPELLINGS)

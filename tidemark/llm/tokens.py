@@ -82,8 +82,12 @@ class TokenEncoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other and the n + 1 offsets into them."""
-        lowered = lower_ascii(data)  # the tokenizer lower-cases anyway
+        lowered = lower_ascii(data)  # the tokenizer lower-cases anyway, but finds added tokens first
         starts, ends, first = _units(lowered, offsets)
+        marks = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))  # "<|"
+        if len(marks):
+            for unit in np.unique(np.searchsorted(starts, marks, side="right") - 1).tolist():
+                lowered[starts[unit] : ends[unit]] = data[starts[unit] : ends[unit]]
         ids, at = self.table(lowered, starts, ends)
         return ids, at[first]
 
