@@ -3,6 +3,7 @@ import re
 
 import pytest
 from llm.helpers import SF_DIR, ascii_lower, documents, read
+from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard
 from tidemark.llm.components import connected_components
@@ -111,3 +112,17 @@ def test_components(spark):
 def test_query_equals_brute_force(spark):
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in QUERIES["op2_ngram_jaccard"](spark, SF_DIR).collect()]
     assert sorted(got, key=str) == brute(read("documents", "doc_id, text"))
+
+
+def test_repeated_rows_are_searched_once(spark, monkeypatch):
+    search, rows = jaccard._search, []
+
+    def counted(members, *rest):
+        rows.append(members.groupBy("cluster", "node").count().agg(F.max("count")).first()[0])
+        return search(members, *rest)
+
+    monkeypatch.setattr(jaccard, "_search", counted)
+    text = "a b c d e f g h i j k l m n o p"
+    docs = spark.createDataFrame([(1, text)] * 200 + [(2, text + " q"), (3, text), (4, "quite another text stands here")], "doc_id long, text string").repartition(7)
+    got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_classes(docs).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4)} and rows[0] == 1

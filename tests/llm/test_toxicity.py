@@ -119,3 +119,12 @@ def test_rare_abuse_and_a_long_clean_document_with_one_telling_word(spark):
     rare, long = rows[len(toxic + clean)], rows[len(toxic + clean) + 1]
     assert rare.predicted == 1 and all(e.toxic for e in rare.evidence[:2])
     assert long.predicted == 0 and max(e.cosine for e in long.evidence) < 0.9
+
+
+def test_examples_of_repeated_rows_and_ids_are_bounded(spark):
+    docs, labels, _ = corpus(spark, 40)
+    many = docs.select("doc_id", "text").union(spark.createDataFrame([(0, "nasty repeated text")] * 60, "doc_id long, text string"))
+    assert len(toxicity.fit_toxicity(many, labels).ids) == 21
+    other = docs.select("doc_id", "text").union(spark.createDataFrame([(0, f"nasty text {i}") for i in range(60)], "doc_id long, text string"))
+    index = toxicity.fit_toxicity(other, labels, toxicity.ToxicityParams(examples_per_class=8))
+    assert sorted(index.toxic.tolist()).count(1) <= 8 and len(index.ids) <= 16

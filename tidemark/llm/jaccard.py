@@ -430,7 +430,7 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str
     frequent = docs.sparkSession.sparkContext.broadcast((tokens[order], rank))
     whole = described.where("token is null and n_shingles > 0")
     node = F.concat(F.lower(F.lpad(F.hex("ref"), 16, "0")), F.lower(F.lpad(F.hex("ref2"), 16, "0")))
-    classes = whole.groupBy("ref", "ref2").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"))
+    classes = whole.groupBy("ref", "ref2").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"), F.count("*").alias("copies"))
     classes = cut(classes.withColumn("node", node), "set-classes")
     texts = rows.select("text")
     found = _shared_postings(texts, frequent)
@@ -438,11 +438,14 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str
     near = found.join(cut(_lists(found), "lists"), "token").where("ref <> lead").select(F.col("ref").alias("a"), F.col("lead").alias("b"))
     clusters = connected_components(near)
 
-    placed = classes.join(clusters, classes.ref == clusters.node).select("key", "ref", "ref2", classes.node, F.col("component").alias("cluster"))
+    placed = classes.join(clusters, classes.ref == clusters.node).select("key", "ref", "ref2", "copies", classes.node, F.col("component").alias("cluster"))
     counts = cut(placed.groupBy("cluster").agg(F.count("*").alias("size")), "cluster-sizes")
     placed = cut(placed.join(counts, "cluster"), "cluster-members")
     few = placed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     members = cut(_member_sets(rows.select("key", "text").join(F.broadcast(placed) if few else placed, "key")), "member-sets")
+    # a row may repeat in the table: then each task has its set once, and these become one
+    again = members.where("copies > 1").groupBy("cluster", "size", "node").agg(F.min("set").alias("set"))
+    members = members.where("copies = 1").select("cluster", "size", "node", "set").union(cut(again, "repeated-sets"))
     small = members.where(F.col("size") <= BLOCK).withColumn("kind", F.lit(1))
     links = cut(_search(small, ["cluster"], percent), "links")
     if members.where(F.col("size") > BLOCK).limit(1).count():
@@ -487,18 +490,28 @@ def _drop_sparse(postings: DataFrame, classes: DataFrame, percent: int) -> DataF
 
 
 def _member_sets(rows: DataFrame) -> DataFrame:
-    """cluster, size, node, set (64-bit shingles) of rows whose text has the set that is looked for."""
+    """cluster, size, node, copies, set (64-bit shingles) of rows whose text has the set that is looked for; of repeated rows one per task."""
+    names = ["cluster", "size", "node", "copies"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             want = np.asarray(batch.column("ref")), np.asarray(batch.column("ref2"))
+            copies = np.asarray(batch.column("copies"))
             for low, high, first, value, ref, ref2 in _sets_of(batch):
-                good = np.flatnonzero((ref == want[0][low:high]) & (ref2 == want[1][low:high]))
-                sets = [value[first[i] : first[i + 1]].tobytes() for i in good.tolist()]
-                at = pa.array(low + good)
-                yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("cluster", "size", "node")] + [pa.array(sets, pa.binary())], ["cluster", "size", "node", "set"])
-
-    return rows.select("cluster", "size", "node", "ref", "ref2", "text").mapInArrow(run, "cluster long, size long, node string, set binary")
+                good = []
+                for i in np.flatnonzero((ref == want[0][low:high]) & (ref2 == want[1][low:high])).tolist():
+                    if copies[low + i] > 1:
+                        node = int(ref[i]), int(ref2[i])
+                        if node in seen:
+                            continue
+                        seen.add(node)
+                    good.append(i)
+                sets = [value[first[i] : first[i + 1]].tobytes() for i in good]
+                at = pa.array([low + i for i in good], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in names] + [pa.array(sets, pa.binary())], [*names, "set"])
+
+    return rows.select(*names, "ref", "ref2", "text").mapInArrow(run, "cluster long, size long, node string, copies long, set binary")
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -305,7 +305,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = To
 
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("text", T.StringType()), T.StructField("label", T.IntegerType())])
-    examples = cut(docs.select("doc_id", "text").mapInArrow(choose, schema), "toxicity-examples")
+    # repeated rows are one example; ids of several texts must not exceed the bound either
+    examples = docs.select("doc_id", "text").mapInArrow(choose, schema).groupBy("doc_id", "text", "label").agg(F.count("*").alias("copies")).drop("copies")
+    examples = cut(examples, "toxicity-examples")
+    if examples.groupBy("label").count().where(F.col("count") > params.examples_per_class).count():
+        named = examples.withColumn("hash", F.sha2(F.coalesce("text", F.lit("")), 256))
+        lowest = [named.where(F.col("label") == label).select("doc_id", "hash").orderBy(F.xxhash64("doc_id"), "doc_id", "hash").limit(params.examples_per_class) for label in (0, 1)]
+        kept = F.broadcast(lowest[0].union(lowest[1]))
+        examples = cut(named.join(kept, ["doc_id", "hash"], "left_semi").drop("hash"), "toxicity-examples-bounded")
 
     def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
