@@ -8,7 +8,7 @@ from tidemark.llm.registry import ORACLE, QUERIES
 
 
 def test_one_query_per_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLE) <= set(QUERIES)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.archive import OP4_SQL
+from tidemark.llm.prefixes import OP12_SQL
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -38,4 +39,4 @@ c AS (SELECT doc_id AS node, doc_id AS reached FROM d UNION SELECT c.node, l.b F
 SELECT d.doc_id, coalesce(any_value(n.size), 0) AS n_shingles, min(c.reached) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id GROUP BY d.doc_id"""
 
-ORACLE = {"op1_benchmark_decontamination": OP1_SQL, "op2_ngram_jaccard": OP2_SQL, "op4_content_archive": OP4_SQL}
+ORACLE = {"op1_benchmark_decontamination": OP1_SQL, "op2_ngram_jaccard": OP2_SQL, "op4_content_archive": OP4_SQL, "op12_conversation_trie": OP12_SQL}
