@@ -1,0 +1,59 @@
+"""Sketches: merged parts equal the whole, estimates lie within the stated error, spans and platforms unite."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from fixtures import dicts
+from pyspark.sql import functions as F
+
+from tidemark.operators.activity import activity_rollup
+from tidemark.operators.sketches import actives_sketches, merge_sketches, rolling_actives, span_actives, standard_error
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    """40 days; a user's platform and days follow from its number, and one user has a third of the rows."""
+    return spark.range(120_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 1000 = 1 THEN NULL ELSE concat('u', id % 20011) END AS user_id",
+        "concat('s', id % 5003) AS session_id", "'open' AS event_name", "element_at(array('ios', 'web'), CAST(id % 2 + 1 AS int)) AS platform",
+        "date_add(date'2024-01-01', CAST(id % 40 AS int)) AS event_date", "timestamp_ntz'2024-01-01 00:00:00' AS created_at",
+    )
+
+
+def test_estimates_are_near(spark, events):
+    stored = actives_sketches(events)
+    counts = events.groupBy("platform").agg(F.count_distinct("user_id").alias("users"), F.count_distinct("session_id").alias("sessions"))
+    exact = {r["platform"]: (r["users"], r["sessions"]) for r in dicts(counts)}
+    for row in dicts(span_actives(stored)):
+        users, sessions = exact[row["platform"]]
+        assert abs(row["active_users"] - users) <= 4 * standard_error() * users
+        assert abs(row["sessions"] - sessions) <= 4 * standard_error() * sessions
+
+
+def test_parts_merge_to_the_same_estimates(spark, events):
+    whole = actives_sketches(events)
+    parts = [actives_sketches(events.where(f"pmod(hash(user_id, session_id), 3) = {i}")) for i in range(3)]
+    merged = merge_sketches(*parts, parts[1])  # repeats change nothing
+    for days in ((1, 7), (30,)):
+        a = dicts(rolling_actives(whole, days), "metric_date", "platform", "days")
+        b = dicts(rolling_actives(merged, days), "metric_date", "platform", "days")
+        assert [r["metric_date"] for r in a] == [r["metric_date"] for r in b]
+        assert all(abs(x["active_users"] - y["active_users"]) <= max(2, 2 * standard_error() * x["active_users"]) for x, y in zip(a, b))
+
+
+def test_rolling_and_spans_agree(spark, events):
+    stored = actives_sketches(activity_rollup(events))
+    [whole] = dicts(span_actives(stored, "2024-01-11", "2024-01-17", by_platform=False))
+    last = [r for r in dicts(rolling_actives(stored, (7,), by_platform=False)) if r["metric_date"] == date(2024, 1, 17)]
+    assert [r["active_users"] for r in last] == [whole["active_users"]]
+    assert len(dicts(rolling_actives(stored, (7,), by_platform=False))) == 40
+
+
+def test_size_is_bounded_and_empty_works(spark, events):
+    stored = actives_sketches(events)
+    assert stored.selectExpr("max(length(users_sketch)) AS n").first().n < 5000
+    assert actives_sketches(events.limit(0)).count() == 0
+    nobody = actives_sketches(events.where("user_id IS NULL"))
+    assert {r["active_users"] for r in dicts(span_actives(nobody))} == {0}

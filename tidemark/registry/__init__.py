@@ -1,3 +1,4 @@
+from tidemark.registry import behavior  # noqa: F401 - registers its queries
 from tidemark.registry.oracle import ORACLE
 from tidemark.registry.queries import QUERIES
 

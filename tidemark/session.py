@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on; everything about sizing is left to the cluster.
 REQUIRED_CONF = {
@@ -68,3 +68,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table, written to the shared folder and read again: computed once, and not again when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
