@@ -8,8 +8,8 @@ from tidemark.operators.activity import activity_rollup
 from tidemark.operators.quality import QualityError
 from tidemark.operators.staging import stg_events
 from tidemark.plans import daily
-from tidemark.plans.daily import daily_run, refresh_activity, report_run, samples_run
-from tidemark.sinks import read_published
+from tidemark.plans.daily import daily_run, refresh_activity, report_run, samples_run, stage_activity
+from tidemark.sinks import read_published, read_release, release_all, stage_mart
 from tidemark.sources import read_marts
 
 
@@ -99,8 +99,8 @@ def test_refresh_skips_old_row_groups(spark, tmp_path, monkeypatch):
         plans.append(plan_text(df))
         return df
 
-    monkeypatch.setattr(daily, "materialize_mart", capture)
-    refresh_activity(stg_events(spark.read.parquet(source)), str(tmp_path / "unused"), since=day(3))
+    monkeypatch.setattr(daily, "stage_mart", capture)
+    stage_activity(stg_events(spark.read.parquet(source)), str(tmp_path / "unused"), since=day(3))
     assert "Or(GreaterThanOrEqual(created_at" in plans[0]
 
 
@@ -124,3 +124,43 @@ def test_rollup_of_undated_events_only(spark, tmp_path):
     ev = stg_events(raw(spark, "analytics_events", [{"id": "1", "user_id": "a", "event_name": "x"}]))
     back = refresh_activity(ev, str(tmp_path / "a"))
     assert back.first()["event_date"] is None and back.schema["event_date"].dataType.simpleString() == "date"
+
+
+def test_tables_of_a_run_are_released_together(spark, tmp_path):
+    """Staged tables are unseen; one mark switches all of them; a table left out keeps its version."""
+    folder = str(tmp_path)
+    assert read_release(spark, folder) == {}
+
+    def staged(n, *names):
+        return {name: stage_mart(spark.range(n), name, f"{folder}/{name}") for name in names}
+
+    release_all(staged(1, "a", "b"), folder)
+    waiting = staged(2, "a", "b")
+    assert {name: df.count() for name, df in read_release(spark, folder).items()} == {"a": 1, "b": 1}
+    reading = read_release(spark, folder)
+    release_all(waiting, folder)
+    assert {name: df.count() for name, df in reading.items()} == {"a": 1, "b": 1}
+    assert {name: df.count() for name, df in read_release(spark, folder).items()} == {"a": 2, "b": 2}
+    release_all(staged(3, "a"), folder)
+    release_all(staged(4, "a"), folder)
+    assert {name: df.count() for name, df in read_release(spark, folder).items()} == {"a": 4, "b": 2}
+    assert read_published(spark, f"{folder}/b").count() == 2
+    assert len([n for n in os.listdir(f"{folder}/a") if n.startswith("v")]) == 2
+    assert len([n for n in os.listdir(f"{folder}/_RELEASES") if n.endswith(".json") and n[0] != "."]) == 2
+    for name in ("a", "b"):
+        spark.catalog.dropTempView(name)
+
+
+def test_a_failed_load_leaves_the_rollup_of_the_run_before(spark, tmp_path):
+    """The rollup of the failed run has an event that the next run, from a later date on, must not take over."""
+    out, good = str(tmp_path / "run"), tables(spark)
+    daily_run(spark, good, out, ts_ms=1)
+    bad = tables(spark, repeated_user=True)
+    extra = raw(spark, "analytics_events", [{"id": "77", "user_id": "ghost", "event_name": "open", "created_at": at(1)}])
+    bad["analytics_events"] = bad["analytics_events"].union(extra)
+    with pytest.raises(QualityError):
+        daily_run(spark, bad, out, ts_ms=2)
+    assert read_published(spark, f"{out}/event_activity").where("user_id = 'ghost'").count() == 0
+    daily_run(spark, good, out, ts_ms=3, since=day(3))
+    want = dicts(activity_rollup(stg_events(good["analytics_events"])), "event_date", "event_name", "user_id")
+    assert dicts(read_published(spark, f"{out}/event_activity").select(list(want[0])), "event_date", "event_name", "user_id") == want

@@ -1,5 +1,6 @@
 import os
 
+import duckdb
 import pytest
 from fixtures import at, dicts, events, raw, transactions, users
 
@@ -17,24 +18,89 @@ from tidemark.sources import (
     union_event_sources,
 )
 from tidemark.sources.ga4 import REPORT_COLUMNS
-from tidemark.sources.jdbc import HashSplit, Split, split_range
+from tidemark.sources import jdbc
+from tidemark.sources.jdbc import HashSplit, RangeSplit, Split, id_split, split_range
 from tidemark.sources.tables import MARTS
 
 
+def database(driver="mysql", host="h", **more):
+    return JdbcSource(**{"driver": driver, "host": host, "database": "d", "user": "u", "password": "p"} | more)
+
+
 def test_jdbc_addresses():
-    assert JdbcSource().url.startswith("jdbc:mysql://localhost:3306/analytics_source?")
-    assert JdbcSource(driver=" PostgreSQL ", host="h", database="d").url.startswith("jdbc:postgresql://h:5432/d?")
-    assert JdbcSource(driver="postgres", port=6000).url.startswith("jdbc:postgresql://localhost:6000/")
-    secret = JdbcSource(password="p@ss w/rd")
+    assert database().url.startswith("jdbc:mysql://h:3306/d?")
+    assert database(" PostgreSQL ").url.startswith("jdbc:postgresql://h:5432/d?")
+    assert database("postgres", port=6000).url.startswith("jdbc:postgresql://h:6000/")
+    secret = database(password="p@ss w/rd")
     assert "p@ss" not in secret.url
     assert secret.options()["password"] == "p@ss w/rd"
     assert Split("id", 1, 100, 4).options() == {
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "4",
     }
-    assert split_range("id", 1, 10, 4) == Split("id", 1, 11, 3)
-    assert split_range("id", 5, 5, 4).parts == 1
     with pytest.raises(ValueError, match="oracle"):
-        JdbcSource(driver="oracle").url
+        database("oracle").url
+    with pytest.raises(TypeError):
+        JdbcSource("mysql", "h")
+
+
+@pytest.fixture
+def asked(monkeypatch):
+    """Questions to the source are answered by an SQL engine in this process, over the given ids."""
+    con = duckdb.connect()
+    monkeypatch.setattr(jdbc, "_ask", lambda _, __, query: con.execute(query).fetchall())
+
+    def fill(values, kind="BIGINT"):
+        con.execute(f"CREATE OR REPLACE TABLE t (id {kind})")
+        for value in values:
+            con.execute("INSERT INTO t VALUES (?)", [value])
+        return con
+
+    return fill
+
+
+def part_sizes(con, split):
+    conditions = split.predicates("mysql")
+    sizes = [con.execute(f"SELECT count(*) FROM t WHERE {c}").fetchone()[0] for c in conditions]
+    assert sum(sizes) == con.execute("SELECT count(*) FROM t").fetchone()[0]
+    return sizes
+
+
+SPARSE = {
+    "time-based 64 bits": ([(1_700_000_000_000 + i * 37) << 22 | i % 4096 for i in range(1000)], "BIGINT"),
+    "one far outlier": ([*range(999), 2**63 - 1], "BIGINT"),
+    "both ends of 64 bits": ([-(2**63), 2**63 - 1, *range(998)], "BIGINT"),
+    "unsigned, over 63 bits": ([2**64 - 1 - i * 10**9 for i in range(1000)], "DECIMAL(20, 0)"),
+}
+
+
+@pytest.mark.parametrize("kind", SPARSE)
+def test_sparse_ids_are_cut_by_rows(spark, asked, kind):
+    con = asked(*SPARSE[kind])
+    split = id_split(spark, database(), "t", rows_per_task=100)
+    assert isinstance(split, RangeSplit)
+    assert part_sizes(con, split) == [100] * 10
+    assert id_split(spark, database(), "t", rows_per_task=10_000).predicates("mysql") == ["1 = 1"]
+
+
+def test_dense_ids_are_cut_in_equal_steps(spark, asked):
+    asked([i * 2 for i in range(1000)])
+    assert id_split(spark, database(), "t", rows_per_task=100) == Split("id", 0, 1999, 10)
+    asked(range(2**63 - 500, 2**63))
+    assert id_split(spark, database(), "t", rows_per_task=100).options()["upperBound"] == str(2**63 - 1)
+    asked([7])
+    assert id_split(spark, database(), "t") == Split("id", 7, 8, 1)
+    asked([])
+    assert id_split(spark, database(), "t") is None
+    asked([None, None])
+    assert id_split(spark, database(), "t") is None
+
+
+def test_repeated_and_missing_ids_lie_in_one_part(spark, asked):
+    con = asked([None] * 50 + [5] * 300 + [10**12 + i * 10**6 for i in range(650)])
+    split = id_split(spark, database(), "t", rows_per_task=100)
+    assert max(part_sizes(con, split)) <= 450 and len(split.cuts) == len(set(split.cuts)) >= 6
+    text = RangeSplit("uid", ("b", "o'x")).predicates("mysql")
+    assert text == ["uid < 'b' OR uid IS NULL", "uid >= 'b' AND uid < 'o''x'", "uid >= 'o''x'"]
 
 
 def test_table_choice():
@@ -119,8 +185,9 @@ def test_versions_switch_when_they_are_complete(spark, tmp_path):
 
 
 def test_parts_of_a_source_table():
-    split = split_range("id", 1, 1_000_000_000)
+    split = split_range("id", 1, 1_000_000_000, 2000)
     assert split.options()["numPartitions"] == "2000" and split.options()["upperBound"] == "1000000001"
+    assert split_range("id", 1, 3, 50).parts == 3
     for dialect in ("mysql", "postgresql"):
         conditions = HashSplit("uid", 3).predicates(dialect)
         assert len(conditions) == 3 and conditions[0].endswith("OR uid IS NULL") and "= 2" in conditions[2]
@@ -152,8 +219,8 @@ def test_extraction(spark, tmp_path):
     def available(*_):
         return ["audit", "transactions", "users"]
 
-    written = extract(spark, JdbcSource(), str(tmp_path / "a"), available=available, read=read)
+    written = extract(spark, database(), str(tmp_path / "a"), available=available, read=read)
     assert list(written) == ["users", "transactions"] and spark.table("raw_transactions").first()["id"] == 5
-    assert list(extract(spark, JdbcSource(), str(tmp_path / "b"), "gone, users", read=read)) == ["users"]
+    assert list(extract(spark, database(), str(tmp_path / "b"), "gone, users", read=read)) == ["users"]
     with pytest.raises(RuntimeError, match="no table"):
-        extract(spark, JdbcSource(), str(tmp_path / "c"), "gone", read=read)
+        extract(spark, database(), str(tmp_path / "c"), "gone", read=read)

@@ -22,7 +22,8 @@ from tidemark.plans.models import (
     mart_user_growth,
 )
 from tidemark.session import require_utc
-from tidemark.sinks import materialize_mart, read_published, stage_mart, write_dashboard_json, write_text
+from tidemark.sinks import materialize_mart, read_published, release_all, stage_mart, write_dashboard_json, write_text
+from tidemark.sinks.tables import Staged
 from tidemark.sources import read_marts
 
 
@@ -47,23 +48,28 @@ def build_models(
     }
 
 
-def refresh_activity(events: DataFrame, path: str, since: str | date | None = None) -> DataFrame:
-    """Publishes the rollup of staged events, one folder per date, and returns all of it.
+def stage_activity(events: DataFrame, path: str, since: str | date | None = None) -> Staged:
+    """A new version of the rollup of staged events, one folder per date, for a release.
 
     With ``since`` only events from that date on (and undated ones) are read. Their dates
     and the undated rows are replaced as a whole, so a date that has lost its events goes;
     earlier dates are taken over from the published rollup. Give the earliest date that
-    got, lost or changed events since the last run.
+    got, lost or changed events since the last run that was released.
     """
     if since is None:
-        return materialize_mart(activity_rollup(events), "event_activity", path, "event_date")
+        return stage_mart(activity_rollup(events), "event_activity", path, "event_date")
     first = F.lit(str(since)).cast("date")
     happened = F.col("created_at")  # of this column the scan keeps statistics
     fresh = activity_rollup(events.where((happened >= first.cast("timestamp_ntz")) | happened.isNull()))
     kept = read_published(events.sparkSession, path)
     if kept is not None:
         fresh = fresh.unionByName(kept.where(F.col("event_date") < first).select(fresh.columns))
-    return materialize_mart(fresh, "event_activity", path, "event_date")
+    return stage_mart(fresh, "event_activity", path, "event_date")
+
+
+def refresh_activity(events: DataFrame, path: str, since: str | date | None = None) -> DataFrame:
+    """Publishes the rollup by itself, as ``stage_activity`` writes it, and returns all of it."""
+    return stage_activity(events, path, since).release()
 
 
 def samples_run(spark: SparkSession, published: str, out: str, ts_ms: int, one_file: bool = False) -> str:
@@ -100,8 +106,9 @@ def daily_run(
     for them (from ``since`` on, if given) and once more, ids, names and times
     only, for the checks on it. Written tables hand one stage to the next: a lost executor
     costs at most the stage it worked on. The checks look at the new versions before they
-    are released: after a failed check readers still have the tables of the run before,
-    and no samples and report data are written.
+    are released, the rollup and all models by one mark: after a failed check, or a crash
+    at any place, readers and the next ``since`` have the tables of the run before, and no
+    samples and report data are written.
     """
     require_utc(spark)
     staged = {
@@ -109,8 +116,8 @@ def daily_run(
         "stg_events": stg_events(raw["analytics_events"]),
         "stg_transactions": stg_transactions(raw["transactions"]),
     }
-    activity = refresh_activity(staged["stg_events"], f"{out}/event_activity", since)
-    models = build_models(staged["stg_users"], activity, staged["stg_transactions"])
+    activity = stage_activity(staged["stg_events"], f"{out}/event_activity", since)
+    models = build_models(staged["stg_users"], activity.rows, staged["stg_transactions"])
     written = {name: stage_mart(df, name, f"{out}/{name}") for name, df in models.items()}
 
     sources = {f"raw_{name}": df for name, df in raw.items()}
@@ -119,7 +126,8 @@ def daily_run(
     if check:
         raise_on_failures(report)
 
-    published = {name: table.release() for name, table in written.items()}
+    published = release_all({"event_activity": activity, **written}, out)
+    published.pop("event_activity")
     metrics_path = write_text(metrics_exposition(_samples(published, ts_ms)), f"{out}/metrics")
     dashboard_path = write_dashboard_json(_report(published), f"{out}/dashboard")
     return DailyResult(published, report, metrics_path, dashboard_path)

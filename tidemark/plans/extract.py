@@ -26,7 +26,7 @@ def list_tables(spark: SparkSession, source: JdbcSource) -> list[str]:
 
 
 def read_whole(spark: SparkSession, source: JdbcSource, table: str) -> DataFrame:
-    """A table read by many tasks: by ranges of a numeric id, by a hash of another id, by one task without an id."""
+    """A table read by many tasks: by ranges of a numeric id (dense or not), by a hash of another id, by one task without an id."""
     kind = dict(read_jdbc_table(spark, source, table).dtypes).get("id")
     if kind is None:
         return read_jdbc_table(spark, source, table)

@@ -11,6 +11,9 @@ from tidemark.operators import cohorts, sessions, sketches, step_funnel
 from tidemark.registry.oracle import ORACLE, VIEWS, with_views
 from tidemark.registry.queries import Tables, on_tables
 from tidemark.session import scratch_path
+from tidemark.sinks import compact_ingested, read_ingested, store_ingested
+from tidemark.sources import testdata
+from tidemark.streaming import ingest_stream
 from tidemark.streaming.activity import append_stream, streamed_actives, streamed_sessions
 
 FLOW = ["signup", "view", ["click", "error"], "purchase"]
@@ -203,6 +206,32 @@ def _dau_stream(t: Tables) -> DataFrame:
 ORACLE["sessions_stream"] = ORACLE["sessions"]
 ORACLE["dau_stream"] = with_views("SELECT event_date AS metric_date, count(DISTINCT user_id) AS dau_count FROM s_events WHERE user_id IS NOT NULL GROUP BY 1")
 
+# Posts stored more than once
+
+
+@on_tables("ingest_two_loads")
+def _ingest_two_loads(t: Tables) -> DataFrame:
+    """Posts stored by two loads and a stream into one folder, a load run twice, posts repeated in the stream, and the first two days compacted."""
+    folder = scratch_path(t.spark, "two-loads")
+    t.spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    posts = testdata.envelopes(t.spark, t.sf_dir)
+    third = "pmod(hash(batch_id, endpoint), 3)"
+    for i in (0, 1, 1):
+        store_ingested(posts.where(f"{third} = {i}"), f"{folder}/events", f"{folder}/bad", writer=f"load-{i}", policy="lenient")
+    for copy in (0, 1):
+        posts.where(f"{third} = 2").write.parquet(f"{folder}/in/copy={copy}")
+    arriving = t.spark.readStream.schema(posts.schema).parquet(f"{folder}/in/*")
+    ingest_stream(
+        arriving, f"{folder}/events", f"{folder}/bad", f"{folder}/state", policy="lenient", once=True, repeats_within=LATE
+    ).awaitTermination()
+    first = read_ingested(t.spark, f"{folder}/events").agg(F.min("arrival_date")).first()[0]
+    for day in (first, first + timedelta(days=1)):
+        compact_ingested(t.spark, f"{folder}/events", day)
+    return read_ingested(t.spark, f"{folder}/events").drop("arrival_date")
+
+
+ORACLE["ingest_two_loads"] = ORACLE["ingest_stream"]
+
 # Distinct counts by sketches
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 from collections.abc import Callable, Mapping
@@ -52,19 +53,19 @@ VERSION = re.compile(r"v\d{12}")
 MARK = "_PUBLISHED"
 
 
-def _files(spark: SparkSession, path: str):
+def files(spark: SparkSession, path: str):
     """(file system, path) by Spark's own reader, which knows every store that tables can lie in."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
 
 
 def _versions(spark: SparkSession, path: str, published: bool = True) -> list[str]:
-    fs, there = _files(spark, path)
+    fs, there = files(spark, path)
     if not fs.exists(there):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(there) if s.isDirectory()]
     names = sorted(n for n in names if VERSION.fullmatch(n))
-    return [n for n in names if fs.exists(_files(spark, f"{path}/{n}/{MARK}")[1])] if published else names
+    return [n for n in names if fs.exists(files(spark, f"{path}/{n}/{MARK}")[1])] if published else names
 
 
 @dataclass(frozen=True)
@@ -79,12 +80,12 @@ class Staged:
     def release(self, keep: int = 2) -> DataFrame:
         """Makes the version the current one and the view of its name; all but the last ``keep`` are removed."""
         spark = self.rows.sparkSession
-        fs, mark = _files(spark, f"{self.path}/{self.version}/{MARK}")
+        fs, mark = files(spark, f"{self.path}/{self.version}/{MARK}")
         fs.create(mark, True).close()
         current = _versions(spark, self.path)[-max(1, keep) :]
         for name in _versions(spark, self.path, published=False):
             if name < current[0]:
-                fs.delete(_files(spark, f"{self.path}/{name}")[1], True)
+                fs.delete(files(spark, f"{self.path}/{name}")[1], True)
         self.rows.createOrReplaceTempView(self.name)
         return self.rows
 
@@ -107,7 +108,65 @@ def materialize_mart(df: DataFrame, name: str, path: str, partition_by: str | No
     return stage_mart(df, name, path, partition_by).release()
 
 
+# Tables that belong together are released by one file with the version of each.
+RELEASES = "_RELEASES"
+
+
+def _releases(spark: SparkSession, folder: str) -> list[str]:
+    fs, there = files(spark, f"{folder}/{RELEASES}")
+    names = [s.getPath().getName() for s in fs.listStatus(there)] if fs.exists(there) else []
+    return sorted(n for n in names if re.fullmatch(r"\d{12}\.json", n))
+
+
+def _versions_in(spark: SparkSession, folder: str, release: str) -> dict[str, str]:
+    return json.loads("".join(row[0] for row in spark.read.text(f"{folder}/{RELEASES}/{release}").collect()))
+
+
+def release_all(staged: Mapping[str, Staged], folder: str, keep: int = 2) -> dict[str, DataFrame]:
+    """Makes staged tables, each at ``folder``/name, the current ones together, by one mark.
+
+    A reader has the tables of one release or of the one before, never some of each: the
+    mark is written aside and renamed. Tables that are not named keep the version of the
+    release before. All but the last ``keep`` releases are removed. One writer at a time.
+    """
+    spark = next(iter(staged.values())).rows.sparkSession
+    before = _releases(spark, folder)
+    versions = (_versions_in(spark, folder, before[-1]) if before else {}) | {name: table.version for name, table in staged.items()}
+    number = int(before[-1].split(".")[0]) + 1 if before else 1
+    fs, aside = files(spark, f"{folder}/{RELEASES}/_writing")
+    out = fs.create(aside, True)
+    out.write(bytearray(json.dumps(versions).encode()))
+    out.close()
+    if not fs.rename(aside, files(spark, f"{folder}/{RELEASES}/{number:012d}.json")[1]):
+        raise RuntimeError(f"release {number} of {folder} could not be marked")
+    current = _releases(spark, folder)
+    kept = [_versions_in(spark, folder, name) for name in current[-max(1, keep) :]]
+    for name in staged:
+        oldest = min(v[name] for v in kept if name in v)
+        for version in _versions(spark, f"{folder}/{name}", published=False):
+            if version < oldest:
+                fs.delete(files(spark, f"{folder}/{name}/{version}")[1], True)
+    for name in current[: -max(1, keep)]:
+        fs.delete(files(spark, f"{folder}/{RELEASES}/{name}")[1], True)
+    for name, table in staged.items():
+        table.rows.createOrReplaceTempView(name)
+    return {name: table.rows for name, table in staged.items()}
+
+
+def read_release(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All tables of the newest release in ``folder``; none if there is no release."""
+    releases = _releases(spark, folder)
+    versions = _versions_in(spark, folder, releases[-1]) if releases else {}
+    return {name: spark.read.parquet(f"{folder}/{name}/{version}") for name, version in versions.items()}
+
+
 def read_published(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version of a published table, in any session; None if there is none."""
-    versions = _versions(spark, path)
+    """The current version of a published table, in any session; None if there is none.
+
+    That is the newest version with a mark of its own or in the newest release of its folder.
+    """
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    releases = _releases(spark, folder)
+    released = _versions_in(spark, folder, releases[-1]).get(name) if releases else None
+    versions = sorted({*_versions(spark, path), *([released] if released else [])})
     return spark.read.parquet(f"{path}/{versions[-1]}") if versions else None

@@ -19,20 +19,18 @@ ROWS_PER_TASK = 500_000
 
 @dataclass(frozen=True)
 class JdbcSource:
-    driver: str = "mysql"
-    host: str = "localhost"
+    driver: str
+    host: str
+    database: str
+    user: str
+    password: str
     port: int | None = None
-    database: str = "analytics_source"
-    user: str = "root"
-    password: str = ""
 
     @property
     def dialect(self) -> str:
-        name = (self.driver or "mysql").lower().strip()
+        name = self.driver.lower().strip()
         if name not in DIALECTS:
-            raise ValueError(
-                f"Unsupported database driver {self.driver!r}; supported are 'mysql' and 'postgresql'."
-            )
+            raise ValueError(f"no address is known for databases of kind {self.driver!r}, only for {sorted(set(DIALECTS.values()))}")
         return DIALECTS[name]
 
     @property
@@ -73,9 +71,25 @@ class Split:
         }
 
 
+@dataclass(frozen=True)
+class RangeSplit:
+    """Cuts a table at given values of a column, such as quantiles of an id; each part is one range of its index."""
+
+    column: str
+    cuts: tuple[int | str, ...]
+
+    def predicates(self, dialect: str) -> list[str]:
+        """One condition per part; each row with or without a value fulfils exactly one."""
+        cuts = [f"'{cut.replace(chr(39), chr(39) * 2)}'" if isinstance(cut, str) else str(cut) for cut in self.cuts]
+        if not cuts:
+            return ["1 = 1"]
+        inner = [f"{self.column} >= {low} AND {self.column} < {high}" for low, high in zip(cuts, cuts[1:])]
+        return [f"{self.column} < {cuts[0]} OR {self.column} IS NULL", *inner, f"{self.column} >= {cuts[-1]}"]
+
+
 @dataclass(frozen=True)
 class HashSplit:
-    """Cuts a table by a hash of any id column, computed by the database."""
+    """Cuts a table by a hash of any id column, computed by the database: one scan of the table per part."""
 
     column: str
     parts: int
@@ -92,7 +106,7 @@ def read_jdbc_table(
     source: JdbcSource,
     table: str,
     columns: Sequence[str] | None = None,
-    split: Split | HashSplit | None = None,
+    split: Split | RangeSplit | HashSplit | None = None,
 ) -> DataFrame:
     """A whole table, lazily; filters on it and the column list reach the database.
 
@@ -100,7 +114,7 @@ def read_jdbc_table(
     (``id_split`` and ``hash_split`` find the parts). Parts are sized by rows; how many
     are read at a time is the number of executor cores, which is what bounds the connections.
     """
-    if isinstance(split, HashSplit):
+    if isinstance(split, RangeSplit | HashSplit):
         options = source.options()
         url = options.pop("url")
         df = spark.read.jdbc(url, table, predicates=split.predicates(source.dialect), properties=options)
@@ -110,25 +124,49 @@ def read_jdbc_table(
     return df.select(*columns) if columns else df
 
 
-def _ask(spark: SparkSession, source: JdbcSource, query: str):
-    return spark.read.format("jdbc").options(**source.options(), dbtable=f"({query}) answer").load().first()
+def _ask(spark: SparkSession, source: JdbcSource, query: str) -> list:
+    return spark.read.format("jdbc").options(**source.options(), dbtable=f"({query}) answer").load().collect()
 
 
 def id_split(
     spark: SparkSession, source: JdbcSource, table: str, column: str = "id", rows_per_task: int = ROWS_PER_TASK
-) -> Split | None:
-    """Bounds of a numeric id column, asked of the database; None for an empty table."""
-    low, high = _ask(spark, source, f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}")
-    return None if low is None else split_range(column, int(low), int(high), rows_per_task)
+) -> Split | RangeSplit | None:
+    """Parts of a table by a numeric id, as many as its rows need; None for an empty table.
+
+    Ids that fill at least half of their span are cut into equal steps. Others, such as
+    times, random or 64-bit numbers, are cut at quantiles, which the database finds in one
+    pass over its index; one value per part comes back.
+    """
+    [(rows, low, high)] = _ask(spark, source, f"SELECT COUNT(*) AS n, MIN({column}) AS low, MAX({column}) AS high FROM {table}")
+    if low is None:
+        return None
+    rows, low, high = int(rows), int(low), int(high)
+    parts = -(-rows // rows_per_task)
+    if 2 * rows >= high - low and -LONG <= low and high < LONG:
+        return split_range(column, low, high, parts)
+    return quantile_split(spark, source, table, column, parts)
+
+
+LONG = 1 << 63
+
+
+def split_range(column: str, low: int, high: int, parts: int) -> Split:
+    return Split(column, low, min(high + 1, LONG - 1), max(1, min(parts, high - low + 1)))
 
 
-def split_range(column: str, low: int, high: int, rows_per_task: int = ROWS_PER_TASK) -> Split:
-    return Split(column, low, high + 1, (high - low) // rows_per_task + 1)
+def quantile_split(spark: SparkSession, source: JdbcSource, table: str, column: str, parts: int) -> RangeSplit:
+    """Ranges of equal numbers of rows; rows with one value stay together."""
+    if parts <= 1:
+        return RangeSplit(column, ())
+    placed = f"SELECT {column} AS v, NTILE({parts}) OVER (ORDER BY {column}) AS part FROM {table} WHERE {column} IS NOT NULL"
+    lows = _ask(spark, source, f"SELECT part, MIN(v) AS low FROM ({placed}) placed GROUP BY part")
+    cuts = sorted({low if isinstance(low, str) else int(low) for _, low in lows})
+    return RangeSplit(column, tuple(cuts[1:]))
 
 
 def hash_split(
     spark: SparkSession, source: JdbcSource, table: str, column: str = "id", rows_per_task: int = ROWS_PER_TASK
 ) -> HashSplit:
     """Parts of a table whose id is text, by its number of rows."""
-    (rows,) = _ask(spark, source, f"SELECT COUNT(*) AS n FROM {table}")
+    [(rows,)] = _ask(spark, source, f"SELECT COUNT(*) AS n FROM {table}")
     return HashSplit(column, int(rows) // rows_per_task + 1)

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import RAW_SCHEMAS, ddl_columns, require_columns
-from tidemark.sinks.tables import read_published
+from tidemark.sinks.tables import read_published, read_release
 
 # The standard source tables in order, and the published ones.
 STANDARD_TABLES = ["users", "analytics_events", "transactions"]
@@ -33,13 +33,14 @@ def read_parquet_raw(spark: SparkSession, path: str, table: str | None = None) -
 def read_marts(
     spark: SparkSession, require_all: bool, database: str | None = None, path: str | None = None
 ) -> Mapping[str, DataFrame]:
-    """Published tables by name: those below the folder ``path``, in any session, else those of the catalog.
+    """Published tables by name: those below the folder ``path``, in any session and of one release, else those of the catalog.
 
     ``require_all`` raises if any is missing (report page); otherwise the ones
     that exist are returned (metric samples). Nothing is ever made up.
     """
     if path is not None:
-        stored = {name: read_published(spark, f"{path}/{name}") for name in MARTS}
+        together = read_release(spark, path)
+        stored = {name: together.get(name) or read_published(spark, f"{path}/{name}") for name in MARTS}
         found = {name: df for name, df in stored.items() if df is not None}
     else:
         prefix = f"{database}." if database else ""

@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import timedelta
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.ingest import ENVELOPE_SCHEMA, accepted_events, ingest_outcomes, rejected_events
-from tidemark.sinks import store_ingested
+from tidemark.session import require_utc
+from tidemark.sinks import read_ingested, store_ingested
+
+__all__ = ["first_posts", "ingest_stream", "read_ingested"]
+
+
+def first_posts(envelopes: DataFrame, within: timedelta) -> DataFrame:
+    """A stream of envelopes without the repeats of a post (same endpoint and batch_id) that arrive within that time.
+
+    The first to be read stays. State is one key per post and goes when the watermark on the
+    time of arrival has passed it by ``within``; it lives in the checkpoint, so repeats are
+    known after a restart as well. Posts without an id are known by their body.
+    """
+    require_utc(envelopes.sparkSession)
+    keyed = envelopes.withColumns({"seen_at": F.col("arrival_ts").cast("timestamp"), "post": F.coalesce("batch_id", F.sha2("value", 256))})
+    keyed = keyed.withWatermark("seen_at", f"{within // timedelta(microseconds=1)} microseconds")
+    return keyed.dropDuplicatesWithinWatermark(["endpoint", "post"]).drop("seen_at", "post")
 
 
 def ingest_stream(
@@ -18,26 +36,25 @@ def ingest_stream(
     max_items: int | None = None,
     user_fallback: str = "blank",
     once: bool = False,
+    repeats_within: timedelta | None = None,
 ) -> StreamingQuery:
-    """Checks a stream of envelopes and appends stored events and quarantine rows.
+    """Checks a stream of envelopes and adds stored events and quarantine rows.
 
-    Bodies are parsed once per micro-batch. Rows lie by day of arrival; each
-    micro-batch replaces its own part of a day when it runs again, so a restart adds
-    nothing twice. ``once`` handles what is there and stops.
+    Bodies are parsed once per micro-batch. Rows lie by day of arrival, query and
+    micro-batch; a micro-batch that runs again replaces its own rows, so a restart adds
+    nothing twice, and other streams and loads into the same folders stay untouched. A new
+    checkpoint is a new query. ``once`` handles what is there and stops; ``repeats_within``
+    leaves out repeated posts.
     """
+    names: list[str] = []
 
     def store(batch: DataFrame, epoch: int) -> None:
-        store_ingested(batch, out, quarantine, policy, max_items, user_fallback, epoch)
-
-    writer = envelopes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        if not names:  # the id of the query, the same after every restart from its checkpoint
+            names.append(batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"])
+        store_ingested(
+            batch, out, quarantine, writer=names[0], epoch=epoch, policy=policy, max_items=max_items, user_fallback=user_fallback
+        )
+
+    rows = first_posts(envelopes, repeats_within) if repeats_within else envelopes
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
-
-
-def read_ingested(spark: SparkSession, path: str, rejected: bool = False) -> DataFrame:
-    """All rows that ``ingest_stream`` has written to one of its targets, even none.
-
-    A filter on ``arrival_date`` reads only these days.
-    """
-    no_posts = ingest_outcomes(spark.createDataFrame([], ENVELOPE_SCHEMA), "lenient")
-    schema = (rejected_events if rejected else accepted_events)(no_posts).schema.add("arrival_date", "date").add("epoch", "long")
-    return spark.read.schema(schema).parquet(path).drop("epoch")
