@@ -6,6 +6,7 @@ from tidemark.operators.quality import (
     Checks,
     QualityError,
     check_table,
+    check_written,
     dq_not_null,
     dq_report,
     dq_unique,
@@ -13,6 +14,7 @@ from tidemark.operators.quality import (
 )
 from tidemark.operators.staging import same_key_derivations, stg_events
 from tidemark.plans import models
+from tidemark.sinks import stage_all, stage_mart
 
 
 def test_counts(spark):
@@ -96,3 +98,24 @@ def test_shared_grouping_reads_only_what_it_checks(spark, tmp_path):
     plan = plan_text(dq_report({"raw_analytics_events": df, "stg_events": stg_events(df)}, derived=same_key_derivations()))
     assert plan.count("ReadSchema") == 1
     assert "ReadSchema: struct<id:string,event_name:string,created_at:timestamp_ntz>" in plan
+
+
+def test_nulls_are_counted_by_the_writing_tasks(spark, tmp_path):
+    """The counts equal those of a reading check, and the report reads no column for them."""
+    df = spark.createDataFrame([(1, "a", None), (1, None, None), (None, None, "x"), (None, "b", "y"), (2, "c", None)], "k int, v string, w string")
+    checks = Checks(["k", "v", "w"], ["k"])
+    for by in (None, "k"):
+        table = stage_mart(df.repartition(3), "t", str(tmp_path / f"t-{by}"), by, checks.not_null)
+        assert table.nulls == {"k": 2, "v": 2, "w": 3}
+        got = check_written(table.rows, checks, table.nulls, "t")
+        assert dicts(got, "column", "test") == dicts(check_table(df, checks, "t"), "column", "test")
+        assert "ReadSchema: struct<k:int>" in plan_text(got) or by == "k"
+    assert stage_mart(df, "t", str(tmp_path / "plain")).nulls == {}
+
+
+def test_tables_written_at_the_same_time(spark, tmp_path):
+    tables = {f"t{i}": spark.range(10).selectExpr(f"nullif(id % {i + 2}, 0) AS a") for i in range(6)}
+    staged = stage_all(tables, str(tmp_path), {name: ["a"] for name in tables})
+    assert {name: t.nulls["a"] for name, t in staged.items()} == {f"t{i}": len(range(0, 10, i + 2)) for i in range(6)}
+    with pytest.raises(Exception, match="USER_RAISED|stop"):
+        stage_all(tables | {"bad": spark.range(1).selectExpr("raise_error('stop') AS a")}, str(tmp_path / "x"))

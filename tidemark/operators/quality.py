@@ -70,6 +70,19 @@ def _results(model: str, prefix: str, checks: Checks, repeated: Mapping[str, str
     ]
 
 
+def check_written(df: DataFrame, checks: Checks, nulls: Mapping[str, int], model: str = "") -> DataFrame:
+    """(model, column, test, failures) of a table whose NULLs were counted as it was written.
+
+    Nothing is read for them; each unique column is read alone and grouped.
+    """
+    counts = [dq_unique(df, key).agg(F.count(F.lit(1)).alias("repeated")) for key in checks.unique]
+    parts = [count.select(F.inline(F.array(*_results(model, "", Checks(), {key: "repeated"})))) for key, count in zip(checks.unique, counts)]
+    if checks.not_null:
+        rows = [(model, name, "not_null", nulls[name]) for name in checks.not_null]
+        parts.append(df.sparkSession.createDataFrame(rows, "model string, column string, test string, failures bigint"))
+    return reduce(DataFrame.union, parts)
+
+
 def check_table(df: DataFrame, checks: Checks, model: str = "") -> DataFrame:
     """(model, column, test, failures) of one table.
 
@@ -137,21 +150,33 @@ def dq_report(
     tables: Mapping[str, DataFrame],
     declared: Mapping[str, Checks] = DECLARED,
     derived: Mapping[str, Derivation] | None = None,
+    nulls: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """(model, column, test, failures) for every declared check of the given tables.
 
-    A staged table named in ``derived`` is checked together with its raw table.
+    A staged table named in ``derived`` is checked together with its raw table. ``nulls``
+    has, per table, the NULLs of its columns that were counted when it was written.
     """
+    nulls = nulls or {}
     unknown = sorted(set(tables) - set(declared))
     if unknown:
         raise ValueError(f"no checks declared for {', '.join(unknown)}")
     pairs = {name: d for name, d in (derived or {}).items() if name in tables and d.raw in tables}
     together = set(pairs) | {d.raw for d in pairs.values()}
     parts = [check_pair(tables[d.raw], d, declared[d.raw], declared[name], name) for name, d in pairs.items()]
-    parts += [check_table(df, declared[name], name) for name, df in tables.items() if name not in together]
+    for name, df in tables.items():
+        if name in nulls:
+            parts.append(check_written(df, declared[name], nulls[name], name))
+        elif name not in together:
+            parts.append(check_table(df, declared[name], name))
     return reduce(DataFrame.union, parts)
 
 
+def counted_columns(declared: Mapping[str, Checks] = DECLARED) -> dict[str, Sequence[str]]:
+    """Per table the columns whose NULLs its writer should count."""
+    return {name: checks.not_null for name, checks in declared.items()}
+
+
 class QualityError(RuntimeError):
     """At least one declared check failed."""
 

@@ -24,12 +24,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_away
+from tidemark.operators.parts import EPOCH, PART_ROWS, micros, time_parts
 from tidemark.session import written
 
-PART_ROWS = 100_000
-SLOT_MICROS = 60_000_000
-EPOCH = "1970-01-01 00:00:00"
-
 Step = str | Sequence[str]
 
 
@@ -41,12 +38,8 @@ def step_name(step: Step) -> str:
     return " | ".join(_names(step))
 
 
-def _micros(time: str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(time))
-
-
-def _time(micros: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH).cast("timestamp_ntz"))
+def _time(at: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", at, F.lit(EPOCH).cast("timestamp_ntz"))
 
 
 def _has(steps: str | Column, i: int) -> Column:
@@ -63,7 +56,7 @@ def step_marks(events: DataFrame, steps: Sequence[Step], by: Sequence[str] = (),
     wanted = sorted({name for step in steps for name in _names(step)})
     return (
         events.where(F.col("event_name").isin(wanted) & F.col("user_id").isNotNull() & F.col(time).isNotNull())
-        .groupBy(F.struct("user_id", *by).alias("key"), _micros(time).alias("at"))
+        .groupBy(F.struct("user_id", *by).alias("key"), micros(time).alias("at"))
         .agg(F.bit_or(mask).alias("steps"))
     )
 
@@ -90,11 +83,7 @@ def _folded(marks: DataFrame, count: int, within: int) -> DataFrame:
 
 def _by_parts(marks: DataFrame, count: int, within: int, part_rows: int) -> DataFrame:
     """As ``_folded``, step by step over parts of time; one time per step and part passes between them."""
-    slotted = marks.withColumn("slot", F.floor(F.col("at") / SLOT_MICROS))
-    slots = slotted.groupBy("key", "slot").agg(F.count(F.lit(1)).alias("rows"))
-    earlier = F.sum("rows").over(W.partitionBy("key").orderBy("slot").rowsBetween(W.unboundedPreceding, -1))
-    parts = slots.select("key", "slot", F.floor(F.coalesce(earlier, F.lit(0)) / part_rows).alias("part"))
-    rows = slotted.join(parts, ["key", "slot"]).select("key", "part", "at", "steps")
+    rows = time_parts(marks, part_rows)
     rows = written(rows.withColumn("step_1", F.when(_has("steps", 0), F.col("at"))), "funnel-step")
     before = W.partitionBy("key", "part").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
     for i in range(1, count):

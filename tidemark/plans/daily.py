@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.activity import activity_rollup
-from tidemark.operators.quality import dq_report, raise_on_failures
+from tidemark.operators.quality import counted_columns, dq_report, raise_on_failures
 from tidemark.operators.staging import same_key_derivations, stg_events, stg_transactions, stg_users
 from tidemark.plans.kpis import dashboard_json
 from tidemark.plans.metrics import metric_samples, metrics_exposition
@@ -22,7 +22,7 @@ from tidemark.plans.models import (
     mart_user_growth,
 )
 from tidemark.session import require_utc
-from tidemark.sinks import materialize_mart, read_published, release_all, stage_mart, write_dashboard_json, write_text
+from tidemark.sinks import materialize_mart, read_published, release_all, stage_all, stage_mart, write_dashboard_json, write_text
 from tidemark.sinks.tables import Staged
 from tidemark.sources import read_marts
 
@@ -118,11 +118,13 @@ def daily_run(
     }
     activity = stage_activity(staged["stg_events"], f"{out}/event_activity", since)
     models = build_models(staged["stg_users"], activity.rows, staged["stg_transactions"])
-    written = {name: stage_mart(df, name, f"{out}/{name}") for name, df in models.items()}
+    written = stage_all(models, out, counted_columns())
 
     sources = {f"raw_{name}": df for name, df in raw.items()}
     rows = {name: table.rows for name, table in written.items()}
-    report = materialize_mart(dq_report(sources | staged | rows, derived=same_key_derivations()), "dq_report", f"{out}/dq_report")
+    nulls = {name: table.nulls for name, table in written.items()}
+    checks = dq_report(sources | staged | rows, derived=same_key_derivations(), nulls=nulls)
+    report = materialize_mart(checks, "dq_report", f"{out}/dq_report")
     if check:
         raise_on_failures(report)
 

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import cohorts, sessions, sketches, step_funnel
+from tidemark.operators import catalogue, cohorts, paths, sessions, sketches, step_funnel
 from tidemark.registry.oracle import ORACLE, VIEWS, with_views
 from tidemark.registry.queries import Tables, on_tables
 from tidemark.session import scratch_path
@@ -206,6 +206,70 @@ def _dau_stream(t: Tables) -> DataFrame:
 ORACLE["sessions_stream"] = ORACLE["sessions"]
 ORACLE["dau_stream"] = with_views("SELECT event_date AS metric_date, count(DISTINCT user_id) AS dau_count FROM s_events WHERE user_id IS NOT NULL GROUP BY 1")
 
+# Paths
+
+
+@on_tables("event_paths")
+def _event_paths(t: Tables) -> DataFrame:
+    return paths.event_paths(t.events, 3)
+
+
+@on_tables("event_paths_split")
+def _event_paths_split(t: Tables) -> DataFrame:
+    """All events of a platform as one sequence, in parts of a few rows: the most frequent paths of four events."""
+    return paths.top_paths(paths.event_paths(t.events, 4, ["platform"], part_rows=50), 100)
+
+
+@on_tables("event_transitions")
+def _event_transitions(t: Tables) -> DataFrame:
+    return paths.event_transitions(t.events)
+
+
+def _paths_sql(keys: str, length: int, rest: str = "") -> str:
+    leads = ", ".join(["event_name", *(f"lead(event_name, {i}) OVER w" for i in range(1, length))])
+    return with_views(f"""
+SELECT array_to_string(path, ' > ') AS path, count(*) AS occurrences, count(DISTINCT key) AS sessions_count
+FROM (SELECT ({keys},) AS key, [{leads}] AS path, lead(1, {length - 1}) OVER w AS whole FROM s_events WHERE created_at IS NOT NULL
+  WINDOW w AS (PARTITION BY {keys} ORDER BY created_at, event_id)) WHERE whole = 1 GROUP BY 1 {rest}""")
+
+
+ORACLE["event_paths"] = _paths_sql("user_id, session_id", 3)
+ORACLE["event_paths_split"] = _paths_sql("platform", 4, "ORDER BY occurrences DESC, path LIMIT 100")
+ORACLE["event_transitions"] = with_views("""
+SELECT from_event, to_event, count(*) AS transitions_count, round(count(*) / sum(count(*)) OVER (PARTITION BY from_event), 4) AS transition_share
+FROM (SELECT event_name AS from_event, lead(event_name) OVER w AS to_event, lead(1) OVER w AS whole FROM s_events WHERE created_at IS NOT NULL
+  WINDOW w AS (PARTITION BY user_id, session_id ORDER BY created_at, event_id)) WHERE whole = 1 GROUP BY 1, 2""")
+
+# Properties
+
+
+@on_tables("property_catalogue")
+def _property_catalogue(t: Tables) -> DataFrame:
+    """Properties of the events; some are given another type, a null, a nested value, or are no JSON."""
+    number = F.col("event_id").cast("bigint")
+    key = F.get_json_object("properties_json", "$.k")
+    changed = (
+        F.when(number % 10 == 0, F.concat(F.lit('{"k": "'), key, F.lit('", "more": null}')))
+        .when((number % 15 == 0) & (F.col("event_name") != "view"), F.concat(F.lit('{"k": '), key, F.lit('.5, "more": [1, {"x": true}]}')))
+        .when(number % 21 == 0, F.concat(F.lit('{"deep": {"k": '), key, F.lit('}, "flag": true}')))
+        .when(number % 33 == 0, "{broken")
+        .otherwise(F.col("properties_json"))
+    )
+    return catalogue.property_catalogue(t.events.withColumn("properties_json", changed))
+
+
+ORACLE["property_catalogue"] = with_views("""
+SELECT event_name, property, CAST(sum(n) AS BIGINT) AS events_count, string_agg(kind || ':' || n, ',' ORDER BY kind) AS types,
+  count(DISTINCT CASE WHEN kind IN ('integer', 'decimal') THEN 'number' ELSE kind END) FILTER (kind <> 'null') > 1 AS has_conflict, min(first_seen) AS first_seen_date
+FROM (SELECT event_name, property, kind, count(*) AS n, min(event_date) AS first_seen FROM (
+  SELECT event_name, event_date, property, CASE json_type(json_extract(j, '$.' || property)) WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'decimal'
+    WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' END AS kind
+  FROM (SELECT event_name, event_date, j, unnest(json_keys(j)) AS property FROM (
+    SELECT event_name, event_date, CASE
+      WHEN n % 10 = 0 THEN '{"k": "' || k || '", "more": null}' WHEN n % 15 = 0 AND event_name <> 'view' THEN '{"k": ' || k || '.5, "more": [1, {"x": true}]}'
+      WHEN n % 21 = 0 THEN '{"deep": {"k": ' || k || '}, "flag": true}' WHEN n % 33 = 0 THEN '{}' ELSE properties_json END AS j
+    FROM (SELECT *, CAST(event_id AS BIGINT) AS n, regexp_extract(properties_json, '[0-9]+') AS k FROM s_events)))) GROUP BY 1, 2, 3) GROUP BY 1, 2""")
+
 # Posts stored more than once
 
 

@@ -642,7 +642,23 @@ REPORT_LINES = {
     "platform_totals": ("t.platform", "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM k_platform"),
 }
 ORACLE["dashboard_json"] = " UNION ALL ".join(json_fields(name, *line) for name, line in REPORT_LINES.items())
-ORACLE["daily_dashboard"] = " UNION ALL ".join(f"SELECT '{name}' AS section, count(*) AS n_lines FROM ({rows})" for name, (_, rows) in REPORT_LINES.items())
+ORACLE["daily_dashboard"] = f"SELECT section, field, number, text, count(*) AS n_lines FROM ({ORACLE['dashboard_json']}) GROUP BY ALL"
+ORACLE["mart_orderings"] = " UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, row_number() OVER (ORDER BY {order}) AS position, {key} AS key FROM {view}"
+    for mart, view, order, key in (
+        ("mart_user_growth", "m_growth", "metric_date ASC NULLS LAST", "coalesce(CAST(metric_date AS VARCHAR), '-')"),
+        ("mart_event_funnel", "m_funnel", "funnel_step_order, event_name", "event_name"),
+        (
+            "mart_revenue", "m_revenue", "metric_date DESC NULLS LAST, currency, payment_method",
+            "coalesce(CAST(metric_date AS VARCHAR), '-') || '|' || currency || '|' || payment_method",
+        ),
+        ("mart_platform_split", "m_platform", "metric_date DESC NULLS LAST, platform NULLS LAST", "coalesce(CAST(metric_date AS VARCHAR), '-') || '|' || coalesce(platform, '-')"),
+    )
+)
+ORACLE["extract_tables"] = """
+SELECT 0 AS position, 'users' AS table_name, count(*) AS row_count FROM v_raw_users
+UNION ALL SELECT 1, 'analytics_events', count(*) FROM v_raw_events
+UNION ALL SELECT 2, 'transactions', count(*) FROM v_raw_tx"""
 ORACLE["daily_report"] = ORACLE["dq_report"]
 ORACLE["daily_samples"] = f"SELECT line, CAST(1 AS INTEGER) AS times FROM ({ORACLE['metrics_exposition']})"
 

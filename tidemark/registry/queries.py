@@ -14,10 +14,12 @@ from tidemark.operators import accounts, activity, calendar, quality, ranking, r
 from tidemark.operators import ingest
 from tidemark.plans import kpis, metric_queries, metrics, models, summary
 from tidemark.plans.daily import build_models, daily_run, samples_run
+from tidemark.plans.extract import extract
 from tidemark.schemas import backend_events_as_raw
 from tidemark.session import scratch_path
-from tidemark.sinks import materialize_mart, register_raw, write_snapshots, write_text
-from tidemark.sources import ga4_normalize, read_parquet_raw, testdata, union_event_sources
+from tidemark.sinks import materialize_mart, register_raw, stage_all, write_snapshots, write_text
+from tidemark.sinks.tables import Staged
+from tidemark.sources import JdbcSource, ga4_normalize, read_parquet_raw, testdata, union_event_sources
 from tidemark.streaming import ingest_stream, read_ingested
 
 TS_MS = 1_706_659_200_000  # 2024-01-31 00:00 UTC
@@ -75,10 +77,14 @@ class Tables:
         return self.spark.read.parquet(path)
 
     @cached_property
-    def stored(self) -> dict[str, DataFrame]:
-        """The models, each written once from the rollup."""
+    def staged_models(self) -> dict[str, Staged]:
+        """The models, each written once from the rollup, with the NULLs that the checks ask for counted on the way."""
         models_ = build_models(self.users, self.activity, self.transactions)
-        return {name: read_written(df, name) for name, df in models_.items()}
+        return stage_all(models_, scratch_path(self.spark, "models"), quality.counted_columns())
+
+    @property
+    def stored(self) -> dict[str, DataFrame]:
+        return {name: table.rows for name, table in self.staged_models.items()}
 
     @cached_property
     def journey(self) -> DataFrame:
@@ -101,12 +107,6 @@ class Tables:
         return models.mart_platform_split(self.users, self.events, self.transactions)
 
 
-def read_written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def on_tables(name: str) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
     """Registers a query that needs only the tables of its scale."""
 
@@ -263,6 +263,7 @@ def _dq_report(t: Tables) -> DataFrame:
             **t.stored,
         },
         derived=staging.same_key_derivations(),
+        nulls={name: table.nulls for name, table in t.staged_models.items()},
     )
 
 
@@ -466,9 +467,40 @@ def _daily_samples(t: Tables) -> DataFrame:
 
 @on_tables("daily_dashboard")
 def _daily_dashboard(t: Tables) -> DataFrame:
-    """Figures of the report lines of a run: lines and characters per section."""
-    lines = t.spark.read.text(_daily(t).dashboard_path)
-    return lines.groupBy("section").agg(F.count(F.lit(1)).alias("n_lines"))
+    """The report lines of a run, read back: every field of every line, and how many lines of a section have it."""
+    lines = t.spark.read.text(_daily(t).dashboard_path).select("section", F.lit("").alias("sort_key"), F.col("value").alias("json"))
+    return json_fields(lines).groupBy("section", "field", "number", "text").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@on_tables("extract_tables")
+def _extract_tables(t: Tables) -> DataFrame:
+    """The tables that an extraction chooses of those a source has, in order, as they were copied and registered."""
+    loads = {"transactions": lambda: t.raw_transactions, "audit": lambda: t.raw_users, "users": lambda: t.raw_users, "analytics_events": lambda: t.raw_events}
+    source = JdbcSource("postgresql", "nowhere", "d", "u", "p")
+    folder = scratch_path(t.spark, "extract")
+    written = extract(t.spark, source, folder, available=lambda *_: list(loads), read=lambda _, __, name: loads[name]())
+    counts = [
+        t.spark.table(f"raw_{name}").agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(i).alias("position"), F.lit(name).alias("table_name"), "row_count")
+        for i, name in enumerate(written)
+    ]
+    return reduce(DataFrame.union, counts)
+
+
+@on_tables("mart_orderings")
+def _mart_orderings(t: Tables) -> DataFrame:
+    """The rows of the published tables by their place in reading order."""
+    keys = {
+        "mart_user_growth": ["metric_date"],
+        "mart_event_funnel": ["event_name"],
+        "mart_revenue": ["metric_date", "currency", "payment_method"],
+        "mart_platform_split": ["metric_date", "platform"],
+    }
+    placed = []
+    for name, columns in keys.items():
+        rows = models.in_reading_order(name, t.stored[name]).withColumn("place", F.monotonically_increasing_id())
+        text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns))
+        placed.append(ranking.dense_index(rows.select("place", text.alias("key")), "place", "position").select(F.lit(name).alias("mart"), "position", "key"))
+    return reduce(DataFrame.union, placed)
 
 
 # Posted events

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on; everything about sizing is left to the cluster.
@@ -75,3 +79,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+Result = TypeVar("Result")
+
+
+def side_by_side(spark: SparkSession, jobs: Mapping[str, Callable[[], Result]], at_once: int = 8) -> dict[str, Result]:
+    """Runs Spark jobs that do not need each other at the same time, so that the tail of one does not leave the cluster idle.
+
+    The first failure is raised when all have ended.
+    """
+    with ThreadPoolExecutor(max(1, min(at_once, len(jobs)))) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+    return {name: job.result() for name, job in started.items()}

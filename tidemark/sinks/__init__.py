@@ -5,6 +5,7 @@ from tidemark.sinks.tables import (
     read_release,
     register_raw,
     release_all,
+    stage_all,
     stage_mart,
     write_snapshot,
     write_snapshots,
@@ -19,6 +20,7 @@ __all__ = [
     "read_release",
     "register_raw",
     "release_all",
+    "stage_all",
     "stage_mart",
     "store_ingested",
     "write_dashboard_json",

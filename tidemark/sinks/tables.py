@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import logging
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.session import side_by_side
 
 log = logging.getLogger(__name__)
 
@@ -19,11 +22,22 @@ def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None) ->
     Rows are gathered by that value first, or every task would write a file per
     value; a value with very many rows is split again by its size.
     """
-    writer = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite").option("compression", "snappy")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    _write(df, path, partition_by)
     return path
 
 
+def _write(df: DataFrame, path: str, partition_by: str | None = None, counted: Sequence[str] = ()) -> dict[str, int]:
+    """Writes as ``write_snapshot`` does; returns the NULLs in the counted columns, seen by the writing tasks themselves."""
+    rows = df.hint("rebalance", partition_by) if partition_by else df
+    seen = Observation()
+    if counted:
+        # Last before the write: a task there counts once, however often an earlier stage runs.
+        rows = rows.observe(seen, *(F.count_if(F.col(name).isNull()).alias(name) for name in counted))
+    writer = rows.write.mode("overwrite").option("compression", "snappy")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return {name: seen.get[name] for name in counted}
+
+
 def write_snapshots(tables: Mapping[str, Callable[[], DataFrame]], folder: str) -> dict[str, str]:
     """One Parquet folder per table; a table that fails is logged and left out.
 
@@ -76,6 +90,7 @@ class Staged:
     path: str
     version: str
     rows: DataFrame
+    nulls: Mapping[str, int]
 
     def release(self, keep: int = 2) -> DataFrame:
         """Makes the version the current one and the view of its name; all but the last ``keep`` are removed."""
@@ -90,13 +105,27 @@ class Staged:
         return self.rows
 
 
-def stage_mart(df: DataFrame, name: str, path: str, partition_by: str | None = None) -> Staged:
-    """Writes a new version of the table at ``path`` next to the published ones."""
+def stage_mart(
+    df: DataFrame, name: str, path: str, partition_by: str | None = None, counted: Sequence[str] = ()
+) -> Staged:
+    """Writes a new version of the table at ``path`` next to the published ones, counting the NULLs of some columns."""
     spark = df.sparkSession
     taken = _versions(spark, path, published=False)
     version = f"v{int(taken[-1][1:]) + 1 if taken else 1:012d}"
-    write_snapshot(df, f"{path}/{version}", partition_by)
-    return Staged(name, path, version, spark.read.schema(df.schema).parquet(f"{path}/{version}").select(df.columns))
+    nulls = _write(df, f"{path}/{version}", partition_by, counted)
+    rows = spark.read.schema(df.schema).parquet(f"{path}/{version}").select(df.columns)
+    return Staged(name, path, version, rows, nulls)
+
+
+def stage_all(tables: Mapping[str, DataFrame], folder: str, counted: Mapping[str, Sequence[str]] | None = None) -> dict[str, Staged]:
+    """New versions of tables at ``folder``/name, written at the same time."""
+    counted = counted or {}
+
+    def job(name: str, df: DataFrame) -> Callable[[], Staged]:
+        return lambda: stage_mart(df, name, f"{folder}/{name}", counted=counted.get(name, ()))
+
+    spark = next(iter(tables.values())).sparkSession
+    return side_by_side(spark, {name: job(name, df) for name, df in tables.items()})
 
 
 def materialize_mart(df: DataFrame, name: str, path: str, partition_by: str | None = None) -> DataFrame:
