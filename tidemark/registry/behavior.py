@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import catalogue, cohorts, paths, sessions, sketches, step_funnel
+from tidemark.plans import growth_deltas
 from tidemark.registry.oracle import ORACLE, VIEWS, with_views
 from tidemark.registry.queries import Tables, on_tables
 from tidemark.session import scratch_path
@@ -153,6 +154,26 @@ FROM (SELECT *, last_value(island) OVER (PARTITION BY user_id ORDER BY p ROWS BE
   FROM (SELECT *, p - row_number() OVER (PARTITION BY user_id ORDER BY p) AS island, p - lag(p) OVER (PARTITION BY user_id ORDER BY p) - 1 AS gap FROM seen_days))
 GROUP BY user_id""")
 
+# Rolling actives by deltas
+
+
+@on_tables("growth_by_deltas")
+def _growth_by_deltas(t: Tables) -> DataFrame:
+    """Three loads, each with events of all dates, the second one run twice, and the layers united before the last."""
+    folder = scratch_path(t.spark, "growth")
+    for i in (0, 1, 1, 2):
+        if i == 2:
+            growth_deltas.compact_layers(t.spark, folder)
+        growth_deltas.add_activity(t.events.where(f"pmod(hash(event_id), 3) = {i}"), folder)
+    return growth_deltas.rolling_counts(t.spark, folder)
+
+
+ORACLE["growth_by_deltas"] = with_views("""
+SELECT d.event_date AS metric_date, count(DISTINCT e.user_id) FILTER (e.event_date = d.event_date) AS dau_count,
+  count(DISTINCT e.user_id) FILTER (e.event_date > d.event_date - 7) AS wau_count, count(DISTINCT e.user_id) AS mau_count
+FROM (SELECT DISTINCT event_date FROM s_events WHERE event_date IS NOT NULL) d
+JOIN s_events e ON e.event_date BETWEEN d.event_date - 29 AND d.event_date GROUP BY 1""")
+
 # Sessions
 
 

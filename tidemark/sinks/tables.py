@@ -151,16 +151,18 @@ def _versions_in(spark: SparkSession, folder: str, release: str) -> dict[str, st
     return json.loads("".join(row[0] for row in spark.read.text(f"{folder}/{RELEASES}/{release}").collect()))
 
 
-def release_all(staged: Mapping[str, Staged], folder: str, keep: int = 2) -> dict[str, DataFrame]:
+def release_all(staged: Mapping[str, Staged], folder: str, keep: int = 2, without: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Makes staged tables, each at ``folder``/name, the current ones together, by one mark.
 
     A reader has the tables of one release or of the one before, never some of each: the
     mark is written aside and renamed. Tables that are not named keep the version of the
-    release before. All but the last ``keep`` releases are removed. One writer at a time.
+    release before, but for those ``without`` which the new one is. All but the last ``keep`` releases are removed. One writer at a time.
     """
     spark = next(iter(staged.values())).rows.sparkSession
     before = _releases(spark, folder)
-    versions = (_versions_in(spark, folder, before[-1]) if before else {}) | {name: table.version for name, table in staged.items()}
+    taken_over = _versions_in(spark, folder, before[-1]) if before else {}
+    versions = {name: version for name, version in taken_over.items() if name not in without}
+    versions |= {name: table.version for name, table in staged.items()}
     number = int(before[-1].split(".")[0]) + 1 if before else 1
     fs, aside = files(spark, f"{folder}/{RELEASES}/_writing")
     out = fs.create(aside, True)
@@ -175,6 +177,8 @@ def release_all(staged: Mapping[str, Staged], folder: str, keep: int = 2) -> dic
         for version in _versions(spark, f"{folder}/{name}", published=False):
             if version < oldest:
                 fs.delete(files(spark, f"{folder}/{name}/{version}")[1], True)
+    for name in set(taken_over) - set().union(*kept):
+        fs.delete(files(spark, f"{folder}/{name}")[1], True)
     for name in current[: -max(1, keep)]:
         fs.delete(files(spark, f"{folder}/{RELEASES}/{name}")[1], True)
     for name, table in staged.items():
