@@ -11,6 +11,7 @@ again. Exactly one edge that ends at a position does so, and relaxing keeps it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,7 +27,10 @@ from tidemark.llm.units import UnitTable
 
 MODEL = "piece_bpe_32k.model"
 CACHED_UNITS = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 2_000_000
+NEW_PAIRS = 20_000  # pairs that wait before they are sorted into the others
+INDEX_BYTES = 256_000  # of distinct units in one index text; a longer unit stands alone
+PIECE_BYTES = 4_000_000  # of text in one output batch; a longer text stands alone
 BLANK = "▁"
 _STOP = 0xFF  # no byte of UTF-8
 
@@ -67,8 +71,9 @@ class PieceModel:
         self.barrier = np.ones(256, bool)
         self.barrier[self.symbols] = False
         self.barrier[128:] = False
-        self.good: set[int] = set()
-        self.bad: set[int] = set()
+        # pairs looked at before: a sorted table of keys, and those that wait
+        self.pairs, self.fits = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.new_pairs: dict[int, bool] = {}
 
     def text_of(self, symbol: int) -> str:
         """The text of a piece, or of a character without one (numbered from ``size`` on)."""
@@ -91,20 +96,43 @@ class PieceModel:
     def agree(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether pieces may follow each other; -1 on the left is the start of a unit."""
         keys, inverse = np.unique((left + 1) * (1 << 32) + right, return_inverse=True)
-        fits = np.zeros(len(keys), bool)
-        for n, key in enumerate(keys.tolist()):
-            if key in self.good:
-                fits[n] = True
-            elif key not in self.bad:
+        fits, known = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        if len(self.pairs):
+            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            known = self.pairs[at] == keys
+            fits = known & self.fits[at]
+        for n in np.flatnonzero(~known).tolist():
+            key = int(keys[n])
+            if key not in self.new_pairs:
                 a, b = (key >> 32) - 1, key & 0xFFFFFFFF
                 want = [self.text_of(x) for x in (a, b) if x >= 0]
-                fits[n] = self.merge("".join(want)) == want
-                if len(self.good) + len(self.bad) >= CACHED_PAIRS:
-                    self.good.clear()
-                    self.bad.clear()
-                (self.good if fits[n] else self.bad).add(key)
+                self.new_pairs[key] = self.merge("".join(want)) == want
+            fits[n] = self.new_pairs[key]
+        if len(self.new_pairs) > NEW_PAIRS:
+            self._sort_in()
         return fits[inverse]
 
+    def _sort_in(self) -> None:
+        new = np.fromiter(self.new_pairs, np.int64, len(self.new_pairs))
+        fits = np.fromiter(self.new_pairs.values(), bool, len(self.new_pairs))
+        if len(self.pairs) + len(new) <= CACHED_PAIRS:
+            new, fits = np.concatenate([self.pairs, new]), np.concatenate([self.fits, fits])
+        order = np.argsort(new)
+        self.pairs, self.fits = new[order], fits[order]
+        self.new_pairs.clear()
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units and how many each has, from index texts of bounded size."""
+        total, low, ids, sizes = np.cumsum(ends - starts), 0, [], []
+        while low < len(starts):
+            before = total[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(total, before + INDEX_BYTES, side="right")))
+            part, size = self.encode_units(data, starts[low:high], ends[low:high])
+            ids.append(part.astype(np.int32))
+            sizes.append(size)
+            low = high
+        return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+
     def encode_units(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units and how many each has."""
         size = ends - starts
@@ -196,7 +224,7 @@ def _width_of(index: np.ndarray, at: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=2)
 def _model(path: str) -> tuple[PieceModel, UnitTable]:
     model = PieceModel(path)
-    return model, UnitTable(model.encode_units, np.int32, CACHED_UNITS)
+    return model, UnitTable(model.encode, np.int32, CACHED_UNITS)
 
 
 def encode_texts(column: pa.Array, path: str) -> pa.Array:
@@ -226,30 +254,52 @@ def decode_ids(ids: list[int] | None, path: str) -> str:
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-def encode_pieces(docs: DataFrame, model: str, text_column: str = "text") -> DataFrame:
-    """All columns and ``ids`` (array of int, empty for NULL and empty texts) and ``n_tokens``.
+def _small(batch: pa.RecordBatch, text_column: str) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about PIECE_BYTES of text."""
+    _, offsets = text_buffer(batch.column(text_column))
+    low = 0
+    while low < batch.num_rows:
+        high = int(np.searchsorted(offsets, offsets[low] + PIECE_BYTES, side="right")) - 1
+        high = min(max(high, low + 1), batch.num_rows)
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def encode_pieces(docs: DataFrame, model: str, text_column: str = "text", decoded: bool = False) -> DataFrame:
+    """All columns, ``ids`` (array of int, empty for NULL and empty texts) and ``n_tokens``; on demand the ids' text as ``decoded``.
 
-    One pass over whole texts without a shuffle. Words are encoded once per batch of about
-    2 MB, or not at all if they stand in the task's bounded table. Own columns of these
-    names are replaced.
+    One pass over whole texts without a shuffle, in one Python worker per task, which holds
+    the model, bounded tables of words and pairs of pieces, and a few MB of text. Words are
+    encoded once per block of about 2 MB, or not at all if they stand in the table. Own
+    columns of these names are replaced.
     """
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+    fields += [T.StructField("decoded", T.StringType())] if decoded else []
+    names = [f.name for f in fields]
+    keep = [c for c in docs.columns if c.lower() not in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _small(whole, text_column):
+                ids = encode_texts(batch.column(text_column), model)
+                new = [ids, ids.value_lengths().cast(pa.int64())] + ([decode_column(ids, model)] if decoded else [])
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + new, keep + names)
+
+    return docs.mapInArrow(run, T.StructType([docs.schema[c] for c in keep] + fields))
 
-    def build(batch: pa.RecordBatch) -> list:
-        ids = encode_texts(batch.column(text_column), model)
-        return [ids, ids.value_lengths().cast(pa.int64())]
 
-    return add_columns(docs, build, [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())])
+def decode_column(column: pa.Array, model: str) -> pa.Array:
+    if column.null_count:
+        column = pa.array([x or [] for x in column.to_pylist()], column.type)
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+    return pa.array([decode_ids(flat[a:b].tolist(), model) for a, b in zip(at, at[1:])], pa.string())
 
 
 def decode_pieces(docs: DataFrame, model: str, ids_column: str = "ids") -> DataFrame:
     """All columns and ``decoded``; NULL and empty ids give an empty text."""
 
     def build(batch: pa.RecordBatch) -> list:
-        column = batch.column(ids_column)
-        if column.null_count:
-            column = pa.array([x or [] for x in column.to_pylist()], column.type)
-        flat, at = column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
-        return [pa.array([decode_ids(flat[a:b].tolist(), model) for a, b in zip(at, at[1:])], pa.string())]
+        return [decode_column(batch.column(ids_column), model)]
 
     return add_columns(docs, build, [T.StructField("decoded", T.StringType())])
 
@@ -259,5 +309,5 @@ def op6_sentencepieces(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path(MODEL)
-    docs = decode_pieces(encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    docs = encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model, decoded=True)
     return docs.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"))
