@@ -93,12 +93,54 @@ def spans(data: np.ndarray, offsets: np.ndarray, in_class: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+_HASH_BYTES = 256_000
+_NEAR = 256  # places in a span whose values stand in a table
+
+
+def _place_values(place: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """A value for each pair of a byte and its place, which has no pattern along the places."""
+    pair = (place.astype(np.int64) << 8) | data
+    far = pair >= len(_PLACES)
+    if not far.any():
+        return _PLACES[pair]
+    values = _PLACES[np.where(far, 0, pair)]
+    values[far] = _pair_values(pair[far].astype(U64))
+    return values
+
+
+def _pair_values(pair: np.ndarray) -> np.ndarray:
+    return mix((pair + U64(1)) * U64(_BASE))
+
+
+_PLACES = _pair_values(np.arange(_NEAR << 8, dtype=U64))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each span, equal for equal bytes wherever they stand."""
-    up, down = powers(len(data))
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=sums[1:], dtype=U64)
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+    """A hash of the bytes of each span, equal for equal bytes wherever they stand.
+
+    It sums a value per byte and place. A polynomial modulo 2**64 would give equal sums to
+    certain long words of two letters, whatever its base; here no arrangement is special.
+    """
+    lengths = ends - starts
+    total, sums, low = np.cumsum(lengths), np.zeros(len(starts), U64), 0
+    while low < len(starts):
+        before = total[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(total, before + _HASH_BYTES, side="right")))
+        if lengths[low] > _HASH_BYTES:
+            word, one = data[starts[low] : ends[low]], 0
+            for at in range(0, len(word), _HASH_BYTES):
+                part = word[at : at + _HASH_BYTES]
+                one += int(_place_values(np.arange(at, at + len(part)), part).sum(dtype=U64))
+            sums[low], low = U64(one % (1 << 64)), low + 1
+            continue
+        begin, size = starts[low:high], lengths[low:high]
+        at = ranges(begin, size)
+        running = np.zeros(len(at) + 1, U64)
+        np.cumsum(_place_values(at - np.repeat(begin, size), data[at]), out=running[1:])
+        after = np.cumsum(size)
+        sums[low:high] = running[after] - running[after - size]
+        low = high
+    return mix(sums + lengths.astype(U64) * U64(_MULTIPLIER))
 
 
 def grams(values: np.ndarray, k: int) -> np.ndarray:
