@@ -1,6 +1,9 @@
 import hashlib
+import math
 import re
+import time
 
+import public_tokenizers
 import pytest
 from llm.helpers import SF_DIR, documents, read
 
@@ -52,6 +55,66 @@ def test_cost_is_the_least_over_segmentations():
     assert secrets.guess_bits("passwordpassword") <= 2 * secrets.guess_bits("password")
 
 
+def test_words_of_the_vocabulary(spark):
+    path = public_tokenizers.path(secrets.VOCABULARY)
+    words = secrets.vocabulary_words(path)
+    assert words.rank["password"] == 1 and 1000 < len(words.rank) <= secrets.MOST_WORDS
+    for weak in ("configuration", "recovery2", "Dragon"):
+        assert secrets.guess_bits(weak, words=words) < 36, weak
+    for strong in ("xkqzvwjpfmbt", "v9$Kq2!mLp7#w", "correctzebrahorsebatterystaple"):
+        assert secrets.guess_bits(strong, words=words) > 36, strong
+    docs = documents(spark, ["credentials: configuration, password recovery2 and pwd: v9$Kq2!mLp7#w"])
+    assert [len(r.secret_spans) for r in secrets.scan_secrets(docs, vocabulary=path).collect()] == [1]
+
+
+def _least(value, words, memo):
+    """guess_bits of plain letters by trying every way, with the segment before as state."""
+
+    def go(i, brute):
+        if i == len(value):
+            return 0.0
+        if (i, brute) not in memo:
+            ways = [secrets._alphabet(value[i]) + (not brute) + go(i + 1, True)]
+            for end in range(i + 3, len(value) + 1):
+                part = value[i:end]
+                if part in words.rank:
+                    ways.append(1 + math.log2(words.rank[part] + 1) + go(end, False))
+            memo[i, brute] = min(ways)
+        return memo[i, brute]
+
+    return go(0, False)
+
+
+@pytest.mark.parametrize("value", ["xmasterx", "zqdragonvpw", "kevmonkeyq", "secretmaster", "pxb"])
+def test_cost_equals_brute_force(value):
+    # the walks and repeats of these values are no cheaper than their words and letters
+    assert secrets.guess_bits(value) == pytest.approx(_least(value, secrets.COMMON, {}))
+
+
+def test_long_repeats_are_cheap():
+    for size in (64, 65, 300, 5000):
+        assert secrets.guess_bits("a" * size, 36) < 36
+        assert secrets.guess_bits("a" * size + "v9$Kq2!m", 36) >= 36
+    assert secrets.find_spans("pwd: " + "z" * 500) == []
+
+
+def test_guesses_inside_base_spans_and_long_schemes():
+    text = "token=abcdef1 " * 3 + "x" * 60 + "://me:v9$Kq2!mLp7#w@host"
+    found = secrets.find_spans(text)
+    assert [k for *_, k in found] == ["assign"] * 3 + ["guess"]
+    assert text[found[-1][0] : found[-1][1]] == "v9$Kq2!mLp7#w"
+
+
+@pytest.mark.parametrize("piece", ["token=abcdef1 ", "pwd: x9$Kq2!vLp7# ", "a://b:", "password ", "pass"])
+def test_time_is_linear(piece):
+    def seconds(n):
+        text, begin = piece * n, time.process_time()
+        secrets.find_spans(text)
+        return time.process_time() - begin
+
+    assert seconds(32_000) < 0.5 + 20 * seconds(4_000)
+
+
 def test_redaction(spark):
     docs = documents(spark, ["a token=abcdef1 b", None, "", "none"])
     assert [r.text for r in secrets.redact_secrets(docs).orderBy("doc_id").collect()] == ["a [SECRET] b", None, "", "none"]
