@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import remove_contaminated
 from tidemark.llm.jaccard import drop_near_duplicates
-from tidemark.llm.secrets import redact_secrets
+from tidemark.llm.secrets import VOCABULARY, redact_secrets
 from tidemark.llm.sentencepieces import MODEL, encode_pieces
 from tidemark.llm.tables import cut, table
 from tidemark.llm.toxicity import fit_toxicity, score_toxicity, training_labels
@@ -35,7 +35,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark in the text, and ``n_chars`` counts the new text; no document goes."""
-    clean = redact_secrets(docs)
+    import public_tokenizers
+
+    clean = redact_secrets(docs, vocabulary=public_tokenizers.path(VOCABULARY))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
