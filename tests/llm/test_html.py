@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import pytest
 from llm.helpers import SF_DIR, read
@@ -95,3 +96,67 @@ P, LINKS = f"<p>{LONG}</p>", "<p><a href=x>A link alone</a></p>"
 )
 def test_window_sums_choose_with_and_without_articles(page, text):
     assert html.main_text(page).split("\n") == [t.strip() for t in text]
+
+
+LEAD = "<h1>Title</h1><p>By A. Author</p><p>3 May 2024</p><p>4 minutes</p>"
+LEAD_TEXT = ["Title", "By A. Author", "3 May 2024", "4 minutes"]
+
+
+@pytest.mark.parametrize("box", ["article", "main", "div", "section", "body"])
+def test_lines_before_the_surge(box):
+    many = P * 12
+    assert html.main_text(f"<ul><li><a href=x>Home</a></li></ul><{box}>{LEAD}{many}</{box}>").split("\n") == LEAD_TEXT + [LONG.strip()] * 12
+    share = "<div class=share-buttons><p>Share this</p></div>"
+    assert html.main_text(f"<div>Skip</div><{box}><div><h1>Title</h1></div>{share}<p>By A. Author</p>{many}</{box}>").split("\n")[-13:] == ["By A. Author"] + [LONG.strip()] * 12
+
+
+def test_headings_in_a_box_of_their_own_lead_to_the_surge():
+    page = f"<p><a href=x>Home</a></p><div><div><h1>Title</h1></div><p>By A. Author</p><p>3 May</p><p>x</p>{P * 12}</div>"
+    assert html.main_text(page).split("\n") == ["Title", "By A. Author", "3 May", "x"] + [LONG.strip()] * 12
+
+
+@pytest.mark.parametrize("name", ['div class="social-science"', 'p class="share-price"', 'section id="notice-of-meeting"', 'div class="form-of-government"', 'div class="comments-closed"', 'div class="adHoc"'])
+@pytest.mark.parametrize("box", ["article", "div"])
+def test_parts_of_a_name_do_not_count(name, box):
+    page = f"<{box}><h1>Title</h1>{P}<{name}>{LONG}</{name.split()[0]}>{P}</{box}>"
+    assert html.main_text(page).split("\n") == ["Title"] + [LONG.strip()] * 3
+
+
+@pytest.mark.parametrize("name", ["cookie-notice", "related-posts", "comments-area", "siteFooter", "ad-300x250", "share_buttons", "main-nav", "x newsletter-signup"])
+def test_whole_names_count(name):
+    assert html.main_text(f'<article>{P}<div class="{name}"><p>{LONG}</p></div>{P}</article>').split("\n") == [LONG.strip()] * 2
+
+
+REMARK = "I think that this is a good remark, and I have read the whole of it, which took a while. " * 2
+
+
+@pytest.mark.parametrize("tag", ["div", "section", "article", "li"])
+@pytest.mark.parametrize("by", ["<p><b>Anna B</b> 3 May 2024</p>", "<p>Anna B</p><p>2 hours ago</p>", "<p>Anna B</p>"])
+@pytest.mark.parametrize("core", ["<article>{0}</article>{1}", "<main>{0}</main>{1}", "<div>{0}</div>{1}", "<article>{0}{1}</article>"])
+def test_comments_by_their_shape(tag, by, core):
+    one = f"<{tag}>{by}<p>{REMARK}</p></{tag}>"
+    box = "ul" if tag == "li" else "section"
+    page = "<body>" + core.format(f"<h1>Title</h1>{P * 6}", f"<{box}>{one * 4}</{box}>") + "</body>"
+    kept = html.main_text(page).split("\n")
+    if by == "<p>Anna B</p>" and core in ("<div>{0}</div>{1}", "<article>{0}{1}</article>"):
+        return  # a name alone tells a comment only after the article
+    assert kept == ["Title"] + [LONG.strip()] * 6
+
+
+def test_sections_and_time_lines_are_no_comments():
+    sections = "".join(f"<section><h2>Part {i} of 2024</h2>{P}</section>" for i in range(4))
+    assert html.main_text(f"<article>{sections}</article>").count(LONG.strip()) == 4
+    events = "".join(f"<div><p>12:0{i} Reporter</p>{P}</div>" for i in range(5))
+    assert html.main_text(f"<article><h1>Live</h1>{events}</article>").count(LONG.strip()) == 5
+    plain = "".join(f"<div><p>Anna {i}</p>{P}</div>" for i in range(5))
+    assert html.main_text(f"<article>{plain}</article>").count(LONG.strip()) == 5
+
+
+@pytest.mark.parametrize("piece", ["<div></b>", "<div><section></section></ul>", "<li>x", "<span></a>", f"<div><p>Anna 2024</p><p>{LONG}</p>", "<p>x</p><div hidden>y</div>"])
+def test_time_is_linear(piece):
+    def seconds(n):
+        page, begin = piece * n, time.process_time()
+        html.main_text(page)
+        return time.process_time() - begin
+
+    assert seconds(16_000) < 0.5 + 20 * seconds(2_000)
