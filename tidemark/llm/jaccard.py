@@ -7,8 +7,10 @@ heap, while the T - 1 long lists are only probed by binary search for the candid
 Over all documents the same count prunes before any pair is looked at. In one order of
 all shingles, of two linked documents that have n - T + L of their first shingles looked
 up each, one shares L of them with the other. So only first shingles meet in a shuffle,
-and a document with fewer than L shared ones is done. The others fall into clusters by
-the lists they stand in, and each cluster is searched in a task of its own. In a cluster
+and a document with fewer than L shared ones is done. As a linked pair has L of these
+lists in common, each document may leave out its L - 1 longest lists: the shortest one
+that a pair shares is among the rest of both. The documents fall into clusters by
+the lists that are left, and each cluster is searched in a task of its own. In a cluster
 too large for a task, documents are first linked to the leads of their lists; only those
 that can have a link to another component are searched further.
 """
@@ -461,32 +463,38 @@ def jaccard_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def _lists(postings: DataFrame) -> DataFrame:
-    """(token, lead): shingles of several sets, and the lowest of these."""
-    ends = postings.groupBy("token").agg(F.min("ref").alias("lead"), F.max("ref").alias("last"))
-    return ends.where("lead <> last").select("token", "lead")
+    """(token, lead, length): shingles of several sets, the lowest of these, and how many postings there are."""
+    ends = postings.groupBy("token").agg(F.min("ref").alias("lead"), F.max("ref").alias("last"), F.count("*").alias("length"))
+    return ends.where("lead <> last").select("token", "lead", "length")
 
 
 def _shared_postings(texts: DataFrame, frequent) -> DataFrame:
-    """Postings whose shingle stands in several sets.
+    """Postings (token, ref, length) whose shingle stands in several sets, with the length of its list.
 
     Frequent shingles, those that tasks saw again and again inside a block of text, are
     aggregated in their tasks first and joined as skewed keys. The others have about one
     posting per block at most; they meet in one shuffle and a window.
     """
     often = cut(_postings(texts, frequent, True), "frequent-postings")
-    shared = often.join(cut(_lists(often).select("token"), "frequent-lists"), "token")
+    shared = often.join(cut(_lists(often).select("token", "length"), "frequent-lists"), "token")
     same = W.partitionBy("token")
-    rare = _postings(texts, frequent, False).select("token", "ref", F.min("ref").over(same).alias("low"), F.max("ref").over(same).alias("high"))
-    return shared.select("token", "ref").union(rare.where("low <> high").select("token", "ref"))
+    rare = _postings(texts, frequent, False).select("token", "ref", F.min("ref").over(same).alias("low"), F.max("ref").over(same).alias("high"), F.count("*").over(same).alias("length"))
+    return shared.select("token", "ref", "length").union(rare.where("low <> high").select("token", "ref", "length"))
 
 
 def _drop_sparse(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Postings of the sets that share enough of their first shingles to have a link; a set has no more of them than first shingles."""
+    """(token, ref) of the sets that share enough of their first shingles to have a link, without each set's L - 1 longest lists.
+
+    Lists are in one order, by length. Of the L or more that a linked pair shares, the
+    first has L - 1 others after it in both sets, so both keep it. A set has no more
+    postings than first shingles.
+    """
     spare = lambda n: n - F.ceil(n * percent / F.lit(100))
     least = F.greatest(F.lit(1), F.floor(spare(F.ceil(F.col("n") * percent / F.lit(100))) / 2))
     sizes = classes.groupBy("ref").agg(F.min("n").alias("n"))
-    counted = postings.withColumn("shared", F.count("*").over(W.partitionBy("ref")))
-    return counted.join(sizes, "ref").where(F.col("shared") >= least).select(*postings.columns)
+    own = W.partitionBy("ref")
+    counted = postings.withColumn("shared", F.count("*").over(own)).withColumn("place", F.row_number().over(own.orderBy("length", "token")))
+    return counted.join(sizes, "ref").where(F.col("place") <= F.col("shared") - least + 1).select("token", "ref")
 
 
 def _member_sets(rows: DataFrame) -> DataFrame:
