@@ -7,6 +7,7 @@ import pytest
 from llm.helpers import documents
 
 from tidemark.llm import toxicity
+from tidemark.llm.arrays import Finder
 from tidemark.llm.registry import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -45,8 +46,10 @@ def test_missing_classes(spark):
     assert {r.predicted for r in toxicity.score_toxicity(docs, only).collect()} == {1}
 
 
-@pytest.mark.parametrize("block", [1, 3, 64])
-def test_blocks_give_the_nearest_by_brute_force(block):
+@pytest.mark.parametrize("block, head, long", [(1, 1024, 48), (3, 4, 2), (64, 0, 1), (16, 0, 20), (64, 8, 1000)])
+def test_blocks_give_the_nearest_by_brute_force(monkeypatch, block, head, long):
+    monkeypatch.setattr(toxicity, "HEAD_TERMS", head)
+    monkeypatch.setattr(toxicity, "LONG", long)
     rng = np.random.default_rng(4)
     vectors = []
     for _ in range(150):
@@ -128,3 +131,12 @@ def test_examples_of_repeated_rows_and_ids_are_bounded(spark):
     other = docs.select("doc_id", "text").union(spark.createDataFrame([(0, f"nasty text {i}") for i in range(60)], "doc_id long, text string"))
     index = toxicity.fit_toxicity(other, labels, toxicity.ToxicityParams(examples_per_class=8))
     assert sorted(index.toxic.tolist()).count(1) <= 8 and len(index.ids) <= 16
+
+
+def test_finder():
+    rng = np.random.default_rng(3)
+    ordered = np.unique(np.concatenate([rng.integers(0, 1 << 63, 500).astype(np.uint64), np.arange(40, dtype=np.uint64), np.array([2**64 - 1], np.uint64)]))
+    asked = np.concatenate([ordered, ordered + np.uint64(1), np.array([0, 41], np.uint64)])
+    place = {v: i for i, v in enumerate(ordered.tolist())}
+    assert Finder(ordered).find(asked).tolist() == [place.get(v, -1) for v in asked.tolist()]
+    assert Finder(ordered[:0]).find(asked).tolist() == [-1] * len(asked)

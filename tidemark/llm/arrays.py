@@ -179,6 +179,31 @@ def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return out
 
 
+class Finder:
+    """Places of values in a sorted array of distinct hashes, by their first bits: right for any values, fast where they are spread."""
+
+    SHIFT = U64(44)
+
+    def __init__(self, ordered: np.ndarray):
+        self.ordered = np.append(ordered, U64(0))
+        self.first = np.zeros((1 << 20) + 1, np.int32)
+        self.first[1:] = np.cumsum(np.bincount((ordered >> self.SHIFT).astype(np.int64), minlength=1 << 20))
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """Place of each value, -1 for none."""
+        bucket = (values >> self.SHIFT).astype(np.int64)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        out = np.full(len(values), -1, np.int64)
+        ask = np.flatnonzero(at < end)
+        at, end, values = at[ask], end[ask], values[ask]
+        while len(ask):
+            same = self.ordered[at] == values
+            out[ask[same]] = at[same]
+            on = np.flatnonzero(~same & (at + 1 < end))
+            ask, at, end, values = ask[on], at[on] + 1, end[on], values[on]
+        return out
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each pair, one after the other."""
     lengths = lengths.astype(np.int64)

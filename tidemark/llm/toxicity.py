@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import U64, add_columns, blocks, byte_class, lower_ascii, member, mix, ranges, span_hashes, spans, text_buffer
+from tidemark.llm.arrays import U64, Finder, add_columns, blocks, byte_class, lower_ascii, mix, ranges, span_hashes, spans, text_buffer
 from tidemark.llm.tables import cut, table
 
 PREFIXES = (4, 5, 6)
@@ -26,6 +26,7 @@ LEVELS = (2, 4, 8)
 FOLDS = 5
 # Terms that 1 / HEAD_SHARE of the examples have, at most HEAD_TERMS, stand in a dense matrix; ROWS documents are multiplied at a time.
 HEAD_TERMS, HEAD_SHARE, ROWS = 1024, 32, 256
+LONG = 48  # lists of so many examples are read by block
 ROUNDING = 1e-5  # more than single precision loses in a cosine
 
 _IN_WORD = byte_class(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
@@ -36,7 +37,7 @@ class ToxicityParams:
     """Bounds of the fit: examples per class and the size of a block; ``neighbours`` vote."""
 
     examples_per_class: int = 4000
-    block: int = 64
+    block: int = 256
     neighbours: int = 15
     prior_weight: float = 0.5
 
@@ -76,13 +77,15 @@ def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """Distinct (row, term) and how often each occurs, ordered."""
     if not len(row):
         return row, term, np.zeros(0, np.int64)
-    order = np.lexsort((term, row))
+    order = np.argsort(term)
+    narrow = row[order].astype(np.int16) if row.max() < 1 << 15 else row[order]
+    order = order[np.argsort(narrow, kind="stable")]
     row, term = row[order], term[order]
     start = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (term[1:] != term[:-1])))
     return row[start], term[start], np.diff(np.append(start, len(row)))
 
 
-INVERTED = {"order", "slot", "head", "value", "example", "cut", "block_of", "block_max", "term_blocks"}
+INVERTED = {"finders", "order", "slot", "head", "rows", "value", "example", "lists", "place", "block_start", "block_max", "long_norm"}
 
 
 def _pack(values: np.ndarray, differences: bool = True) -> tuple[str, bytes]:
@@ -119,7 +122,7 @@ class Index:
         state["vocabulary"], state["idf"] = _pack(self.vocabulary), _pack(self.idf.view(np.int64), False)
         if self.counts is not None:
             state["term"], state["counts"] = _pack(self.term), _pack(self.counts, False)
-            del state["entry"]
+            state.pop("entry", None)
         return state
 
     def __setstate__(self, state: dict) -> None:
@@ -130,6 +133,13 @@ class Index:
             self.term, self.counts = _unpack(self.term), _unpack(self.counts)
             self.entry = self.weigh(np.repeat(np.arange(len(self.ids)), np.diff(self.first)), self.term, self.counts, len(self.ids))
 
+    def finder(self, name: str) -> Finder:
+        """Of ``vocabulary`` or ``plain``, made once in each process."""
+        held = self.__dict__.setdefault("finders", {})
+        if name not in held:
+            held[name] = Finder(getattr(self, name))
+        return held[name]
+
     def weigh(self, row: np.ndarray, number: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
         """TF-IDF weights of rows of length 1."""
         weight = (1 + np.log(count)) * self.idf[number]
@@ -142,8 +152,8 @@ class Index:
 
     def numbered(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first entry of each row, row, term number, count) of the known terms, in this order."""
-        number = np.minimum(np.searchsorted(self.vocabulary, term), max(len(self.vocabulary) - 1, 0))
-        keep = np.flatnonzero(self.vocabulary[number] == term) if len(self.vocabulary) else np.zeros(0, np.int64)
+        number = self.finder("vocabulary").find(term)
+        keep = np.flatnonzero(number >= 0)
         number = number[keep]
         order = np.lexsort((number, row[keep]))
         number, row, count = number[order], row[keep][order], count[keep][order]
@@ -169,26 +179,37 @@ class Index:
 
     def invert(self) -> None:
         """Makes the index of the vectors, once in each process."""
-        number, value, full = self.term, self.entry, self.ids
-        example = np.repeat(np.arange(len(full), dtype=np.int32), np.diff(self.first))
+        number, value, n = self.term, self.entry, len(self.ids)
+        example = np.repeat(np.arange(n), np.diff(self.first))
         # terms of many examples stand in a dense matrix, the others in posting lists
         held = np.bincount(number, minlength=len(self.vocabulary))
         often = np.argsort(-held, kind="stable")[:HEAD_TERMS]
-        often = np.sort(often[held[often] * HEAD_SHARE >= max(len(full), 1)])
+        often = np.sort(often[held[often] * HEAD_SHARE >= max(n, 1)])
         self.slot = np.full(len(self.vocabulary), -1, np.int32)
         self.slot[often] = np.arange(len(often))
-        self.head = np.zeros((len(often), len(full)), np.float32)
+        self.rows = np.zeros((n, len(often)))
         dense = np.flatnonzero(self.slot[number] >= 0)
-        self.head[self.slot[number[dense]], example[dense]] = value[dense]
+        self.rows[example[dense], self.slot[number[dense]]] = value[dense]
+        self.head = np.ascontiguousarray(self.rows.T, np.float32)
         rest = np.flatnonzero(self.slot[number] < 0)
         rest = rest[np.argsort(number[rest], kind="stable")]
-        number, self.value, self.example = number[rest], value[rest].astype(np.float32), example[rest]
-        group = number.astype(np.int64) * (len(full) // self.params.block + 1) + self.example // self.params.block
-        self.cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
-        self.block_of = self.example[self.cut] // self.params.block
-        self.block_max = np.maximum.reduceat(self.value, self.cut) if len(self.cut) else np.zeros(0, np.float32)
-        self.term_blocks = np.searchsorted(number[self.cut], np.arange(len(self.vocabulary) + 1))
-        self.cut = np.append(self.cut, len(number))
+        number, self.value, self.example = number[rest], value[rest], example[rest]
+        self.lists = np.searchsorted(number, np.arange(len(self.vocabulary) + 1))
+        # lists of LONG examples and more are cut into blocks of examples: where each begins, and its largest weight
+        edges = np.minimum(np.arange(-(-n // self.params.block) + 1) * self.params.block, n)
+        long_ = np.flatnonzero(np.diff(self.lists) >= LONG)
+        self.place = np.full(len(self.vocabulary), -1, np.int32)
+        self.place[long_] = np.arange(len(long_))
+        at = np.flatnonzero(self.place[number] >= 0)
+        spot = self.place[number[at]].astype(np.int64) * (len(edges) - 1) + self.example[at] // self.params.block
+        size = np.bincount(spot, minlength=len(long_) * (len(edges) - 1)).reshape(len(long_), len(edges) - 1)
+        self.block_start = self.lists[long_][:, None] + np.concatenate([np.zeros((len(long_), 1), np.int64), np.cumsum(size, axis=1)], axis=1)
+        self.block_max = np.zeros((len(long_), len(edges) - 1))
+        fresh = np.flatnonzero(np.append(True, spot[1:] != spot[:-1])) if len(at) else at
+        if len(at):
+            self.block_max.reshape(-1)[spot[fresh]] = np.maximum.reduceat(self.value[at], fresh)
+        self.long_norm = np.sqrt(np.bincount(self.example[at], self.value[at] ** 2, minlength=n))
+        del self.entry
 
     def nearest(self, number: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The examples of largest cosine above 0 and these cosines; ties go to the earlier example."""
@@ -198,58 +219,54 @@ class Index:
         """``nearest`` of each row of entries; the dense part is one matrix product for many rows."""
         if "head" not in self.__dict__:
             self.invert()
-        query = np.zeros(len(self.vocabulary))
         for low in range(0, len(first) - 1, ROWS):
             edges = first[low : low + ROWS + 1]
             part, heavy = number[edges[0] : edges[-1]], weight[edges[0] : edges[-1]]
             slot = self.slot[part]
             row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-            asked = np.zeros((len(edges) - 1, len(self.head)), np.float32)
+            asked = np.zeros((len(edges) - 1, len(self.head)))
             dense = slot >= 0
             asked[row[dense], slot[dense]] = heavy[dense]
-            scores = asked @ self.head
+            scores = asked.astype(np.float32) @ self.head
             for r, (a, b) in enumerate(zip((edges[:-1] - edges[0]).tolist(), (edges[1:] - edges[0]).tolist())):
                 listed = ~dense[a:b]
-                near = self._candidates(scores[r], part[a:b][listed], heavy[a:b][listed])
-                query[part[a:b]] = heavy[a:b]
-                yield self._exact(near, query)
-                query[part[a:b]] = 0
-
-    def _candidates(self, score: np.ndarray, number: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Examples that may be among the nearest: ``score`` holds the dense part, the lists are read by block."""
-        k, block = self.params.neighbours, self.params.block
-        if not len(score):
-            return np.zeros(0, np.int64)
-        low = self.term_blocks[number]
-        size = self.term_blocks[number + 1] - low
-        lists, query = ranges(low, size), np.repeat(weight, size)
-        of = self.block_of[lists]
-        starts = np.arange(0, len(score), block)
-        bound = np.maximum.reduceat(score, starts) + np.bincount(of, query * self.block_max[lists], minlength=len(starts))
-        chosen = np.zeros(len(starts), bool)
-        chosen[np.argsort(-bound, kind="stable")[: 2 + 4 * k // block]] = True
-        seen, total = np.zeros(len(starts), bool), np.zeros(len(score))
-        while chosen.any():
-            pick = np.flatnonzero(chosen[of])
-            start = self.cut[lists[pick]]
-            count = self.cut[lists[pick] + 1] - start
-            entry = ranges(start, count)
-            total += np.bincount(self.example[entry], self.value[entry] * np.repeat(query[pick], count), minlength=len(score))
-            here = np.flatnonzero(np.repeat(chosen, block)[: len(score)])
-            total[here] += score[here]
-            seen |= chosen
-            # single precision must not hide a tie
-            least = np.partition(total, -k)[-k] - ROUNDING if len(total) > k else 0.0
-            chosen = ~seen & (bound > 0) & (bound >= least - ROUNDING)
-        return np.flatnonzero((total > 0) & (total >= least))
-
-    def _exact(self, near: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest of some examples by their whole vectors."""
-        size = self.first[near + 1] - self.first[near]
-        entry = ranges(self.first[near], size)
-        cosine = np.bincount(np.repeat(np.arange(len(near)), size), query[self.term[entry]] * self.entry[entry], minlength=len(near))
-        order = np.lexsort((near, -np.round(cosine, 9)))[: self.params.neighbours]
-        return near[order], np.minimum(cosine[order], 1.0)
+                near, rest = self._candidates(scores[r], part[a:b][listed], heavy[a:b][listed])
+                cosine = rest + self.rows[near] @ asked[r]
+                order = np.lexsort((near, -np.round(cosine, 9)))[: self.params.neighbours]
+                yield near[order], np.minimum(cosine[order], 1.0)
+
+    def _candidates(self, score: np.ndarray, number: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples that may be among the nearest, and what the lists give them; ``score`` holds the dense part.
+
+        Short lists are summed up. What long ones can add to an example is bounded by the
+        maxima of its block and by the lengths of both vectors there; their blocks are
+        read only where that bound reaches the nearest so far.
+        """
+        k, block, n = self.params.neighbours, self.params.block, len(score)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0)
+        place = self.place[number]
+        short, long_ = number[place < 0], np.flatnonzero(place >= 0)
+        total = self._sum(self.lists[short], self.lists[short + 1], weight[place < 0], n)
+        least = lambda: np.partition(total + score, n - k)[n - k] - 2 * ROUNDING if n > k else 0.0
+        if len(long_):
+            place, weight = place[long_], weight[long_]
+            most = np.minimum(np.repeat(weight @ self.block_max[place], block)[:n], self.long_norm * np.sqrt(weight @ weight))
+            most = np.maximum.reduceat(total + score + most, np.arange(0, n, block))
+            # what is known so far is the least that the nearest have; neighbouring blocks are read as one stretch
+            turn = np.flatnonzero(np.diff(most >= least(), prepend=False, append=False))
+            start, end = self.block_start[place[:, None], turn[::2]], self.block_start[place[:, None], turn[1::2]]
+            total = total + self._sum(start.reshape(-1), end.reshape(-1), np.repeat(weight, start.shape[1]), n)
+        # single precision must not hide a tie
+        whole = total + score
+        near = np.flatnonzero((whole > 0) & (whole >= least()))
+        return near, total[near]
+
+    def _sum(self, start: np.ndarray, end: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """Weighted sum per example of stretches of postings."""
+        size = end - start
+        entry = ranges(start, size)
+        return np.bincount(self.example[entry], self.value[entry] * np.repeat(weight, size), minlength=n)
 
     def score(self, near: np.ndarray, cosine: np.ndarray) -> float:
         votes = cosine**2 * self.weight[near]
@@ -269,13 +286,13 @@ def _sample(labels: DataFrame, params: ToxicityParams) -> tuple[dict, dict[int,
     return chosen, sizes
 
 
-def _pairs(batch: pa.RecordBatch, text_column: str, plain: np.ndarray | None = None) -> Iterator[tuple]:
+def _pairs(batch: pa.RecordBatch, text_column: str, known: Finder | None = None) -> Iterator[tuple]:
     """(first row, end row, row, term, count, plain term) by block; only of the given plain terms, which saves the sort of all others."""
     data, offsets = text_buffer(batch.column(text_column))
     for low, high, part, part_offsets in blocks(data, offsets):
         row, term = terms_of(part, part_offsets)
-        if plain is not None:
-            keep = member(term, plain)
+        if known is not None:
+            keep = known.find(term) >= 0
             row, term = row[keep], term[keep]
         yield low, high, *_leveled(row, term)
 
@@ -338,7 +355,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = To
 
     def number_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, row, term, count, _ in _pairs(batch, "text", held.value.plain):
+            for low, high, row, term, count, _ in _pairs(batch, "text", held.value.finder("plain")):
                 first, _, number, count = held.value.numbered(row, term, count, high - low)
                 first = pa.array(first, pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -386,14 +403,13 @@ def _idf(docs: DataFrame, shared) -> np.ndarray:
     """log(1 + documents / documents with the term) of a broadcast index's terms, over all documents; one row per term and task is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, plain = shared.value.vocabulary, shared.value.plain
-        held, n = np.zeros(len(vocabulary), np.int64), 0
+        vocabulary, plain = shared.value.finder("vocabulary"), shared.value.finder("plain")
+        held, n = np.zeros(len(shared.value.vocabulary), np.int64), 0
         for batch in batches:
             n += batch.num_rows
             for _, _, _, term, _, _ in _pairs(batch, "text", plain):
-                number = np.minimum(np.searchsorted(vocabulary, term), max(len(vocabulary) - 1, 0))
-                number = number[vocabulary[number] == term] if len(vocabulary) else number
-                held += np.bincount(number, minlength=len(vocabulary))
+                number = vocabulary.find(term)
+                held += np.bincount(number[number >= 0], minlength=len(held))
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(held[some], n))], ["number", "n"])
 
@@ -420,7 +436,7 @@ def score_toxicity(docs: DataFrame, index: Index, text_column: str = "text", evi
     def build(batch: pa.RecordBatch) -> list:
         index = shared.value
         scores, proof = np.full(batch.num_rows, index.zero), [[] for _ in range(batch.num_rows)]
-        for low, high, row, term, count, _ in _pairs(batch, text_column, index.plain):
+        for low, high, row, term, count, _ in _pairs(batch, text_column, index.finder("plain")):
             first, number, weight = index.vectors(row, term, count, high - low)
             for r, (near, cosine) in enumerate(index.nearest_rows(first, number, weight)):
                 if len(near):
