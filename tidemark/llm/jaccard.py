@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.arrays import U64, blocks, byte_class, grams, lower_ascii, member, mix, ranges, span_hashes, spans, text_buffer
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import cut, table
+from tidemark.llm.tables import cut, row_key, table
 
 WORDS = 5
 PERCENT = 80
@@ -523,12 +523,23 @@ def _member_sets(rows: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The same columns; of each group of linked documents the one with the smallest id stays, and all without shingles.
+    """The same columns; of each group of linked rows one stays, and all rows without shingles.
 
-    Rows with a NULL id stay; of repeated rows with the smallest id, all stay.
+    A row is told by its id and text, so an id that repeats with another text is judged
+    by each text. The row with the smallest id stays, NULL ids after all others, of equal
+    ids the one with the lowest hash; of repeated rows the one that comes first by its
+    columns, which must be orderable.
     """
-    labels = cut(jaccard_classes(docs, id_column, text_column, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-duplicates")
-    return docs.join(labels, docs[id_column] == labels["__gone"], "left_anti")
+    names = docs.columns
+    key = "__key" + "_" * max(len(c) for c in names)
+    row = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), row_key(id_column, text_column).alias("key"))
+    labels = jaccard_classes(docs.select(row.alias("row"), F.col(text_column).alias("text")), "row", "text", percent).where("n_shingles > 0")
+    marks = labels.groupBy(F.col("doc_id.key").alias(key)).agg(F.max(F.col("doc_id.key") != F.col("component_id.key")).alias("gone"), F.count("*").alias("copies"))
+    marks = cut(marks.where("gone or copies > 1").select(key, F.col("gone").alias(key + "gone")), "near-duplicates")
+    joined = docs.withColumn(key, row_key(id_column, text_column)).join(marks, key, "left")
+    once = joined.where(F.col(key + "gone").isNull()).select(*(joined[c] for c in names))
+    again = joined.where(~F.col(key + "gone")).groupBy(key).agg(F.min(F.struct(*(joined[c] for c in names))).alias("row"))
+    return once.union(again.select("row.*"))
 
 
 def op2_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
