@@ -1,3 +1,4 @@
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -140,3 +141,30 @@ def test_finder():
     place = {v: i for i, v in enumerate(ordered.tolist())}
     assert Finder(ordered).find(asked).tolist() == [place.get(v, -1) for v in asked.tolist()]
     assert Finder(ordered[:0]).find(asked).tolist() == [-1] * len(asked)
+
+
+def test_groups_of_like_examples_are_small_and_change_nothing():
+    rng = np.random.default_rng(5)
+    vectors, counts = [], []
+    for i in range(400):  # two languages with words of their own
+        number = np.sort(rng.choice(100, 30, replace=False)) + 100 * (i % 2)
+        counts.append(rng.integers(1, 9, 30))
+        weight = 1 + np.log(counts[-1])
+        vectors.append((number, weight / np.linalg.norm(weight)))
+    index = toxicity.Index(np.arange(200, dtype=np.uint64), np.arange(200, dtype=np.uint64), np.ones(200), toxicity.ToxicityParams(block=16))
+    index.build(list(range(400)), rng.integers(0, 2, 400), np.ones(400), vectors, 0.5)
+    index.counts = np.concatenate([counts[i] for i in index.order])
+    there = pickle.loads(pickle.dumps(index))
+    dense = np.zeros((400, 200))
+    for row, i in enumerate(index.ids):
+        dense[row, vectors[i][0]] = vectors[i][1]
+    for language in (0, 1):
+        number = np.sort(rng.choice(100, 30, replace=False)) + 100 * language
+        cosine = dense[:, number] @ np.full(30, 1 / np.sqrt(30))
+        want = sorted(range(400), key=lambda i: (-round(cosine[i], 9), i))[:15]
+        near, got = there.nearest(number, np.full(30, 1 / np.sqrt(30)))
+        assert near.tolist() == want and np.allclose(got, cosine[want])
+    # no group has terms of the other language, and a process keeps no second copy of the vectors
+    assert len(there.groups) > 1 and sum(head.size for _, _, _, head in there.groups) == 400 * 100
+    assert not {"term", "first", "entry"} & set(there.__dict__) and there.counts is None
+    assert pickle.loads(pickle.dumps(there)).nearest(number, np.full(30, 1 / np.sqrt(30)))[0].tolist() == want

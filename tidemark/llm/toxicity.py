@@ -24,9 +24,12 @@ from tidemark.llm.tables import cut, table
 PREFIXES = (4, 5, 6)
 LEVELS = (2, 4, 8)
 FOLDS = 5
-# Terms that 1 / HEAD_SHARE of the examples have, at most HEAD_TERMS, stand in a dense matrix; ROWS documents are multiplied at a time.
-HEAD_TERMS, HEAD_SHARE, ROWS = 1024, 32, 256
-LONG = 48  # lists of so many examples are read by block
+# Examples stand in GROUPS groups of like ones. Terms that 1 / HEAD_SHARE of a group have, at most HEAD_TERMS, stand in its
+# dense matrix; ROWS documents are multiplied at a time, those with fewer than FEW such terms one by one.
+GROUPS, GROUP_SIZE, GROUP_TERMS, GROUP_ROUNDS = 8, 64, 512, 4
+HEAD_TERMS, HEAD_SHARE, ROWS, FEW = 3072, 16, 256, 64
+TOGETHER = 16  # documents whose lists are summed together
+LONG = 128  # lists of so many examples are read by block
 ROUNDING = 1e-5  # more than single precision loses in a cosine
 
 _IN_WORD = byte_class(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
@@ -85,7 +88,8 @@ def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[start], term[start], np.diff(np.append(start, len(row)))
 
 
-INVERTED = {"finders", "order", "slot", "head", "rows", "value", "example", "lists", "place", "block_start", "block_max", "long_norm"}
+INVERTED = {"finders", "order", "groups", "place_of", "asked", "dense", "dense_first", "dense_value", "value", "example", "lists", "place", "block_start", "block_max", "long_norm"}
+WEIGHED = 256  # examples weighed at a time, which bounds what this takes
 
 
 def _pack(values: np.ndarray, differences: bool = True) -> tuple[str, bytes]:
@@ -117,6 +121,8 @@ class Index:
 
     def __getstate__(self) -> dict:
         """Small, for broadcasts: without what the vectors give again, numbers as packed differences."""
+        if "packed" in self.__dict__:
+            return self.packed
         state = {k: v for k, v in self.__dict__.items() if k not in INVERTED}
         state["plain"] = _pack(np.searchsorted(self.vocabulary, self.plain))
         state["vocabulary"], state["idf"] = _pack(self.vocabulary), _pack(self.idf.view(np.int64), False)
@@ -127,11 +133,17 @@ class Index:
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
+        self.packed = state
         self.vocabulary, self.idf = _unpack(self.vocabulary), _unpack(self.idf).view(np.float64)
         self.plain = self.vocabulary[_unpack(self.plain)]
         if self.counts is not None:
             self.term, self.counts = _unpack(self.term), _unpack(self.counts)
-            self.entry = self.weigh(np.repeat(np.arange(len(self.ids)), np.diff(self.first)), self.term, self.counts, len(self.ids))
+            self.entry = np.zeros(len(self.term))
+            for low in range(0, len(self.ids), WEIGHED):
+                first = self.first[low : low + WEIGHED + 1]
+                part = slice(first[0], first[-1])
+                self.entry[part] = self.weigh(np.repeat(np.arange(len(first) - 1), np.diff(first)), self.term[part], self.counts[part], len(first) - 1)
+            self.counts = None
 
     def finder(self, name: str) -> Finder:
         """Of ``vocabulary`` or ``plain``, made once in each process."""
@@ -140,25 +152,48 @@ class Index:
             held[name] = Finder(getattr(self, name))
         return held[name]
 
+    def levels(self) -> list[np.ndarray]:
+        """For each of ``plain`` its number as a term, and that of its term of each level; -1 for none."""
+        held = self.__dict__.setdefault("finders", {})
+        if "levels" not in held:
+            held["levels"] = [self.finder("vocabulary").find(t).astype(np.int32) for t in (self.plain, *(mix(self.plain + U64(level)) for level in LEVELS))]
+        return held["levels"]
+
+    def occurrences(self, column: pa.Array) -> Iterator[tuple]:
+        """(first row, end row, first entry of each row, row, term number, count) by block: the known terms of each text and their levels.
+
+        Terms are found and sorted as plain ones. The entries of a row are in an order that only its text decides.
+        """
+        finder, levels = self.finder("plain"), self.levels()
+        bits = len(self.plain).bit_length()
+        data, offsets = text_buffer(column)
+        for low, high, part, part_offsets in blocks(data, offsets):
+            row, term = terms_of(part, part_offsets)
+            place = finder.find(term)
+            keep = np.flatnonzero(place >= 0)
+            key = np.sort(row[keep] << bits | place[keep])
+            del row, term, place, keep
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+            count = np.diff(np.append(start, len(key)))
+            row, place = key[start] >> bits, key[start] & ((1 << bits) - 1)
+            rows, numbers, counts = [row], [levels[0][place]], [count]
+            for level, number in zip(LEVELS, levels[1:]):
+                often = np.flatnonzero(count >= level)
+                often = often[number[place[often]] >= 0]
+                rows.append(row[often])
+                numbers.append(number[place[often]])
+                counts.append(np.ones(len(often), np.int64))
+            row, number, count = (np.concatenate(x) for x in (rows, numbers, counts))
+            narrow = row.astype(np.int16) if high - low < 1 << 15 else row
+            order = np.argsort(narrow, kind="stable")
+            row, number, count = row[order], number[order], count[order]
+            yield low, high, np.searchsorted(row, np.arange(high - low + 1)), row, number, count
+
     def weigh(self, row: np.ndarray, number: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
         """TF-IDF weights of rows of length 1."""
         weight = (1 + np.log(count)) * self.idf[number]
         return weight / np.sqrt(np.bincount(row, weight**2, minlength=rows))[row]
 
-    def vectors(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Unit TF-IDF vectors: (first entry of each row, term numbers, weights)."""
-        first, row, number, count = self.numbered(row, term, count, rows)
-        return first, number, self.weigh(row, number, count, rows)
-
-    def numbered(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(first entry of each row, row, term number, count) of the known terms, in this order."""
-        number = self.finder("vocabulary").find(term)
-        keep = np.flatnonzero(number >= 0)
-        number = number[keep]
-        order = np.lexsort((number, row[keep]))
-        number, row, count = number[order], row[keep][order], count[keep][order]
-        return np.searchsorted(row, np.arange(rows + 1)), row, number, count
-
     def build(self, ids: list, toxic: np.ndarray, weight: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], base: float) -> Index:
         full = [i for i in range(len(ids)) if len(vectors[i][0])]
         bare = [i for i in range(len(ids)) if not len(vectors[i][0])]
@@ -180,20 +215,41 @@ class Index:
     def invert(self) -> None:
         """Makes the index of the vectors, once in each process."""
         number, value, n = self.term, self.entry, len(self.ids)
-        example = np.repeat(np.arange(n), np.diff(self.first))
-        # terms of many examples stand in a dense matrix, the others in posting lists
-        held = np.bincount(number, minlength=len(self.vocabulary))
-        often = np.argsort(-held, kind="stable")[:HEAD_TERMS]
-        often = np.sort(often[held[often] * HEAD_SHARE >= max(n, 1)])
-        self.slot = np.full(len(self.vocabulary), -1, np.int32)
-        self.slot[often] = np.arange(len(often))
-        self.rows = np.zeros((n, len(often)))
-        dense = np.flatnonzero(self.slot[number] >= 0)
-        self.rows[example[dense], self.slot[number[dense]]] = value[dense]
-        self.head = np.ascontiguousarray(self.rows.T, np.float32)
-        rest = np.flatnonzero(self.slot[number] < 0)
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))
+        # inside, examples stand by group; ``place_of`` leads back
+        group = self._grouped(number, value, example)
+        self.place_of = np.argsort(group, kind="stable")
+        edges = np.searchsorted(group[self.place_of], np.arange(group.max(initial=-1) + 2))
+        inside = np.empty(n, np.int32)
+        inside[self.place_of] = np.arange(n, dtype=np.int32)
+        example = inside[example]
+        dense, self.groups = np.zeros(len(number), bool), []
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            own = np.flatnonzero((example >= low) & (example < high))
+            held = np.bincount(number[own], minlength=len(self.vocabulary))
+            often = np.argsort(-held, kind="stable")[:HEAD_TERMS]
+            often = np.sort(often[held[often] * HEAD_SHARE >= high - low])
+            slot = np.full(len(self.vocabulary), -1, np.int16)
+            slot[often] = np.arange(len(often))
+            own = own[slot[number[own]] >= 0]
+            head = np.zeros((len(often), high - low), np.float32)
+            head[slot[number[own]], example[own] - low] = value[own]
+            dense[own] = True
+            self.groups.append((low, high, slot, head))
+        # single precision for the product, and the weights as they are for the few examples that are near
+        own = np.flatnonzero(dense)
+        own = own[np.argsort(example[own], kind="stable")]
+        self.dense, self.dense_value = number[own], value[own]
+        self.dense_first = np.searchsorted(example[own], np.arange(n + 1))
+        self.asked = np.zeros(len(self.vocabulary))
+        rest = np.flatnonzero(~dense)
+        del dense, own
+        rest = rest[np.argsort(example[rest], kind="stable")]
         rest = rest[np.argsort(number[rest], kind="stable")]
-        number, self.value, self.example = number[rest], value[rest], example[rest]
+        number, self.value, self.example = number[rest], value[rest], example[rest].astype(np.int64)
+        del value, example, rest, self.entry
+        if "packed" in self.__dict__:  # which has them for the next process
+            del self.term, self.first
         self.lists = np.searchsorted(number, np.arange(len(self.vocabulary) + 1))
         # lists of LONG examples and more are cut into blocks of examples: where each begins, and its largest weight
         edges = np.minimum(np.arange(-(-n // self.params.block) + 1) * self.params.block, n)
@@ -209,7 +265,27 @@ class Index:
         if len(at):
             self.block_max.reshape(-1)[spot[fresh]] = np.maximum.reduceat(self.value[at], fresh)
         self.long_norm = np.sqrt(np.bincount(self.example[at], self.value[at] ** 2, minlength=n))
-        del self.entry
+
+    def _grouped(self, number: np.ndarray, value: np.ndarray, example: np.ndarray) -> np.ndarray:
+        """A group for each example, by a few rounds of spherical means over frequent terms; any groups give the same results."""
+        n = len(self.ids)
+        k = max(1, min(GROUPS, n // GROUP_SIZE))
+        often = np.argsort(-np.bincount(number, minlength=len(self.vocabulary)), kind="stable")[:GROUP_TERMS]
+        slot = np.full(len(self.vocabulary), -1, np.int16)
+        slot[often] = np.arange(len(often))
+        some = np.flatnonzero(slot[number] >= 0)
+        points = np.zeros((n, len(often)), np.float32)
+        points[example[some], slot[number[some]]] = value[some]
+        points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
+        means, near = points[:1], None
+        while len(means) < min(k, n):  # the example least like those so far
+            near = points @ means[-1] if near is None else np.maximum(near, points @ means[-1])
+            means = np.concatenate([means, points[np.argmin(near)][None]])
+        for _ in range(GROUP_ROUNDS):
+            group = np.argmax(points @ means.T, axis=1) if n else np.zeros(0, np.int64)
+            means = np.stack([points[group == g].sum(axis=0) for g in range(len(means))]) if n else means
+            means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+        return np.unique(group, return_inverse=True)[1]
 
     def nearest(self, number: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The examples of largest cosine above 0 and these cosines; ties go to the earlier example."""
@@ -217,56 +293,100 @@ class Index:
 
     def nearest_rows(self, first: np.ndarray, number: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``nearest`` of each row of entries; the dense part is one matrix product for many rows."""
-        if "head" not in self.__dict__:
+        if "groups" not in self.__dict__:
             self.invert()
         for low in range(0, len(first) - 1, ROWS):
             edges = first[low : low + ROWS + 1]
             part, heavy = number[edges[0] : edges[-1]], weight[edges[0] : edges[-1]]
-            slot = self.slot[part]
-            row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-            asked = np.zeros((len(edges) - 1, len(self.head)))
-            dense = slot >= 0
-            asked[row[dense], slot[dense]] = heavy[dense]
-            scores = asked.astype(np.float32) @ self.head
-            for r, (a, b) in enumerate(zip((edges[:-1] - edges[0]).tolist(), (edges[1:] - edges[0]).tolist())):
-                listed = ~dense[a:b]
-                near, rest = self._candidates(scores[r], part[a:b][listed], heavy[a:b][listed])
-                cosine = rest + self.rows[near] @ asked[r]
-                order = np.lexsort((near, -np.round(cosine, 9)))[: self.params.neighbours]
-                yield near[order], np.minimum(cosine[order], 1.0)
-
-    def _candidates(self, score: np.ndarray, number: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples that may be among the nearest, and what the lists give them; ``score`` holds the dense part.
+            bounds = (edges - edges[0]).tolist()
+            scores = self._dense_scores(part, heavy, bounds)
+            for at in range(0, len(scores), TOGETHER):
+                own = bounds[at : at + TOGETHER + 1]
+                yield from self._nearest_of(scores[at : at + TOGETHER], part[own[0] : own[-1]], heavy[own[0] : own[-1]], [b - own[0] for b in own])
+
+    def _nearest_of(self, score: np.ndarray, number: np.ndarray, weight: np.ndarray, bounds: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The nearest of a few rows; ``score`` holds their dense parts."""
+        row, near, cosine = self._candidates(score, np.repeat(np.arange(len(score)), np.diff(bounds)), number, weight)
+        first = np.searchsorted(row, np.arange(len(score) + 1)).tolist()
+        size = self.dense_first[near + 1] - self.dense_first[near]
+        entry = ranges(self.dense_first[near], size)
+        term, value = self.dense[entry], self.dense_value[entry]
+        at = np.concatenate([[0], np.cumsum(size)])
+        for a, b, low, high in zip(bounds[:-1], bounds[1:], at[first[:-1]].tolist(), at[first[1:]].tolist()):
+            self.asked[number[a:b]] = weight[a:b]
+            value[low:high] *= self.asked[term[low:high]]
+            self.asked[number[a:b]] = 0.0
+        cosine = cosine + np.bincount(np.repeat(np.arange(len(near)), size), value, minlength=len(near))
+        near = self.place_of[near]
+        rounded = -np.round(cosine, 9)
+        for low, high in zip(first[:-1], first[1:]):
+            order = np.lexsort((near[low:high], rounded[low:high]))[: self.params.neighbours] + low
+            yield near[order], np.minimum(cosine[order], 1.0)
+
+    def _dense_scores(self, number: np.ndarray, weight: np.ndarray, bounds: list[int]) -> np.ndarray:
+        """What the dense terms of each group give each row of entries, in single precision."""
+        rows = len(bounds) - 1
+        row, weight = np.repeat(np.arange(rows), np.diff(bounds)), weight.astype(np.float32)
+        scores = np.zeros((rows, len(self.ids)), np.float32)
+        for low, high, slot, head in self.groups:
+            place = slot[number]
+            at = np.flatnonzero(place >= 0)
+            first = np.searchsorted(at, bounds)
+            held = np.diff(first)
+            many = np.flatnonzero(held >= FEW)
+            if len(many):
+                asked = np.zeros((rows, len(head)), np.float32)
+                asked[row[at], place[at]] = weight[at]
+                scores[many, low:high] = asked[many] @ head
+            for r in np.flatnonzero((held > 0) & (held < FEW)).tolist():
+                own = at[first[r] : first[r + 1]]
+                scores[r, low:high] = weight[own] @ head[place[own]]
+        return scores
+
+    def _candidates(self, score: np.ndarray, row: np.ndarray, number: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, example, what the lists give) of the examples that may be among a row's nearest; ``score`` holds the dense parts.
 
         Short lists are summed up. What long ones can add to an example is bounded by the
         maxima of its block and by the lengths of both vectors there; their blocks are
         read only where that bound reaches the nearest so far.
         """
-        k, block, n = self.params.neighbours, self.params.block, len(score)
+        k, block, (rows, n) = self.params.neighbours, self.params.block, score.shape
         if not n:
-            return np.zeros(0, np.int64), np.zeros(0)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         place = self.place[number]
-        short, long_ = number[place < 0], np.flatnonzero(place >= 0)
-        total = self._sum(self.lists[short], self.lists[short + 1], weight[place < 0], n)
-        least = lambda: np.partition(total + score, n - k)[n - k] - 2 * ROUNDING if n > k else 0.0
+        short, long_ = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
+        total = self._sum(row[short], self.lists[number[short]], self.lists[number[short] + 1], weight[short], score.shape)
+        least = lambda whole: np.partition(whole, n - k, axis=1)[:, n - k, None] - 2 * ROUNDING if n > k else 0.0
         if len(long_):
-            place, weight = place[long_], weight[long_]
-            most = np.minimum(np.repeat(weight @ self.block_max[place], block)[:n], self.long_norm * np.sqrt(weight @ weight))
-            most = np.maximum.reduceat(total + score + most, np.arange(0, n, block))
+            row, place, weight = row[long_], place[long_], weight[long_]
+            first = np.searchsorted(row, np.arange(rows + 1)).tolist()
+            most = np.stack([weight[a:b] @ self.block_max[place[a:b]] for a, b in zip(first[:-1], first[1:])])
+            length = np.sqrt(np.bincount(row, weight**2, minlength=rows))
+            most = np.minimum(np.repeat(most, block, axis=1)[:, :n], length[:, None] * self.long_norm)
+            whole = total + score
+            most = np.maximum.reduceat(whole + most, np.arange(0, n, block), axis=1)
             # what is known so far is the least that the nearest have; neighbouring blocks are read as one stretch
-            turn = np.flatnonzero(np.diff(most >= least(), prepend=False, append=False))
-            start, end = self.block_start[place[:, None], turn[::2]], self.block_start[place[:, None], turn[1::2]]
-            total = total + self._sum(start.reshape(-1), end.reshape(-1), np.repeat(weight, start.shape[1]), n)
+            wanted = np.diff(most >= least(whole), prepend=False, append=False, axis=1)
+            parts = []
+            for turn, a, b in zip(wanted, first[:-1], first[1:]):
+                turn = np.flatnonzero(turn)
+                start, end = self.block_start[place[a:b, None], turn[::2]], self.block_start[place[a:b, None], turn[1::2]]
+                parts.append((np.repeat(row[a:b], start.shape[1]), start.reshape(-1), end.reshape(-1), np.repeat(weight[a:b], start.shape[1])))
+            total = total + self._sum(*(np.concatenate(x) for x in zip(*parts)), score.shape)
         # single precision must not hide a tie
         whole = total + score
-        near = np.flatnonzero((whole > 0) & (whole >= least()))
-        return near, total[near]
+        row, near = np.nonzero((whole > 0) & (whole >= least(whole)))
+        return row, near, total[row, near]
 
-    def _sum(self, start: np.ndarray, end: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-        """Weighted sum per example of stretches of postings."""
+    def _sum(self, row: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+        """Weighted sum per row and example of stretches of postings."""
         size = end - start
         entry = ranges(start, size)
-        return np.bincount(self.example[entry], self.value[entry] * np.repeat(weight, size), minlength=n)
+        value = self.value.take(entry)
+        value *= np.repeat(weight, size)
+        spot = self.example.take(entry)
+        spot += np.repeat(row * shape[1], size)
+        return np.bincount(spot, value, minlength=shape[0] * shape[1]).reshape(shape)
 
     def score(self, near: np.ndarray, cosine: np.ndarray) -> float:
         votes = cosine**2 * self.weight[near]
@@ -286,14 +406,11 @@ def _sample(labels: DataFrame, params: ToxicityParams) -> tuple[dict, dict[int,
     return chosen, sizes
 
 
-def _pairs(batch: pa.RecordBatch, text_column: str, known: Finder | None = None) -> Iterator[tuple]:
-    """(first row, end row, row, term, count, plain term) by block; only of the given plain terms, which saves the sort of all others."""
+def _pairs(batch: pa.RecordBatch, text_column: str) -> Iterator[tuple]:
+    """(first row, end row, row, term, count, plain term) by block."""
     data, offsets = text_buffer(batch.column(text_column))
     for low, high, part, part_offsets in blocks(data, offsets):
         row, term = terms_of(part, part_offsets)
-        if known is not None:
-            keep = known.find(term) >= 0
-            row, term = row[keep], term[keep]
         yield low, high, *_leveled(row, term)
 
 
@@ -355,8 +472,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = To
 
     def number_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, row, term, count, _ in _pairs(batch, "text", held.value.finder("plain")):
-                first, _, number, count = held.value.numbered(row, term, count, high - low)
+            for low, high, first, _, number, count in held.value.occurrences(batch.column("text")):
                 first = pa.array(first, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -403,13 +519,11 @@ def _idf(docs: DataFrame, shared) -> np.ndarray:
     """log(1 + documents / documents with the term) of a broadcast index's terms, over all documents; one row per term and task is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, plain = shared.value.finder("vocabulary"), shared.value.finder("plain")
         held, n = np.zeros(len(shared.value.vocabulary), np.int64), 0
         for batch in batches:
             n += batch.num_rows
-            for _, _, _, term, _, _ in _pairs(batch, "text", plain):
-                number = vocabulary.find(term)
-                held += np.bincount(number[number >= 0], minlength=len(held))
+            for _, _, _, _, number, _ in shared.value.occurrences(batch.column("text")):
+                held += np.bincount(number, minlength=len(held))
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(held[some], n))], ["number", "n"])
 
@@ -436,9 +550,8 @@ def score_toxicity(docs: DataFrame, index: Index, text_column: str = "text", evi
     def build(batch: pa.RecordBatch) -> list:
         index = shared.value
         scores, proof = np.full(batch.num_rows, index.zero), [[] for _ in range(batch.num_rows)]
-        for low, high, row, term, count, _ in _pairs(batch, text_column, index.finder("plain")):
-            first, number, weight = index.vectors(row, term, count, high - low)
-            for r, (near, cosine) in enumerate(index.nearest_rows(first, number, weight)):
+        for low, high, first, row, number, count in index.occurrences(batch.column(text_column)):
+            for r, (near, cosine) in enumerate(index.nearest_rows(first, number, index.weigh(row, number, count, high - low))):
                 if len(near):
                     scores[low + r] = index.score(near, cosine)
                     proof[low + r] = [{"doc_id": str(index.ids[i]), "cosine": c, "toxic": int(index.toxic[i])} for i, c in zip(near[:evidence].tolist(), cosine[:evidence].tolist())]
