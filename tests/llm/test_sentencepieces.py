@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from llm.helpers import SF_DIR, documents, read
@@ -22,6 +23,21 @@ def test_random_texts_equal_the_library():
     assert [sp.decode_ids(g, PATH) for g in got[1:]] == [t.replace("▁", " ") for t in texts]
 
 
+def test_suffixes_and_pairs_that_share_a_place(monkeypatch):
+    rng = np.random.default_rng(6)
+    for size in (1, 5, 300):
+        index = np.append(rng.integers(97, 99, size), sp._STOP).astype(np.uint8)
+        raw = index.tobytes()
+        assert sp._suffixes(index, 512).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+    monkeypatch.setattr(sp, "PAIR_BITS", 3)
+    model = sp.PieceModel(PATH)
+    words = [b" the", b" thinking", " ñandú日".encode(), b" aaaaabbbb"] * 2
+    data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words])
+    for _ in range(2):  # the second time from the few pairs that are kept
+        ids, sizes = model.encode(data, ends - np.array([len(w) for w in words]), ends)
+        assert ids.tolist() == [i for w in words for i in LIBRARY.encode(w.decode()[1:])] and sizes.sum() == len(ids)
+
+
 def test_decoding_odd_ids():
     assert sp.decode_ids(None, PATH) == "" and sp.decode_ids([], PATH) == ""
     assert sp.decode_ids([1, 2], PATH) == ""

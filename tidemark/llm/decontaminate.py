@@ -98,11 +98,14 @@ def _compare(text: np.ndarray, at: np.ndarray, test: np.ndarray, start: np.ndarr
     return out
 
 
-def search(text: np.ndarray, order: np.ndarray, test: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each test suffix the range of the suffix array that begins with its first ``length`` symbols."""
+def search(
+    text: np.ndarray, order: np.ndarray, test: np.ndarray, start: np.ndarray, length: np.ndarray, least: np.ndarray | None = None, most: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each test suffix the range of the suffix array that begins with its first ``length`` symbols, looked for from ``least`` to ``most``."""
     bounds = []
     for upper in (False, True):
-        low, high = np.zeros(len(start), np.int64), np.full(len(start), len(order), np.int64)
+        low = np.zeros(len(start), np.int64) if least is None else least.copy()
+        high = np.full(len(start), len(order), np.int64) if most is None else most.copy()
         while (open_ := np.flatnonzero(low < high)).size:
             middle = (low[open_] + high[open_]) // 2
             sign = _compare(text, order[middle], test, start[open_], length[open_])

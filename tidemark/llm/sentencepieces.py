@@ -20,15 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import add_columns, blocks, ranges, text_buffer
-from tidemark.llm.decontaminate import search, suffix_array
+from tidemark.llm.arrays import U64, add_columns, blocks, mix, ranges, text_buffer
+from tidemark.llm.decontaminate import search
 from tidemark.llm.tables import table
 from tidemark.llm.units import UnitTable
 
 MODEL = "piece_bpe_32k.model"
 CACHED_UNITS = 400_000
-CACHED_PAIRS = 2_000_000
-NEW_PAIRS = 20_000  # pairs that wait before they are sorted into the others
+PAIR_BITS = 21  # 2**21 places for pairs of pieces looked at before (19 MB)
 INDEX_BYTES = 256_000  # of distinct units in one index text; a longer unit stands alone
 PIECE_BYTES = 4_000_000  # of text in one output batch; a longer text stands alone
 BLANK = "▁"
@@ -71,9 +70,8 @@ class PieceModel:
         self.barrier = np.ones(256, bool)
         self.barrier[self.symbols] = False
         self.barrier[128:] = False
-        # pairs looked at before: a sorted table of keys, and those that wait
-        self.pairs, self.fits = np.zeros(0, np.int64), np.zeros(0, bool)
-        self.new_pairs: dict[int, bool] = {}
+        # pairs looked at before: a key at the place of its hash, the last one that came there
+        self.pairs, self.fits = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
 
     def text_of(self, symbol: int) -> str:
         """The text of a piece, or of a character without one (numbered from ``size`` on)."""
@@ -95,31 +93,22 @@ class PieceModel:
 
     def agree(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether pieces may follow each other; -1 on the left is the start of a unit."""
-        keys, inverse = np.unique((left + 1) * (1 << 32) + right, return_inverse=True)
-        fits, known = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-        if len(self.pairs):
-            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            known = self.pairs[at] == keys
-            fits = known & self.fits[at]
-        for n in np.flatnonzero(~known).tolist():
-            key = int(keys[n])
-            if key not in self.new_pairs:
+        keys = (left + 1) * (1 << 32) + right
+        place = (mix(keys.astype(U64)) >> U64(64 - PAIR_BITS)).astype(np.int64)
+        fits = self.fits[place]
+        new = np.flatnonzero(self.pairs[place] != keys)
+        if len(new):
+            asked, inverse = np.unique(keys[new], return_inverse=True)
+            found = np.zeros(len(asked), bool)
+            for n, key in enumerate(asked.tolist()):
                 a, b = (key >> 32) - 1, key & 0xFFFFFFFF
                 want = [self.text_of(x) for x in (a, b) if x >= 0]
-                self.new_pairs[key] = self.merge("".join(want)) == want
-            fits[n] = self.new_pairs[key]
-        if len(self.new_pairs) > NEW_PAIRS:
-            self._sort_in()
-        return fits[inverse]
-
-    def _sort_in(self) -> None:
-        new = np.fromiter(self.new_pairs, np.int64, len(self.new_pairs))
-        fits = np.fromiter(self.new_pairs.values(), bool, len(self.new_pairs))
-        if len(self.pairs) + len(new) <= CACHED_PAIRS:
-            new, fits = np.concatenate([self.pairs, new]), np.concatenate([self.fits, fits])
-        order = np.argsort(new)
-        self.pairs, self.fits = new[order], fits[order]
-        self.new_pairs.clear()
+                found[n] = self.merge("".join(want)) == want
+            fits[new] = found[inverse]
+            # keys that share a place: one of them, with its own answer
+            place, chosen = np.unique(place[new], return_index=True)
+            self.pairs[place], self.fits[place] = keys[new[chosen]], fits[new[chosen]]
+        return fits
 
     def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units and how many each has, from index texts of bounded size."""
@@ -140,8 +129,8 @@ class PieceModel:
         index = np.full(int((size + 1).sum()), _STOP, np.uint8)
         place = ranges(first, size)
         index[place] = data[ranges(starts, size)]
-        order = suffix_array(index, self.longest)
-        low, high = search(index, order, self.symbols, self.starts, self.lengths)
+        order = _suffixes(index, self.longest)
+        low, high = self._ranges(index, order)
         at = order[ranges(low, high - low)]
         symbol = np.repeat(self.ids, high - low)
         length = np.repeat(self.lengths, high - low)
@@ -158,10 +147,9 @@ class PieceModel:
         at = np.concatenate([at, lone])
         symbol = np.concatenate([symbol, np.array(points, np.int64) + self.size])
         length = np.concatenate([length, lone_width])
-        # edges by their place inside the unit, all units together
-        unit = np.searchsorted(first, at, side="right") - 1
-        step = at - first[unit]
-        by_step = np.lexsort((at, step))
+        # edges by their place inside the unit, all units together; one edge at most is kept for each end, whatever their order
+        step = (np.arange(len(index)) - np.repeat(first, size + 1))[at]
+        by_step = np.argsort(step.astype(np.int16) if len(index) < 1 << 15 or size.max(initial=0) < 1 << 15 else step, kind="stable")
         at, symbol, length, step = at[by_step], symbol[by_step], length[by_step], step[by_step]
         last = np.full(len(index) + 1, -1, np.int64)
         cost = np.zeros(len(index) + 1, np.int64)  # width of the kept edge that ends here; 0: none
@@ -175,6 +163,19 @@ class PieceModel:
             last[end], cost[end], reached[end] = symbol[fits], length[fits], True
         return self._walk_back(index, first, size, last, cost)
 
+    def _ranges(self, index: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each piece the range of the suffix array that begins with it, searched among the suffixes with its first two bytes."""
+        pair = index.astype(np.int64) << 8
+        pair[:-1] |= index[1:]
+        edges = np.concatenate([[0], np.cumsum(np.bincount(pair, minlength=1 << 16))])
+        lead = self.symbols[self.starts].astype(np.int64) << 8
+        both = lead | self.symbols[np.minimum(self.starts + 1, len(self.symbols) - 1)]
+        one = self.lengths == 1
+        low, high = np.where(one, edges[lead], edges[both]), np.where(one, edges[lead + 256], edges[both + 1])
+        far = np.flatnonzero((self.lengths > 2) & (low < high))
+        low[far], high[far] = search(index, order, self.symbols, self.starts[far], self.lengths[far], low[far], high[far])
+        return low, high
+
     def _walk_back(self, index: np.ndarray, first: np.ndarray, size: np.ndarray, last: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The kept edges from each unit's end to its start, in text order, with bytes for characters without a piece."""
         here, unit = first + size, np.arange(len(first))
@@ -216,6 +217,26 @@ class PieceModel:
         return starts, np.append(starts[1:], n), np.searchsorted(starts, offsets)
 
 
+def _suffixes(index: np.ndarray, depth: int) -> np.ndarray:
+    """The suffix array of bytes that end with _STOP, by the first ``depth`` bytes at least: sorted by eight, then doubled."""
+    n, width = len(index), 8
+    wide = np.concatenate([index, np.zeros(width, np.uint8)])
+    key = np.zeros(n, U64)
+    for i in range(width):
+        key = key << U64(8) | wide[i : n + i]
+    while True:
+        order = np.argsort(key)
+        ordered = key[order]
+        fresh = np.append(False, ordered[1:] != ordered[:-1])
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(fresh)
+        if width >= depth or rank[order[-1]] == n - 1:
+            return order
+        following = np.zeros(n, np.int64)
+        following[: max(0, n - width)] = rank[width:] + 1
+        key, width = rank * (n + 1) + following, width * 2
+
+
 def _width_of(index: np.ndarray, at: np.ndarray) -> np.ndarray:
     lead = index[at]
     return np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))

@@ -25,7 +25,7 @@ class UnitTable:
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units behind each other, and the n + 1 offsets of the units."""
-        keys, index, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        keys, index, inverse = _distinct(span_hashes(data, starts, ends))
         known = np.zeros(len(keys), bool)
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
@@ -38,12 +38,22 @@ class UnitTable:
                 self.ids = self.ids[ranges(self.first[kept], self.size[kept])]
                 self.keys, self.size = self.keys[kept], self.size[kept]
                 self.first = np.cumsum(self.size) - self.size
-            merged = np.concatenate([self.keys, keys[~known]])
-            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
+            place = np.searchsorted(self.keys, keys[~known])
+            self.first = np.insert(self.first, place, len(self.ids) + np.cumsum(size) - size)
+            self.size = np.insert(self.size, place, size)
+            self.keys = np.insert(self.keys, place, keys[~known])
             self.ids = np.concatenate([self.ids, ids.astype(self.dtype)])
-            order = np.argsort(merged)
-            self.keys, self.first, self.size = merged[order], self.first[order], self.size[order]
         unit = np.searchsorted(self.keys, keys)[inverse]
         size = self.size[unit]
         return self.ids[ranges(self.first[unit], size)], np.concatenate([[0], np.cumsum(size)])
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, one place of each, and for each place which of them it has."""
+    order = np.argsort(values)
+    ordered = values[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], order[fresh], which
