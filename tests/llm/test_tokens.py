@@ -1,11 +1,12 @@
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from llm.helpers import SF_DIR, documents, read
 from tokenizers import Tokenizer
 
-from tidemark.llm import tokens
+from tidemark.llm import tokens, units
 from tidemark.llm.registry import QUERIES
 from tidemark.session import scratch_path
 
@@ -80,3 +81,10 @@ def test_special_tokens_keep_their_spelling(spark):
     files = tokens.write_token_files(documents(spark, SPELLINGS), scratch_path(spark, "t"), PATH)
     got = [(r.start, r.n_tokens, r.ids_crc32) for r in tokens.read_token_files(files).orderBy("doc_id").collect()]
     assert got == want(SPELLINGS)
+
+
+def test_distinct_units_are_those_of_a_sort():
+    values = np.random.default_rng(7).integers(0, 50, 400).astype(np.uint64)
+    for part in (values, values[:1], values[:0]):
+        keys, index, which = units._distinct(part)
+        assert keys.tolist() == sorted(set(part.tolist())) and part[index].tolist() == keys.tolist() and keys[which].tolist() == part.tolist()

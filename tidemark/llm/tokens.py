@@ -13,6 +13,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,7 +79,8 @@ class TokenEncoder:
         raw = data.tobytes()
         texts = [raw[a:b].decode("utf-8") for a, b in zip(starts.tolist(), ends.tolist())]
         got = [e.ids for e in _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)]
-        return np.array([i for g in got for i in g], np.uint32), np.array([len(g) for g in got], np.int64)
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum())), size
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other and the n + 1 offsets into them."""
