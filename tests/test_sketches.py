@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from fixtures import dicts
 from pyspark.sql import functions as F
 
+from tidemark.operators import rolling
 from tidemark.operators.activity import activity_rollup
 from tidemark.operators.sketches import actives_sketches, merge_sketches, rolling_actives, span_actives, standard_error
 
@@ -57,3 +59,16 @@ def test_size_is_bounded_and_empty_works(spark, events):
     assert actives_sketches(events.limit(0)).count() == 0
     nobody = actives_sketches(events.where("user_id IS NULL"))
     assert {r["active_users"] for r in dicts(span_actives(nobody))} == {0}
+
+
+def test_exact_users_of_windows_are_counted_without_spreading_user_days(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, *range(12)]), rng.choice(["ios", "web"]), date(2024, 1, 1) + timedelta(days=rng.randrange(50))) for _ in range(150)] + [(1, "web", None)]
+    events = spark.createDataFrame(rows, "user_id long, platform string, event_date date")
+    got = {(r.metric_date, r.platform, r.days): r.users for r in rolling.rolling_users(events, (1, 7, 30)).collect()}
+    want = {}
+    for user, platform, day in rows:
+        for days in (1, 7, 30):
+            for later in range(days if day and user is not None else 0):
+                want.setdefault((day + timedelta(days=later), platform, days), set()).add(user)
+    assert got == {k: len(v) for k, v in want.items()}

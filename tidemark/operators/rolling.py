@@ -10,7 +10,7 @@ user (as many rows as there are dates at most) and one partial count.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -86,3 +86,20 @@ def wau_mau(calendar: DataFrame, days: DataFrame, windows: Mapping[str, int] | N
             *[F.when(F.col("metric_date").isNull(), 0).otherwise(F.col(n)).cast("bigint").alias(n) for n in names],
         )
     )
+
+
+def rolling_users(events: DataFrame, windows: Iterable[int], keys: Iterable[str] = ("platform",)) -> DataFrame:
+    """Distinct users of the last n days of each date per ``keys``: (metric_date, keys, days, users); a date that no window reaches has no row.
+
+    An active day counts its user for n dates, or until the user's next active day. Days
+    are first counted by how far that is, up to the longest window; only these counts, a
+    few per date, are spread over the dates.
+    """
+    keys, windows = list(keys), sorted(windows)
+    days = events.where("event_date IS NOT NULL AND user_id IS NOT NULL").select("event_date", *keys, "user_id").distinct()
+    following = F.lead("event_date").over(W.partitionBy(*keys, "user_id").orderBy("event_date"))
+    gap = F.least(F.coalesce(F.datediff(following, "event_date"), F.lit(windows[-1])), F.lit(windows[-1]))
+    counts = days.select("event_date", *keys, gap.alias("gap")).groupBy("event_date", *keys, "gap").agg(F.count("*").alias("n"))
+    spread = counts.select("*", F.explode(F.array(*(F.lit(n) for n in windows))).alias("days"))
+    reached = F.sequence("event_date", F.date_add("event_date", F.least("gap", "days") - 1))
+    return spread.select(F.explode(reached).alias("metric_date"), *keys, "days", "n").groupBy("metric_date", *keys, "days").agg(F.sum("n").alias("users"))

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import catalogue, cohorts, paths, sessions, sketches, step_funnel
+from tidemark.operators import catalogue, cohorts, paths, rolling, sessions, sketches, step_funnel
 from tidemark.plans import growth_deltas
 from tidemark.registry.oracle import ORACLE, VIEWS, with_views
 from tidemark.registry.queries import Tables, on_tables
@@ -325,13 +325,14 @@ def _rolling_actives_sketched(t: Tables) -> DataFrame:
     """Exact users of the last 1, 7 and 30 days per platform, and whether the merged sketches come within 5 standard errors."""
     halves = [t.events.where(f"pmod(hash(event_id), 2) = {i}") for i in (0, 1)]
     stored = sketches.merge_sketches(*(sketches.actives_sketches(half) for half in halves))
-    days = F.explode(F.array(F.lit(1), F.lit(7), F.lit(30))).alias("days")
-    user_days = t.events.where("event_date IS NOT NULL").select("event_date", "platform", "user_id").distinct().select("*", days)
-    reach = user_days.select("days", "platform", "user_id", F.explode(F.sequence("event_date", F.expr("date_add(event_date, days - 1)"))).alias("metric_date"))
-    exact = reach.groupBy("metric_date", "platform", "days").agg(F.count_distinct("user_id").alias("users"))
+    folder = scratch_path(t.spark, "sketches")
+    stored.write.parquet(folder)
+    stored = t.spark.read.schema(stored.schema).parquet(folder)
+    exact = rolling.rolling_users(t.events, (1, 7, 30))
     bound = 5 * sketches.standard_error()
     near = F.abs(F.col("active_users") - F.col("users")) <= bound * F.col("users")
-    return sketches.rolling_actives(stored).join(exact, ["metric_date", "platform", "days"], "left").select("metric_date", "platform", "days", "users", near.alias("near"))
+    rows = sketches.rolling_actives(stored).join(exact, ["metric_date", "platform", "days"], "left").withColumn("users", F.coalesce("users", F.lit(0).cast("long")))
+    return rows.select("metric_date", "platform", "days", "users", near.alias("near"))
 
 
 ORACLE["rolling_actives_sketched"] = with_views("""
