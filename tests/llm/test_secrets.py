@@ -131,3 +131,8 @@ def test_query_equals_brute_force(spark):
         found, r = base(text), got[doc_id]
         assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == (*map(len, found), digest(found))
     assert len(got) == len(rows)
+
+
+def test_redaction_is_one_pass(spark):
+    plan = secrets.redact_secrets(documents(spark, ["a password=abcdef1 b"]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

@@ -14,6 +14,7 @@ import json
 import math
 import re
 from bisect import bisect_right
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate
@@ -229,9 +230,15 @@ def scan_secrets(docs: DataFrame, text_column: str = "text", rules: SecretRules
     fixed ones and, given the driver's path of a ``vocabulary``, its whole words, at most
     ``MOST_WORDS`` of which are broadcast.
     """
+    search = _search(docs, text_column, rules, vocabulary)
+    return add_columns(docs, lambda batch: [pa.array(search(batch), SPAN_ARROW)], [T.StructField("secret_spans", T.ArrayType(SPAN))])
+
+
+def _search(docs: DataFrame, text_column: str, rules: SecretRules, vocabulary: str | None) -> Callable[[pa.RecordBatch], list[list[dict]]]:
+    """The spans of each row of a batch; words are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary_words(vocabulary) if vocabulary else COMMON)
 
-    def build(batch: pa.RecordBatch) -> list:
+    def search(batch: pa.RecordBatch) -> list[list[dict]]:
         words = shared.value
         short = lru_cache(maxsize=20_000)(lambda value, enough: guess_bits(value, enough, words))
         bits = lambda value, enough: (short if len(value) <= LONGEST_SEGMENT else short.__wrapped__)(value, enough)
@@ -242,9 +249,9 @@ def scan_secrets(docs: DataFrame, text_column: str = "text", rules: SecretRules
             for row in _rows_to_search(part, part_offsets).tolist():
                 text = part[part_offsets[row] : part_offsets[row + 1]].tobytes().decode("utf-8", "surrogatepass")
                 out[low + row] = [{"start": a, "end": b, "kind": k} for a, b, k in find_spans(text, rules, bits)]
-        return [pa.array(out, SPAN_ARROW)]
+        return out
 
-    return add_columns(docs, build, [T.StructField("secret_spans", T.ArrayType(SPAN))])
+    return search
 
 
 def span_digest(items: list[dict], kinds: tuple[str, ...]) -> str:
@@ -268,16 +275,19 @@ def redact(text: str | None, found: list[dict], mark: str = "[SECRET]") -> str |
 
 
 def redact_secrets(docs: DataFrame, text_column: str = "text", rules: SecretRules = SecretRules(), vocabulary: str | None = None) -> DataFrame:
-    """The same columns and rows, with secrets in the text replaced; NULL stays NULL."""
+    """The same columns and rows, with secrets in the text replaced; NULL stays NULL.
+
+    Found and replaced in one pass: two would take two Python workers a task, and idle ones stay and fill memory.
+    """
+    search = _search(docs, text_column, rules, vocabulary)
 
     def build(batch: pa.RecordBatch) -> list:
-        found, texts = batch.column("secret_spans").to_pylist(), batch.column(text_column)
+        found, texts = search(batch), batch.column(text_column)
         if not any(found):
             return [texts]
         return [pa.array([redact(t, s) for t, s in zip(texts.to_pylist(), found)], pa.string())]
 
-    marked = scan_secrets(docs, text_column, rules, vocabulary)
-    return add_columns(marked, build, [T.StructField(text_column, T.StringType())]).select(docs.columns)
+    return add_columns(docs, build, [T.StructField(text_column, T.StringType())]).select(docs.columns)
 
 
 def op7_secret_scan(spark, sf_dir: str) -> DataFrame:
