@@ -5,7 +5,7 @@ import pytest
 from llm.helpers import SF_DIR, ascii_lower, documents, read
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard
+from tidemark.llm import components, jaccard
 from tidemark.llm.components import connected_components
 from tidemark.llm.registry import QUERIES
 
@@ -126,3 +126,23 @@ def test_repeated_rows_are_searched_once(spark, monkeypatch):
     docs = spark.createDataFrame([(1, text)] * 200 + [(2, text + " q"), (3, text), (4, "quite another text stands here")], "doc_id long, text string").repartition(7)
     got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_classes(docs).collect()}
     assert got == {(1, 1), (2, 1), (3, 1), (4, 4)} and rows[0] == 1
+
+
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
+    cut, tables = components.cut, []
+    monkeypatch.setattr(components, "cut", lambda df, name: tables.append(name) or cut(df, name))
+    edges = [(f"n{i:03}", f"n{i + 1:03}") for i in range(60)] + [("z", "y"), ("x", "z"), ("x", "x"), (None, "q")]
+    rnd = random.Random(5)
+    edges += [(f"r{rnd.randrange(90):02}", f"r{rnd.randrange(90):02}") for _ in range(60)]
+    parent = {x: x for e in edges for x in e if None not in e and e[0] != e[1]}
+    for _ in parent:  # as many rounds as the longest path may have
+        for a, b in edges:
+            if a in parent and b in parent:
+                parent[a] = parent[b] = min(parent[a], parent[b])
+    rows = spark.createDataFrame(edges, "a string, b string").repartition(9)
+    assert sorted(map(tuple, connected_components(rows).collect())) == sorted(parent.items())
+    assert len(tables) == 2
+    # the rounds over larger tables find the same
+    monkeypatch.setattr(components, "TASK_EDGES", 5)
+    assert sorted(map(tuple, connected_components(rows).collect())) == sorted(parent.items())
+    assert len(tables) > 6
