@@ -74,3 +74,25 @@ def test_query_equals_brute_force(spark):
     docs = read("documents", "doc_id, text")
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op10_suffix_array_dedup"](spark, SF_DIR).collect()}
     assert got == {d: w for (d, _), w in zip(docs, brute([(t or "").encode() for _, t in docs]))}
+
+
+def test_large_alphabets_are_ordered_by_few_rounds(monkeypatch):
+    rnd = random.Random(8)
+    argsort, rounds = suffixes.np.argsort, []
+    for n, names in ((2, 1), (50, 3), (3000, 2000), (4000, 1)):
+        part = [rnd.randrange(1, names + 1) for _ in range(n // 2)]
+        values = part + part + [rnd.randrange(1, names + 1) for _ in range(n % 2)] + [0]
+        monkeypatch.setattr(suffixes.np, "argsort", lambda *a, **b: rounds.append(1) or argsort(*a, **b))
+        got = suffixes._doubled(np.array(values)).tolist()
+        monkeypatch.undo()
+        assert got == sorted(range(len(values)), key=lambda i: values[i:])
+        assert len(rounds) <= 2 + len(values).bit_length()
+        rounds.clear()
+    # the strings that induced sorting reduces a text to come here
+    taken = []
+    doubled = suffixes._doubled
+    monkeypatch.setattr(suffixes, "_doubled", lambda s: taken.append(len(s)) or doubled(s))
+    text = np.array([rnd.randrange(1, 120) for _ in range(6000)] * 2 + [0])
+    got = suffixes.induced_suffix_array(text).tolist()
+    values = text.tolist()
+    assert got == sorted(range(len(values)), key=lambda i: values[i:]) and len(taken) == 1

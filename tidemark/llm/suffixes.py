@@ -1,7 +1,8 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
-Buckets of a small alphabet are handled a whole wave at a time with numpy; the reduced
-strings of the recursion, with large alphabets, are scanned entry by entry.
+Buckets of a small alphabet are handled a whole wave at a time with numpy. The reduced
+strings of the recursion, with large alphabets, are ordered by prefix doubling, of which
+each round takes only what is not yet told apart.
 """
 
 from __future__ import annotations
@@ -95,30 +96,23 @@ def _induce_waves(s: np.ndarray, small: np.ndarray, ordered_lms: np.ndarray, cou
     return sa
 
 
-def _induce_scan(s: np.ndarray, small: np.ndarray, ordered_lms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _doubled(s: np.ndarray) -> np.ndarray:
+    """The same by prefix doubling, for any alphabet: rounds grow with the logarithm of the longest repeat."""
     n = len(s)
-    ends = np.cumsum(counts)
-    text, kind = s.tolist(), small.tolist()
-    sa = [-1] * n
-    tail = ends.tolist()
-    for i in reversed(ordered_lms.tolist()):
-        tail[text[i]] -= 1
-        sa[tail[text[i]]] = i
-    head = (ends - counts).tolist()
-    for r in range(n):
-        j = sa[r] - 1
-        if j >= 0 and not kind[j]:
-            c = text[j]
-            sa[head[c]] = j
-            head[c] += 1
-    tail = ends.tolist()
-    for r in range(n - 1, -1, -1):
-        j = sa[r] - 1
-        if j >= 0 and kind[j]:
-            c = text[j]
-            tail[c] -= 1
-            sa[tail[c]] = j
-    return np.array(sa, np.int64)
+    order = np.argsort(s, kind="stable")
+    rank, live, key, width = np.empty(n, np.int64), np.arange(n), s[order], 1
+    while len(live):
+        fresh = np.append(True, key[1:] != key[:-1])
+        # a suffix ranks by the place where those like it begin
+        rank[order[live]] = live[np.maximum.accumulate(np.where(fresh, np.arange(len(live)), 0))]
+        live = live[~(fresh & np.append(fresh[1:], True))]
+        # what is not alone has no last symbol among its first ``width``, so more follows
+        place = order[live]
+        key = rank[place] * n + rank[place + width] if len(live) else live
+        turn = np.argsort(key)
+        order[live], key = place[turn], key[turn]
+        width *= 2
+    return order
 
 
 def induced_suffix_array(s: np.ndarray) -> np.ndarray:
@@ -126,13 +120,14 @@ def induced_suffix_array(s: np.ndarray) -> np.ndarray:
     n = len(s)
     if n == 1:
         return np.zeros(1, np.int64)
+    counts = np.bincount(s)
+    if len(counts) > SMALL_ALPHABET:
+        return _doubled(s)
     small = classify(s)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    counts = np.bincount(s)
-    induce = _induce_waves if len(counts) <= SMALL_ALPHABET else _induce_scan
     if len(lms) > 1:
         # leftmost-smaller substrings in order: one induction from their first symbols
-        rough = induce(s, small, lms[np.argsort(s[lms], kind="stable")], counts)
+        rough = _induce_waves(s, small, lms[np.argsort(s[lms], kind="stable")], counts)
         is_lms = np.zeros(n, bool)
         is_lms[lms] = True
         ordered = rough[is_lms[rough]]
@@ -146,7 +141,7 @@ def induced_suffix_array(s: np.ndarray) -> np.ndarray:
         names[rank] = fresh
         order = induced_suffix_array(names) if fresh[-1] + 1 < len(lms) else np.argsort(names)
         lms = lms[order]
-    return induce(s, small, lms, counts)
+    return _induce_waves(s, small, lms, counts)
 
 
 def _substring_keys(s: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
