@@ -3,6 +3,7 @@ import re
 
 import pytest
 from llm.helpers import SF_DIR, ascii_lower, documents, read
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm import components, jaccard
@@ -146,3 +147,21 @@ def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
     monkeypatch.setattr(components, "TASK_EDGES", 5)
     assert sorted(map(tuple, connected_components(rows).collect())) == sorted(parent.items())
     assert len(tables) > 6
+
+
+def test_near_duplicates_move_no_texts(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, 9), (2, text + " more", 8), (3, "a text that stands alone here", 7), (4, None, 6), (None, text, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other int")
+    monkeypatch.setattr(jaccard, "jaccard_classes", lambda d, *a: d.select(F.col("row").alias("doc_id"), F.lit(1).alias("n_shingles"), F.min("row").over(W.partitionBy(F.col("text").startswith("w0"))).alias("component_id")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.drop_near_duplicates(docs)
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+        assert sorted(r.other for r in kept.collect()) == [6, 7, 9]
+        twice = docs.union(docs)
+        assert sorted(r.other for r in jaccard.drop_near_duplicates(twice).collect()) == [6, 7, 9]
+        monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)  # as with many groups
+        assert sorted(r.other for r in jaccard.drop_near_duplicates(twice).collect()) == [6, 7, 9]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -168,3 +168,29 @@ def test_groups_of_like_examples_are_small_and_change_nothing():
     assert len(there.groups) > 1 and sum(head.size for _, _, _, head in there.groups) == 400 * 100
     assert not {"term", "first", "entry"} & set(there.__dict__) and there.counts is None
     assert pickle.loads(pickle.dumps(there)).nearest(number, np.full(30, 1 / np.sqrt(30)))[0].tolist() == want
+
+
+def test_index_is_made_in_little_memory():
+    import pickle
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    vocabulary = np.unique(rng.integers(0, 1 << 63, 30_000).astype(np.uint64))
+    index = toxicity.Index(vocabulary, vocabulary, rng.random(len(vocabulary)) + 1, toxicity.ToxicityParams())
+    vectors, counts = [], []
+    for _ in range(2000):
+        number = np.unique((len(vocabulary) * rng.random(400) ** 3).astype(np.int64))
+        counts.append(rng.integers(1, 9, len(number)))
+        vectors.append((number, index.weigh(np.zeros(len(number), np.int64), number, counts[-1], 1)))
+    index.build(list(range(2000)), np.arange(2000) % 2, np.ones(2000), vectors, 0.5)
+    index.counts = np.concatenate([counts[i] for i in index.order])
+    held = pickle.loads(pickle.dumps(index))
+    size = held.term.nbytes + held.entry.nbytes
+    tracemalloc.start()
+    held.invert()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak - sum(slot.nbytes + head.nbytes for _, _, slot, head in held.groups) < 2.2 * size
+    own = index.order[7]
+    near, cosine = held.nearest(*vectors[own])
+    assert near[0] == 7 and cosine[0] > 1 - 1e-6

@@ -536,9 +536,19 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column
     labels = jaccard_classes(docs.select(row.alias("row"), F.col(text_column).alias("text")), "row", "text", percent).where("n_shingles > 0")
     marks = labels.groupBy(F.col("doc_id.key").alias(key)).agg(F.max(F.col("doc_id.key") != F.col("component_id.key")).alias("gone"), F.count("*").alias("copies"))
     marks = cut(marks.where("gone or copies > 1").select(key, F.col("gone").alias(key + "gone")), "near-duplicates")
-    joined = docs.withColumn(key, row_key(id_column, text_column)).join(marks, key, "left")
-    once = joined.where(F.col(key + "gone").isNull()).select(*(joined[c] for c in names))
-    again = joined.where(~F.col(key + "gone")).groupBy(key).agg(F.min(F.struct(*(joined[c] for c in names))).alias("row"))
+    sizes = marks.agg(F.count("*").alias("all"), F.count_if(~F.col(key + "gone")).alias("again")).first()
+    named = docs.withColumn(key, row_key(id_column, text_column))
+
+    def among(rows: DataFrame, size: int, how: str) -> DataFrame:
+        """The documents with one of these keys, or without; a shuffle moves the texts only if the keys are too many to send."""
+        keys = rows.select(key)
+        return named.join(F.broadcast(keys) if size <= BROADCAST_ROWS else keys, key, how)
+
+    once = among(marks, sizes["all"], "left_anti").select(names)
+    if not sizes["again"]:
+        return once
+    again = among(marks.where(~F.col(key + "gone")), sizes["again"], "left_semi")
+    again = again.groupBy(key).agg(F.min(F.struct(*(again[c] for c in names))).alias("row"))
     return once.union(again.select("row.*"))
 
 

@@ -30,6 +30,7 @@ GROUPS, GROUP_SIZE, GROUP_TERMS, GROUP_ROUNDS = 8, 64, 512, 4
 HEAD_TERMS, HEAD_SHARE, ROWS, FEW = 3072, 16, 256, 64
 TOGETHER = 16  # documents whose lists are summed together
 LONG = 128  # lists of so many examples are read by block
+TEXT_BYTES = 1_000_000  # text whose terms are found at a time beside the index
 ROUNDING = 1e-5  # more than single precision loses in a cosine
 
 _IN_WORD = byte_class(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
@@ -104,6 +105,13 @@ def _unpack(packed: tuple[str, bytes]) -> np.ndarray:
     return np.cumsum(values, dtype=kind) if packed[0][-1] == "+" else values
 
 
+def _reorder(columns: list[np.ndarray], by: int) -> None:
+    """Puts the columns in the order of one of them, in place, so that one copy at a time stands beside them; equal ones stay in order."""
+    order = np.argsort(columns[by], kind="stable")
+    for i in range(len(columns)):
+        columns[i] = columns[i][order]
+
+
 @dataclass
 class Index:
     """Example vectors by term and block; ``zero`` is the smoothed share of toxic examples without any term."""
@@ -167,7 +175,7 @@ class Index:
         finder, levels = self.finder("plain"), self.levels()
         bits = len(self.plain).bit_length()
         data, offsets = text_buffer(column)
-        for low, high, part, part_offsets in blocks(data, offsets):
+        for low, high, part, part_offsets in blocks(data, offsets, TEXT_BYTES):
             row, term = terms_of(part, part_offsets)
             place = finder.find(term)
             keep = np.flatnonzero(place >= 0)
@@ -215,55 +223,69 @@ class Index:
     def invert(self) -> None:
         """Makes the index of the vectors, once in each process."""
         number, value, n = self.term, self.entry, len(self.ids)
-        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))
+        narrow = np.int16 if n < 1 << 15 else np.int32
+        example = np.repeat(np.arange(n, dtype=narrow), np.diff(self.first))
         # inside, examples stand by group; ``place_of`` leads back
         group = self._grouped(number, value, example)
         self.place_of = np.argsort(group, kind="stable")
         edges = np.searchsorted(group[self.place_of], np.arange(group.max(initial=-1) + 2))
-        inside = np.empty(n, np.int32)
-        inside[self.place_of] = np.arange(n, dtype=np.int32)
+        inside = np.empty(n, narrow)
+        inside[self.place_of] = np.arange(n, dtype=narrow)
         example = inside[example]
-        dense, self.groups = np.zeros(len(number), bool), []
+        dense, slots = np.zeros(len(number), bool), []
         for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            own = np.flatnonzero((example >= low) & (example < high))
+            own = (example >= low) & (example < high)
             held = np.bincount(number[own], minlength=len(self.vocabulary))
             often = np.argsort(-held, kind="stable")[:HEAD_TERMS]
             often = np.sort(often[held[often] * HEAD_SHARE >= high - low])
             slot = np.full(len(self.vocabulary), -1, np.int16)
             slot[often] = np.arange(len(often))
-            own = own[slot[number[own]] >= 0]
-            head = np.zeros((len(often), high - low), np.float32)
-            head[slot[number[own]], example[own] - low] = value[own]
-            dense[own] = True
-            self.groups.append((low, high, slot, head))
-        # single precision for the product, and the weights as they are for the few examples that are near
-        own = np.flatnonzero(dense)
-        own = own[np.argsort(example[own], kind="stable")]
-        self.dense, self.dense_value = number[own], value[own]
-        self.dense_first = np.searchsorted(example[own], np.arange(n + 1))
-        self.asked = np.zeros(len(self.vocabulary))
-        rest = np.flatnonzero(~dense)
-        del dense, own
-        rest = rest[np.argsort(example[rest], kind="stable")]
-        rest = rest[np.argsort(number[rest], kind="stable")]
-        number, self.value, self.example = number[rest], value[rest], example[rest].astype(np.int64)
-        del value, example, rest, self.entry
+            own[own] = slot[number[own]] >= 0
+            dense |= own
+            slots.append((low, high, slot, len(often)))
+        del own
+        # the vectors go as soon as they are dealt out: each process must hold all of this
+        parts = [[x[kept] for x in (number, value, example)] for kept in (dense, ~dense)]
+        del number, value, example, dense, self.entry
         if "packed" in self.__dict__:  # which has them for the next process
             del self.term, self.first
+        rest = parts.pop()
+        _reorder(rest, 2)
+        _reorder(rest, 0)
+        number, self.value, self.example = rest
+        del rest
         self.lists = np.searchsorted(number, np.arange(len(self.vocabulary) + 1))
-        # lists of LONG examples and more are cut into blocks of examples: where each begins, and its largest weight
+        self._cut_lists(number, n)
+        del number
+        own = parts.pop()
+        _reorder(own, 2)
+        self.dense, self.dense_value, example = own
+        self.dense_first = np.searchsorted(example, np.arange(n + 1))
+        self.asked = np.zeros(len(self.vocabulary))
+        # single precision for the product, and the weights as they are for the few examples that are near
+        self.groups = []
+        for low, high, slot, often in slots:
+            part = slice(self.dense_first[low], self.dense_first[high])
+            head = np.zeros((often, high - low), np.float32)
+            head[slot[self.dense[part]], example[part] - low] = self.dense_value[part]
+            self.groups.append((low, high, slot, head))
+
+    def _cut_lists(self, number: np.ndarray, n: int) -> None:
+        """Lists of LONG examples and more are cut into blocks of examples: where each begins, and its largest weight."""
         edges = np.minimum(np.arange(-(-n // self.params.block) + 1) * self.params.block, n)
         long_ = np.flatnonzero(np.diff(self.lists) >= LONG)
         self.place = np.full(len(self.vocabulary), -1, np.int32)
         self.place[long_] = np.arange(len(long_))
         at = np.flatnonzero(self.place[number] >= 0)
-        spot = self.place[number[at]].astype(np.int64) * (len(edges) - 1) + self.example[at] // self.params.block
+        spot = self.place[number[at]].astype(np.int64) * (len(edges) - 1) + self.example[at].astype(np.int64) // self.params.block
         size = np.bincount(spot, minlength=len(long_) * (len(edges) - 1)).reshape(len(long_), len(edges) - 1)
         self.block_start = self.lists[long_][:, None] + np.concatenate([np.zeros((len(long_), 1), np.int64), np.cumsum(size, axis=1)], axis=1)
         self.block_max = np.zeros((len(long_), len(edges) - 1))
         fresh = np.flatnonzero(np.append(True, spot[1:] != spot[:-1])) if len(at) else at
+        begin = spot[fresh]
+        del spot
         if len(at):
-            self.block_max.reshape(-1)[spot[fresh]] = np.maximum.reduceat(self.value[at], fresh)
+            self.block_max.reshape(-1)[begin] = np.maximum.reduceat(self.value[at], fresh)
         self.long_norm = np.sqrt(np.bincount(self.example[at], self.value[at] ** 2, minlength=n))
 
     def _grouped(self, number: np.ndarray, value: np.ndarray, example: np.ndarray) -> np.ndarray:
@@ -384,8 +406,8 @@ class Index:
         entry = ranges(start, size)
         value = self.value.take(entry)
         value *= np.repeat(weight, size)
-        spot = self.example.take(entry)
-        spot += np.repeat(row * shape[1], size)
+        spot = np.repeat(row * shape[1], size)
+        spot += self.example.take(entry)
         return np.bincount(spot, value, minlength=shape[0] * shape[1]).reshape(shape)
 
     def score(self, near: np.ndarray, cosine: np.ndarray) -> float:
