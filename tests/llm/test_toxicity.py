@@ -194,3 +194,54 @@ def test_index_is_made_in_little_memory():
     own = index.order[7]
     near, cosine = held.nearest(*vectors[own])
     assert near[0] == 7 and cosine[0] > 1 - 1e-6
+
+
+def counted_index(rng, examples=1500, terms=20_000):
+    """An index of vectors by counts as a process gets it, and the vectors by example."""
+    vocabulary = np.unique(rng.integers(0, 1 << 63, terms).astype(np.uint64))
+    index = toxicity.Index(vocabulary, vocabulary, rng.random(len(vocabulary)) + 1, toxicity.ToxicityParams())
+    vectors, counts = [], []
+    for _ in range(examples):
+        number = np.unique((len(vocabulary) * rng.random(400) ** 3).astype(np.int64))
+        counts.append(rng.geometric(0.6, len(number)))
+        vectors.append((number, index.weigh(np.zeros(len(number), np.int64), number, counts[-1], 1)))
+    index.build(list(range(examples)), np.arange(examples) % 2, np.ones(examples), vectors, 0.5)
+    index.counts = np.concatenate([counts[i] for i in index.order])
+    return pickle.loads(pickle.dumps(index)), [vectors[i] for i in index.order]
+
+
+def test_index_holds_few_bytes_per_entry():
+    import tracemalloc
+
+    held, vectors = counted_index(np.random.default_rng(6))
+    assert np.allclose(held.entry, np.concatenate([w for _, w in vectors]))
+    size = held.term.nbytes + held.entry.nbytes
+    tracemalloc.start()
+    held.invert()
+    now = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert now - sum(slot.nbytes + head.nbytes for _, _, slot, head in held.groups) < 0.75 * size
+
+
+@pytest.mark.parametrize("long", [2, 60, 5000])
+def test_amounts_by_run_give_the_cosines_of_the_vectors(monkeypatch, long):
+    monkeypatch.setattr(toxicity, "LONG", long)
+    held, vectors = counted_index(np.random.default_rng(7), 500, 2000)
+    dense = np.zeros((len(vectors), len(held.vocabulary)))
+    for row, (number, weight) in enumerate(vectors):
+        dense[row, number] = weight
+    asked = [vectors[i] for i in range(0, 500, 9)]
+    first = np.append(0, np.cumsum([len(n) for n, _ in asked]))
+    got = held.nearest_rows(first, np.concatenate([n for n, _ in asked]), np.concatenate([w for _, w in asked]))
+    for (number, weight), (near, cosine) in zip(asked, got, strict=True):
+        want = dense[:, number] @ weight
+        order = sorted(range(len(want)), key=lambda i: (-round(want[i], 9), i))[:15]
+        assert near.tolist() == order and np.allclose(cosine, np.minimum(want[order], 1), atol=1e-12)
+
+
+def test_runs_and_codes():
+    runs = toxicity.Runs(np.array([0, 2, 2, 5]), np.array([7, 300, 1, 2, 3]), 300)
+    assert runs.take(np.array([2, 1, 0, 2])).tolist() == [1, 2, 3, 7, 300, 1, 2, 3]
+    assert len(runs.take(np.array([1]))) == len(runs.take(np.zeros(0, np.int64))) == 0
+    distinct, code = toxicity._coded(np.array([5, 1, 5, 9]))
+    assert distinct.tolist() == [1, 5, 9] and code.tolist() == [1, 0, 1, 2]

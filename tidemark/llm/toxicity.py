@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +28,9 @@ FOLDS = 5
 # Examples stand in GROUPS groups of like ones. Terms that 1 / HEAD_SHARE of a group have, at most HEAD_TERMS, stand in its
 # dense matrix; ROWS documents are multiplied at a time, those with fewer than FEW such terms one by one.
 GROUPS, GROUP_SIZE, GROUP_TERMS, GROUP_ROUNDS = 8, 64, 512, 4
-HEAD_TERMS, HEAD_SHARE, ROWS, FEW = 3072, 16, 256, 64
-TOGETHER = 16  # documents whose lists are summed together
-LONG = 128  # lists of so many examples are read by block
+HEAD_TERMS, HEAD_SHARE, ROWS, FEW = 3072, 12, 256, 64
+TOGETHER = 32  # documents whose lists are summed together
+LONG = 512  # lists of so many examples are read by block
 TEXT_BYTES = 1_000_000  # text whose terms are found at a time beside the index
 ROUNDING = 1e-5  # more than single precision loses in a cosine
 
@@ -89,8 +90,9 @@ def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[start], term[start], np.diff(np.append(start, len(row)))
 
 
-INVERTED = {"finders", "order", "groups", "place_of", "asked", "dense", "dense_first", "dense_value", "value", "example", "lists", "place", "block_start", "block_max", "long_norm"}
+INVERTED = {"finders", "groups", "place_of", "slot_of", "asked", "dense_term", "dense_code", "dense_first", "rank", "amount", "scale", "unit", "cell_of", "run_of", "run_code", "runs", "postings", "place", "block_max", "long_norm"}
 WEIGHED = 256  # examples weighed at a time, which bounds what this takes
+CODED = 1_000_000  # values coded at a time
 
 
 def _pack(values: np.ndarray, differences: bool = True) -> tuple[str, bytes]:
@@ -105,11 +107,27 @@ def _unpack(packed: tuple[str, bytes]) -> np.ndarray:
     return np.cumsum(values, dtype=kind) if packed[0][-1] == "+" else values
 
 
-def _reorder(columns: list[np.ndarray], by: int) -> None:
-    """Puts the columns in the order of one of them, in place, so that one copy at a time stands beside them; equal ones stay in order."""
-    order = np.argsort(columns[by], kind="stable")
-    for i in range(len(columns)):
-        columns[i] = columns[i][order]
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ordered, and the place of each value among them in as few bytes as hold it; part by part, so that little stands beside the result."""
+    parts = range(0, len(values), CODED)
+    distinct = np.unique(np.concatenate([values[:0], *(np.unique(values[low : low + CODED]) for low in parts)]))
+    code = np.empty(len(values), np.uint16 if len(distinct) <= 1 << 16 else np.uint32)
+    for low in parts:
+        code[low : low + CODED] = np.searchsorted(distinct, values[low : low + CODED])
+    return distinct, code
+
+
+class Runs:
+    """Numbers of 0 to ``most`` in a run per row; ``take`` copies the runs of any rows, whole, into one array."""
+
+    def __init__(self, first: np.ndarray, numbers: np.ndarray, most: int):
+        numbers = numbers.astype(np.min_scalar_type(most))
+        self.kind, self.runs = numbers.dtype, pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first) - 1, [None, pa.py_buffer(first.astype(np.int64) * numbers.itemsize), pa.py_buffer(numbers)])
+
+    def take(self, rows: np.ndarray) -> np.ndarray:
+        _, edges, data = self.runs.take(pa.array(rows, pa.int64())).buffers()
+        size = int(np.frombuffer(edges, np.int64)[len(rows)]) // self.kind.itemsize if len(rows) else 0
+        return np.frombuffer(data, self.kind, size) if size else np.zeros(0, self.kind)
 
 
 @dataclass
@@ -135,8 +153,9 @@ class Index:
         state["plain"] = _pack(np.searchsorted(self.vocabulary, self.plain))
         state["vocabulary"], state["idf"] = _pack(self.vocabulary), _pack(self.idf.view(np.int64), False)
         if self.counts is not None:
-            state["term"], state["counts"] = _pack(self.term), _pack(self.counts, False)
-            state.pop("entry", None)
+            distinct, code = _coded(self.counts)
+            state["term"], state["counts"] = _pack(self.term), (_pack(distinct), _pack(code, False))
+            state.pop("given", None)
         return state
 
     def __setstate__(self, state: dict) -> None:
@@ -145,26 +164,29 @@ class Index:
         self.vocabulary, self.idf = _unpack(self.vocabulary), _unpack(self.idf).view(np.float64)
         self.plain = self.vocabulary[_unpack(self.plain)]
         if self.counts is not None:
-            self.term, self.counts = _unpack(self.term), _unpack(self.counts)
-            self.entry = np.zeros(len(self.term))
-            for low in range(0, len(self.ids), WEIGHED):
-                first = self.first[low : low + WEIGHED + 1]
-                part = slice(first[0], first[-1])
-                self.entry[part] = self.weigh(np.repeat(np.arange(len(first) - 1), np.diff(first)), self.term[part], self.counts[part], len(first) - 1)
-            self.counts = None
-
-    def finder(self, name: str) -> Finder:
-        """Of ``vocabulary`` or ``plain``, made once in each process."""
+            self.term, (self.distinct, self.code), self.counts = _unpack(self.term), map(_unpack, self.counts), None
+
+    @property
+    def entry(self) -> np.ndarray:
+        """The weights in the example vectors."""
+        if "code" not in self.__dict__:
+            return self.given
+        sizes = np.diff(self.first)
+        return self.weigh(np.repeat(np.arange(len(sizes)), sizes), self.term, self.distinct[self.code], len(sizes))
+
+    def finder(self) -> Finder:
+        """Of ``plain``, made once in each process."""
         held = self.__dict__.setdefault("finders", {})
-        if name not in held:
-            held[name] = Finder(getattr(self, name))
-        return held[name]
+        if "plain" not in held:
+            held["plain"] = Finder(self.plain)
+        return held["plain"]
 
     def levels(self) -> list[np.ndarray]:
         """For each of ``plain`` its number as a term, and that of its term of each level; -1 for none."""
         held = self.__dict__.setdefault("finders", {})
         if "levels" not in held:
-            held["levels"] = [self.finder("vocabulary").find(t).astype(np.int32) for t in (self.plain, *(mix(self.plain + U64(level)) for level in LEVELS))]
+            find = Finder(self.vocabulary).find  # of no use after this
+            held["levels"] = [find(t).astype(np.int32) for t in (self.plain, *(mix(self.plain + U64(level)) for level in LEVELS))]
         return held["levels"]
 
     def occurrences(self, column: pa.Array) -> Iterator[tuple]:
@@ -172,7 +194,7 @@ class Index:
 
         Terms are found and sorted as plain ones. The entries of a row are in an order that only its text decides.
         """
-        finder, levels = self.finder("plain"), self.levels()
+        finder, levels = self.finder(), self.levels()
         bits = len(self.plain).bit_length()
         data, offsets = text_buffer(column)
         for low, high, part, part_offsets in blocks(data, offsets, TEXT_BYTES):
@@ -217,87 +239,148 @@ class Index:
         value = np.concatenate([vectors[i][1] for i in full]) if full else np.zeros(0)
         example = np.repeat(np.arange(len(full)), [len(vectors[i][0]) for i in full])
         self.first = np.searchsorted(example, np.arange(len(full) + 1))
-        self.term, self.entry = number.astype(np.int32), value
+        self.term, self.given = number.astype(np.int32), value
         return self
 
     def invert(self) -> None:
-        """Makes the index of the vectors, once in each process."""
-        number, value, n = self.term, self.entry, len(self.ids)
-        narrow = np.int16 if n < 1 << 15 else np.int32
-        example = np.repeat(np.arange(n, dtype=narrow), np.diff(self.first))
+        """Makes the index of the vectors, once in each process.
+
+        An entry's weight is its amount, one of few and kept by number, times the scale of its term and the unit of its example.
+        """
+        n, terms, counted = len(self.ids), len(self.vocabulary), True
+        if "code" in self.__dict__:
+            distinct, code = self.__dict__.pop("distinct"), self.__dict__.pop("code")
+        elif self.counts is not None:
+            distinct, code = _coded(self.counts)
+        else:
+            (distinct, code), counted = _coded(self.given), False
+        self.amount = 1 + np.log(distinct) if counted else distinct
+        # inside, terms are numbered from the most frequent one on, so that what most texts ask for lies together
+        first, held = self.first, np.zeros(terms, np.int64)
+        for _, _, part in self._stretches(first):
+            held += np.bincount(self.term[part], minlength=terms)
+        by = np.argsort(-held, kind="stable")
+        self.rank = np.empty(terms, np.int32)
+        self.rank[by] = np.arange(terms)
+        number = np.empty(len(self.term), np.int32)
+        for _, _, part in self._stretches(first):
+            number[part] = self.rank[self.term[part]]
+        if "packed" in self.__dict__:  # which has them for the next process
+            del self.term, self.first
+        self.scale, self.unit = self.idf[by] if counted else np.ones(terms), np.ones(n)
+        if counted:
+            for low, high, part in self._stretches(first):
+                squares = np.bincount(np.repeat(np.arange(high - low), np.diff(first[low : high + 1])), (self.amount[code[part]] * self.scale[number[part]]) ** 2, minlength=high - low)
+                self.unit[low:high] = 1 / np.sqrt(squares)
         # inside, examples stand by group; ``place_of`` leads back
-        group = self._grouped(number, value, example)
+        group = self._grouped(number, code, first)
         self.place_of = np.argsort(group, kind="stable")
         edges = np.searchsorted(group[self.place_of], np.arange(group.max(initial=-1) + 2))
-        inside = np.empty(n, narrow)
-        inside[self.place_of] = np.arange(n, dtype=narrow)
-        example = inside[example]
-        dense, slots = np.zeros(len(number), bool), []
+        runs, sizes = [slice(first[i], first[i + 1]) for i in self.place_of.tolist()], np.diff(first)[self.place_of]
+        number = np.concatenate([number[run] for run in runs] or [number])
+        code = np.concatenate([code[run] for run in runs] or [code])
+        self.unit, first = self.unit[self.place_of], np.append(0, np.cumsum(sizes))
+        narrow = np.int16 if n < 1 << 15 else np.int32
+        example = np.repeat(np.arange(n, dtype=narrow), sizes)
+        # single precision for the product, and the weights as they are for the few examples that are near
+        dense, self.groups = np.zeros(len(number), bool), []
         for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            own = (example >= low) & (example < high)
-            held = np.bincount(number[own], minlength=len(self.vocabulary))
+            held = np.zeros(terms, np.int64)
+            for _, _, part in self._stretches(first, low, high):
+                held += np.bincount(number[part], minlength=terms)
             often = np.argsort(-held, kind="stable")[:HEAD_TERMS]
             often = np.sort(often[held[often] * HEAD_SHARE >= high - low])
-            slot = np.full(len(self.vocabulary), -1, np.int16)
+            slot = np.full(terms, -1, np.int16)
             slot[often] = np.arange(len(often))
-            own[own] = slot[number[own]] >= 0
-            dense |= own
-            slots.append((low, high, slot, len(often)))
-        del own
-        # the vectors go as soon as they are dealt out: each process must hold all of this
-        parts = [[x[kept] for x in (number, value, example)] for kept in (dense, ~dense)]
-        del number, value, example, dense, self.entry
-        if "packed" in self.__dict__:  # which has them for the next process
-            del self.term, self.first
-        rest = parts.pop()
-        _reorder(rest, 2)
-        _reorder(rest, 0)
-        number, self.value, self.example = rest
-        del rest
-        self.lists = np.searchsorted(number, np.arange(len(self.vocabulary) + 1))
-        self._cut_lists(number, n)
-        del number
-        own = parts.pop()
-        _reorder(own, 2)
-        self.dense, self.dense_value, example = own
-        self.dense_first = np.searchsorted(example, np.arange(n + 1))
-        self.asked = np.zeros(len(self.vocabulary))
-        # single precision for the product, and the weights as they are for the few examples that are near
-        self.groups = []
-        for low, high, slot, often in slots:
-            part = slice(self.dense_first[low], self.dense_first[high])
-            head = np.zeros((often, high - low), np.float32)
-            head[slot[self.dense[part]], example[part] - low] = self.dense_value[part]
+            head = np.zeros((len(often), high - low), np.float32)
+            for _, _, part in self._stretches(first, low, high):
+                place = slot[number[part]]
+                at = np.flatnonzero(place >= 0)
+                dense[part][at] = True
+                head[place[at], example[part][at] - low] = self._weights(number[part][at], code[part][at], example[part][at])
             self.groups.append((low, high, slot, head))
-
-    def _cut_lists(self, number: np.ndarray, n: int) -> None:
-        """Lists of LONG examples and more are cut into blocks of examples: where each begins, and its largest weight."""
-        edges = np.minimum(np.arange(-(-n // self.params.block) + 1) * self.params.block, n)
-        long_ = np.flatnonzero(np.diff(self.lists) >= LONG)
-        self.place = np.full(len(self.vocabulary), -1, np.int32)
+        slots = np.flatnonzero(np.max([slot for _, _, slot, _ in self.groups], axis=0, initial=-1) >= 0) if self.groups else np.zeros(0, np.int64)
+        self.slot_of = np.full(terms, -1, np.int32)
+        self.slot_of[slots] = np.arange(len(slots))
+        self.asked = np.zeros(len(slots))
+        self.dense_first = np.append(0, np.cumsum([np.count_nonzero(dense[low:high]) for low, high in zip(first[:-1].tolist(), first[1:].tolist())], dtype=np.int64))
+        self.dense_term = Runs(self.dense_first, self.slot_of[number[dense]], len(slots))
+        self.dense_code = Runs(self.dense_first, code[dense], len(self.amount))
+        # the vectors go as soon as they are dealt out: each process must hold all of this
+        np.logical_not(dense, out=dense)
+        number, code, example = (x[dense] for x in (number, code, example))
+        del dense
+        key = self._keys(number, code, example)
+        del number, code, example
+        self._cut_lists(key)
+
+    def _stretches(self, first: np.ndarray, low: int = 0, high: int | None = None) -> Iterator[tuple[int, int, slice]]:
+        """(first example, end example, their entries) of WEIGHED examples at a time."""
+        high = len(first) - 1 if high is None else high
+        for at in range(low, high, WEIGHED):
+            end = min(at + WEIGHED, high)
+            yield at, end, slice(first[at], first[end])
+
+    def _weights(self, number: np.ndarray, code: np.ndarray, example: np.ndarray) -> np.ndarray:
+        return self.amount[code] * self.scale[number] * self.unit[example]
+
+    def _keys(self, number: np.ndarray, code: np.ndarray, example: np.ndarray) -> np.ndarray:
+        """Cell, amount and example of each posting in one number, ordered.
+
+        A list of LONG examples or more is cut into cells, one per block of examples; a shorter one is a cell.
+        """
+        n, block, terms = len(self.ids), self.params.block, len(self.vocabulary)
+        long_ = np.flatnonzero(np.bincount(number, minlength=terms) >= LONG)
+        self.place = np.full(terms, -1, np.int32)
         self.place[long_] = np.arange(len(long_))
+        many = np.ones(terms, np.int64)
+        many[long_] = -(-n // block)
+        self.cell_of = np.append(0, np.cumsum(many))
+        amounts, examples = max(1, len(self.amount)), n.bit_length()
+        if (int(self.cell_of[-1]) * amounts) << examples >= 1 << 63:
+            raise OverflowError("too many terms, amounts and examples for one number")
+        key = self.cell_of[number]
         at = np.flatnonzero(self.place[number] >= 0)
-        spot = self.place[number[at]].astype(np.int64) * (len(edges) - 1) + self.example[at].astype(np.int64) // self.params.block
-        size = np.bincount(spot, minlength=len(long_) * (len(edges) - 1)).reshape(len(long_), len(edges) - 1)
-        self.block_start = self.lists[long_][:, None] + np.concatenate([np.zeros((len(long_), 1), np.int64), np.cumsum(size, axis=1)], axis=1)
-        self.block_max = np.zeros((len(long_), len(edges) - 1))
-        fresh = np.flatnonzero(np.append(True, spot[1:] != spot[:-1])) if len(at) else at
-        begin = spot[fresh]
-        del spot
-        if len(at):
-            self.block_max.reshape(-1)[begin] = np.maximum.reduceat(self.value[at], fresh)
-        self.long_norm = np.sqrt(np.bincount(self.example[at], self.value[at] ** 2, minlength=n))
-
-    def _grouped(self, number: np.ndarray, value: np.ndarray, example: np.ndarray) -> np.ndarray:
+        key[at] += example[at] // block
+        key *= amounts
+        key += code
+        key <<= examples
+        key |= example
+        key.sort()
+        return key
+
+    def _cut_lists(self, key: np.ndarray) -> None:
+        """A cell's postings are a run of examples per amount, so that amounts are told once a run; cells of long lists have their largest weight."""
+        n, turns, amounts, examples = len(self.ids), -(-len(self.ids) // self.params.block), max(1, len(self.amount)), len(self.ids).bit_length()
+        long_ = np.flatnonzero(self.place >= 0)
+        example = (key & ((1 << examples) - 1)).astype(np.min_scalar_type(n))
+        key >>= examples
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        cell, self.run_code = np.divmod(key[start], amounts)
+        self.run_code = self.run_code.astype(np.min_scalar_type(amounts))
+        self.run_of = np.searchsorted(cell, np.arange(self.cell_of[-1] + 1))
+        self.runs = np.append(start, len(example))
+        self.postings = Runs(self.runs, example, n)
+        self.block_max, squares = np.zeros((len(long_), turns)), np.zeros(n)
+        for place, term in enumerate(long_.tolist()):
+            runs = self.run_of[self.cell_of[term] : self.cell_of[term + 1] + 1]
+            edges = self.runs[runs[0] : runs[-1] + 1]
+            own = example[edges[0] : edges[-1]]
+            weight = np.repeat(self.amount[self.run_code[runs[0] : runs[-1]]], np.diff(edges)) * self.scale[term] * self.unit[own]
+            begin = self.runs[runs] - edges[0]
+            full = np.flatnonzero(np.diff(begin))
+            self.block_max[place, full] = np.maximum.reduceat(weight, begin[full])
+            squares[own] += weight**2
+        self.long_norm = np.sqrt(squares)
+
+    def _grouped(self, number: np.ndarray, code: np.ndarray, first: np.ndarray) -> np.ndarray:
         """A group for each example, by a few rounds of spherical means over frequent terms; any groups give the same results."""
         n = len(self.ids)
         k = max(1, min(GROUPS, n // GROUP_SIZE))
-        often = np.argsort(-np.bincount(number, minlength=len(self.vocabulary)), kind="stable")[:GROUP_TERMS]
-        slot = np.full(len(self.vocabulary), -1, np.int16)
-        slot[often] = np.arange(len(often))
-        some = np.flatnonzero(slot[number] >= 0)
-        points = np.zeros((n, len(often)), np.float32)
-        points[example[some], slot[number[some]]] = value[some]
+        points = np.zeros((n, min(GROUP_TERMS, len(self.vocabulary))), np.float32)
+        for low, high, part in self._stretches(first):
+            some, example = np.flatnonzero(number[part] < GROUP_TERMS), np.repeat(np.arange(low, high), np.diff(first[low : high + 1]))
+            points[example[some], number[part][some]] = self._weights(number[part][some], code[part][some], example[some])
         points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
         means, near = points[:1], None
         while len(means) < min(k, n):  # the example least like those so far
@@ -319,7 +402,7 @@ class Index:
             self.invert()
         for low in range(0, len(first) - 1, ROWS):
             edges = first[low : low + ROWS + 1]
-            part, heavy = number[edges[0] : edges[-1]], weight[edges[0] : edges[-1]]
+            part, heavy = self.rank[number[edges[0] : edges[-1]]], weight[edges[0] : edges[-1]]
             bounds = (edges - edges[0]).tolist()
             scores = self._dense_scores(part, heavy, bounds)
             for at in range(0, len(scores), TOGETHER):
@@ -331,14 +414,18 @@ class Index:
         row, near, cosine = self._candidates(score, np.repeat(np.arange(len(score)), np.diff(bounds)), number, weight)
         first = np.searchsorted(row, np.arange(len(score) + 1)).tolist()
         size = self.dense_first[near + 1] - self.dense_first[near]
-        entry = ranges(self.dense_first[near], size)
-        term, value = self.dense[entry], self.dense_value[entry]
-        at = np.concatenate([[0], np.cumsum(size)])
+        term, value = self.dense_term.take(near), self.amount.take(self.dense_code.take(near))
+        slot, scaled = self.slot_of[number], weight * self.scale[number]
+        at = np.append(0, np.cumsum(size))
         for a, b, low, high in zip(bounds[:-1], bounds[1:], at[first[:-1]].tolist(), at[first[1:]].tolist()):
-            self.asked[number[a:b]] = weight[a:b]
-            value[low:high] *= self.asked[term[low:high]]
-            self.asked[number[a:b]] = 0.0
-        cosine = cosine + np.bincount(np.repeat(np.arange(len(near)), size), value, minlength=len(near))
+            own = slot[a:b][kept := slot[a:b] >= 0]
+            self.asked[own] = scaled[a:b][kept]
+            value[low:high] *= self.asked.take(term[low:high])
+            self.asked[own] = 0.0
+        full = np.flatnonzero(size)
+        if len(full):
+            cosine[full] += np.add.reduceat(value, at[full])
+        cosine *= self.unit[near]
         near = self.place_of[near]
         rounded = -np.round(cosine, 9)
         for low, high in zip(first[:-1], first[1:]):
@@ -366,7 +453,7 @@ class Index:
         return scores
 
     def _candidates(self, score: np.ndarray, row: np.ndarray, number: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, example, what the lists give) of the examples that may be among a row's nearest; ``score`` holds the dense parts.
+        """(row, example, what the lists give before its unit) of the examples that may be among a row's nearest; ``score`` holds the dense parts.
 
         Short lists are summed up. What long ones can add to an example is bounded by the
         maxima of its block and by the lengths of both vectors there; their blocks are
@@ -377,38 +464,36 @@ class Index:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         place = self.place[number]
         short, long_ = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
-        total = self._sum(row[short], self.lists[number[short]], self.lists[number[short] + 1], weight[short], score.shape)
+        scaled, cell = weight * self.scale[number], self.cell_of[number]
+        total = self._sum(row[short], cell[short], scaled[short], score.shape)
         least = lambda whole: np.partition(whole, n - k, axis=1)[:, n - k, None] - 2 * ROUNDING if n > k else 0.0
         if len(long_):
-            row, place, weight = row[long_], place[long_], weight[long_]
+            row, place, weight, scaled, cell = row[long_], place[long_], weight[long_], scaled[long_], cell[long_]
             first = np.searchsorted(row, np.arange(rows + 1)).tolist()
             most = np.stack([weight[a:b] @ self.block_max[place[a:b]] for a, b in zip(first[:-1], first[1:])])
             length = np.sqrt(np.bincount(row, weight**2, minlength=rows))
             most = np.minimum(np.repeat(most, block, axis=1)[:, :n], length[:, None] * self.long_norm)
-            whole = total + score
+            whole = total * self.unit + score
             most = np.maximum.reduceat(whole + most, np.arange(0, n, block), axis=1)
-            # what is known so far is the least that the nearest have; neighbouring blocks are read as one stretch
-            wanted = np.diff(most >= least(whole), prepend=False, append=False, axis=1)
-            parts = []
-            for turn, a, b in zip(wanted, first[:-1], first[1:]):
-                turn = np.flatnonzero(turn)
-                start, end = self.block_start[place[a:b, None], turn[::2]], self.block_start[place[a:b, None], turn[1::2]]
-                parts.append((np.repeat(row[a:b], start.shape[1]), start.reshape(-1), end.reshape(-1), np.repeat(weight[a:b], start.shape[1])))
-            total = total + self._sum(*(np.concatenate(x) for x in zip(*parts)), score.shape)
+            # what is known so far is the least that the nearest have
+            at, turn = np.nonzero((most >= least(whole))[row])
+            total += self._sum(row[at], cell[at] + turn, scaled[at], score.shape)
         # single precision must not hide a tie
-        whole = total + score
+        whole = total * self.unit + score
         row, near = np.nonzero((whole > 0) & (whole >= least(whole)))
         return row, near, total[row, near]
 
-    def _sum(self, row: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
-        """Weighted sum per row and example of stretches of postings."""
-        size = end - start
-        entry = ranges(start, size)
-        value = self.value.take(entry)
-        value *= np.repeat(weight, size)
-        spot = np.repeat(row * shape[1], size)
-        spot += self.example.take(entry)
-        return np.bincount(spot, value, minlength=shape[0] * shape[1]).reshape(shape)
+    def _sum(self, row: np.ndarray, cell: np.ndarray, weight: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+        """Weighted sum of amounts per row and example of cells of postings."""
+        many = self.run_of[cell + 1] - self.run_of[cell]
+        run = ranges(self.run_of[cell], many)
+        end = np.cumsum(self.runs[run + 1] - self.runs[run])
+        if not len(run):
+            return np.zeros(shape)
+        value = pa.RunEndEncodedArray.from_arrays(pa.array(end), pa.array(np.repeat(weight, many) * self.amount[self.run_code[run]]))
+        value, example = pc.run_end_decode(value).to_numpy(), self.postings.take(run)
+        edges = np.append(0, end)[np.append(0, np.cumsum(many))[np.searchsorted(row, np.arange(shape[0] + 1))]].tolist()
+        return np.stack([np.bincount(example[low:high], value[low:high], minlength=shape[1]) for low, high in zip(edges[:-1], edges[1:])])
 
     def score(self, near: np.ndarray, cosine: np.ndarray) -> float:
         votes = cosine**2 * self.weight[near]
