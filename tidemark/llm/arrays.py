@@ -6,6 +6,7 @@ whole. Hashes are 64 bits, the same in every process.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,6 +47,30 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][: n + 1], _powers["down"][: n + 1]
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda spare: 0)  # the GNU library's; others give memory back by themselves
+
+
+def release() -> None:
+    """Gives the system what is free in this process, which Arrow and the C library would keep."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
+def released(run: Run) -> Run:
+    """``run`` for ``mapInArrow``, after which its worker, which stays for the tasks of later stages, keeps no free memory.
+
+    Before it as well: an earlier stage's broadcasts go only when the next task begins.
+    """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        yield from run(batches)
+        release()
+
+    return tidy
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and the n + 1 offsets into them; NULL counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -221,4 +246,4 @@ def add_columns(df: DataFrame, build: Callable[[pa.RecordBatch], list], fields:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + build(batch), keep + names)
 
-    return df.mapInArrow(run, T.StructType([df.schema[c] for c in keep] + fields))
+    return df.mapInArrow(released(run), T.StructType([df.schema[c] for c in keep] + fields))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.arrays import released
 from tidemark.llm.tables import cut
 
 TASK_EDGES = 20_000  # edges that a task joins at a time; no more than these are left to a single one
@@ -68,7 +69,7 @@ def _joined(edges: DataFrame, roots: bool = False) -> DataFrame:
         if parent:
             yield stars(parent, kinds)
 
-    return edges.mapInArrow(run, schema)
+    return edges.mapInArrow(released(run), schema)
 
 
 def _root(parent: dict, node):

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import U64, blocks, byte_class, grams, lower_ascii, member, mix, ranges, span_hashes, spans, text_buffer
+from tidemark.llm.arrays import U64, blocks, byte_class, grams, lower_ascii, member, mix, ranges, released, span_hashes, spans, text_buffer
 from tidemark.llm.components import connected_components
 from tidemark.llm.tables import cut, row_key, table
 
@@ -141,7 +141,7 @@ def _describe(rows: DataFrame) -> DataFrame:
             none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.nulls(n, arrow_kind), none, none, none, none, pa.array(often[keep].view(np.int64)), pa.array(counts[keep])], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def _postings(rows: DataFrame, frequent, often: bool) -> DataFrame:
@@ -166,7 +166,7 @@ def _postings(rows: DataFrame, frequent, often: bool) -> DataFrame:
                 ours = (late[at] > 0) == often
                 yield pa.RecordBatch.from_arrays([pa.array(value[at[ours]].view(np.int64)), pa.array(np.repeat(ref, take)[ours])], ["token", "ref"])
 
-    return rows.mapInArrow(run, "token long, ref long")
+    return rows.mapInArrow(released(run), "token long, ref long")
 
 
 class Forest:
@@ -287,7 +287,7 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
                 yield _links_batch([(held[q][0], held[c][0]) for q, c in found])
 
     ordered = rows.select(*keys, "kind", "node", "set").repartition(*keys).sortWithinPartitions(*keys, "kind")
-    return ordered.mapInArrow(run, LINK)
+    return ordered.mapInArrow(released(run), LINK)
 
 
 def _compare(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
@@ -314,7 +314,7 @@ def _compare(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
             yield _links_batch(links)
 
     ordered = rows.select(*keys, "kind", "node", "set").repartition(*keys).sortWithinPartitions(*keys, "kind")
-    return ordered.mapInArrow(run, LINK)
+    return ordered.mapInArrow(released(run), LINK)
 
 
 def _star_links(large: DataFrame, postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -394,7 +394,7 @@ def _all_postings(rows: DataFrame) -> DataFrame:
                 ref, part = (np.full(len(tokens), batch.column(c)[i].as_py(), np.int64) for c in ("ref", "part"))
                 yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(ref), pa.array(part)], ["token", "ref", "part"])
 
-    return rows.select("ref", "part", "set").mapInArrow(run, "token long, ref long, part long")
+    return rows.select("ref", "part", "set").mapInArrow(released(run), "token long, ref long, part long")
 
 
 def _block_links(large: DataFrame, percent: int) -> DataFrame:
@@ -519,7 +519,7 @@ def _member_sets(rows: DataFrame) -> DataFrame:
                 at = pa.array([low + i for i in good], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in names] + [pa.array(sets, pa.binary())], [*names, "set"])
 
-    return rows.select(*names, "ref", "ref2", "text").mapInArrow(run, "cluster long, size long, node string, copies long, set binary")
+    return rows.select(*names, "ref", "ref2", "text").mapInArrow(released(run), "cluster long, size long, node string, copies long, set binary")
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:

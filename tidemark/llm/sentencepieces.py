@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import U64, add_columns, blocks, mix, ranges, text_buffer
+from tidemark.llm.arrays import U64, add_columns, blocks, mix, ranges, released, text_buffer
 from tidemark.llm.decontaminate import search
 from tidemark.llm.tables import table
 from tidemark.llm.units import UnitTable
@@ -306,7 +306,7 @@ def encode_pieces(docs: DataFrame, model: str, text_column: str = "text", decode
                 new = [ids, ids.value_lengths().cast(pa.int64())] + ([decode_column(ids, model)] if decoded else [])
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + new, keep + names)
 
-    return docs.mapInArrow(run, T.StructType([docs.schema[c] for c in keep] + fields))
+    return docs.mapInArrow(released(run), T.StructType([docs.schema[c] for c in keep] + fields))
 
 
 def decode_column(column: pa.Array, model: str) -> pa.Array:

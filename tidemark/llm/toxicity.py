@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import U64, Finder, add_columns, blocks, byte_class, lower_ascii, mix, ranges, span_hashes, spans, text_buffer
+from tidemark.llm.arrays import U64, Finder, add_columns, blocks, byte_class, lower_ascii, mix, ranges, release, released, span_hashes, spans, text_buffer
 from tidemark.llm.tables import cut, table
 
 PREFIXES = (4, 5, 6)
@@ -340,8 +340,9 @@ class Index:
         if (int(self.cell_of[-1]) * amounts) << examples >= 1 << 63:
             raise OverflowError("too many terms, amounts and examples for one number")
         key = self.cell_of[number]
-        at = np.flatnonzero(self.place[number] >= 0)
-        key[at] += example[at] // block
+        for part in (slice(low, low + CODED) for low in range(0, len(key), CODED)):
+            at = np.flatnonzero(self.place[number[part]] >= 0)
+            key[part][at] += example[part][at] // block
         key *= amounts
         key += code
         key <<= examples
@@ -399,7 +400,9 @@ class Index:
     def nearest_rows(self, first: np.ndarray, number: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``nearest`` of each row of entries; the dense part is one matrix product for many rows."""
         if "groups" not in self.__dict__:
+            release()
             self.invert()
+            release()
         for low in range(0, len(first) - 1, ROWS):
             edges = first[low : low + ROWS + 1]
             part, heavy = self.rank[number[edges[0] : edges[-1]]], weight[edges[0] : edges[-1]]
@@ -547,7 +550,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = To
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("text", T.StringType()), T.StructField("label", T.IntegerType())])
     # repeated rows are one example; ids of several texts must not exceed the bound either
-    examples = docs.select("doc_id", "text").mapInArrow(choose, schema).groupBy("doc_id", "text", "label").agg(F.count("*").alias("copies")).drop("copies")
+    examples = docs.select("doc_id", "text").mapInArrow(released(choose), schema).groupBy("doc_id", "text", "label").agg(F.count("*").alias("copies")).drop("copies")
     examples = cut(examples, "toxicity-examples")
     if examples.groupBy("label").count().where(F.col("count") > params.examples_per_class).count():
         named = examples.withColumn("hash", F.sha2(F.coalesce("text", F.lit("")), 256))
@@ -566,7 +569,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = To
                     ["term", "plain", "toxic", "clean"],
                 )
 
-    taught = examples.select("text", "label").mapInArrow(count_terms, "term long, plain long, toxic long, clean long").groupBy("term", "plain").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    taught = examples.select("text", "label").mapInArrow(released(count_terms), "term long, plain long, toxic long, clean long").groupBy("term", "plain").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     taught = taught.toArrow()
     terms = taught.column("term").to_numpy().view(U64)
     vocabulary, at = np.unique(terms, return_index=True)
@@ -592,7 +595,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = To
                 )
 
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("label", T.IntegerType()), T.StructField("number", T.ArrayType(T.IntegerType())), T.StructField("count", T.ArrayType(T.IntegerType()))])
-    rows = examples.mapInArrow(number_terms, schema).toArrow()
+    rows = examples.mapInArrow(released(number_terms), schema).toArrow()
     held.destroy()
     ids, toxic = rows.column("doc_id").to_pylist(), np.asarray(rows.column("label"), int)
     numbers, counts = ([v.values.to_numpy() for v in rows.column(c)] for c in ("number", "count"))
@@ -634,7 +637,7 @@ def _idf(docs: DataFrame, shared) -> np.ndarray:
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(held[some], n))], ["number", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
+    counts = docs.select("text").mapInArrow(released(count), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
     number, n = (counts.column(c).to_numpy() for c in ("number", "n"))
     held = np.zeros(len(shared.value.vocabulary) + 1, np.int64)
     held[number] = n  # the last is the number of documents
