@@ -29,7 +29,7 @@ MODEL = "piece_bpe_32k.model"
 CACHED_UNITS = 400_000
 PAIR_BITS = 21  # 2**21 places for pairs of pieces looked at before (19 MB)
 INDEX_BYTES = 256_000  # of distinct units in one index text; a longer unit stands alone
-PIECE_BYTES = 4_000_000  # of text in one output batch; a longer text stands alone
+PIECE_BYTES = 1_000_000  # of text looked at a time, an output batch; a longer text stands alone
 BLANK = "▁"
 _STOP = 0xFF  # no byte of UTF-8
 
@@ -131,9 +131,10 @@ class PieceModel:
         index[place] = data[ranges(starts, size)]
         order = _suffixes(index, self.longest)
         low, high = self._ranges(index, order)
-        at = order[ranges(low, high - low)]
-        symbol = np.repeat(self.ids, high - low)
-        length = np.repeat(self.lengths, high - low)
+        kind = np.int32 if len(index) < 1 << 31 else np.int64  # edges are many
+        at = order.astype(kind)[ranges(low, high - low)]
+        symbol = np.repeat(self.ids.astype(np.int32), high - low)
+        length = np.repeat(self.lengths.astype(kind), high - low)
         # characters that are no piece are edges of their own
         lead = np.flatnonzero((index & 0xC0) != 0x80)
         lead = lead[index[lead] != _STOP]
@@ -144,11 +145,11 @@ class PieceModel:
         lone, lone_width = lead[own], width[own]
         raw = index.tobytes()
         points = [ord(raw[p : p + w].decode()) for p, w in zip(lone.tolist(), lone_width.tolist())]
-        at = np.concatenate([at, lone])
-        symbol = np.concatenate([symbol, np.array(points, np.int64) + self.size])
-        length = np.concatenate([length, lone_width])
+        at = np.concatenate([at, lone.astype(kind)])
+        symbol = np.concatenate([symbol, np.array(points, np.int32) + np.int32(self.size)])
+        length = np.concatenate([length, lone_width.astype(kind)])
         # edges by their place inside the unit, all units together; one edge at most is kept for each end, whatever their order
-        step = (np.arange(len(index)) - np.repeat(first, size + 1))[at]
+        step = (np.arange(len(index)) - np.repeat(first, size + 1)).astype(kind)[at]
         by_step = np.argsort(step.astype(np.int16) if len(index) < 1 << 15 or size.max(initial=0) < 1 << 15 else step, kind="stable")
         at, symbol, length, step = at[by_step], symbol[by_step], length[by_step], step[by_step]
         last = np.full(len(index) + 1, -1, np.int64)
